@@ -7,9 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidegauge.llm import exact_dedup as exact
+from tidegauge.llm import html_text as html
+from tidegauge.llm import knn_quality as knn
 from tidegauge.llm import line_dedup as lines
-from tidegauge.llm import oracles
+from tidegauge.llm import minhash, oracles, packing
+from tidegauge.llm import piece_codec as codec
 from tidegauge.llm import quality_rules as rules
+from tidegauge.llm import substring_dedup as substring
 from tidegauge.llm import url_filter as urls
 from tidegauge.llm.common import table
 
@@ -23,6 +27,34 @@ URL_RULES = (
 )
 
 
+def tokenizer(name: str) -> str:
+    """The place of a vocabulary file, which all machines have installed."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, text, n_sentences, n_removed."""
+    return substring.substring_dedup(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_sentences", "n_removed")
+
+
+def op2_knn_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return knn.knn_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.html_text(table(spark, sf_dir, "pages"))
+
+
+def op4_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codec.piece_codec(table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"))
+
+
+def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), k=3, percent=85)
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -35,6 +67,12 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.line_dedup(table(spark, sf_dir, "documents"))
 
 
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.url_filter(table(spark, sf_dir, "pages"), URL_RULES)
 

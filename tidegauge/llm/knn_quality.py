@@ -166,23 +166,36 @@ def sample(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> tuple[np.n
     return counts, np.array([r["_y"] for r in got])
 
 
-def knn_quality(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> DataFrame:
-    """doc_id, held_out, score, predicted of every row, from its whole text alone.
+def model(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> Neighbours:
+    return fit(*sample(docs, labels, size))
 
-    score is the likelihood of label 1 (0 to 1), predicted 1 from 0.5 on. Null and empty texts are scored as texts
-    without words; without any labelled row every score is 0.5. Labels other than 0 and 1 are ignored and of several
-    labels of a doc_id the greater counts. Repeated rows are scored one by one; other columns are never read.
-    """
-    model = docs.sparkSession.sparkContext.broadcast(fit(*sample(docs, labels, size)))  # at most some 3 MB
+
+def _score(fitted: Neighbours, docs: DataFrame) -> Column:
+    held = docs.sparkSession.sparkContext.broadcast(fitted)  # at most some 3 MB
 
     @F.pandas_udf("double")
     def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        own = model.value
+        own = held.value
         for texts in batches:
             parts = []
             for at in range(0, len(texts), BLOCK):
                 parts.append(own.score(np.stack([count_vector(x or "") for x in texts.iloc[at : at + BLOCK]])))
             yield pd.Series(np.concatenate(parts) if parts else np.zeros(0))
 
-    out = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), scored(F.col("text").cast("string")).alias("score"))
+    return scored(F.col("text").cast("string"))
+
+
+def accepted(docs: DataFrame, fitted: Neighbours) -> DataFrame:
+    """The rows of docs with a score of 0.5 at least, with all their columns."""
+    return docs.withColumn("_score", _score(fitted, docs)).where("_score >= 0.5").drop("_score")
+
+
+def knn_quality(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> DataFrame:
+    """doc_id, held_out, score, predicted of every row, from its whole text alone.
+
+    score is the likelihood of label 1 (0 to 1), predicted 1 from 0.5 on. Null and empty texts are scored as texts
+    without words; without any labelled row every score is 0.5. Labels other than 0 and 1 are ignored and of several
+    labels of a doc_id the greater counts. Repeated rows are scored one by one; other columns are never read.
+    """
+    out = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), _score(model(docs, labels, size), docs).alias("score"))
     return out.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
