@@ -1 +1 @@
-MODULES = ()
+MODULES = ("bars_queries", "join_queries")
