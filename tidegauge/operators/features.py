@@ -89,9 +89,10 @@ def rising_edge(condition: Column, w: WindowSpec, ts: str, step: int) -> Column:
     return F.coalesce(condition, F.lit(False)) & contiguous(w, ts, 1, step) & ~before
 
 
-def exact_lag(df: DataFrame, by: list[str], ts: str, seconds: int, columns: list[str], suffix: str, how: str = "left") -> DataFrame:
-    """Rows with the columns of their key's row exactly ``seconds`` earlier: an equi-join on the shifted time."""
-    past = df.select(*by, shift(ts, seconds).alias(ts), *(F.col(c).alias(f"{c}{suffix}") for c in columns))
+def exact_lag(df: DataFrame, by: list[str], ts: str, seconds: int, columns: list[str], suffix: str, how: str = "left", of: DataFrame | None = None) -> DataFrame:
+    """Rows with the columns of their key's row of ``of`` (df itself if not given) exactly ``seconds`` earlier: an
+    equi-join on the shifted time."""
+    past = (df if of is None else of).select(*by, shift(ts, seconds).alias(ts), *(F.col(c).alias(f"{c}{suffix}") for c in columns))
     return df.join(past, [*by, ts], how)
 
 

@@ -1 +1 @@
-MODULES = ("bars_queries", "join_queries")
+MODULES = ("bars_queries", "join_queries", "event_queries", "screens")

@@ -257,14 +257,14 @@ def market_state(spark, sf_dir):
     return rounded(C.market_state(r, "bucket", "ret", {"view": "view"}, "venue"), 6, "breadth", "mean", "median", "dispersion", "p10", "p90", "view")
 
 
-NET = "t as (select p_brand as brand, p_type as kind, l_orderkey * 10 + l_linenumber as id, l_shipdate as ts, l_suppkey as supplier, round(l_discount - 0.05 + l_tax / 10, 4) as net from lineitem join part on p_partkey = l_partkey)"
+NET = "t as (select p_brand as brand, p_type as kind, ((l_orderkey * 10 + l_linenumber) * 100000 + l_partkey) * 10000 + l_suppkey as id, l_shipdate as ts, l_suppkey as supplier, round(l_discount - 0.05 + l_tax / 10, 4) as net from lineitem join part on p_partkey = l_partkey)"
 
 
 def trades(spark, sf_dir):
     """Line items as trades: discount and tax as a signed return."""
     items = read(spark, sf_dir, "lineitem").join(read(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
     return items.select(
-        F.col("p_brand").alias("brand"), F.col("p_type").alias("kind"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"), F.col("l_shipdate").alias("ts"), F.col("l_suppkey").alias("supplier"),
+        F.col("p_brand").alias("brand"), F.col("p_type").alias("kind"), (((F.col("l_orderkey") * 10 + F.col("l_linenumber")) * 100_000 + F.col("l_partkey")) * 10_000 + F.col("l_suppkey")).alias("id"), F.col("l_shipdate").alias("ts"), F.col("l_suppkey").alias("supplier"),
         F.round(F.col("l_discount") - 0.05 + F.col("l_tax") / 10, 4).alias("net"),
     )
 
