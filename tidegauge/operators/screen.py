@@ -9,6 +9,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from tidegauge.operators.metrics import z_of
 
@@ -125,7 +126,7 @@ def tail_screen(features: DataFrame, outcomes: DataFrame, config: ScreenConfig,
     return tests.withColumns({"worst_loss_ratio": ratio, "passes": F.coalesce(passes, F.lit(False)), "p": one_sided_p("z")})
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def _half_erfc(z: pd.Series) -> pd.Series:
     from math import erfc, sqrt
 
