@@ -1,7 +1,7 @@
 """Substring deduplication by sliding sentence spans.
 
 Texts are read as sentences: stretches up to a mark that ends a sentence or clause, or a newline; long stretches are cut
-further after words chosen by their hash, so that a passage is cut alike wherever it stands. Every run of ``span``
+further after words chosen by their last character, so that a passage is cut alike wherever it stands. Every run of ``span``
 consecutive sentences is hashed. The runs of all documents meet by hash; a run that an earlier document has, or the same
 document at an earlier place, is repeated, and sentences that a repeated run covers are removed.
 """
@@ -9,7 +9,6 @@ document at an earlier place, is repeated, and sentences that a repeated run cov
 from __future__ import annotations
 
 import re
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,72 +22,88 @@ from tidegauge.llm.common import materialize
 SPAN = 4
 #: Runs of fewer words are no evidence of copying; they take in further sentences.
 MIN_WORDS = 10
-#: A sentence of more words is cut after words chosen by their hash.
+#: A sentence of more words is cut after words chosen by their last character.
 LONG = 10
+#: Characters of text whose runs are computed together.
+TOGETHER = 4_000_000
 #: One sentence and the white space after it.
-SENTENCE = re.compile(r"[^\n.!?,;:]*(?:[.!?,;:]+(?![\s])[^\n.!?,;:]*)*(?:[.!?,;:]+\s+|[.!?,;:]*\s*\n\s*|[.!?,;:]*\Z)")
-WORD = re.compile(r"\S+\s*")
-
-
-def _cut_word(word: str) -> bool:
-    return zlib.crc32(word.strip().encode("utf-8", "replace")) % 4 == 0
-
-
-def sentences(text: str) -> list[tuple[int, int]]:
-    """(start, end) of the sentences in order; together they are the whole text."""
-    out = []
-    for m in SENTENCE.finditer(text):
-        start, end = m.span()
-        if start == end:
-            continue
-        if end - start > 4 * LONG and m[0].count(" ") >= LONG:
-            at = start
-            for k, w in enumerate(WORD.finditer(text, start, end)):
-                # the count starts anew at each cut, so that cuts in copies meet again after a few words
-                if w.end() < end and _cut_word(w[0]):
-                    out.append((at, w.end()))
-                    at = w.end()
-            out.append((at, end))
-        else:
-            out.append((start, end))
+SENTENCE = re.compile(r"[^\n.!?,;:]*(?:[.!?,;:]+(?!\s)[^\n.!?,;:]*)*(?:[.!?,;:]+\s+|[.!?,;:]*\s*\n\s*|[.!?,;:]*\Z)")
+#: A stretch up to a word whose last character's code leaves 4 when divided by 8.
+STRETCH = re.compile("(?s).+?(?:[" + re.escape("".join(chr(c) for c in range(36, 0x250, 8) if not chr(c).isspace())) + r"]\s+|\Z)")
+
+
+def sentences(text: str) -> list[str]:
+    """The sentences in order, each with the white space after it; together they are the whole text."""
+    out: list[str] = []
+    for part in SENTENCE.findall(text):
+        if len(part) > 4 * LONG and part.count(" ") >= LONG:
+            out += STRETCH.findall(part)
+        elif part:
+            out.append(part)
     return out
 
 
 _BASE = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F], np.uint64)
 _BACK = np.array([pow(int(b), -1, 1 << 64) for b in _BASE], np.uint64)
 _TWIST = np.array([0x165667B19E3779F9, 0x27D4EB2F165667C5], np.uint64)
+_POWERS: dict[str, np.ndarray] = {}
+
+
+def _powers(name: str, base: np.ndarray, n: int) -> np.ndarray:
+    """base**0 .. base**n modulo 2**64, remembered."""
+    if name not in _POWERS or len(_POWERS[name]) <= n:
+        steps = np.broadcast_to(base, (2 * n + 64, 2))
+        _POWERS[name] = np.cumprod(np.concatenate([np.ones((1, 2), np.uint64), steps]), axis=0, dtype=np.uint64)
+    return _POWERS[name]
 
 
 class Runs:
-    """A text's sentences, which of them have words, and its runs: first and last sentence (of those with words) and
-    128-bit hash. A run has ``span`` sentences, and more where those have fewer than ``min_words`` words."""
-
-    def __init__(self, text: str, span: int, min_words: int):
-        self.cuts = sentences(text)
-        self.solid, hashes, words = [], [], [0]
-        for k, (a, b) in enumerate(self.cuts):
-            parts = text[a:b].split()
-            if parts:  # white space alone is no sentence
-                self.solid.append(k)
-                words.append(len(parts))
-                hashes.append(xxhash.xxh3_64_intdigest(" ".join(parts)))
-        n = len(self.solid)
-        before = np.cumsum(words)
-        start = np.arange(max(0, n - span + 1))
+    """Sentences of several texts and their runs. A run has ``span`` sentences, and more where those have fewer than
+    ``min_words`` words; it ends within its text. Of each run: the number of its text, the places of its first and
+    after its last sentence in the text, a 128-bit hash, and whether it is the first of its hash in its text.
+    Sentences are compared without the white space around them; white space alone is part of the sentence before."""
+
+    def __init__(self, texts: list[str], span: int, min_words: int):
+        self.sentences = [sentences(t) for t in texts]
+        sizes = np.fromiter(map(len, self.sentences), np.int64, len(texts))
+        n = int(sizes.sum())
+        flat = [x for own in self.sentences for x in own]
+        hashes = np.fromiter((xxhash.xxh3_64_intdigest(x.strip()) for x in flat), np.uint64, n)
+        words = np.fromiter((x.count(" ") + 1 for x in flat), np.int64, n)
+        text = np.repeat(np.arange(len(texts)), sizes)
+        stop = np.cumsum(sizes)
+        before = np.concatenate([[0], np.cumsum(words)])
+        start = np.arange(n)
         end = np.maximum(start + span, np.searchsorted(before, before[start] + min_words))
-        fits = end <= n
-        self.start, self.end = start[fits], end[fits]
+        fits = end <= stop[text] if n else np.zeros(0, bool)
+        start, end, text = start[fits], end[fits], text[fits]
         # polynomial of the sentences' hashes over each prefix; a run's is a difference of two, moved back to power 0
-        one = np.array(hashes, np.uint64)[:, None] * _TWIST
+        one = hashes[:, None] * _TWIST
         one ^= one >> np.uint64(31)
-        power, back = (np.cumprod(np.concatenate([np.ones((1, 2), np.uint64), np.broadcast_to(x, (n, 2))]), axis=0, dtype=np.uint64) for x in (_BASE, _BACK))
+        power, back = _powers("on", _BASE, n), _powers("back", _BACK, n)
         total = np.concatenate([np.zeros((1, 2), np.uint64), np.cumsum(one * power[:n], axis=0, dtype=np.uint64)])
-        found = (total[self.end] - total[self.start]) * back[self.start] + (self.end - self.start).astype(np.uint64)[:, None]
+        found = (total[end] - total[start]) * back[start] + (end - start).astype(np.uint64)[:, None]
         found ^= found >> np.uint64(32)
         self.hashes = (found * _TWIST).view(np.int64)
-        self.first = np.zeros(len(found), bool)
-        if len(found):
-            self.first[np.unique(self.hashes[:, 0], return_index=True)[1]] = True
+        begin = (stop - sizes)[text]
+        self.text, self.start, self.end = text, start - begin, end - begin
+        self.first = np.zeros(len(text), bool)
+        if len(text):
+            order = np.lexsort((start, self.hashes[:, 0], text))
+            h, t = self.hashes[order, 0], text[order]
+            self.first[order] = np.concatenate([[True], (h[1:] != h[:-1]) | (t[1:] != t[:-1])])
+
+
+def _together(texts: pd.Series) -> Iterator[slice]:
+    """Slices of the texts of some TOGETHER characters each."""
+    at = size = 0
+    for i, t in enumerate(texts):
+        size += len(t or "")
+        if size >= TOGETHER:
+            yield slice(at, i + 1)
+            at, size = i + 1, 0
+    if at < len(texts):
+        yield slice(at, len(texts))
 
 
 def spans(docs: DataFrame, span: int, min_words: int) -> DataFrame:
@@ -97,30 +112,32 @@ def spans(docs: DataFrame, span: int, min_words: int) -> DataFrame:
 
     def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            ids, ats, found = [], [], []
-            for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
-                own = Runs(text or "", span, min_words)
-                ids.append(np.full(int(own.first.sum()), doc_id, np.int64))
-                ats.append(own.start[own.first])
-                found.append(own.hashes[own.first])
-            if ids:
-                both = np.concatenate(found)
-                yield pd.DataFrame({"doc_id": np.concatenate(ids), "at": np.concatenate(ats).astype(np.int32), "a": both[:, 0], "b": both[:, 1]})
+            ids = batch["doc_id"].to_numpy()
+            for part in _together(batch["text"]):
+                own = Runs([t or "" for t in batch["text"].iloc[part]], span, min_words)
+                f = own.first
+                yield pd.DataFrame({"doc_id": ids[part][own.text[f]], "at": own.start[f].astype(np.int32), "a": own.hashes[f, 0], "b": own.hashes[f, 1]})
 
     return docs.where("doc_id is not null").select(F.col("doc_id").cast("long"), F.col("text").cast("string").alias("text")).mapInPandas(emit, schema)
 
 
-def remove_repeats(text: str, repeated: set[int], span: int, min_words: int) -> tuple[str, int, int]:
-    """The text without the sentences of the runs at the places ``repeated`` and of those that the text itself repeats;
-    the number of sentences and of those removed."""
-    own = Runs(text, span, min_words)
-    gone: set[int] = set()
-    for start, end, first in zip(own.start.tolist(), own.end.tolist(), own.first.tolist(), strict=True):
-        if not first or start in repeated:
-            gone.update(own.solid[start:end])
-    if not gone:
-        return text, len(own.solid), 0
-    return "".join(text[a:b] for k, (a, b) in enumerate(own.cuts) if k not in gone), len(own.solid), len(gone)
+def remove_repeats(texts: list[str], repeated: list[set[int]], span: int, min_words: int) -> list[tuple[str, int, int]]:
+    """Each text without the sentences of the runs at its places ``repeated`` and of those that it repeats itself, the
+    number of its sentences and of those removed."""
+    own = Runs(texts, span, min_words)
+    hit = np.array([bool(r) for r in repeated], bool)
+    chosen = ~own.first | hit[own.text] if len(own.text) else np.zeros(0, bool)
+    gone: dict[int, set[int]] = {}
+    for text, start, end, first in zip(*(x[chosen].tolist() for x in (own.text, own.start, own.end, own.first)), strict=True):
+        if not first or start in repeated[text]:
+            gone.setdefault(text, set()).update(range(start, end))
+    out = []
+    for i, text in enumerate(texts):
+        parts, removed = own.sentences[i], gone.get(i)
+        if removed:
+            text = "".join(x for k, x in enumerate(parts) if k not in removed)
+        out.append((text, len(parts), len(removed or ())))
+    return out
 
 
 def substring_dedup(docs: DataFrame, span: int = SPAN, min_words: int = MIN_WORDS) -> DataFrame:
@@ -139,7 +156,10 @@ def substring_dedup(docs: DataFrame, span: int = SPAN, min_words: int = MIN_WORD
     @F.pandas_udf("text string, n_sentences long, n_removed long")
     def cleaned(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         for texts, places in batches:
-            rows = [remove_repeats(t or "", set() if p is None else set(p.tolist()), span, min_words) for t, p in zip(texts, places, strict=True)]
+            rows = []
+            for part in _together(texts):
+                repeated = [set() if p is None else set(p.tolist()) for p in places.iloc[part]]
+                rows += remove_repeats([t or "" for t in texts.iloc[part]], repeated, span, min_words)
             yield pd.DataFrame(rows, columns=["text", "n_sentences", "n_removed"])
 
     base = docs.drop("n_sentences", "n_removed")
