@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -11,26 +14,28 @@ from tidegauge.functions.time import shift
 def greedy(df: DataFrame, by: list[str], start: str, end: Column, tie: str) -> DataFrame:
     """Events that start at or after the end of the last accepted one of their key, in order of (start, tie).
 
-    The fold runs inside the JVM over each key's sorted (start, end, tie); the events' other columns are joined back, so
-    a key's array holds three numbers a row. Events with a null start or end are left out and block nothing. Put a
+    Each key's rows are sorted and stream through one fold that holds the last end only, so a key of any size takes
+    constant memory; keys run side by side. Events with a null start or end are left out and block nothing. Put a
     session or a day into ``by`` where the rule starts anew there.
     """
     micros = lambda c: F.timestamp_diff("MICROSECOND", F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'"), c)
     solid = df.withColumns({"_s": micros(F.col(start)), "_e": micros(end)}).where("_s is not null and _e is not null")
-    listed = solid.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("_s", F.col(tie).alias("_i"), "_e"))).alias("_l"))
-    empty = F.struct(F.lit(-(1 << 62)).cast("long").alias("last"), F.array().cast("array<bigint>").alias("kept"))
-    fold = F.aggregate(
-        "_l",
-        empty,
-        lambda a, x: F.when(x["_s"] >= a["last"], F.struct(x["_e"].alias("last"), F.concat(a["kept"], F.array(x["_i"].cast("long"))).alias("kept"))).otherwise(a),
-        lambda a: a["kept"],
-    )
-    accepted = listed.select(*by, F.explode(fold).alias("_k"))
-    keys = accepted.select(*(F.col(b).alias(f"_b{i}") for i, b in enumerate(by)), "_k")
-    condition = solid[tie].cast("long") == keys["_k"]
-    for i, b in enumerate(by):
-        condition = condition & solid[b].eqNullSafe(keys[f"_b{i}"])
-    return solid.join(keys, condition, "left_semi").drop("_s", "_e")
+    ordered = solid.repartition(*by).sortWithinPartitions(*by, "_s", tie)
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, last = None, 0
+        for batch in batches:
+            kept = []
+            rows = zip(*(batch.column(c).to_pylist() for c in (*by, "_s", "_e")), strict=True)
+            for *key, begins, ends in rows:
+                fresh = key != current
+                accepted = fresh or begins >= last
+                if accepted:
+                    current, last = key, ends
+                kept.append(accepted)
+            yield batch.filter(pa.array(kept, pa.bool_()))
+
+    return ordered.mapInArrow(fold, ordered.schema).drop("_s", "_e")
 
 
 def cooldown(df: DataFrame, by: list[str], seconds: int, ts: str = "ts", tie: str = "id") -> DataFrame:

@@ -127,14 +127,14 @@ def band_sum(spark, sf_dir):
 
 @query(
     "J10_paths",
-    f"""with {HOURLY}, e as (select row_number() over (order by venue, bucket) as id, venue, bucket, close from bars where hour(bucket) = 0),
+    f"""with {HOURLY}, e as (select venue || '/' || strftime(bucket, '%Y-%m-%d %H:%M:%S') as id, venue, bucket, close from bars where hour(bucket) = 0),
 p as (select e.id, e.close as c0, unnest(range(5)) as k, e.venue, e.bucket from e)
 select p.id, count(b.close) as points, case when count(b.close) = 5 then round(min(1 - b.close / c0), 6) end as mae, case when count(b.close) = 5 then round(max(1 - b.close / c0), 6) end as mfe
   from p left join bars b on b.venue = p.venue and b.bucket = p.bucket + to_hours(p.k) group by p.id""",
 )
 def paths(spark, sf_dir):
     bars = hourly(spark, sf_dir).select("venue", F.col("bucket").alias("ts"), "close")
-    e = bars.where(F.hour("ts") == 0).withColumn("id", F.row_number().over(Window.orderBy("venue", "ts")).cast("long"))
+    e = bars.where(F.hour("ts") == 0).withColumn("id", F.concat_ws("/", "venue", F.col("ts").cast("string")))
     trades = e.select("id", "venue", F.col("close").alias("entry_price"), F.col("ts").alias("entry_ts"), T.shift("ts", 4 * 3600).alias("exit_ts"))
     return rounded(X.excursions(trades, bars, ["venue"], 3600).select("id", "points", "mae", "mfe"), 6, "mae", "mfe")
 
