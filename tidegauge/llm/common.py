@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -57,3 +58,32 @@ def squeeze(text: Column) -> Column:
 
 def words(text: Column) -> Column:
     return F.filter(F.split(text, f"{SPACE_CLASS}+"), lambda w: w != "")
+
+
+class Remembered(dict):
+    """Values of a function by its argument; emptied when it has ``most``. Arguments of over 64 characters aren't kept."""
+
+    def __init__(self, f: Callable, most: int):
+        super().__init__()
+        self.f, self.most = f, most
+
+    def __missing__(self, key):
+        value = self.f(key)
+        if len(key) <= 64:
+            if len(self) >= self.most:
+                self.clear()
+            self[key] = value
+        return value
+
+
+_RELEASE: dict[str, Callable[[], None]] = {}
+
+
+def claim(owner: str, release: Callable[[], None]) -> None:
+    """Let go of what other operators remember in this Python worker, which tasks of one operator after another share.
+
+    Operators let go at the end of a task themselves; a task that was stopped doesn't come to that.
+    """
+    for other in [k for k in _RELEASE if k != owner]:
+        _RELEASE.pop(other)()
+    _RELEASE[owner] = release

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidegauge.llm.common import materialize, squeeze, text_of
+from tidegauge.llm.common import claim, materialize, squeeze, text_of
 
 #: Two primes below 2**31 and the bases of their polynomials.
 MODULI = (2147483647, 2147483629)
@@ -52,6 +52,7 @@ def hash_chunk(data: bytes, moduli: tuple[int, int], powers: list[np.ndarray]) -
 def _hasher(moduli: tuple[int, int]):
     @F.pandas_udf(PART)
     def hashed(chunks: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        claim("chunks", lambda: None)
         powers = [_powers(b, m, 4 * CHUNK) for b, m in zip(BASES, moduli, strict=True)]
         for batch in chunks:
             rows = [hash_chunk(x.encode(), moduli, powers) for x in batch]

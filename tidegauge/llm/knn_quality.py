@@ -19,12 +19,14 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidegauge.llm.common import Remembered, claim
+
 #: Labelled rows that the classifier is fitted on at most, half of them of either label where there are enough.
 SAMPLE = 4096
 #: Hashed words, hashed shapes, habits; singular directions; neighbours that vote.
 WORDS, SHAPES, HABITS, DIMENSIONS, NEIGHBOURS = 512, 256, 96, 48, 25
 SIZE = WORDS + SHAPES + HABITS
-REMEMBERED = 400_000
+REMEMBERED = 250_000
 #: Documents in a block of the product.
 BLOCK = 512
 
@@ -37,19 +39,12 @@ def shape(word: str) -> str:
     return _RUN.sub(r"\1", out)
 
 
-class _Places(dict):
-    """Word -> its place among words * SHAPES + its place among shapes."""
-
-    def __missing__(self, word: str) -> int:
-        at = zlib.crc32(word.encode()) % WORDS * SHAPES + zlib.crc32(shape(word[:200]).encode()) % SHAPES
-        if len(word) <= 64:
-            if len(self) >= REMEMBERED:
-                self.clear()
-            self[word] = at
-        return at
+def _place(word: str) -> int:
+    """The word's place among words * SHAPES + its place among shapes."""
+    return zlib.crc32(word.encode()) % WORDS * SHAPES + zlib.crc32(shape(word[:200]).encode()) % SHAPES
 
 
-_PLACES = _Places()
+_PLACES = Remembered(_place, REMEMBERED)
 
 
 def _step(share: float, n: int) -> int:
@@ -157,8 +152,10 @@ def sample(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> tuple[np.n
 
     @F.pandas_udf("binary")
     def counted(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        claim("places", _PLACES.clear)
         for texts in batches:
             yield pd.Series([count_vector(x or "").astype(np.float16).tobytes() for x in texts])
+        _PLACES.clear()
 
     found = docs.join(F.broadcast(chosen), docs["doc_id"] == chosen["_id"]).select("doc_id", "_y", counted(F.col("text").cast("string")).alias("_v"))
     got = sorted(found.dropDuplicates(["doc_id"]).collect(), key=lambda r: r["doc_id"])  # at most size vectors of 2 * SIZE bytes
@@ -175,19 +172,21 @@ def _score(fitted: Neighbours, docs: DataFrame) -> Column:
 
     @F.pandas_udf("double")
     def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        claim("places", _PLACES.clear)
         own = held.value
         for texts in batches:
             parts = []
             for at in range(0, len(texts), BLOCK):
                 parts.append(own.score(np.stack([count_vector(x or "") for x in texts.iloc[at : at + BLOCK]])))
             yield pd.Series(np.concatenate(parts) if parts else np.zeros(0))
+        _PLACES.clear()
 
     return scored(F.col("text").cast("string"))
 
 
 def accepted(docs: DataFrame, fitted: Neighbours) -> DataFrame:
     """The rows of docs with a score of 0.5 at least, with all their columns."""
-    return docs.withColumn("_score", _score(fitted, docs)).where("_score >= 0.5").drop("_score")
+    return docs.where(_score(fitted, docs) >= 0.5)
 
 
 def knn_quality(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> DataFrame:

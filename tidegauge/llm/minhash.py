@@ -25,29 +25,19 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegauge.llm.common import materialize
+from tidegauge.llm.common import Remembered, claim, materialize
 from tidegauge.llm.components import components
 
 PERMUTATIONS, BANDS, ROWS = 80, 32, 5
 #: Shingles in a block of step 3, and those hashed at once.
 BLOCK, STRIP = 250_000, 8_192
-REMEMBERED = 400_000
+REMEMBERED = 250_000
 
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63, 0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53)]
 _MULTIPLIERS = np.random.default_rng(20).integers(1, 2**63, PERMUTATIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-class _Hashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        value = xxhash.xxh64_intdigest(word)
-        if len(word) <= 64:
-            if len(self) >= REMEMBERED:
-                self.clear()
-            self[word] = value
-        return value
-
-
-_HASHES = _Hashes()
+_HASHES = Remembered(xxhash.xxh64_intdigest, REMEMBERED)
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -102,6 +92,7 @@ def _signed(x: int) -> int:
 def _features(k: int):
     @F.pandas_udf("n long, a long, b long, bands array<long>")
     def measured(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        claim("shingles", _HASHES.clear)
         for texts in batches:
             rows = []
             for text in texts:
@@ -109,6 +100,7 @@ def _features(k: int):
                 digest = xxhash.xxh3_128_intdigest(found.tobytes())
                 rows.append((len(found), _signed(digest >> 64), _signed(digest & (1 << 64) - 1), bands(found) if len(found) else []))
             yield pd.DataFrame(rows, columns=["n", "a", "b", "bands"])
+        _HASHES.clear()
 
     return measured
 
@@ -116,8 +108,10 @@ def _features(k: int):
 def _sets(k: int):
     @F.pandas_udf("binary")
     def made(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        claim("shingles", _HASHES.clear)
         for texts in batches:
             yield pd.Series([shingles(text or "", k).tobytes() for text in texts])
+        _HASHES.clear()
 
     return made
 

@@ -23,25 +23,11 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidegauge.llm.common import Remembered, claim
+
 MARK = "▁"
 #: Segments and pairs of pieces remembered by each Python worker.
-REMEMBERED = 600_000
-
-
-class _Remembered(dict):
-    """Values of a function by its argument; emptied when full. Arguments of over 64 characters aren't kept."""
-
-    def __init__(self, f):
-        super().__init__()
-        self.f = f
-
-    def __missing__(self, key: str) -> bytes:
-        value = self.f(key)
-        if len(key) <= 64:
-            if len(self) >= REMEMBERED:
-                self.clear()
-            self[key] = value
-        return value
+REMEMBERED = 400_000
 
 
 class PieceCodec:
@@ -70,8 +56,8 @@ class PieceCodec:
         self.is_byte = np.array([sp.is_byte(i) for i in range(n)])
         self.starts_with_mark = [sp.id_to_piece(i).startswith(MARK) for i in range(n)]
         self.automaton = self._automaton()
-        self.known = _Remembered(self.segment)
-        self.worded = _Remembered(lambda word: self.segment(MARK + word))
+        self.known = Remembered(self.segment, REMEMBERED)
+        self.worded = Remembered(lambda word: self.segment(MARK + word), REMEMBERED)
         self.pairs: dict[tuple[str, str], bool] = {}
         self.border = re.compile(f"(?<=[^{MARK}])(?={MARK})")
 
@@ -177,6 +163,10 @@ class PieceCodec:
             body = b"".join(map(self.worded.__getitem__, text.split(" ")))
         return struct.pack("<I", self.begin) + body + struct.pack("<I", self.end)
 
+    def forget(self) -> None:
+        for held in (self.known, self.worded, self.pairs):
+            held.clear()
+
     def decode(self, ids: np.ndarray) -> str:
         """The text of the ids: pieces and bytes joined, space marks as spaces, without the space added in front."""
         listed = ids.tolist()
@@ -208,6 +198,7 @@ def piece_codec(docs: DataFrame, model: str) -> DataFrame:
 
     @F.pandas_udf("n_tokens long, ids_sha256 string, decoded_sha256 string")
     def coded(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        claim("codec", _CODECS.clear)
         own = codec(model)
         for texts in batches:
             rows = []
@@ -216,5 +207,6 @@ def piece_codec(docs: DataFrame, model: str) -> DataFrame:
                 decoded = own.decode(np.frombuffer(ids, "<u4"))
                 rows.append((len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest()))
             yield pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
+        own.forget()
 
     return docs.select("doc_id", coded(F.col("text").cast("string")).alias("_c")).select("doc_id", "_c.*")

@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegauge.llm.common import materialize
+from tidegauge.llm.common import claim, materialize
 
 SPAN = 4
 #: Runs of fewer words are no evidence of copying; they take in further sentences.
@@ -111,6 +111,7 @@ def spans(docs: DataFrame, span: int, min_words: int) -> DataFrame:
     schema = "doc_id long, at int, a long, b long"
 
     def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        claim("runs", _POWERS.clear)
         for batch in batches:
             ids = batch["doc_id"].to_numpy()
             for part in _together(batch["text"]):
@@ -155,6 +156,7 @@ def substring_dedup(docs: DataFrame, span: int = SPAN, min_words: int = MIN_WORD
 
     @F.pandas_udf("text string, n_sentences long, n_removed long")
     def cleaned(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        claim("runs", _POWERS.clear)
         for texts, places in batches:
             rows = []
             for part in _together(texts):
