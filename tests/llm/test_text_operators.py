@@ -351,6 +351,11 @@ def test_html_pages(spark):
     assert got[0]["n_chars"] == len(got[0]["text"]) and [r["text"] for r in got[1:4]] == ["", "", ""] and got[4] == got[0]
 
 
+def test_empty_pages(spark):
+    none = spark.createDataFrame([], "page_id long, url string, html string")
+    assert html_text.html_text(none).count() == 0 and url_filter.url_filter(none, entry.URL_RULES).count() == 0
+
+
 def test_viterbi_equals_enumeration():
     from itertools import product
 
