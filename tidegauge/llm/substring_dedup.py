@@ -107,8 +107,8 @@ def _together(texts: pd.Series) -> Iterator[slice]:
 
 
 def spans(docs: DataFrame, span: int, min_words: int) -> DataFrame:
-    """doc_id, at, a, b: the runs of every text, once for each hash and text."""
-    schema = "doc_id long, at int, a long, b long"
+    """doc_id, at, a, b: the runs of every text, once for each hash (of which 96 bits are kept) and text."""
+    schema = "doc_id long, at int, a long, b int"
 
     def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         claim("runs", _POWERS.clear)
@@ -117,7 +117,7 @@ def spans(docs: DataFrame, span: int, min_words: int) -> DataFrame:
             for part in _together(batch["text"]):
                 own = Runs([t or "" for t in batch["text"].iloc[part]], span, min_words)
                 f = own.first
-                yield pd.DataFrame({"doc_id": ids[part][own.text[f]], "at": own.start[f].astype(np.int32), "a": own.hashes[f, 0], "b": own.hashes[f, 1]})
+                yield pd.DataFrame({"doc_id": ids[part][own.text[f]], "at": own.start[f].astype(np.int32), "a": own.hashes[f, 0], "b": (own.hashes[f, 1] >> 32).astype(np.int32)})
 
     return docs.where("doc_id is not null").select(F.col("doc_id").cast("long"), F.col("text").cast("string").alias("text")).mapInPandas(emit, schema)
 
