@@ -42,7 +42,7 @@ def line_dedup(docs: DataFrame, host: str = "source", ratio: float = RATIO, min_
     their white space. Hosts with fewer than ``min_pages`` pages lose nothing.
     """
     bad = materialize(boilerplate(docs, host, ratio, min_pages), "boilerplate")
-    base = docs.select("doc_id", F.col(host).alias("_host"), F.split(text_of(), "\n").alias("_lines")).withColumn("_row", F.monotonically_increasing_id())
+    base = docs.select("doc_id", F.col(host).alias("_host"), F.split(text_of(), "\n").alias("_lines"))
     per_host = bad.groupBy("_host").agg(F.collect_set(F.struct("a", "b")).alias("_bad"))
     if bad.count() <= BROADCAST_ROWS:
         per_host = F.broadcast(per_host)
