@@ -94,19 +94,12 @@ def fingerprints(docs: DataFrame, moduli: tuple[int, int] = MODULI, huge: int =
         "doc_id", squeeze(F.col("_t")).alias("_n"), F.length("_t").cast("long").alias("n_chars")
     )
     facts = [F.length("_n").cast("long").alias("norm_chars"), "n_chars", F.sha2("_n", 256).alias("text_sha256")]
-    small = (
-        base.where(F.length("_n") <= CHUNK)
-        .select("doc_id", *facts, hashed("_n").alias("_f"))
-    )
-    large = (
-        base.where((F.length("_n") > CHUNK) & (F.length("_n") <= huge))
-        .select("doc_id", *facts, F.monotonically_increasing_id().alias("_row"), F.posexplode(_chunks(F.col("_n"))).alias("_k", "_c"))
-    )
-    spread = (
-        base.where(F.length("_n") > huge)
-        .select("doc_id", *facts, F.monotonically_increasing_id().alias("_row"), F.posexplode(_chunks(F.col("_n"))).alias("_k", "_c"))
-        .repartition("_row", "_k")
-    )
+    small = base.where(F.length("_n") <= CHUNK).select("doc_id", *facts, hashed("_n").alias("_f"))
+    # the row's number is set before its chunks are listed, so that they share it
+    numbered = base.where(F.length("_n") > CHUNK).withColumn("_row", F.monotonically_increasing_id())
+    cut = numbered.select("doc_id", *facts, "_row", F.posexplode(_chunks(F.col("_n"))).alias("_k", "_c"))
+    large = cut.where(F.col("norm_chars") <= huge)
+    spread = cut.where(F.col("norm_chars") > huge).repartition("_row", "_k")
     joined = [
         x.withColumn("_f", hashed("_c"))
         .groupBy("_row", "doc_id", "norm_chars", "n_chars", "text_sha256")
