@@ -226,6 +226,49 @@ def test_sentences_are_the_whole_text():
         assert "".join(substring_dedup.sentences(t)) == t
 
 
+def repeated_words(a, b, n):
+    """Word-level brute force: the places in b's words of the runs of n words that a has too."""
+    have = {tuple(a[i : i + n]) for i in range(len(a) - n + 1)}
+    return {k for i in range(len(b) - n + 1) if tuple(b[i : i + n]) in have for k in range(i, i + n)}
+
+
+SCRIPTS = {
+    "en": ("the of and to in said which would time people other", "abcdefghilmnoprstuwy"),
+    "es": ("el la de que y en los se por una como", "abcdeilmnorsáéíóñ"),
+    "fr": ("le la de et les des que une dans pour qui", "abceilmnoprsuéèàç"),
+    "de": ("der die und in den von zu das mit sich auf", "abdeghiklmnrstuäöüß"),
+    "greek": ("και το να του η της με που την", "αβγδεικλμνοπρστ"),
+    "cyrillic": ("и в не на я что тот быть с", "абвгдеиклмнорст"),
+    "arabic": ("في من على إلى أن هذا التي", "ابتجدرسعلمنهوي"),
+    "devanagari": ("के है में की से को और", "कखगतदनपमयरलसह"),
+}
+
+
+@pytest.mark.parametrize("script", sorted(SCRIPTS))
+@pytest.mark.parametrize("marks", [0, 0.04, 0.1, 0.3])
+def test_planted_passages_are_found_in_every_script(script, marks):
+    draw = random.Random(f"{script}/{marks}")
+    common, letters = SCRIPTS[script]
+    common = common.split()
+    word = lambda: draw.choice(common) if draw.random() < 0.4 else "".join(draw.choice(letters) for _ in range(draw.randint(2, 9)))
+    words = lambda n: [word() + (draw.choice(".,;") if draw.random() < marks else "") for _ in range(n)]
+    for _ in range(200):
+        shared = words(51)
+        a, b = (words(draw.randint(5, 40)) + shared + words(draw.randint(5, 40)) for _ in range(2))
+        second = "".join(w + draw.choice([" ", " ", " ", "  ", "\t", "\u00a0"]) for w in b)
+        own = substring_dedup.Runs([" ".join(a), second], substring_dedup.SPAN, substring_dedup.MIN_WORDS)
+        h = own.hashes.tolist()
+        first = {tuple(x) for x, t in zip(h, own.text, strict=True) if t == 0}
+        places = {int(p) for x, t, p in zip(h, own.text, own.start, strict=True) if t == 1 and tuple(x) in first}
+        left = substring_dedup.remove_repeats([" ".join(a), second], [set(), places], substring_dedup.SPAN, substring_dedup.MIN_WORDS)[1][0].split()
+        expected = repeated_words(a, b, 51)
+        assert expected
+        # at least ten words of the passage go and none outside of it, but for what the brute force finds in shorter runs
+        assert len(b) - len(left) >= 10
+        wider = repeated_words(a, b, substring_dedup.MIN_WORDS)
+        assert len(b) - len(left) <= len(wider)
+
+
 # ---- codec, packing ----------------------------------------------------------------------------------------------------------
 
 

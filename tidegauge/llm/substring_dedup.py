@@ -1,7 +1,8 @@
 """Substring deduplication by sliding sentence spans.
 
 Texts are read as sentences: stretches up to a mark that ends a sentence or clause, or a newline; long stretches are cut
-further after words chosen by their last character, so that a passage is cut alike wherever it stands. Every run of ``span``
+further after the word of least hash in every WINDOW words in a row, so that a passage is cut alike wherever it stands and
+no piece is long in any language. Every run of ``span``
 consecutive sentences is hashed. The runs of all documents meet by hash; a run that an earlier document has, or the same
 document at an earlier place, is repeated, and sentences that a repeated run covers are removed.
 """
@@ -10,6 +11,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -17,32 +19,56 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegauge.llm.common import claim, materialize
+from tidegauge.llm.common import Remembered, claim, materialize
 
 SPAN = 4
 #: Runs of fewer words are no evidence of copying; they take in further sentences.
 MIN_WORDS = 10
-#: A sentence of more words is cut after words chosen by their last character.
-LONG = 10
+#: A sentence of more words is cut after chosen words: the one of least hash in each WINDOW words in a row. Any passage of
+#: 51 words then has SPAN whole pieces that are cut alike in all its copies, however its words and marks fall.
+LONG, WINDOW = 10, 6
 #: Characters of text whose runs are computed together.
 TOGETHER = 4_000_000
-#: One sentence and the white space after it.
-SENTENCE = re.compile(r"[^\n.!?,;:]*(?:[.!?,;:]+(?!\s)[^\n.!?,;:]*)*(?:[.!?,;:]+\s+|[.!?,;:]*\s*\n\s*|[.!?,;:]*\Z)")
-#: A stretch up to a word whose last character's code leaves 4 when divided by 8.
-STRETCH = re.compile("(?s).+?(?:[" + re.escape("".join(chr(c) for c in range(36, 0x250, 8) if not chr(c).isspace())) + r"]\s+|\Z)")
+#: One word and the white space after it; the first has the white space before it too.
+WORD = re.compile(r"\s*\S+\s*")
+MARKS = frozenset(".!?,;:")
+REMEMBERED = 200_000
 
 
-def sentences(text: str) -> list[str]:
-    """The sentences in order, each with the white space after it; together they are the whole text."""
-    out: list[str] = []
-    for part in SENTENCE.findall(text):
-        if len(part) > 4 * LONG and part.count(" ") >= LONG:
-            out += STRETCH.findall(part)
-        elif part:
-            out.append(part)
+def _word(word: str) -> int:
+    """The hash of the word without its white space; its last bit says whether a sentence or clause ends after it."""
+    body = word.rstrip()
+    space = word[len(body) :]
+    ends = "\n" in space or (space != "" and body[-1:] in MARKS)
+    return xxhash.xxh3_64_intdigest(body.lstrip()) & ~1 | ends
+
+
+_WORDS = Remembered(_word, REMEMBERED)
+
+
+def _rolling(f: np.ufunc, x: np.ndarray, n: int) -> np.ndarray:
+    """f over each n values in a row."""
+    out = x[: len(x) - n + 1].copy()
+    for k in range(1, n):
+        f(out, x[k : k + len(out)], out=out)
     return out
 
 
+def _ends(codes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Whether a sentence ends after each word of texts of so many words."""
+    clause = (codes & np.uint64(1)).astype(bool)
+    clause[np.cumsum(sizes)[sizes > 0] - 1] = True
+    if len(codes) <= LONG:
+        return clause
+    length = np.diff(np.flatnonzero(clause), prepend=-1)
+    of = np.repeat(np.arange(len(length)), length)
+    order = codes | np.uint64(1)
+    least = _rolling(np.minimum, order, WINDOW)
+    least[of[WINDOW - 1 :] != of[: len(least)]] = 0  # no window reaches over the end of a clause
+    chosen = _rolling(np.maximum, np.pad(least, WINDOW - 1), WINDOW) == order
+    return clause | chosen & (length > LONG)[of]
+
+
 _BASE = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F], np.uint64)
 _BACK = np.array([pow(int(b), -1, 1 << 64) for b in _BASE], np.uint64)
 _TWIST = np.array([0x165667B19E3779F9, 0x27D4EB2F165667C5], np.uint64)
@@ -57,21 +83,54 @@ def _powers(name: str, base: np.ndarray, n: int) -> np.ndarray:
     return _POWERS[name]
 
 
+def _release() -> None:
+    _POWERS.clear()
+    _WORDS.clear()
+
+
+class Pieces:
+    """The sentences of several texts. Of all sentences: a hash of the words, whatever white space is between them, and
+    the number of words; of each text: the number of its sentences."""
+
+    def __init__(self, texts: list[str]):
+        self.words = [WORD.findall(t) or ([t] if t else []) for t in texts]
+        of_text = np.fromiter(map(len, self.words), np.int64, len(texts))
+        codes = np.fromiter(map(_WORDS.__getitem__, chain.from_iterable(self.words)), np.uint64, int(of_text.sum()))
+        after = np.flatnonzero(_ends(codes, of_text)) + 1
+        begin = after - np.diff(after, prepend=0)
+        self.n_words = after - begin
+        self.base = np.concatenate([[0], np.cumsum(of_text)])
+        self.stop = np.searchsorted(after, self.base[1:], "right")
+        self.sizes = np.diff(self.stop, prepend=0)
+        self.after = after
+        # the place in the sentence twists each word's hash, so that the order counts
+        place = np.arange(len(codes)) - np.repeat(begin, self.n_words)
+        mixed = (codes >> np.uint64(1)) * _powers("on", _BASE, int(self.n_words.max(initial=0)))[place, 0] * _TWIST[0]
+        mixed ^= mixed >> np.uint64(31)
+        self.hashes = np.add.reduceat(mixed * _TWIST[1], begin) if len(begin) else mixed
+
+    def of(self, i: int) -> list[str]:
+        """The sentences of text i in order, each with the white space after it; together they are the whole text."""
+        own = self.after[self.stop[i] - self.sizes[i] : self.stop[i]] - self.base[i]
+        return ["".join(self.words[i][a:b]) for a, b in zip([0, *own[:-1].tolist()], own.tolist(), strict=True)] if len(own) else []
+
+
+def sentences(text: str) -> list[str]:
+    """The sentences in order, each with the white space after it; together they are the whole text."""
+    return Pieces([text]).of(0)
+
+
 class Runs:
     """Sentences of several texts and their runs. A run has ``span`` sentences, and more where those have fewer than
     ``min_words`` words; it ends within its text. Of each run: the number of its text, the places of its first and
     after its last sentence in the text, a 128-bit hash, and whether it is the first of its hash in its text.
-    Sentences are compared without the white space around them; white space alone is part of the sentence before."""
+    Sentences are compared word by word; white space alone is part of the sentence before."""
 
     def __init__(self, texts: list[str], span: int, min_words: int):
-        self.sentences = [sentences(t) for t in texts]
-        sizes = np.fromiter(map(len, self.sentences), np.int64, len(texts))
-        n = int(sizes.sum())
-        flat = [x for own in self.sentences for x in own]
-        hashes = np.fromiter((xxhash.xxh3_64_intdigest(x.strip()) for x in flat), np.uint64, n)
-        words = np.fromiter((x.count(" ") + 1 for x in flat), np.int64, n)
+        self.pieces = Pieces(texts)
+        hashes, words, sizes, stop = self.pieces.hashes, self.pieces.n_words, self.pieces.sizes, self.pieces.stop
+        n = len(hashes)
         text = np.repeat(np.arange(len(texts)), sizes)
-        stop = np.cumsum(sizes)
         before = np.concatenate([[0], np.cumsum(words)])
         start = np.arange(n)
         end = np.maximum(start + span, np.searchsorted(before, before[start] + min_words))
@@ -93,6 +152,10 @@ class Runs:
             h, t = self.hashes[order, 0], text[order]
             self.first[order] = np.concatenate([[True], (h[1:] != h[:-1]) | (t[1:] != t[:-1])])
 
+    @property
+    def sentences(self) -> list[list[str]]:
+        return [self.pieces.of(i) for i in range(len(self.pieces.words))]
+
 
 def _together(texts: pd.Series) -> Iterator[slice]:
     """Slices of the texts of some TOGETHER characters each."""
@@ -111,7 +174,7 @@ def spans(docs: DataFrame, span: int, min_words: int) -> DataFrame:
     schema = "doc_id long, at int, a long, b int"
 
     def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        claim("runs", _POWERS.clear)
+        claim("runs", _release)
         for batch in batches:
             ids = batch["doc_id"].to_numpy()
             for part in _together(batch["text"]):
@@ -134,10 +197,10 @@ def remove_repeats(texts: list[str], repeated: list[set[int]], span: int, min_wo
             gone.setdefault(text, set()).update(range(start, end))
     out = []
     for i, text in enumerate(texts):
-        parts, removed = own.sentences[i], gone.get(i)
+        removed = gone.get(i)
         if removed:
-            text = "".join(x for k, x in enumerate(parts) if k not in removed)
-        out.append((text, len(parts), len(removed or ())))
+            text = "".join(x for k, x in enumerate(own.pieces.of(i)) if k not in removed)
+        out.append((text, int(own.pieces.sizes[i]), len(removed or ())))
     return out
 
 
@@ -156,7 +219,7 @@ def substring_dedup(docs: DataFrame, span: int = SPAN, min_words: int = MIN_WORD
 
     @F.pandas_udf("text string, n_sentences long, n_removed long")
     def cleaned(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-        claim("runs", _POWERS.clear)
+        claim("runs", _release)
         for texts, places in batches:
             rows = []
             for part in _together(texts):
