@@ -93,6 +93,21 @@ def test_exact_groups_survive_colliding_fingerprints(spark):
                 assert got[i]["text_sha256"] == hashlib.sha256(norm.encode()).hexdigest()
 
 
+def test_drop_copies_judges_rows_not_ids(spark):
+    rows = [(None, "first"), (None, "second"), (None, "second "), (None, None), (1, "third"), (1, "fourth"), (1, "fi rst"), (2, "third"), (3, "fourth "), (4, "fifth"), (4, "fif  th"), (5, ""), (None, "only")]
+    table = spark.createDataFrame([(i, t, "en", f"s{k}", len(t or "")) for k, (i, t) in enumerate(rows)], SCHEMA).withColumns({"_t": F.lit(1), "kept": F.lit("k")})
+    best = {}
+    for i, t in rows:
+        rank = (-len(t or ""), i is None, i or 0)
+        norm = "".join((t or "").split())
+        if norm not in best or rank < best[norm][0]:
+            best[norm] = (rank, i, t)
+    got = exact_dedup.drop_copies(table)
+    assert got.columns == table.columns
+    key = lambda x: (str(x[0]), str(x[1]))
+    assert sorted(((r["doc_id"], r["text"]) for r in got.collect()), key=key) == sorted(((i, t) for _, i, t in best.values()), key=key)
+
+
 # ---- near duplicates -----------------------------------------------------------------------------------------------------
 
 

@@ -155,7 +155,17 @@ def exact_dedup(docs: DataFrame, moduli: tuple[int, int] = MODULI, huge: int = H
 
 
 def drop_copies(docs: DataFrame) -> DataFrame:
-    """The rows of docs that stay, with all their columns; of repeated rows with one doc_id one stays."""
-    verdicts = exact_dedup(docs).where("kept").select("doc_id").distinct()
-    kept = docs.join(verdicts.withColumnRenamed("doc_id", "_keep"), docs["doc_id"].eqNullSafe(F.col("_keep")), "left_semi")
-    return kept.dropDuplicates(["doc_id"])
+    """One row of each group of equal texts, with all its columns.
+
+    A row is judged by its own text's digest together with its doc_id, so rows without an id, and different texts that
+    share one, don't stand for each other. Of rows with equal texts and the id that stays, the longest original stays.
+    """
+    stay = exact_dedup(docs).where("kept").select(F.col("text_sha256").alias("_stay"), F.col("doc_id").alias("_keep")).distinct()
+    rows = docs.select(
+        F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"),
+        F.col("doc_id").alias("_id"),
+        F.sha2(squeeze(text_of()), 256).alias("_digest"),
+        F.struct(F.length(text_of()).alias("n"), F.xxhash64("text").alias("h")).alias("_rank"),
+    )
+    kept = rows.join(stay, (F.col("_digest") == F.col("_stay")) & F.col("_id").eqNullSafe(F.col("_keep")), "left_semi")
+    return kept.groupBy("_digest").agg(F.max_by("_row", "_rank").alias("_row")).select("_row.*")
