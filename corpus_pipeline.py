@@ -46,7 +46,8 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces placed in sequences."""
     import public_tokenizers
 
-    return packing.pack(docs, entry.tokenizer("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    added = packing.added_tokens(entry.tokenizer("byte_bpe_50k.json"))
+    return packing.pack(docs, entry.tokenizer("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, added=added)
 
 
 STAGES: list[tuple[str, Stage]] = [

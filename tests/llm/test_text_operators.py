@@ -354,6 +354,24 @@ def test_packing_round_trip(spark):
     assert len(bins) <= -(-total // 2048) * 1.02 + 1
 
 
+def test_packed_ids_have_the_added_tokens(spark, tmp_path):
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    draw = random.Random(14)
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "<|endoftext|><|endoftext|> x", "a<|endoftext|>  ", "<|endoftext|", " <|endoftext|>\n<|endoftext|>y  z", "no"]
+    texts += ["".join(draw.choice(["a", " ", "b ", "\n", "<|endoftext|>", "<|", "|>", "é"]) for _ in range(draw.randint(1, 30))) for _ in range(200)]
+    own = packing.Tokens(RANKS, P.PATTERN, packing.added_tokens(P.path("byte_bpe_50k.json")))
+    ids = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert ids[0] == [64, 220, 50256, 275]
+    assert [np.frombuffer(own.encode(t), "<u4").tolist() for t in texts] == ids
+    docs(spark, texts).write.parquet(f"{tmp_path}/documents.parquet")
+    expected = [zlib.crc32(np.array([*x, 0], "<u4").tobytes()) for x in ids]
+    stage = corpus_pipeline.STAGES[-1][1](spark, docs(spark, texts), str(tmp_path))
+    for got in (entry.op9_packing(spark, str(tmp_path)), stage):
+        assert [r["ids_crc32"] for r in got.orderBy("doc_id").collect()] == expected
+
+
 def test_evolution_is_never_worse_and_whole():
     draw = random.Random(2)
     size = [draw.randint(1, 2047) for _ in range(300)]

@@ -70,7 +70,8 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    return packing.pack(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    added = packing.added_tokens(tokenizer("byte_bpe_50k.json"))
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, added=added)
 
 
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
