@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 import corpus_pipeline
 from tests import oracle
 from tidegauge.llm import entry, exact_dedup, html_text, knn_quality, line_dedup, minhash, oracles, packing, piece_codec, quality_rules, substring_dedup, url_filter
+from tidegauge.llm.common import Bloom
 from tidegauge.llm.components import components
 
 P = pytest.importorskip("public_tokenizers")
@@ -84,8 +85,8 @@ def test_exact_groups_survive_colliding_fingerprints(spark):
     expected = {}
     for i, t in enumerate(texts):
         expected.setdefault("".join((t or "").split()), []).append(i)
-    for moduli in (exact_dedup.MODULI, (2, 3)):
-        got = {r["doc_id"]: r for r in exact_dedup.exact_dedup(docs(spark, texts), moduli).collect()}
+    for moduli, huge in ((exact_dedup.MODULI, exact_dedup.HUGE), ((2, 3), exact_dedup.HUGE), (exact_dedup.MODULI, 0), ((2, 3), 0)):
+        got = {r["doc_id"]: r for r in exact_dedup.exact_dedup(docs(spark, texts), moduli, huge).collect()}
         for norm, ids in expected.items():
             keep = min(ids, key=lambda i: (-len(texts[i] or ""), i))
             for i in ids:
@@ -108,6 +109,26 @@ def test_drop_copies_judges_rows_not_ids(spark):
     assert sorted(((r["doc_id"], r["text"]) for r in got.collect()), key=key) == sorted(((i, t) for _, i, t in best.values()), key=key)
 
 
+def test_one_row_of_each_group_is_kept(spark):
+    rows = [(1, "a b"), (1, "ab"), (1, "a b"), (None, "ab"), (None, "c"), (None, "c"), (2, "d"), (2, "e")] + [(10 + i, "h") for i in range(3000)]
+    table = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], SCHEMA)
+    got = exact_dedup.exact_dedup(table).collect()
+    assert len(got) == len(rows)
+    kept = sorted((r["text_sha256"], r["doc_id"], r["group_size"]) for r in got if r["kept"])
+    digest = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    assert kept == sorted([(digest("ab"), 1, 4), (digest("c"), None, 2), (digest("d"), 2, 1), (digest("e"), 2, 1), (digest("h"), 10, 3000)])
+    assert exact_dedup.drop_copies(table).count() == 5
+
+
+def test_bloom_filter_misses_nothing(spark):
+    keys = spark.range(5000).select(F.xxhash64("id").alias("a"), (-F.col("id")).alias("b"))
+    held = Bloom.of(keys, "a", "b")
+    rows = keys.toPandas()
+    assert held.has(rows["a"].to_numpy(), rows["b"].to_numpy()).all()
+    assert held.has(rows["a"].to_numpy() + 1, rows["b"].to_numpy()).mean() < 0.1
+    assert not Bloom.of(keys.limit(0), "a", "b").has(np.arange(9), np.arange(9)).any()
+
+
 # ---- near duplicates -----------------------------------------------------------------------------------------------------
 
 

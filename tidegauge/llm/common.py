@@ -5,7 +5,10 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable
+from dataclasses import dataclass
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -60,6 +63,59 @@ def words(text: Column) -> Column:
     return F.filter(F.split(text, f"{SPACE_CLASS}+"), lambda w: w != "")
 
 
+def join_groups(rows: DataFrame, groups: DataFrame, key: list[str], size: str, n: int) -> DataFrame:
+    """rows left-joined to their group's row, where ``size`` is a group's number of rows and n that of all rows.
+
+    Groups of over a thousandth of all rows (and of 1000 rows) are broadcast, of which there can't be more than a
+    thousand, so that no task gets all rows of a large group. Key columns aren't null.
+    """
+    groups = materialize(groups, "groups")
+    large = F.col(size) > max(1000, n // 1000)
+    hot = F.broadcast(groups.where(large))
+    return rows.join(hot, key).unionByName(rows.join(F.broadcast(groups.where(large).select(*key)), key, "left_anti").join(groups.where(~large), key, "left"))
+
+
+@dataclass
+class Bloom:
+    """A set of keys (of several 64-bit integers each) that may answer yes for others too, of at most 16 MB."""
+
+    words: np.ndarray
+    most: int
+
+    MOST = 1 << 27
+
+    @staticmethod
+    def _places(parts: tuple[np.ndarray, ...], most: int) -> tuple[np.ndarray, np.ndarray]:
+        x = np.zeros(len(parts[0]), np.uint64)
+        for part in parts:
+            x = (x ^ part.astype(np.int64).view(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+            x ^= x >> np.uint64(29)
+        x *= np.uint64(0xC2B2AE3D27D4EB4F)
+        return (x >> np.uint64(33)) % np.uint64(most), (x & np.uint64(0xFFFFFFFF)) % np.uint64(most)
+
+    @classmethod
+    def of(cls, keys: DataFrame, *columns: str) -> Bloom:
+        """Bits are set by the tasks and united by word, so the driver gets at most one row a word."""
+        most = min(cls.MOST, max(1 << 12, 1 << (16 * keys.count()).bit_length()))
+
+        @F.pandas_udf("array<long>")
+        def places(*parts):
+            return pd.Series(np.stack(cls._places(tuple(p.to_numpy(np.int64) for p in parts), most), axis=1).astype(np.int64).tolist())
+
+        bits = keys.select(F.explode(places(*columns)).alias("p"))
+        word = F.shiftright("p", 6).alias("w")
+        rows = bits.groupBy(word).agg(F.bit_or(F.expr("shiftleft(1L, cast(p % 64 as int))")).alias("b")).toPandas()
+        words = np.zeros(most // 64, np.uint64)
+        words[rows["w"].to_numpy(np.int64)] = rows["b"].to_numpy(np.int64).view(np.uint64)
+        return cls(words, most)
+
+    def has(self, *parts: np.ndarray) -> np.ndarray:
+        out = np.ones(len(parts[0]), bool)
+        for at in self._places(parts, self.most):
+            out &= (self.words[at >> np.uint64(6)] >> (at & np.uint64(63)) & np.uint64(1)).astype(bool)
+        return out
+
+
 class Remembered(dict):
     """Values of a function by its argument; emptied when it has ``most``. Arguments of over 64 characters aren't kept."""
 
