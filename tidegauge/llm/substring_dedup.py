@@ -18,12 +18,13 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidegauge.llm.common import Remembered, claim, materialize
 
 SPAN = 4
 #: Runs of fewer words are no evidence of copying; they take in further sentences.
-MIN_WORDS = 10
+MIN_WORDS = 20
 #: A sentence of more words is cut after chosen words: the one of least hash in each WINDOW words in a row. Any passage of
 #: 51 words then has SPAN whole pieces that are cut alike in all its copies, however its words and marks fall.
 LONG, WINDOW = 10, 6
@@ -31,6 +32,7 @@ LONG, WINDOW = 10, 6
 TOGETHER = 4_000_000
 #: One word and the white space after it; the first has the white space before it too.
 WORD = re.compile(r"\s*\S+\s*")
+NONE = np.zeros(0, np.int64)
 MARKS = frozenset(".!?,;:")
 REMEMBERED = 200_000
 
@@ -170,8 +172,9 @@ def _together(texts: pd.Series) -> Iterator[slice]:
 
 
 def spans(docs: DataFrame, span: int, min_words: int) -> DataFrame:
-    """doc_id, at, a, b: the runs of every text, once for each hash (of which 96 bits are kept) and text."""
-    schema = "doc_id long, at int, a long, b int"
+    """doc_id, a, b: the runs of every text, once for each hash (of which 96 bits are kept) and text."""
+    kind = docs.schema["doc_id"].dataType
+    schema = T.StructType([T.StructField("doc_id", kind), T.StructField("a", T.LongType()), T.StructField("b", T.IntegerType())])
 
     def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         claim("runs", _release)
@@ -180,21 +183,23 @@ def spans(docs: DataFrame, span: int, min_words: int) -> DataFrame:
             for part in _together(batch["text"]):
                 own = Runs([t or "" for t in batch["text"].iloc[part]], span, min_words)
                 f = own.first
-                yield pd.DataFrame({"doc_id": ids[part][own.text[f]], "at": own.start[f].astype(np.int32), "a": own.hashes[f, 0], "b": (own.hashes[f, 1] >> 32).astype(np.int32)})
+                yield pd.DataFrame({"doc_id": ids[part][own.text[f]], "a": own.hashes[f, 0], "b": (own.hashes[f, 1] >> 32).astype(np.int32)})
 
-    return docs.where("doc_id is not null").select(F.col("doc_id").cast("long"), F.col("text").cast("string").alias("text")).mapInPandas(emit, schema)
+    return docs.where("doc_id is not null").select("doc_id", F.col("text").cast("string").alias("text")).mapInPandas(emit, schema)
 
 
-def remove_repeats(texts: list[str], repeated: list[set[int]], span: int, min_words: int) -> list[tuple[str, int, int]]:
-    """Each text without the sentences of the runs at its places ``repeated`` and of those that it repeats itself, the
-    number of its sentences and of those removed."""
+def remove_repeats(texts: list[str], repeated: list[np.ndarray], span: int, min_words: int) -> list[tuple[str, int, int]]:
+    """Each text without the sentences of its runs whose hash is among ``repeated`` and of those that it repeats itself,
+    the number of its sentences and of those removed."""
     own = Runs(texts, span, min_words)
-    hit = np.array([bool(r) for r in repeated], bool)
-    chosen = ~own.first | hit[own.text] if len(own.text) else np.zeros(0, bool)
+    chosen, of = ~own.first, np.searchsorted(own.text, np.arange(len(texts) + 1))
+    for i, hashes in enumerate(repeated):
+        if len(hashes):
+            mine = slice(of[i], of[i + 1])
+            chosen[mine] |= np.isin(own.hashes[mine, 0], hashes)
     gone: dict[int, set[int]] = {}
-    for text, start, end, first in zip(*(x[chosen].tolist() for x in (own.text, own.start, own.end, own.first)), strict=True):
-        if not first or start in repeated[text]:
-            gone.setdefault(text, set()).update(range(start, end))
+    for text, start, end in zip(*(x[chosen].tolist() for x in (own.text, own.start, own.end)), strict=True):
+        gone.setdefault(text, set()).update(range(start, end))
     out = []
     for i, text in enumerate(texts):
         removed = gone.get(i)
@@ -209,26 +214,26 @@ def substring_dedup(docs: DataFrame, span: int = SPAN, min_words: int = MIN_WORD
 
     The first of equal runs is that of the smallest doc_id, in it the first by place. What stays keeps its white space
     and order. Null texts become empty; a text all of whose sentences are repeated becomes empty and stays as a row.
-    Rows that share a doc_id count as one document: none is the other's repeat. Rows without a doc_id lose only what they
-    repeat themselves. Columns of docs named like the two counts are replaced. An empty table gives no rows.
+    Rows that share a doc_id count as one document: none is the other's repeat, and each loses only runs that it has
+    itself. Rows without a doc_id lose only what they repeat themselves. Columns of docs named like the two counts are replaced. An empty table gives no rows.
     """
     found = spans(docs, span, min_words)
     often = found.groupBy("a", "b").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last").select("a", "b", "first")
-    hits = found.join(often, ["a", "b"]).where("doc_id <> first").groupBy("doc_id").agg(F.collect_set("at").alias("_at"))
+    hits = found.join(often, ["a", "b"]).where("doc_id <> first").groupBy("doc_id").agg(F.collect_set("a").alias("_runs"))
     hits = materialize(hits.withColumnRenamed("doc_id", "_id"), "repeats")
 
     @F.pandas_udf("text string, n_sentences long, n_removed long")
     def cleaned(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         claim("runs", _release)
-        for texts, places in batches:
+        for texts, hashes in batches:
             rows = []
             for part in _together(texts):
-                repeated = [set() if p is None else set(p.tolist()) for p in places.iloc[part]]
+                repeated = [NONE if h is None else np.asarray(h, np.int64) for h in hashes.iloc[part]]
                 rows += remove_repeats([t or "" for t in texts.iloc[part]], repeated, span, min_words)
             yield pd.DataFrame(rows, columns=["text", "n_sentences", "n_removed"])
 
     base = docs.drop("n_sentences", "n_removed")
     joined = base.join(hits, base["doc_id"] == hits["_id"], "left")
-    out = joined.withColumn("_c", cleaned(F.col("text").cast("string"), F.col("_at")))
+    out = joined.withColumn("_c", cleaned(F.col("text").cast("string"), F.col("_runs")))
     columns = [F.col("_c.text").alias(c) if c == "text" else F.col(f"`{c}`") for c in base.columns]
     return out.select(*columns, F.col("_c.n_sentences").alias("n_sentences"), F.col("_c.n_removed").alias("n_removed"))
