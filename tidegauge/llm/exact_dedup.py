@@ -234,20 +234,15 @@ def drop_copies(docs: DataFrame) -> DataFrame:
     """
     verdicts = judged(docs).groupBy("text_sha256", "doc_id", "n_chars").agg(F.max("kept").alias("_kept"), F.count("*").alias("_n")).where("not _kept or _n > 1")
     verdicts = materialize(verdicts.select(F.unhex("text_sha256").alias("_digest"), F.col("doc_id").alias("_id"), F.col("n_chars").alias("_chars"), "_kept"), "exact-verdicts")
-    held = docs.sparkSession.sparkContext.broadcast(Bloom.of(verdicts.select(F.xxhash64("_digest").alias("k")), "k"))
+    may = Bloom.of(verdicts.select(F.xxhash64("_digest").alias("_h")), "_h").column(docs.sparkSession, "_h")
 
     @F.pandas_udf("binary")
     def digest(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
             yield pd.Series([hashlib.sha256(raw.translate(None, SPACES)).digest() for raw in texts])
 
-    @F.pandas_udf("boolean")
-    def listed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for keys in batches:
-            yield pd.Series(held.value.has(keys.to_numpy(np.int64)))
-
     rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"), F.col("doc_id").alias("_id"), F.length(text_of()).cast("long").alias("_chars"), digest(_raw()).alias("_digest"))
-    rows = rows.withColumn("_may", listed(F.xxhash64("_digest")))
+    rows = rows.withColumn("_h", F.xxhash64("_digest")).withColumn("_may", may)
     found = rows.where("_may").alias("r").join(
         verdicts.alias("v"), (F.col("r._digest") == F.col("v._digest")) & F.col("r._id").eqNullSafe(F.col("v._id")) & (F.col("r._chars") == F.col("v._chars")), "left"
     ).select("r._row", "r._digest", "_kept")

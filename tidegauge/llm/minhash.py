@@ -8,8 +8,9 @@ never list all pairs of a bucket:
 1. Texts with equal sets are one class with one signature.
 2. In each bucket every class is compared with the bucket's smallest class, and components are formed.
 3. Only buckets that still hold several components are looked at again: their classes are dealt into blocks of bounded
-   total size, by set size so that blocks too different in size never meet, and every pair of blocks is compared in its
-   own task as a product of incidence matrices. Of the links found only those that join components leave the task.
+   total size and number, by set size so that blocks too different in size never meet, and every pair of blocks is
+   compared by itself as a product of incidence matrices. Only links that join components leave the task, so a pair of
+   blocks gives fewer links than it has sets.
 
 With 32 bands of 5 values a pair of similarity 0.85 shares no bucket in some 7 of 10**9 cases (0.8: 4 of 10**6); a
 pair that shares one is always compared or already in one component.
@@ -17,6 +18,7 @@ pair that shares one is always compared or already in one component.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,12 +27,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegauge.llm.common import Remembered, claim, materialize
+from tidegauge.llm.common import Bloom, Remembered, claim, join_groups, materialize
 from tidegauge.llm.components import components
 
 PERMUTATIONS, BANDS, ROWS = 80, 32, 5
-#: Shingles in a block of step 3, and those hashed at once.
-BLOCK, STRIP = 250_000, 8_192
+#: Shingles and sets in a block of step 3 at most (but for a single larger set), and shingles hashed at once.
+BLOCK, SETS, STRIP = 250_000, 1_024, 8_192
 REMEMBERED = 250_000
 
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63, 0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53)]
@@ -143,14 +145,14 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def cross_links(cell: pd.DataFrame, percent: int) -> list[tuple[int, int]]:
-    """Links between rows of one bucket that join different components; rows have cls, comp, side and set (32-bit).
+    """Links between rows of one bucket that join different components, fewer than there are components; rows have cls,
+    comp, side and set (sorted 64-bit hashes).
 
     Side 0 meets side 1, and side 2 meets itself. Intersections are counted as products of incidence matrices, a strip
-    of shared shingles at a time. A link that 32-bit hashes leave in doubt is given in any case; all are confirmed on
-    the full sets afterwards.
+    of shared shingles at a time.
     """
-    sets = [np.frombuffer(x, np.uint32) for x in cell["set"]]
-    ids, comp, side = cell["cls"].to_numpy(), cell["comp"].to_numpy(), cell["side"].to_numpy()
+    sets = [np.frombuffer(x, np.uint64) for x in cell["set"]]
+    ids, comp, side = cell["cls"].to_numpy(), pd.factorize(cell["comp"])[0], cell["side"].to_numpy()
     rows, cols = (np.arange(len(sets)),) * 2 if side[0] == 2 else (np.nonzero(side == 0)[0], np.nonzero(side == 1)[0])
     if not len(rows) or not len(cols):
         return []
@@ -170,11 +172,8 @@ def cross_links(cell: pd.DataFrame, percent: int) -> list[tuple[int, int]]:
         strip[owner[lo:hi], code[lo:hi] - at] = 1
         common += strip[rows] @ strip[cols].T
     union = sizes[rows][:, None] + sizes[cols][None, :] - common
-    differ = comp[rows][:, None] != comp[cols][None, :]
-    # a collision of 32-bit hashes moves the count by one at most, but for odds of some 10**-13
-    near = differ & (100 * (common + 2) >= percent * (union - 2))
-    sure = 100 * (common - 2) >= percent * (union + 2)
-    root = {c: c for c in comp.tolist()}
+    near = (comp[rows][:, None] != comp[cols][None, :]) & (100 * common >= percent * union)
+    root = list(range(comp.max() + 1))
 
     def find(c: int) -> int:
         while root[c] != c:
@@ -183,55 +182,49 @@ def cross_links(cell: pd.DataFrame, percent: int) -> list[tuple[int, int]]:
         return c
 
     out = []
-    for i, j in np.argwhere(near):
-        u, v = rows[i], cols[j]
-        if sure[i, j]:
-            x, y = find(int(comp[u])), find(int(comp[v]))
-            if x == y:
-                continue
-            root[x] = y
-        out.append((int(ids[u]), int(ids[v])))
+    for i in np.nonzero(near.any(axis=1))[0]:
+        u, hit = rows[i], cols[near[i]]
+        _, first = np.unique(comp[hit], return_index=True)  # one of each component
+        for v in hit[first]:
+            x, y = find(comp[u]), find(comp[v])
+            if x != y:
+                root[x] = y
+                out.append((int(ids[u]), int(ids[v])))
     return out
 
 
 def _unresolved(members: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Candidate links (u, v) in the buckets that hold several components."""
-    import math
-
-    named = members.join(labels.select(F.col("node").alias("cls"), "component"), "cls", "left").select("band", "h", "cls", F.coalesce("component", "cls").alias("comp"))
-    sized = named.join(sets.select("cls", "n"), "cls")
-    open_buckets = sized.groupBy("band", "h").agg(F.min("comp").alias("_lo"), F.max("comp").alias("_hi"), F.sum("n").alias("_total"), F.count("*").alias("_m"))
-    # of two classes that differ the pair has been compared in step 2
-    open_buckets = open_buckets.where("_lo <> _hi and _m > 2").select("band", "h", F.ceil(F.col("_total") / BLOCK).alias("_nb"))
-    rows = sized.join(open_buckets, ["band", "h"])
+    """Links (u, v) that join components, in the buckets that hold several."""
     size_class = F.floor(F.log("n") / F.lit(math.log(100 / percent))).cast("int")
-    rows = rows.select("band", "h", "cls", "comp", "_nb", size_class.alias("_c"), F.pmod(F.xxhash64("cls"), "_nb").alias("_k"))
+    named = members.join(labels.select(F.col("node").alias("cls"), "component"), "cls", "left")
+    named = named.select("band", "h", "cls", "n", F.coalesce("component", "cls").alias("comp"), size_class.alias("_c"))
+    facts = named.groupBy("band", "h").agg(F.min("comp").alias("_lo"), F.max("comp").alias("_hi"), F.sum("n").alias("_total"), F.count("*").alias("_m"), F.collect_set("_c").alias("_sizes"))
+    # of two classes that differ the pair has been compared in step 2; a bucket has some 100 size classes at most
+    blocks = F.greatest(F.ceil(F.col("_total") / BLOCK), F.ceil(F.col("_m") / SETS))
+    open_buckets = materialize(facts.where("_lo <> _hi and _m > 2").select("band", "h", "_total", "_m", "_sizes", blocks.alias("_nb")), "open-buckets")
+    sums = open_buckets.where("_nb = 1").agg(F.sum("_total").alias("t"), F.sum("_m").alias("m")).first()
+    groups = max(1, -(-(sums["t"] or 0) // BLOCK), -(-(sums["m"] or 0) // SETS))
+    rows = named.join(open_buckets.select("band", "h", "_nb", "_sizes"), ["band", "h"]).withColumn("_k", F.pmod(F.xxhash64("cls"), "_nb"))
     others = F.sequence(F.lit(0).cast("long"), F.col("_nb") - 1)
     cell = lambda c, kind, i, j, side: F.struct(c.alias("c"), F.lit(kind).alias("kind"), i.alias("i"), j.alias("j"), F.lit(side).alias("side"))
-    k, c = F.col("_k"), F.col("_c")
-    small = F.array(cell(F.lit(0), 0, F.lit(0).cast("long"), F.lit(0).cast("long"), 2))
+    k, c, zero = F.col("_k"), F.col("_c"), F.lit(0).cast("long")
+    small = F.array(cell(F.lit(0), 0, zero, zero, 2))
     same = F.transform(others, lambda j: F.struct(c.alias("c"), F.lit(1).alias("kind"), F.least(k, j).alias("i"), F.greatest(k, j).alias("j"), F.when(j == k, 2).when(k < j, 0).otherwise(1).alias("side")))
-    above = F.transform(others, lambda j: cell(c, 2, k, j, 0))
-    below = F.transform(others, lambda j: cell(c - 1, 2, j, k, 1))
+    none = F.filter(same, lambda x: F.lit(False))
+    above = F.when(F.array_contains("_sizes", c + 1), F.transform(others, lambda j: cell(c, 2, k, j, 0))).otherwise(none)
+    below = F.when(F.array_contains("_sizes", c - 1), F.transform(others, lambda j: cell(c - 1, 2, j, k, 1))).otherwise(none)
     placed = rows.withColumn("_p", F.explode(F.when(F.col("_nb") == 1, small).otherwise(F.concat(same, above, below))))
-    # small buckets share tasks; a block pair of a large one has its own group
-    group = F.when(F.col("_nb") == 1, F.struct(F.pmod(F.xxhash64("band", "h"), F.lit(4096)).alias("x"), F.lit(0).alias("c"), F.lit(0).alias("kind"), F.lit(0).cast("long").alias("i"), F.lit(0).cast("long").alias("j"))).otherwise(
+    # small buckets share a group of some BLOCK shingles; a block pair of a large one has its own
+    group = F.when(F.col("_nb") == 1, F.struct(F.pmod(F.xxhash64("band", "h"), F.lit(groups)).alias("x"), F.lit(0).alias("c"), F.lit(0).alias("kind"), zero.alias("i"), zero.alias("j"))).otherwise(
         F.struct(F.xxhash64("band", "h").alias("x"), F.col("_p.c"), F.col("_p.kind"), F.col("_p.i"), F.col("_p.j"))
     )
-    placed = placed.select(group.alias("_g"), "band", "h", "cls", "comp", F.col("_p.side").alias("side"))
-
-    @F.pandas_udf("binary")
-    def narrow(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for found in batches:
-            yield pd.Series([np.frombuffer(x, np.uint64).astype(np.uint32).tobytes() for x in found])
-
-    full = placed.join(sets.select("cls", narrow("set").alias("set")), "cls")
+    placed = placed.select(group.alias("_g"), "band", "h", "cls", "n", "comp", F.col("_p.side").alias("side"))
 
     def compare(frame: pd.DataFrame) -> pd.DataFrame:
         links = [x for _, cell in frame.groupby(["band", "h"], sort=False) if cell["comp"].nunique() > 1 for x in cross_links(cell, percent)]
         return pd.DataFrame(sorted(set(links)), columns=["u", "v"], dtype="int64")
 
-    return full.groupBy("_g").applyInPandas(compare, "u long, v long").distinct()
+    return placed.join(sets, ["cls", "n"]).groupBy("_g").applyInPandas(compare, "u long, v long").distinct()
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
@@ -245,26 +238,34 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     """
     base = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     measured = materialize(base.select("doc_id", _features(k)("text").alias("_f")).select("doc_id", "_f.*"), "signatures")
-    solid = measured.where("n > 0 and doc_id is not null")
-    classes = materialize(solid.groupBy("a", "b", "n").agg(F.min("doc_id").alias("cls"), F.first("bands").alias("bands")), "classes")
-    entries = classes.select("cls", F.posexplode("bands").alias("band", "h"))
+    solid = measured.where("n > 0 and doc_id is not null").select("doc_id", "a", "b", "n", "bands")
+    classes = solid.groupBy("a", "b", "n").agg(F.min("doc_id").alias("cls"), F.first("bands").alias("bands"), F.count("*").alias("_size"))
+    classes = materialize(classes, "classes")
+    entries = classes.select("cls", "n", F.posexplode("bands").alias("band", "h"))
     buckets = entries.groupBy("band", "h").agg(F.min("cls").alias("pivot"), F.max("cls").alias("_top")).where("pivot < _top").drop("_top")
     members = materialize(entries.join(buckets, ["band", "h"]), "buckets")
-    wanted = members.select("cls").distinct()
-    texts = base.join(wanted, base["doc_id"] == wanted["cls"]).select("cls", _sets(k)("text").alias("set"))
-    sets = materialize(texts.where(F.length("set") > 0).select("cls", (F.length("set") / 8).cast("long").alias("n"), "set"), "sets")
+    wanted = materialize(members.select("cls").distinct(), "wanted")
+    # only the texts of classes that share a bucket are read into sets; the filter is tested where the text is
+    may = Bloom.of(wanted, "cls").column(docs.sparkSession, "doc_id")
+    texts = base.where("doc_id is not null").where(may).join(wanted, F.col("doc_id") == F.col("cls")).select("cls", _sets(k)("text").alias("set"))
+    sets = materialize(texts.select("cls", (F.length("set") / 8).cast("long").alias("n"), "set"), "sets").where("n > 0")
     stars = _confirmed(members.where("cls <> pivot").select(F.col("pivot").alias("u"), F.col("cls").alias("v")).distinct(), sets, percent)
-    # a row's class: of rows that share a doc_id all classes are one document
-    same = solid.join(classes.select("a", "b", "n", "cls"), ["a", "b", "n"]).where("doc_id <> cls").select(F.col("cls").alias("u"), F.col("doc_id").alias("v"))
+    rows = solid.drop("bands")
+    keyed = materialize(join_groups(rows, classes.drop("bands"), ["a", "b", "n"], "_size", rows.count()).select("doc_id", "a", "b", "n", "cls"), "rows")
+    # all classes of a doc_id are one document
+    several = keyed.groupBy("doc_id").agg(F.min("cls").alias("u"), F.max("cls").alias("_top")).where("u < _top")
+    same = keyed.join(several.select("doc_id", "u"), "doc_id").where("cls <> u").select("u", F.col("cls").alias("v"))
     links = materialize(stars.unionByName(same).distinct(), "links")
     labels = components(links, "u", "v")
-    more = materialize(_confirmed(_unresolved(members, labels, sets, percent), sets, percent), "more-links")
+    more = materialize(_unresolved(members, labels, sets, percent), "more-links")
     if not more.isEmpty():
         labels = components(links.unionByName(more), "u", "v")
-    component = F.coalesce("component", "doc_id")
-    return measured.join(labels, measured["doc_id"] == labels["node"], "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept")
-    )
+    # labels go to the classes first, so that no copy of a text is joined by its class's id
+    named = classes.join(labels, classes["cls"] == labels["node"], "left").select("a", "b", "n", "_size", F.coalesce("component", "cls").alias("component_id"))
+    joined = join_groups(rows, named, ["a", "b", "n"], "_size", rows.count())
+    out = joined.select("doc_id", F.col("n").alias("n_shingles"), "component_id", (F.col("component_id") == F.col("doc_id")).alias("kept"))
+    rest = measured.where("n = 0 or doc_id is null").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.lit(True).alias("kept"))
+    return out.unionByName(rest)
 
 
 def drop_near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
