@@ -13,7 +13,7 @@ import html
 import random
 import re
 from collections.abc import Iterator
-from functools import cache
+from functools import cache, lru_cache
 
 import numpy as np
 import pandas as pd
@@ -30,6 +30,8 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
 #: Start tags that close an open p.
 CLOSES_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre search section table ul".split())
+#: Start tags that close an open element of their own name or a p.
+ITEMS = frozenset("li dt dd tr td th option".split())
 #: Tags whose presence among the ancestors is a feature.
 TAGS = tuple("article main section nav header footer aside form ul ol li table td div p h1 h2 h3 h4 blockquote pre figure figcaption dl details dialog body a".split())
 #: Words in class and id names, by kind.
@@ -59,7 +61,7 @@ SPACE = re.compile(r"\s+")
 BIAS = "bias"
 
 
-@cache
+@lru_cache(20_000)
 def _kinds(rest: str) -> frozenset[str]:
     found: set[str] = set()
     for m in NAMES.finditer(rest):
@@ -83,12 +85,72 @@ class Block:
         self.tags, self.kinds, self.text, self.linked = tags, found, text, linked
 
 
+class Open:
+    """The open elements, with what a block and an end tag ask of them kept up to date, so that each tag costs the same at
+    any depth."""
+
+    def __init__(self) -> None:
+        self.tags: list[str] = []
+        self.found: list[frozenset[str]] = []
+        #: Places of the open elements by tag, of those that aren't inline, and of those of them that aren't a p.
+        self.places: dict[str, list[int]] = {}
+        self.solid: list[int] = []
+        self.walls: list[int] = []
+        self.kinds: dict[str, int] = {}
+        self.hidden = 0
+
+    def last(self, tag: str) -> int:
+        places = self.places.get(tag)
+        return places[-1] if places else -1
+
+    def push(self, tag: str, found: frozenset[str]) -> None:
+        at = len(self.tags)
+        self.tags.append(tag)
+        self.found.append(found)
+        self.places.setdefault(tag, []).append(at)
+        if tag not in INLINE:
+            self.solid.append(at)
+            if tag != "p":
+                self.walls.append(at)
+        for k in found:
+            self.kinds[k] = self.kinds.get(k, 0) + 1
+        self.hidden += tag in HIDDEN
+
+    def close(self, at: int) -> None:
+        """Close the element at this place and all inside of it."""
+        while len(self.tags) > at:
+            tag, here = self.tags.pop(), len(self.tags)
+            places = self.places[tag]
+            places.pop()
+            if not places:
+                del self.places[tag]
+            for held in (self.solid, self.walls):
+                if held and held[-1] == here:
+                    held.pop()
+            for k in self.found.pop():
+                self.kinds[k] -= 1
+            self.hidden -= tag in HIDDEN
+
+    def end(self, tag: str) -> None:
+        """An end tag closes the last element of its name; that of an inline one doesn't close a block."""
+        at = self.last(tag)
+        if at >= 0 and not (tag in INLINE and self.solid and self.solid[-1] > at):
+            self.close(at)
+
+    def imply(self, same: tuple[str, ...]) -> None:
+        """A start tag closes the last open element of these names, unless another block but a p is inside of it."""
+        at = max(map(self.last, same))
+        if at >= 0 and not (self.walls and self.walls[-1] > at):
+            self.close(at)
+
+    def block(self, text: str, linked: int) -> Block:
+        return Block(frozenset(t for t in TAGS if t in self.places), frozenset(k for k, n in self.kinds.items() if n), text, min(linked, len(text)))
+
+
 def blocks(page: str) -> list[Block]:
     """Leaf blocks in page order, with character references decoded and white space made single."""
     out: list[Block] = []
-    stack: list[tuple[str, frozenset[str]]] = []
-    parts: list[str] = []
-    linked = hidden = anchors = 0
+    stack, parts, linked = Open(), [], 0
     at, n = 0, len(page)
 
     def flush() -> None:
@@ -96,64 +158,44 @@ def blocks(page: str) -> list[Block]:
         if parts:
             text = SPACE.sub(" ", html.unescape("".join(parts))).strip()
             if text:
-                tags = frozenset(t for t, _ in stack)
-                found: frozenset[str] = frozenset().union(*(k for _, k in stack)) if stack else frozenset()
-                out.append(Block(tags, found, text, min(linked, len(text))))
+                out.append(stack.block(text, linked))
         parts, linked = [], 0
 
-    def close(k: int) -> None:
-        nonlocal hidden, anchors
-        for t, _ in stack[k:]:
-            hidden -= t in HIDDEN
-            anchors -= t == "a"
-        del stack[k:]
-
-    for m in MARKUP.finditer(page):
+    while (m := MARKUP.search(page, at)) is not None:
         start = m.start()
-        if start < at:
-            continue
-        if start > at and not hidden:
+        if start > at and not stack.hidden:
             parts.append(page[at:start])
-            linked += (start - at) * (anchors > 0)
+            linked += (start - at) * ("a" in stack.places)
         at = m.end()
         if not (tag := m["tag"]):
             continue
         tag = tag.lower()
-        if m["end"]:
-            if tag not in INLINE:
-                flush()
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == tag:
-                    close(k)
-                    break
-                if tag in INLINE and stack[k][0] not in INLINE:
-                    break  # an inline end tag doesn't close a block
-            continue
         if tag not in INLINE:
             flush()
+        if m["end"]:
+            stack.end(tag)
+            continue
         if tag in VOID or m["rest"].endswith("/"):
             continue
-        if tag in CLOSES_P or tag in ("li", "dt", "dd", "tr", "td", "th", "option"):
-            same = {"p"} if tag in CLOSES_P else {tag, "p"}
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] in same:
-                    close(k)
-                    break
-                if stack[k][0] not in INLINE and stack[k][0] != "p":
-                    break
-        stack.append((tag, kinds(m["rest"])))
-        hidden += tag in HIDDEN
-        anchors += tag == "a"
+        if tag in CLOSES_P:
+            stack.imply(("p",))
+        elif tag in ITEMS:
+            stack.imply((tag, "p"))
         if tag in RAW:
-            end = re.compile(rf"</{tag}\b[^>]*(?:>|\Z)|\Z", re.I).search(page, at)
-            at = end.end()
-            close(len(stack) - 1)
-    if at < n and not hidden:
+            at = _end_of(tag).search(page, at).end()
+            continue
+        stack.push(tag, kinds(m["rest"]))
+    if at < n and not stack.hidden:
         parts.append(page[at:])
     flush()
     return out
 
 
+@lru_cache(len(RAW))
+def _end_of(tag: str) -> re.Pattern[str]:
+    return re.compile(rf"</{tag}\b[^>]*(?:>|\Z)|\Z", re.I)
+
+
 def features(block: Block, first: bool) -> list[str]:
     """Names of the block's features, all of weight one."""
     text, n = block.text, len(block.text)
@@ -361,7 +403,7 @@ def extract(page: str | None, field: Field) -> str:
 def html_text(pages: DataFrame, field: Field | None = None) -> DataFrame:
     """page_id, url, text, n_chars of every row: the main text of its whole page.
 
-    A null or empty page and one without main text give the empty text. Markup that is cut off at the page's end counts
+    A null or empty page and one without main text give the empty text. A page's time grows with its length at any depth. Markup that is cut off at the page's end counts
     as markup; text after it as text. Repeated rows are read one by one; other columns are ignored.
     """
     model = field or trained()
