@@ -157,8 +157,11 @@ def sample(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> tuple[np.n
             yield pd.Series([count_vector(x or "").astype(np.float16).tobytes() for x in texts])
         _PLACES.clear()
 
-    found = docs.join(F.broadcast(chosen), docs["doc_id"] == chosen["_id"]).select("doc_id", "_y", counted(F.col("text").cast("string")).alias("_v"))
-    got = sorted(found.dropDuplicates(["doc_id"]).collect(), key=lambda r: r["doc_id"])  # at most size vectors of 2 * SIZE bytes
+    texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(chosen), F.col("doc_id") == F.col("_id"))
+    # of several texts of an id the longest, of equally long ones that of the greatest hash
+    texts = texts.groupBy("doc_id", "_y").agg(F.max_by("text", F.struct(F.length("text"), F.xxhash64("text"))).alias("text"))
+    found = texts.select("doc_id", "_y", counted("text").alias("_v"))
+    got = sorted(found.collect(), key=lambda r: r["doc_id"])  # at most size vectors of 2 * SIZE bytes
     counts = np.stack([np.frombuffer(r["_v"], np.float16).astype(np.float32) for r in got]) if got else np.zeros((0, SIZE), np.float32)
     return counts, np.array([r["_y"] for r in got])
 

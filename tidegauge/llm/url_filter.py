@@ -7,8 +7,7 @@ only if the stored string equals the probe, so colliding digests do no harm.
 
 from __future__ import annotations
 
-import os
-import tempfile
+import hashlib
 import uuid
 from collections.abc import Iterable, Iterator
 
@@ -19,6 +18,8 @@ from pyspark import SparkFiles
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidegauge.llm.common import scratch_root
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: A rule list of more bytes is refused: every executor maps the whole file.
 MAX_BYTES = 4 << 30
@@ -43,17 +44,12 @@ class DigestArray:
         self.keys, self.offsets, self.blob, self.values = keys, offsets, blob, values
 
     @staticmethod
-    def write(entries: Iterable[tuple[str, int]], path: str, hashed=digest) -> int:
+    def pack(entries: Iterable[tuple[str, int]], hashed=digest) -> bytes:
         rows = sorted((hashed(s), s.encode(), v) for s, v in dict(entries).items())
         offsets = np.zeros(len(rows) + 1, np.int64)
         np.cumsum([len(r[1]) for r in rows], out=offsets[1:])
-        with open(path, "wb") as out:
-            out.write(np.int64(len(rows)).tobytes())
-            out.write(np.array([r[0] for r in rows], np.uint64).tobytes())
-            out.write(offsets.tobytes())
-            out.write(np.array([r[2] for r in rows], np.int64).tobytes())
-            out.write(b"".join(r[1] for r in rows))
-        return os.path.getsize(path)
+        keys, values = np.array([r[0] for r in rows], np.uint64), np.array([r[2] for r in rows], np.int64)
+        return b"".join([np.int64(len(rows)).tobytes(), keys.tobytes(), offsets.tobytes(), values.tobytes(), *(r[1] for r in rows)])
 
     @classmethod
     def open(cls, path: str) -> DigestArray:
@@ -94,12 +90,26 @@ def publish(spark: SparkSession, rules: Iterable[tuple[str, str]], hashed=digest
         block = f"{host}#{n // 60}"
         entries[block] = entries.get(block, 0) | 1 << (n % 60)
         entries[host] = max(entries.get(host, 0), n)
-    folder = tempfile.mkdtemp(prefix="spark-rules-")
-    path = f"{folder}/rules-{uuid.uuid4().hex}.bin"
-    if (size := DigestArray.write(entries.items(), path, hashed)) > MAX_BYTES:
-        raise ValueError(f"the rules take {size} bytes; the bound is {MAX_BYTES}")
-    spark.sparkContext.addFile(path)
-    return os.path.basename(path)
+    packed = DigestArray.pack(entries.items(), hashed)
+    if len(packed) > MAX_BYTES:
+        raise ValueError(f"the rules take {len(packed)} bytes; the bound is {MAX_BYTES}")
+    # the same rules have the same name, so a session has one file of them however often they are used
+    name = f"rules-{hashlib.sha256(packed).hexdigest()}.bin"
+    if not any(x.endswith(name) for x in spark.sparkContext.listFiles):
+        spark.sparkContext.addFile(_stored(spark, name, packed))
+    return name
+
+
+def _stored(spark: SparkSession, name: str, data: bytes) -> str:
+    """A file below the shared scratch folder, which goes when the driver's JVM ends."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{scratch_root(spark)}/rules-{uuid.uuid4().hex}/{name}")
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    out = fs.create(path)
+    for at in range(0, len(data), 1 << 20):
+        out.write(bytearray(data[at : at + (1 << 20)]))
+    out.close()
+    fs.deleteOnExit(path.getParent())
+    return path.toString()
 
 
 def _suffixes(host: str) -> list[str]:
