@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import hashlib
 import random
+import re
+import time
 import zlib
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -132,9 +135,16 @@ def test_bloom_filter_misses_nothing(spark):
 # ---- near duplicates -----------------------------------------------------------------------------------------------------
 
 
+def plain_set(text, k):
+    """A text's set by the contract: words between the six white spaces, A-Z lower-cased, tuples of k words."""
+    words = re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate({c: c + 32 for c in range(65, 91)}))
+    return {tuple(words[i : i + k]) for i in range(max(1, len(words) - k + 1))} if words else set()
+
+
 def brute_components(texts, k, percent):
-    sets = [minhash.shingles(t or "", k) for t in texts]
-    root = list(range(len(texts)))
+    """Set sizes, the smallest place that links reach, and the number of links, over all pairs."""
+    sets = [plain_set(t, k) for t in texts]
+    root, places, links = list(range(len(texts))), {}, 0
 
     def find(x):
         while root[x] != x:
@@ -142,14 +152,17 @@ def brute_components(texts, k, percent):
         return x
 
     for i, a in enumerate(sets):
-        for j in range(i):
-            b = sets[j]
-            if len(a) and len(b):
-                n = len(np.intersect1d(a, b))
-                if 100 * n >= percent * (len(a) + len(b) - n):
-                    x, y = find(i), find(j)
-                    root[max(x, y)] = min(x, y)
-    return [len(s) for s in sets], [find(i) for i in range(len(texts))]
+        met = {}
+        for x in a:
+            for j in places.setdefault(x, []):
+                met[j] = met.get(j, 0) + 1
+            places[x].append(i)
+        for j, n in met.items():
+            if 100 * n >= percent * (len(a) + len(sets[j]) - n):
+                links += 1
+                x, y = sorted((find(i), find(j)))
+                root[y] = x
+    return [len(s) for s in sets], [find(i) for i in range(len(texts))], links
 
 
 def near_texts(seed, n):
@@ -162,28 +175,65 @@ def near_texts(seed, n):
         for _ in range(draw.choice([0, 0, 1, 2, 3, 5, 9])):
             own[draw.randrange(len(own))] = word()
         out.append(" ".join(own).upper() if draw.random() < 0.2 else "  ".join(own))
-    return [*out, "", None, "  ", "one", "One", "two words"]
+    return [*out, "", None, "  ", "one", "One", "two words", "ÉTÉ à midi", "été à midi", "été\x0bÀ midi", "a\u00a0b c d", "a b c d", "A\x1cb c d"]
 
 
-@pytest.mark.parametrize("block", [250_000, 300])
-def test_near_duplicates_equal_brute_force(spark, monkeypatch, block):
+@pytest.mark.parametrize("block, most", [(250_000, 1024), (300, 1024), (250_000, 5)])
+def test_near_duplicates_equal_brute_force(spark, monkeypatch, block, most):
     monkeypatch.setattr(minhash, "BLOCK", block)
+    monkeypatch.setattr(minhash, "SETS", most)
     texts = near_texts(5, 120)
-    sizes, roots = brute_components(texts, 3, 85)
+    sizes, roots, _ = brute_components(texts, 3, 85)
     got = {r["doc_id"]: r for r in minhash.near_duplicates(docs(spark, texts), 3, 85).collect()}
     assert [got[i]["n_shingles"] for i in range(len(texts))] == sizes
     assert [got[i]["component_id"] for i in range(len(texts))] == roots
     assert all(got[i]["kept"] == (roots[i] == i) for i in range(len(texts)))
 
 
+def test_near_duplicates_equal_brute_force_on_the_table(spark):
+    rows = sorted((r["doc_id"], r["text"]) for r in sf_docs(spark).select("doc_id", "text").collect())
+    sizes, roots, links = brute_components([t for _, t in rows], 3, 85)
+    got = {r["doc_id"]: r for r in minhash.near_duplicates(sf_docs(spark), 3, 85).collect()}
+    assert links > 10
+    assert [(got[i]["n_shingles"], got[i]["component_id"]) for i, _ in rows] == [(n, rows[r][0]) for n, r in zip(sizes, roots, strict=True)]
+
+
+def test_near_duplicates_of_shared_and_missing_ids(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(30)) for x in "abc")
+    rows = [(1, a), (5, a.upper()), (5, b), (7, b + " z"), (9, c), (None, c), (None, a), (11, None), (11, ""), (12, "")]
+    got = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 3, 85).collect()
+    assert sorted((r["doc_id"] or 0, r["component_id"] or 0, r["kept"]) for r in got) == sorted(
+        [(1, 1, True), (5, 1, False), (5, 1, False), (7, 1, False), (9, 9, True), (0, 0, True), (0, 0, True), (11, 11, True), (11, 11, True), (12, 12, True)]
+    )
+
+
+def test_near_misses_give_no_links_and_bounded_cells():
+    import pandas as pd
+
+    # pairs of nine shingles with eight in common have similarity 0.8
+    base = np.arange(1, 9, dtype=np.uint64)
+    sets = [np.sort(np.append(base, np.uint64(1000 + i))).tobytes() for i in range(minhash.SETS)]
+    cell = pd.DataFrame({"cls": range(len(sets)), "comp": range(len(sets)), "side": 2, "set": sets})
+    assert minhash.cross_links(cell, 85) == []
+    assert len(minhash.cross_links(cell, 80)) == len(sets) - 1  # every component is joined, by no more links than needed
+
+
+def test_a_bucket_of_many_near_misses(spark):
+    words = "a b c d e f g h i j".split()
+    texts = [" ".join([*words, f"own{i}"]) for i in range(5000)]
+    got = minhash.near_duplicates(docs(spark, texts), 3, 85)
+    assert got.where("kept").count() == 5000
+    assert minhash.near_duplicates(docs(spark, texts), 3, 80).select("component_id").distinct().count() == 1
+
+
 def test_cross_links_find_every_component_pair():
     import pandas as pd
 
     texts = [t for t in near_texts(9, 60) if t and t.strip()]
     sets = [minhash.shingles(t, 3) for t in texts]
-    cell = pd.DataFrame({"cls": range(len(texts)), "comp": range(len(texts)), "side": 2, "set": [s.astype(np.uint32).tobytes() for s in sets]})
+    cell = pd.DataFrame({"cls": range(len(texts)), "comp": range(len(texts)), "side": 2, "set": [s.tobytes() for s in sets]})
     links = minhash.cross_links(cell, 85)
-    _, roots = brute_components(texts, 3, 85)
+    _, roots, _ = brute_components(texts, 3, 85)
     root = list(range(len(texts)))
 
     def find(x):
@@ -222,22 +272,60 @@ def passage(draw, n):
     return " ".join(out)
 
 
-def brute_substring(texts, span, least):
-    seen, removed = {}, {}
-    held = [substring_dedup.Runs([t or ""], span, least) for t in texts]
-    for i, own in enumerate(held):
-        for h in own.hashes.tolist():
-            seen.setdefault(tuple(h), i)
+def plain_sentences(text):
+    """Sentences by their definition, as lists of (word, the white space after it)."""
+    tokens = re.findall(r"\s*\S+\s*", text) or ([text] if text else [])
+    clauses, now = [], []
+    for k, token in enumerate(tokens):
+        now.append(token)
+        body = token.rstrip()
+        space = token[len(body) :]
+        if "\n" in space or (space and body[-1:] in tuple(".!?,;:")) or k == len(tokens) - 1:
+            clauses.append(now)
+            now = []
     out = []
-    for i, own in enumerate(held):
+    for clause in clauses:
+        rank = [xxhash.xxh3_64_intdigest(t.strip()) | 1 for t in clause]
+        chosen = set()
+        if len(clause) > substring_dedup.LONG:
+            n = substring_dedup.WINDOW
+            for at in range(len(clause) - n + 1):
+                least = min(rank[at : at + n])
+                chosen |= {k for k in range(at, at + n) if rank[k] == least}
+        start = 0
+        for k in range(len(clause)):
+            if k in chosen or k == len(clause) - 1:
+                out.append(clause[start : k + 1])
+                start = k + 1
+    return out
+
+
+def brute_substring(rows, span, least):
+    """(text, removed) of each (doc_id, text) by dictionaries of word tuples."""
+    held, owner = [], {}
+    for doc, text in rows:
+        own = plain_sentences(text or "")
+        words = [tuple(w.strip() for w in s) for s in own]
+        runs = []
+        for a in range(len(own)):
+            b, n = a + span, None
+            while b <= len(own) and sum(map(len, words[a:b])) < least:
+                b += 1
+            if b <= len(own):
+                runs.append((a, b, tuple(words[a:b])))
+        held.append((own, runs))
+        for *_, run in runs:
+            if doc is not None:
+                owner[run] = min(doc, owner.get(run, doc))
+    out = []
+    for (doc, _), (own, runs) in zip(rows, held, strict=True):
         gone, mine = set(), set()
-        for h, a, b in zip(own.hashes.tolist(), own.start.tolist(), own.end.tolist(), strict=True):
-            if seen[tuple(h)] != i or tuple(h) in mine:
-                gone.update(range(a, b))
-            mine.add(tuple(h))
-        out.append("".join(x for k, x in enumerate(own.sentences[0]) if k not in gone))
-        removed[i] = len(gone)
-    return out, removed
+        for a, b, run in runs:
+            if run in mine or (doc is not None and owner[run] < doc):
+                gone |= set(range(a, b))
+            mine.add(run)
+        out.append(("".join("".join(s) for k, s in enumerate(own) if k not in gone), len(gone)))
+    return out
 
 
 def test_substring_equals_brute_force_and_spares_clean(spark):
@@ -246,15 +334,35 @@ def test_substring_equals_brute_force_and_spares_clean(spark):
     texts = [passage(draw, 80) for _ in range(6)]
     texts += [f"{passage(draw, 30)} {shared} {passage(draw, 30)}" for _ in range(4)] + [f"{shared}\n{shared}", None, ""]
     got = {r["doc_id"]: r for r in substring_dedup.substring_dedup(docs(spark, texts)).collect()}
-    expected, removed = brute_substring(texts, substring_dedup.SPAN, substring_dedup.MIN_WORDS)
-    assert [got[i]["text"] for i in range(len(texts))] == expected
-    assert all(got[i]["n_removed"] == removed[i] for i in range(len(texts)))
+    expected = brute_substring(list(enumerate(texts)), substring_dedup.SPAN, substring_dedup.MIN_WORDS)
+    assert [(got[i]["text"], got[i]["n_removed"]) for i in range(len(texts))] == expected
     assert all(got[i]["text"] == texts[i] for i in range(7))  # clean ones and the first copy
     for i in range(7, 10):
         left = len(got[i]["text"].split())
         assert 60 <= left <= 80  # most of the 60 shared words are gone, the 60 own ones stay
 
 
+def test_substring_equals_brute_force_on_the_table(spark):
+    table = sf_docs(spark)
+    rows = sorted((r["doc_id"], r["text"]) for r in table.select("doc_id", "text").collect())
+    got = {r["doc_id"]: (r["text"], r["n_removed"]) for r in substring_dedup.substring_dedup(table).collect()}
+    expected = dict(zip([r[0] for r in rows], brute_substring(rows, substring_dedup.SPAN, substring_dedup.MIN_WORDS), strict=True))
+    assert got == expected and any(n for _, n in got.values())
+
+
+@pytest.mark.parametrize("kind", ["long", "string"])
+def test_rows_that_share_an_id_lose_their_own_repeats_only(spark, kind):
+    draw = random.Random(31)
+    shared, a, b, c = (passage(draw, 60) for _ in range(4))
+    rows = [(1, f"{shared} {a}"), (2, f"{shared} {b}"), (2, c), (2, None), (None, f"{shared} {shared}"), (3, f"{a}\n{c}")]
+    table = spark.createDataFrame([(None if i is None else str(i), t) for i, t in rows], "doc_id string, text string").withColumn("doc_id", F.col("doc_id").cast(kind))
+    got = sorted(((r["doc_id"], r["text"]) for r in substring_dedup.substring_dedup(table).collect()), key=str)
+    expected = brute_substring(rows, substring_dedup.SPAN, substring_dedup.MIN_WORDS)
+    as_id = lambda i: None if i is None else i if kind == "long" else str(i)
+    assert got == sorted(((as_id(i), t) for (i, _), (t, _) in zip(rows, expected, strict=True)), key=str)
+    assert (as_id(2), c) in got
+
+
 def test_sentences_are_the_whole_text():
     draw = random.Random(8)
     for _ in range(300):
@@ -295,12 +403,12 @@ def test_planted_passages_are_found_in_every_script(script, marks):
         own = substring_dedup.Runs([" ".join(a), second], substring_dedup.SPAN, substring_dedup.MIN_WORDS)
         h = own.hashes.tolist()
         first = {tuple(x) for x, t in zip(h, own.text, strict=True) if t == 0}
-        places = {int(p) for x, t, p in zip(h, own.text, own.start, strict=True) if t == 1 and tuple(x) in first}
-        left = substring_dedup.remove_repeats([" ".join(a), second], [set(), places], substring_dedup.SPAN, substring_dedup.MIN_WORDS)[1][0].split()
+        runs = np.array([x[0] for x, t in zip(h, own.text, strict=True) if t == 1 and tuple(x) in first], np.int64)
+        left = substring_dedup.remove_repeats([" ".join(a), second], [substring_dedup.NONE, runs], substring_dedup.SPAN, substring_dedup.MIN_WORDS)[1][0].split()
         expected = repeated_words(a, b, 51)
         assert expected
-        # at least ten words of the passage go and none outside of it, but for what the brute force finds in shorter runs
-        assert len(b) - len(left) >= 10
+        # at least MIN_WORDS words of the passage go and none outside of it, but for what the brute force finds in shorter runs
+        assert len(b) - len(left) >= substring_dedup.MIN_WORDS
         wider = repeated_words(a, b, substring_dedup.MIN_WORDS)
         assert len(b) - len(left) <= len(wider)
 
@@ -427,6 +535,24 @@ def test_classifier_reads_no_labels_of_held_out_rows(spark):
     assert a == b
 
 
+def test_classifier_equals_a_brute_force_vote(spark):
+    """Scores by cosines one pair at a time, and a sort of all of them."""
+    table, labels = (spark.read.parquet(f"{oracle.SF}/{t}.parquet") for t in ("documents", "labels"))
+    fitted = knn_quality.model(table, labels)
+    texts = {r["doc_id"]: r["text"] for r in table.collect()}
+    got = {r["doc_id"]: r["score"] for r in knn_quality.knn_quality(table, labels).collect()}
+    for doc_id in sorted(texts)[:60]:
+        x = knn_quality.count_vector(texts[doc_id] or "").astype(np.float64) * fitted.weight
+        x = x / np.sqrt((x * x).sum())
+        v = np.array([(x * fitted.projection[:, d]).sum() for d in range(fitted.projection.shape[1])])
+        near = sorted(((float((v * w).sum() / np.sqrt((v * v).sum())), y) for w, y in zip(fitted.vectors.astype(np.float64), fitted.labels, strict=True)), reverse=True)
+        at = near[: knn_quality.NEIGHBOURS]
+        tied = [s for s, _ in near[knn_quality.NEIGHBOURS :][:1] if s > at[-1][0] - 1e-5]
+        if not tied:  # equal neighbours at the border may be chosen either way
+            votes = [(max(s, 1e-6) ** 4, y) for s, y in at]
+            assert got[doc_id] == pytest.approx(sum(w * y for w, y in votes) / sum(w for w, _ in votes), abs=2e-3)
+
+
 def test_html_field_on_unseen_layouts():
     field = html_text.trained()
     right = total = 0
@@ -436,6 +562,39 @@ def test_html_field_on_unseen_layouts():
     assert right / total >= 0.98
 
 
+def test_html_labels_follow_the_article_on_the_table(spark):
+    """Every block of every page of the table: its label is whether an article or main is around it and nothing of
+    another kind inside of that."""
+    field, n, main = html_text.trained(), 0, 0
+    for r in spark.read.parquet(f"{oracle.SF}/pages.parquet").collect():
+        found = html_text.blocks(r["html"] or "")
+        for block, label in zip(found, field.decode(found), strict=True):
+            inside = bool(block.tags & {"article", "main"}) and not block.tags & {"nav", "aside", "footer", "form"} and not block.kinds & {"advert", "menu", "notice", "side", "comment"}
+            assert label == inside, (r["page_id"], block.text[:80])
+            n, main = n + 1, main + label
+    assert n > 500 and 0.2 < main / n < 0.95
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<div>" * 100_000 + "x" + "</div>" * 100_000,
+        "<div>a" * 100_000,
+        "<b>" * 50_000 + "</i>" * 50_000 + "x",
+        "<i><div>" + "<b>" * 50_000 + "</i>" * 50_000 + "x",
+        "<ul>" + "<li><span>x" * 50_000,
+        "".join(f"<x{i}>a</y{i}>" for i in range(50_000)),
+        "<p>" + "".join(f"<q id='n{i}'>" for i in range(50_000)) + "<p>x" * 1000,
+    ],
+    ids=["deep", "open", "unmatched", "walled", "items", "names", "attributes"],
+)
+def test_deep_pages_take_linear_time(page):
+    began = time.perf_counter()
+    text = html_text.extract(page, html_text.trained())
+    assert isinstance(text, str) and time.perf_counter() - began < 20
+    assert html_text._kinds.cache_info().currsize <= 20_000
+
+
 def test_html_pages(spark):
     page = (
         "<html><head><title>no</title><script>if (a<b) x('</p>')</script></head><body><nav><ul><li><a href=/>Home</a></li></ul></nav>"
@@ -475,6 +634,8 @@ def test_urls_with_colliding_digests(spark):
         assert [got[i]["verdict"] for i in range(3)] == ["block", "block", "allow"] and got[5]["verdict"] == "block"
     with pytest.raises(ValueError):
         url_filter.publish(spark, [("deny", "a/")])
+    assert url_filter.publish(spark, entry.URL_RULES) == url_filter.publish(spark, entry.URL_RULES)
+    assert len({x for x in spark.sparkContext.listFiles if "rules-" in x}) <= 2
 
 
 def test_line_shares_are_relative_to_the_host(spark):
@@ -484,6 +645,16 @@ def test_line_shares_are_relative_to_the_host(spark):
     assert got[100]["text"] == "menu\nother"  # 1 page in 200
 
 
+def test_lines_are_joined_where_the_boilerplate_is_too_large_to_send(spark, monkeypatch):
+    draw = random.Random(9)
+    rows = [(i if i % 7 else None, "\n".join(draw.choice(["menu", " menu ", f"own {i}", "", "foot", f"x{draw.randrange(6)}"]) for _ in range(6)), "en", draw.choice(["a", "b", None]), 0) for i in range(300)]
+    table = spark.createDataFrame([*rows, rows[0], (5, None, "en", "a", 0), (5, "menu", "en", "b", 0)], SCHEMA).withColumns({"_bad": F.lit(1), "a": F.lit(2)})
+    by_broadcast = sorted(line_dedup.line_dedup(table).collect(), key=str)
+    monkeypatch.setattr(line_dedup, "BROADCAST_ROWS", 0)
+    assert sorted(line_dedup.line_dedup(table).collect(), key=str) == by_broadcast
+    assert 0 < sum(r["n_dropped"] for r in by_broadcast) < sum(r["n_lines"] for r in by_broadcast)
+
+
 def test_allowed_failures(spark):
     from math import comb
 
