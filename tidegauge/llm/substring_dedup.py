@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidegauge.llm.common import Remembered, claim, materialize
+from tidegauge.llm.common import Bloom, Remembered, claim, materialize
 
 SPAN = 4
 #: Runs of fewer words are no evidence of copying; they take in further sentences.
@@ -171,10 +171,12 @@ def _together(texts: pd.Series) -> Iterator[slice]:
         yield slice(at, len(texts))
 
 
-def spans(docs: DataFrame, span: int, min_words: int) -> DataFrame:
-    """doc_id, a, b: the runs of every text, once for each hash (of which 96 bits are kept) and text."""
+def spans(docs: DataFrame, span: int, min_words: int, among: Bloom | None = None) -> DataFrame:
+    """doc_id, a, b: the runs of every text, once for each hash (of which 96 bits are kept) and text; only those whose ``a``
+    may be ``among`` a set, if given, which is tested where the text is read."""
     kind = docs.schema["doc_id"].dataType
     schema = T.StructType([T.StructField("doc_id", kind), T.StructField("a", T.LongType()), T.StructField("b", T.IntegerType())])
+    held = docs.sparkSession.sparkContext.broadcast(among)
 
     def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         claim("runs", _release)
@@ -182,7 +184,7 @@ def spans(docs: DataFrame, span: int, min_words: int) -> DataFrame:
             ids = batch["doc_id"].to_numpy()
             for part in _together(batch["text"]):
                 own = Runs([t or "" for t in batch["text"].iloc[part]], span, min_words)
-                f = own.first
+                f = own.first if held.value is None else own.first & held.value.has(own.hashes[:, 0])
                 yield pd.DataFrame({"doc_id": ids[part][own.text[f]], "a": own.hashes[f, 0], "b": (own.hashes[f, 1] >> 32).astype(np.int32)})
 
     return docs.where("doc_id is not null").select("doc_id", F.col("text").cast("string").alias("text")).mapInPandas(emit, schema)
@@ -217,10 +219,13 @@ def substring_dedup(docs: DataFrame, span: int = SPAN, min_words: int = MIN_WORD
     Rows that share a doc_id count as one document: none is the other's repeat, and each loses only runs that it has
     itself. Rows without a doc_id lose only what they repeat themselves. Columns of docs named like the two counts are replaced. An empty table gives no rows.
     """
-    found = spans(docs, span, min_words)
-    often = found.groupBy("a", "b").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last").select("a", "b", "first")
+    often = spans(docs, span, min_words).groupBy("a", "b").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
+    often = materialize(often.where("first < last").select("a", "b", "first"), "often")
+    # runs and texts without repeats aren't moved: small filters of bounded size are tested where the text is read
+    found = spans(docs, span, min_words, Bloom.of(often, "a"))
     hits = found.join(often, ["a", "b"]).where("doc_id <> first").groupBy("doc_id").agg(F.collect_set("a").alias("_runs"))
     hits = materialize(hits.withColumnRenamed("doc_id", "_id"), "repeats")
+    may = Bloom.of(hits.select(F.xxhash64("_id").alias("_h")), "_h").column(docs.sparkSession, "_op1_key")
 
     @F.pandas_udf("text string, n_sentences long, n_removed long")
     def cleaned(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
@@ -233,7 +238,9 @@ def substring_dedup(docs: DataFrame, span: int = SPAN, min_words: int = MIN_WORD
             yield pd.DataFrame(rows, columns=["text", "n_sentences", "n_removed"])
 
     base = docs.drop("n_sentences", "n_removed")
-    joined = base.join(hits, base["doc_id"] == hits["_id"], "left")
-    out = joined.withColumn("_c", cleaned(F.col("text").cast("string"), F.col("_runs")))
+    keyed = base.withColumn("_op1_key", F.xxhash64("doc_id")).withColumn("_op1_may", F.col("doc_id").isNotNull() & may)
+    joined = keyed.where("_op1_may").join(hits, keyed["doc_id"] == hits["_id"], "left").select(*(f"`{c}`" for c in base.columns), "_runs")
+    rest = keyed.where("not _op1_may").select(*(f"`{c}`" for c in base.columns), F.lit(None).cast("array<long>").alias("_runs"))
+    out = joined.unionByName(rest).withColumn("_c", cleaned(F.col("text").cast("string"), F.col("_runs")))
     columns = [F.col("_c.text").alias(c) if c == "text" else F.col(f"`{c}`") for c in base.columns]
     return out.select(*columns, F.col("_c.n_sentences").alias("n_sentences"), F.col("_c.n_removed").alias("n_removed"))
