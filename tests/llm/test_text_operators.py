@@ -22,7 +22,7 @@ from tidegauge.llm.components import components
 
 P = pytest.importorskip("public_tokenizers")
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
-PIECES, RANKS = P.path("piece_bpe_32k.model"), P.path("byte_bpe_50k.tiktoken")
+PIECES, BYTES = P.path("piece_bpe_32k.model"), P.path("byte_bpe_50k.json")
 
 
 def docs(spark, texts, first=0):
@@ -59,7 +59,7 @@ LABELS = "doc_id long, quality int, toxic int"
         lambda d, s: quality_rules.quality_rules(d, s.createDataFrame([(3, 0, 0), (4, 1, 0)], LABELS)),
         lambda d, s: exact_dedup.exact_dedup(d),
         lambda d, s: line_dedup.line_dedup(d),
-        lambda d, s: packing.pack(d, RANKS, P.PATTERN),
+        lambda d, s: packing.pack(d, BYTES),
     ],
     ids=["substring", "knn", "codec", "minhash", "rules", "exact", "lines", "packing"],
 )
@@ -454,10 +454,9 @@ def test_long_merges_equal_short_ones():
 def test_packing_round_trip(spark):
     from tokenizers import Tokenizer
 
-    library = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
-    library.encode_special_tokens = True
-    table = sf_docs(spark).unionByName(docs(spark, [None, "", "a  b\n", " x", "<|endoftext|> y"], 10**6))
-    got = packing.pack(table, RANKS, P.PATTERN).collect()
+    library = Tokenizer.from_file(BYTES)
+    table = sf_docs(spark).unionByName(docs(spark, [None, "", "a  b\n", " x", "<|endoftext|> y", "<|endoftext|>", "z" * 200_000, "é日" * 40_000, "a\x1c b\x85 c", "\u3000 a\u00a0 b"], 10**6))
+    got = packing.pack(table, BYTES).collect()
     texts = {r["doc_id"]: r["text"] or "" for r in table.select("doc_id", "text").collect()}
     found, bins = {}, {}
     for r in got:
@@ -486,14 +485,13 @@ def test_packing_round_trip(spark):
 def test_packed_ids_have_the_added_tokens(spark, tmp_path):
     from tokenizers import Tokenizer
 
-    library = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    library = Tokenizer.from_file(BYTES)
     draw = random.Random(14)
     texts = ["a <|endoftext|> b", "<|endoftext|>", "<|endoftext|><|endoftext|> x", "a<|endoftext|>  ", "<|endoftext|", " <|endoftext|>\n<|endoftext|>y  z", "no"]
-    texts += ["".join(draw.choice(["a", " ", "b ", "\n", "<|endoftext|>", "<|", "|>", "é"]) for _ in range(draw.randint(1, 30))) for _ in range(200)]
-    own = packing.Tokens(RANKS, P.PATTERN, packing.added_tokens(P.path("byte_bpe_50k.json")))
+    texts += ["".join(draw.choice(["a", " ", "b ", "\n", "<|endoftext|>", "<|", "|>", "é", "\u3000", "\x1c", "'s"]) for _ in range(draw.randint(1, 30))) for _ in range(400)]
     ids = [library.encode(t, add_special_tokens=False).ids for t in texts]
     assert ids[0] == [64, 220, 50256, 275]
-    assert [np.frombuffer(own.encode(t), "<u4").tolist() for t in texts] == ids
+    assert [np.frombuffer(x, "<u4").tolist() for x in packing.Tokens(BYTES).encode(texts)] == ids
     docs(spark, texts).write.parquet(f"{tmp_path}/documents.parquet")
     expected = [zlib.crc32(np.array([*x, 0], "<u4").tobytes()) for x in ids]
     stage = corpus_pipeline.STAGES[-1][1](spark, docs(spark, texts), str(tmp_path))
@@ -501,6 +499,17 @@ def test_packed_ids_have_the_added_tokens(spark, tmp_path):
         assert [r["ids_crc32"] for r in got.orderBy("doc_id").collect()] == expected
 
 
+def test_packing_ids_equal_the_library_on_every_document(spark):
+    from tokenizers import Tokenizer
+
+    library, own = Tokenizer.from_file(BYTES), packing.Tokens(BYTES)
+    texts = [r["text"] or "" for r in spark.read.parquet(f"{oracle.SF.replace('0.001', '0.01')}/documents.parquet").select("text").collect()]
+    for at in range(0, len(texts), 100):
+        part = texts[at : at + 100]
+        expected = [np.array(x.ids, "<u4").tobytes() for x in library.encode_batch(part, add_special_tokens=False)]
+        assert own.encode(part) == expected
+
+
 def test_evolution_is_never_worse_and_whole():
     draw = random.Random(2)
     size = [draw.randint(1, 2047) for _ in range(300)]

@@ -68,10 +68,7 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    import public_tokenizers
-
-    added = packing.added_tokens(tokenizer("byte_bpe_50k.json"))
-    return packing.pack(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, added=added)
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
 
 
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
