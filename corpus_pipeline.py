@@ -44,10 +44,7 @@ def substring(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces placed in sequences."""
-    import public_tokenizers
-
-    added = packing.added_tokens(entry.tokenizer("byte_bpe_50k.json"))
-    return packing.pack(docs, entry.tokenizer("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, added=added)
+    return packing.pack(docs, entry.tokenizer("byte_bpe_50k.json"))
 
 
 STAGES: list[tuple[str, Stage]] = [
