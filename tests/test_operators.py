@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import gzip
+import hashlib
+import random
 import zipfile
 from datetime import datetime, timedelta
 from math import erfc, sqrt
+from statistics import median
 
 import pytest
 from pyspark.errors import PySparkException
@@ -12,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tidegauge.functions import blocks, scalars
 from tidegauge.functions import time as T
-from tidegauge.operators import asof, bars, events, features, metrics, outcomes, placebo, quality, screen, writes
+from tidegauge.operators import asof, bars, events, features, metrics, outcomes, placebo, quality, quantiles, screen, writes
 from tidegauge.sources import readers
 
 T0 = datetime(2024, 1, 2, 10, 0)
@@ -118,9 +122,16 @@ def test_outcomes_and_sweep(spark):
     holed = outcomes.excursions(trades, prices.where(F.col("ts") != at(120)), ["k"], 3600).collect()[0]
     assert holed["points"] == 3 and holed["mae"] is None
     asks = frame(spark, [("b", 101.0, 2.0, 1), ("b", 102.0, 4.0, 2)], "k string, price double, amount double, i int")
-    got = outcomes.sweep(asks, ["k"], 304.0, F.col("price"), "i").collect()[0]
-    assert got["depth_ok"] and got["quantity"] == pytest.approx(3.0)
-    assert not outcomes.sweep(asks, ["k"], 1e6, F.col("price"), "i").collect()[0]["depth_ok"]
+    grid = outcomes.sweep(asks, ["k"], (304.0, 1e6), F.col("price"), "i")
+    got = {r["notional"]: r for r in grid.collect()}
+    assert got[304.0]["depth_ok"] and got[304.0]["quantity"] == pytest.approx(3.0)
+    assert not got[1e6]["depth_ok"] and got[1e6]["quantity"] is None and got[1e6]["unfilled"] == pytest.approx(1e6 - 610)
+    bids = frame(spark, [("b", 110.0, 1.0, 1), ("b", 100.0, 9.0, 2)], "k string, price double, amount double, i int")
+    sold = {r["notional"]: r for r in outcomes.capacity_returns(grid, bids, ["k"], F.desc("price"), "i").collect()}
+    assert sold[304.0]["proceeds"] == pytest.approx(310.0) and sold[304.0]["return"] == pytest.approx(310 / 304 - 1)
+    assert not sold[1e6]["depth_ok"] and sold[1e6]["return"] is None
+    none = outcomes.capacity_returns(grid, bids.where("false"), ["k"], F.desc("price"), "i").collect()
+    assert not any(r["depth_ok"] for r in none)
 
 
 def test_band_sum_is_open_at_the_start(spark):
@@ -129,14 +140,90 @@ def test_band_sum_is_open_at_the_start(spark):
     assert outcomes.band_sum(e, paid, ["k"], "v").collect()[0]["paid"] == 6.0
 
 
-def test_metrics_edges(spark):
+def plain_metrics(rows):
+    """The thirty metrics of (ts, id, net, symbol, mae, mfe, concurrency) rows, one after the other."""
+    rows = sorted(rows, key=lambda r: r[:3])
+    x = [r[2] for r in rows]
+    won, lost = [v for v in x if v > 0], [v for v in x if v < 0]
+    total = peak = worst = 0.0
+    streak = longest = 0
+    for v in x:
+        total += v
+        peak = max(peak, total)
+        worst = min(worst, total - peak)
+        streak = streak + 1 if v < 0 else 0
+        longest = max(longest, streak)
+    counts = {}
+    for r in rows:
+        counts[r[3]] = counts.get(r[3], 0) + 1
+    gaps = [int((b[0] - a[0]).total_seconds()) for a, b in zip(rows, rows[1:])]
+    avg = lambda v: sum(v) / len(v) if v else None
+    mid = lambda v: median(v) if v else None
+    at = lambda q: sorted(x)[int((len(x) - 1) * q)] + (sorted(x)[min(len(x) - 1, int((len(x) - 1) * q) + 1)] - sorted(x)[int((len(x) - 1) * q)]) * ((len(x) - 1) * q % 1)
+    low = min(lost) if lost else 0.0
+    return {
+        "n": len(x), "wins": len(won), "losses": len(lost), "flats": len(x) - len(won) - len(lost), "n_symbols": len(counts), "n_dates": len({r[0].date() for r in rows}), "most_of_one_symbol": max(counts.values()),
+        "hit_rate": len(won) / len(x), "mean": avg(x), "median": mid(x), "avg_winner": avg(won), "median_winner": mid(won), "avg_loser": avg(lost), "median_loser": mid(lost),
+        "profit_factor": sum(won) / -sum(lost) if lost else float("inf") if won else None, "worst_loss": low, "p05": at(0.05), "p01": at(0.01), "worst_mae": min(r[4] for r in rows), "best_mfe": max(r[5] for r in rows),
+        "worst_loss_ratio": -low / avg(won) if won else None, "losers_near": sum(-v <= 0.1 * avg(won) for v in lost) / len(lost) if lost and won else None if lost else 1.0,
+        "total": sum(x), "drawdown": worst, "losing_streak": longest, "longest_gap": max(gaps) if gaps else None, "max_concurrency": max(r[6] for r in rows), "avg_concurrency": avg([r[6] for r in rows]),
+    }
+
+
+@pytest.mark.parametrize("limit", [1_000_000, 2])
+def test_trade_metrics_equal_a_plain_pass(spark, monkeypatch, limit):
+    draw = random.Random(5)
+    monkeypatch.setattr(quantiles.percentiles_of, "__defaults__", (None, limit))
+    rows = []
+    for g, n in (("many", 400), ("few", 5), ("gains", 6), ("losses", 7), ("flat", 3), ("one", 1)):
+        for i in range(n):
+            net = {"gains": abs, "losses": lambda v: -abs(v), "flat": lambda v: 0.0}.get(g, lambda v: v)(round(draw.choice([0.0, draw.uniform(-1, 1), draw.uniform(-1, 0.4)]), 3) or (0.0 if g not in ("gains", "losses") else 0.5))
+            rows.append((g, at(draw.randrange(0, 60 * 24 * 40)), draw.randrange(50), net, draw.choice("abc"), -draw.random(), draw.random(), draw.randrange(9)))
+    df = frame(spark, rows, "g string, ts timestamp_ntz, id int, net double, symbol string, mae double, mfe double, concurrency int")
+    got = {r["g"]: r.asDict() for r in metrics.trade_metrics(df, ["g"]).collect()}
+    for g in got:
+        expected = plain_metrics([r[1:] for r in rows if r[0] == g])
+        for k, v in expected.items():
+            assert got[g][k] == (v if v is None or isinstance(v, int) else pytest.approx(v)), (g, k)
+        assert len(got[g]) == 31
+    assert set(got) == {"many", "few", "gains", "losses", "flat", "one"}
+    assert got["flat"]["losing_streak"] == 0 and got["gains"]["profit_factor"] == float("inf") and got["flat"]["profit_factor"] is None
+
+
+def test_event_metrics_edges(spark):
     df = frame(spark, [("gains", 0.1), ("gains", 0.12), ("losses", -0.1), ("one", 0.2)], "g string, net double")
-    got = {r["g"]: r for r in df.groupBy("g").agg(*metrics.event_metrics("net")).collect()}
+    got = {r["g"]: r for r in metrics.event_metrics(df, ["g"]).collect()}
     assert got["gains"]["worst_loss_ratio"] == 0 and got["gains"]["profit_factor"] is None and got["gains"]["avg_winner"] == pytest.approx(0.11)
-    assert got["losses"]["worst_loss_ratio"] is None and got["one"]["sd"] is None
-    trades = df.withColumns({"ts": F.lit(T0).cast("timestamp_ntz"), "id": F.monotonically_increasing_id()})
-    whole = {r["g"]: r for r in metrics.trade_metrics(trades, ["g"]).collect()}
-    assert whole["gains"]["profit_factor"] == float("inf") and whole["losses"]["losing_streak"] == 1
+    assert got["losses"]["worst_loss_ratio"] is None and got["one"]["sd"] is None and got["gains"]["sd"] == pytest.approx(0.0141421356)
+
+
+def test_percentiles_and_places_by_range_equal_those_in_memory(spark):
+    draw = random.Random(8)
+    rows = [(draw.choice("ab"), float(draw.choice([3, 3, 3, draw.randrange(200)]))) for _ in range(3000)] + [("c", 1.0), ("d", None)]
+    df = frame(spark, rows, "g string, v double").repartition(7)
+    points = {"p0": 0.0, "p37": 0.37, "p50": 0.5, "p99": 0.99, "p100": 1.0}
+    a, b = (sorted(tuple(r) for r in quantiles.percentiles(df, ["g"], "v", points, limit).collect()) for limit in (10**6, 1))
+    assert len(a) == len(b) == 3
+    for x, y in zip(a, b, strict=True):
+        assert x[0] == y[0] and x[1:] == pytest.approx(y[1:])
+    placed = quantiles.places(df.where("v is not null"), ["g"], ["v"], "r").collect()
+    for g in "ab":
+        own = sorted((r["r"], r["v"]) for r in placed if r["g"] == g)
+        assert [x for x, _ in own] == list(range(1, len(own) + 1)) and [v for _, v in own] == sorted(v for _, v in own)
+    assert sorted(r["r"] for r in quantiles.places(df, [], ["v"], "r").collect()) == list(range(1, len(rows) + 1))
+
+
+def test_concentration_and_gates(spark):
+    rows = [("even", s, 0.1, i) for i, s in enumerate("abcdef")] + [("led", "a", 5.0, 0), ("led", "b", -0.1, 1), ("led", "c", -0.1, 2), ("single", "a", 1.0, 0)]
+    df = frame(spark, rows, "g string, s string, net double, i int")
+    got = {r["g"]: r for r in metrics.concentration(df, ["g"], "s").collect()}
+    assert got["even"]["concentration_ok"] and not got["led"]["concentration_ok"] and not got["single"]["concentration_ok"]
+    assert got["led"]["worst_left_out"] == pytest.approx(-0.1) and got["led"]["mean_rest"] == pytest.approx(-0.1)
+    g = {r["g"]: r for r in placebo.gates(df, ["g"], "s", F.col("i") % 3, F.col("i") < 2, [0.01, 0.05], cost=0.01).collect()}
+    assert g["even"]["positive_blocks"] == 3 and g["even"]["stressed_ok"] and g["even"]["executable_ok"] and g["even"]["mean_stressed"] == pytest.approx(0.04)
+    assert not g["led"]["stressed_ok"] and g["led"]["profit_factor"] == pytest.approx(4.99 / 0.22)
+    m = frame(spark, [(9, 0.6, 0.1, 2.0, 0.1, True, True), (20, 0.6, 0.1, 2.0, 0.1, True, True), (20, 0.6, 0.1, 2.0, -0.1, True, True), (20, 0.6, 0.1, None, 0.1, False, True)], "n int, hit_rate double, mean double, profit_factor double, mean_stressed double, checks_ok boolean, concentration_ok boolean")
+    assert [r["grade"] for r in placebo.grade_forward(m).collect()] == ["B", "A", "D", "C"]
 
 
 def test_tail_probabilities(spark):
@@ -177,8 +264,30 @@ def test_holdout_opens_once(spark, tmp_path):
 
 def test_permutation_keeps_values(spark):
     df = frame(spark, [("g", i, float(i)) for i in range(20)], "g string, id int, v double")
-    got = screen.permuted(df, ["g"], "id", "s", ["v"]).collect()
-    assert sorted(r["v"] for r in got) == [float(i) for i in range(20)] and any(r["v"] != r["id"] for r in got)
+    got = screen.permuted(df, ["g"], ["id"], ["s", "t"], ["v"]).collect()
+    for seed in "st":
+        own = [r for r in got if r["seed"] == seed]
+        assert sorted(r["v"] for r in own) == [float(i) for i in range(20)] and any(r["v"] != r["id"] for r in own)
+    assert [r["v"] for r in sorted(got, key=lambda r: (r["seed"], r["id"]))][:20] != [r["v"] for r in sorted(got, key=lambda r: (r["seed"], r["id"]))][20:]
+
+
+def test_permutation_of_rows_that_share_an_id_is_the_same_each_time(spark):
+    rows = [("g", 1, float(i), i) for i in range(6)] + [("g", 2, 9.0, 0), ("g", 2, 9.0, 0)]
+    df = frame(spark, rows, "g string, id int, v double, k int")
+    a, b = (sorted((r["id"], r["k"], r["v"]) for r in screen.permuted(x, ["g"], ["id", "v", "k"], ["s"], ["v"]).collect()) for x in (df.repartition(3), df.orderBy(F.desc("v")).coalesce(1)))
+    assert a == b
+
+
+def test_config_problems_are_those_of_the_config(spark):
+    day = lambda n: datetime(2024, 1, n)
+    rows = [(q, day(a), day(b), day(c), day(d), f) for q in ([0.1], [], [0.5], [0.2, 0.0]) for a, b, c, d in ((1, 5, 5, 9), (5, 5, 6, 9), (1, 5, 4, 9), (1, 5, 6, 6)) for f in (0.05, 0.0, 1.0)]
+    df = frame(spark, rows, "quantiles array<double>, discovery_start timestamp_ntz, discovery_end timestamp_ntz, validation_start timestamp_ntz, validation_end timestamp_ntz, fdr double")
+    for r in screen.config_problems(df).collect():
+        try:
+            screen.ScreenConfig((r[1], r[2]), (r[3], r[4]), tuple(r[0]), fdr=r[5])
+            assert r["problems"] == []
+        except ValueError:
+            assert r["problems"]
 
 
 def test_perturbation_and_grades(spark):
@@ -208,10 +317,35 @@ def test_writes_to_files(spark, tmp_path):
     writes.replace_slice(frame(spark, [("b", 3)], "k string, v int"), path, ["k"])
     assert {(r["k"], r["v"]) for r in spark.read.parquet(path).collect()} == {("a", 1), ("b", 3)}
     manifest = writes.write_segments(df, f"file://{tmp_path}/s", ["k"])
-    assert {tuple(r) for r in manifest.collect()} == {("a", 1), ("b", 1)}
+    stored = {r["k"]: r for r in manifest.collect()}
+    assert {k: r["rows"] for k, r in stored.items()} == {"a": 1, "b": 1}
+    for r in stored.values():
+        content = open(r["path"].removeprefix("file:"), "rb").read()
+        assert (len(content), hashlib.sha256(content).hexdigest()) == (r["bytes"], r["checksum"])
     assert spark.read.json(f"file://{tmp_path}/s").count() == 2
     writes.export_csv({"t": df.withColumn("n", F.struct("v"))}, f"file://{tmp_path}/e")
-    assert spark.read.option("header", True).csv(f"file://{tmp_path}/e/t").where("k = 'a'").collect()[0]["n"] == '{"v":1}'
+    assert spark.read.option("header", True).option("escape", '"').csv(f"file://{tmp_path}/e/t").where("k = 'a'").collect()[0]["n"] == '{"v":1}'
+
+
+def test_quote_files_and_required_columns(spark, tmp_path):
+    lines = ["exchange,symbol,timestamp,local_timestamp,ask_amount,ask_price,bid_price,bid_amount", "x,S,1704189600000000,1704189600000001,2,101,99,3", "x,S,bad,0,1,1,1,1", "x,S,1704189600000000,0,1,,1,1"]
+    with gzip.open(tmp_path / "q.csv.gz", "wt") as out:
+        out.write("\n".join(lines))
+    got = readers.quote_files(spark, f"file://{tmp_path}/q.csv.gz").collect()
+    assert len(got) == 1 and got[0]["ts"] == datetime(2024, 1, 2, 10) and (got[0]["ask_price"], got[0]["bid_amount"]) == (101.0, 3.0)
+    with gzip.open(tmp_path / "w.csv.gz", "wt") as out:
+        out.write("exchange,symbol,timestamp\nx,S,1\n")
+    with pytest.raises(ValueError):
+        readers.quote_files(spark, f"file://{tmp_path}/w.csv.gz")
+
+
+def test_unknown_messages_are_counted(spark):
+    rows = [
+        ("binance_spot", "{broken"), ("binance_spot", None), ("nowhere", "{}"), ("kraken", '{"channel":"trade","data":[]}'), ("kraken", '{"channel":"heartbeat"}'), ("coinbase", '{"type":"match","product_id":"A","price":"x","size":"1"}'),
+        ("bybit", '{"topic":"publicTrade.A","data":[{"T":1704189600000,"S":"Buy","v":"1","p":"2"},{"T":1704189600000,"S":"Sell","v":"3","p":"4"}]}'),
+    ]
+    got = readers.venue_events(frame(spark, rows, "venue string, body string")).groupBy("venue", "kind").count().collect()
+    assert {(r["venue"], r["kind"]): r["count"] for r in got} == {("binance_spot", "unknown"): 2, ("nowhere", "unknown"): 1, ("kraken", "unknown"): 2, ("coinbase", "unknown"): 1, ("bybit", "trade"): 2}
 
 
 def test_zip_klines(spark, tmp_path):

@@ -43,6 +43,20 @@ def cooldown(df: DataFrame, by: list[str], seconds: int, ts: str = "ts", tie: st
     return greedy(df, by, ts, shift(ts, seconds), tie)
 
 
+def leader_signals(returns: DataFrame, leaders: dict[str, float], confirmer: str, session: Column, step: int, hold: int) -> DataFrame:
+    """Times at which some leader's return reaches its own threshold and the confirmer's is above zero, within the session, and
+    exactly one step before that wasn't so; signals within ``hold`` seconds of an accepted one are blocked. returns:
+    venue, bucket, ret. The step before is met by equality, so no window holds the whole market."""
+    wide = returns.groupBy("bucket").pivot("venue", [*leaders, confirmer]).agg(F.max("ret"))
+    led = F.lit(False)
+    for name, least in leaders.items():
+        led = led | F.coalesce(F.col(name) >= least, F.lit(False))
+    hot = wide.select("bucket", F.coalesce(led & (F.col(confirmer) > 0) & session, F.lit(False)).alias("hot"))
+    before = hot.select(shift("bucket", step).alias("bucket"), F.col("hot").alias("_was"))
+    edges = hot.where("hot").join(before, "bucket").where("not _was").select("bucket", F.lit(0).alias("_market"))
+    return cooldown(edges, ["_market"], hold, "bucket", "bucket").drop("_market")
+
+
 def detect(df: DataFrame, rules: list[tuple[str, Column]], floors: Column) -> DataFrame:
     """Rows that meet the floors and a rule, with the first rule that holds as ``trigger``."""
     trigger = F.coalesce(*(F.when(c, F.lit(name)) for name, c in rules))

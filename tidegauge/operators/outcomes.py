@@ -77,15 +77,23 @@ def band_sum(events: DataFrame, payments: DataFrame, by: list[str], value: str,
     return events.join(sums, tie, "left")
 
 
-def sweep(levels: DataFrame, key: list[str], notional: float, order: Column, tie: str, price: str = "price", amount: str = "amount") -> DataFrame:
-    """Buying ``notional`` through ask levels in order: quantity, average price, unfilled part; null prices unless filled."""
+NOTIONALS = (25.0, 50.0, 100.0, 250.0, 500.0)
+
+
+def sweep(levels: DataFrame, key: list[str], notionals: tuple[float, ...], order: Column, tie: str, price: str = "price", amount: str = "amount") -> DataFrame:
+    """Buying each notional through ask levels in order: notional, depth_ok, quantity, average price, unfilled part; null prices
+    unless filled. One sorted pass over the levels serves all notionals."""
     w = Window.partitionBy(*key).orderBy(order, tie)
     value = F.col(price) * F.col(amount)
     before = F.coalesce(F.sum(value).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
-    spent = F.greatest(F.lit(0.0), F.least(value, F.lit(notional) - before))
-    out = levels.withColumn("_x", spent).groupBy(*key).agg(F.sum("_x").alias("filled"), F.sum(F.col("_x") / F.col(price)).alias("_q"))
-    done = F.lit(notional) - F.col("filled") <= 1e-9
-    return out.select(*key, done.alias("depth_ok"), F.greatest(F.lit(notional) - F.col("filled"), F.lit(0.0)).alias("unfilled"), F.when(done, F.col("_q")).alias("quantity"), F.when(done, F.col("filled") / F.col("_q")).alias("vwap"))
+    placed = levels.withColumns({"_v": value, "_b": before})
+    spent = lambda n: F.greatest(F.lit(0.0), F.least(F.col("_v"), F.lit(float(n)) - F.col("_b")))
+    sums = placed.groupBy(*key).agg(*(x for i, n in enumerate(notionals) for x in (F.sum(spent(n)).alias(f"_f{i}"), F.sum(spent(n) / F.col(price)).alias(f"_q{i}"))))
+    grid = F.array(*(F.struct(F.lit(float(n)).alias("notional"), F.col(f"_f{i}").alias("filled"), F.col(f"_q{i}").alias("q")) for i, n in enumerate(notionals)))
+    out = sums.select(*key, F.explode(grid).alias("_x")).select(*key, "_x.*")
+    left = F.col("notional") - F.col("filled")
+    done = left <= 1e-9
+    return out.select(*key, "notional", done.alias("depth_ok"), F.greatest(left, F.lit(0.0)).alias("unfilled"), F.when(done, F.col("q")).alias("quantity"), F.when(done, F.try_divide("filled", "q")).alias("vwap"))
 
 
 def sell_sweep(levels: DataFrame, key: list[str], quantity: str, order: Column, tie: str, price: str = "price", amount: str = "amount") -> DataFrame:
@@ -97,6 +105,19 @@ def sell_sweep(levels: DataFrame, key: list[str], quantity: str, order: Column,
     return out.select(*key, "sold", F.when(F.col(quantity) - F.col("sold") <= 1e-9, F.col("_p")).alias("proceeds"))
 
 
+def capacity_returns(entries: DataFrame, bids: DataFrame, key: list[str], order: Column, tie: str, price: str = "price", amount: str = "amount") -> DataFrame:
+    """The return of each of ``sweep``'s notionals when what it bought is sold through the bids: key, notional, depth_ok,
+    proceeds, vwap, return. depth_ok is false and the rest null where either side lacks depth or the key has no bids."""
+    w = Window.partitionBy(*key).orderBy(order, tie)
+    before = F.coalesce(F.sum(amount).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
+    placed = bids.select(*key, F.col(price).alias("_p"), F.col(amount).alias("_a"), before.alias("_b"))
+    met = entries.select(*key, "notional", "quantity").join(placed, key, "left")
+    sold = F.greatest(F.lit(0.0), F.least(F.col("_a"), F.col("quantity") - F.col("_b")))
+    out = met.withColumn("_s", sold).groupBy(*key, "notional", "quantity").agg(F.sum("_s").alias("_sold"), F.sum(F.col("_s") * F.col("_p")).alias("_x"))
+    done = F.coalesce((F.col("quantity") - F.col("_sold") <= 1e-9) & (F.col("_sold") > 0), F.lit(False))
+    return out.select(*key, "notional", done.alias("depth_ok"), F.when(done, F.col("_x")).alias("proceeds"), F.when(done, F.col("_x") / F.col("_sold")).alias("vwap"), F.when(done, F.col("_x") / F.col("notional") - 1).alias("return"))
+
+
 def passive_fill(orders: DataFrame, bars: DataFrame, by: list[str], minutes: int, step: int = 60, tie: str = "id", ts: str = "ts", limit: str = "limit", low: str = "low") -> DataFrame:
     """First of the next ``minutes`` bars whose low reaches the limit, by equality on the listed bar times."""
     listed = orders.withColumn("_k", F.explode(F.sequence(F.lit(0), F.lit(minutes - 1)))).withColumn("_at", shift(ts, F.col("_k") * step))

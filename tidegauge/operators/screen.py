@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from tidegauge.operators.metrics import z_of
+from tidegauge.operators.quantiles import percentiles, places
 
 
 @dataclass(frozen=True)
@@ -48,16 +49,18 @@ def phase_of(ts: Column, config: ScreenConfig) -> Column:
 
 
 def thresholds(features: DataFrame, quantiles: tuple[float, ...], scope: list[str] | None = None, accuracy: int | None = None) -> DataFrame:
-    """Exact low and high thresholds per feature (and scope) from its discovery rows: quantile, tail, threshold.
-
-    ``accuracy`` makes them approximate, of bounded memory, for panels whose features don't fit a task.
-    """
+    """Low and high thresholds per feature (and scope) from its discovery rows: quantile, tail, threshold. Exact at any size
+    (by the places of the values where they don't fit a task), or with ``accuracy`` by sketches in one pass."""
     keys = ["feature_key", *(scope or [])]
-    points = F.array(*(F.lit(float(x)) for q in quantiles for x in (q, 1 - q)))
-    found = F.percentile_approx("value", [x for q in quantiles for x in (q, 1 - q)], accuracy) if accuracy else F.percentile("value", points)
-    wide = features.where("phase = 'discovery' and value is not null").groupBy(*keys).agg(found.alias("_q"))
+    known = features.where("phase = 'discovery' and value is not null")
+    if accuracy:
+        wide = known.groupBy(*keys).agg(F.percentile_approx("value", [x for q in quantiles for x in (q, 1 - q)], accuracy).alias("_q"))
+        at = lambda k: F.col("_q")[k]
+    else:
+        wide = percentiles(known, keys, "value", {f"_q{k}": x for k, x in enumerate(y for q in quantiles for y in (q, 1 - q))})
+        at = lambda k: F.col(f"_q{k}")
     rows = [
-        F.struct(F.lit(float(q)).alias("quantile"), F.lit(tail).alias("tail"), F.col("_q")[2 * i + k].alias("threshold"))
+        F.struct(F.lit(float(q)).alias("quantile"), F.lit(tail).alias("tail"), at(2 * i + k).alias("threshold"))
         for i, q in enumerate(quantiles)
         for k, tail in enumerate(("LOW", "HIGH"))
     ]
@@ -190,30 +193,125 @@ def dependence_review(events: DataFrame, by: list[str], cluster: str, value: str
     return out.withColumn("p", p).withColumn("passes", (F.col("clusters") >= min_clusters) & F.coalesce(F.col("p") <= alpha, F.lit(False)))
 
 
-def permuted(df: DataFrame, within: list[str], tie: str, seed: str, columns: list[str]) -> DataFrame:
-    """Rows with the named columns dealt anew within their group, by order of a digest of (tie, seed)."""
-    part = Window.partitionBy(*within)
-    key = F.md5(F.concat_ws("|", F.col(tie).cast("string"), F.lit(seed)))
-    own = df.withColumn("_r", F.row_number().over(part.orderBy(tie)))
-    dealt = df.select(*within, *(F.col(c).alias(f"_d_{c}") for c in columns), F.row_number().over(part.orderBy(key, tie)).alias("_r"))
-    out = own.join(dealt, [*within, "_r"])
+def permuted(df: DataFrame, within: list[str], ties: list[str], seeds: list[str], columns: list[str]) -> DataFrame:
+    """Rows once for each seed with the named columns dealt anew within their group, by order of a digest of (the first of
+    ties, seed). The ties order all rows that differ. Both orders are places by range, so no task gets a whole group."""
+    seed = F.explode(F.array(*map(F.lit, seeds))).alias("seed")
+    own = places(df, within, ties, "_r").select("*", seed)
+    keyed = df.select(*within, *ties, *(F.col(c).alias(f"_d_{c}") for c in columns), seed)
+    keyed = keyed.withColumn("_key", F.md5(F.concat_ws("|", F.col(ties[0]).cast("string"), "seed")))
+    dealt = places(keyed, [*within, "seed"], ["_key", *ties], "_r").select(*within, "seed", "_r", *(f"_d_{c}" for c in columns))
+    out = own.join(dealt, [*within, "seed", "_r"])
     return out.withColumns({c: F.col(f"_d_{c}") for c in columns}).drop("_r", *(f"_d_{c}" for c in columns))
 
 
-def evaluate_holdout(candidates: DataFrame, features: DataFrame, outcomes: DataFrame, join: list[str], day: Column, extra_cost: float = 0.005, least: int = 30, days: int = 10, weeks: int = 3) -> DataFrame:
-    """Each frozen candidate's holdout metrics and gates, all candidates in one pass: events, mean, mean under extra cost,
-    daily and weekly cluster means. candidates: candidate_id, feature_key, tail, threshold, horizon, direction."""
+SEEDS = ("1", "2", "3")
+
+
+def preholdout(
+    candidates: DataFrame, tests: DataFrame, features: DataFrame, outcomes: DataFrame, entity: str, ts: str, cost: float, weeks: tuple[int, int] = (12, 6), seeds: tuple[str, ...] = SEEDS, alternates: int = 3
+) -> DataFrame:
+    """The battery before a holdout, one row per candidate, all candidates in one pass: means by weeks, means under 50 and
+    100 basis points, the direction turned round, the neighbouring quantile, times drawn anew and other targets.
+
+    candidates: candidate_id, feature_key, quantile, tail, threshold, horizon, direction. tests: the screen's, of all
+    quantiles. A candidate passes with enough weeks and positive weekly means in both phases and a two-sided p of at most
+    0.05 in discovery, a nearest quantile that is positive in both, a mean in both phases above that of every seed's
+    drawn times, positive means under 50 basis points and negative ones of the inverse. Other targets are diagnostic.
+    """
     frozen = candidates.select("candidate_id", "feature_key", "tail", "threshold", "horizon", "direction")
-    events = tail_events(features, frozen).join(outcomes, [*join, "horizon"]).withColumn("net", F.col("direction") * F.col("gross"))
+    events = tail_events(features.where("phase is not null"), frozen)
+    net = events.join(outcomes, [entity, ts, "horizon"]).withColumn("directed", F.col("direction") * F.col("gross"))
+    phases, x = ("discovery", "validation"), F.col("directed")
+    own = lambda p, c: F.avg(F.when(F.col("phase") == p, c))
+    means = {f"{name}_{p}": own(p, c) for p in phases for name, c in (("base", x - cost), ("bp50", x - 0.005), ("bp100", x - 0.01), ("inverse", -x - cost))}
+    out = net.groupBy("candidate_id").agg(*(c.alias(k) for k, c in means.items()))
+    weekly = net.groupBy("candidate_id", "phase", F.trunc(F.to_date(ts), "week").alias("_week")).agg(F.avg(x - cost).alias("_m")).groupBy("candidate_id")
+    facts = {f"{name}_{p}": f(F.when(F.col("phase") == p, F.col("_m"))) for p in phases for name, f in (("weeks", F.count), ("week_mean", F.avg), ("_sd", F.stddev_samp))}
+    out = out.join(weekly.agg(*(c.alias(k) for k, c in facts.items())), "candidate_id").withColumn("week_z", z_of("week_mean_discovery", "_sd_discovery", "weeks_discovery"))
+    # the nearest quantiles of the same test
+    mine = candidates.select("candidate_id", "feature_key", "tail", "horizon", F.col("quantile").alias("_own"))
+    peers = mine.join(tests, ["feature_key", "tail", "horizon"]).where("quantile <> _own").withColumn("_d", F.round(F.abs(F.col("quantile") - F.col("_own")), 9))
+    both = (F.col("mean_discovery") > 0) & (F.col("mean_validation") > 0)
+    near = peers.groupBy("candidate_id", "_d").agg(F.count_if(both).alias("_k")).groupBy("candidate_id").agg(F.min_by("_k", "_d").alias("neighbours"))
+    # as many times of the phase as there are events, drawn by digest
+    counts = net.groupBy("candidate_id", "phase").agg(F.count("*").alias("_n"))
+    pool = features.where("phase is not null and value is not null").select("feature_key", entity, ts, "phase").join(candidates.select("candidate_id", "feature_key"), "feature_key")
+    drawn = pool.select("*", F.explode(F.array(*map(F.lit, seeds))).alias("seed")).withColumn("_key", F.md5(F.concat_ws("|", F.col(entity).cast("string"), F.col(ts).cast("string"), "candidate_id", "seed")))
+    drawn = places(drawn.drop("feature_key"), ["candidate_id", "phase", "seed"], ["_key"], "_r").join(counts, ["candidate_id", "phase"]).where(F.col("_r") <= F.col("_n"))
+    placebo = drawn.join(frozen.select("candidate_id", "horizon", "direction"), "candidate_id").join(outcomes, [entity, ts, "horizon"])
+    placebo = placebo.groupBy("candidate_id", "seed").agg(*(own(p, F.col("direction") * F.col("gross") - cost).alias(f"_{p}") for p in phases))
+    placebo = placebo.groupBy("candidate_id").agg(*(F.max(f"_{p}").alias(f"placebo_{p}") for p in phases))
+    # a few other entities for each candidate: a table of candidates x entities
+    others = outcomes.select(F.col(entity).alias("_alt")).distinct().join(F.broadcast(candidates.select("candidate_id")))
+    rank = F.row_number().over(Window.partitionBy("candidate_id").orderBy(F.md5(F.concat_ws("|", "candidate_id", F.col("_alt").cast("string"))), "_alt"))
+    chosen = others.withColumn("_k", rank).where(F.col("_k") <= alternates).select("candidate_id", "_alt")
+    moved = events.select("candidate_id", entity, ts, "horizon", "direction", "phase").join(F.broadcast(chosen), "candidate_id").where(F.col(entity) != F.col("_alt"))
+    moved = moved.join(outcomes.select(F.col(entity).alias("_alt"), ts, "horizon", "gross"), ["_alt", ts, "horizon"])
+    moved = moved.groupBy("candidate_id", "_alt").agg(*(own(p, F.col("direction") * F.col("gross") - cost).alias(f"_{p}") for p in phases))
+    moved = moved.groupBy("candidate_id").agg(*(F.max(f"_{p}").alias(f"other_target_{p}") for p in phases))
+    for t in (near, placebo, moved):
+        out = out.join(t, "candidate_id", "left")
+    every = lambda *cs: F.coalesce(F.least(*(c.cast("int") for c in cs)) == 1, F.lit(False))
+    c = F.col
+    return out.withColumns({
+        "neighbours": F.coalesce("neighbours", F.lit(0).cast("long")),
+        # p <= 0.05 on both sides is z >= 1.959963984540054
+        "weekly_ok": every(c("weeks_discovery") >= weeks[0], c("weeks_validation") >= weeks[1], c("week_mean_discovery") > 0, c("week_mean_validation") > 0) & F.coalesce(c("week_z") >= 1.959963984540054, F.lit(False)),
+        "neighbour_ok": F.coalesce(c("neighbours") > 0, F.lit(False)),
+        "cost_ok": F.coalesce((c("bp50_discovery") > 0) & (c("bp50_validation") > 0), F.lit(False)),
+        "placebo_ok": F.coalesce((c("base_discovery") > c("placebo_discovery")) & (c("base_validation") > c("placebo_validation")), F.lit(False)),
+        "direction_ok": F.coalesce((c("inverse_discovery") < 0) & (c("inverse_validation") < 0), F.lit(False)),
+    }).withColumn("passes", c("weekly_ok") & c("neighbour_ok") & c("cost_ok") & c("placebo_ok") & c("direction_ok")).drop("_sd_discovery", "_sd_validation")
+
+
+def evaluate_holdout(
+    candidates: DataFrame, features: DataFrame, outcomes: DataFrame, join: list[str], day: Column, entity: str, cost: float = 0.0, extra_cost: float = 0.005, least: int = 30, days: int = 10, weeks: int = 3,
+    min_hit: float = 0.5, max_worst: float | None = None,
+) -> DataFrame:
+    """Each frozen candidate's holdout metrics and gates, all candidates in one pass. candidates: candidate_id, feature_key,
+    tail, threshold, horizon, direction.
+
+    panel_passes: enough events, a net mean above zero, enough won, and a worst loss of at most ``max_worst`` average
+    winners (if given), over all entities; positive_entities counts those with a net mean above zero. dated_passes:
+    enough events, days and weeks, positive means, also under ``extra_cost``, by days and by weeks, and a one-sided p of
+    the daily means of at most 0.10. passes: both.
+    """
+    frozen = candidates.select("candidate_id", "feature_key", "tail", "threshold", "horizon", "direction")
+    events = tail_events(features, frozen).join(outcomes, [*join, "horizon"]).withColumn("net", F.col("direction") * F.col("gross") - cost)
+    x = F.col("net")
     dated = events.withColumns({"_day": day, "_week": F.trunc(day, "week")})
-    totals = dated.groupBy("candidate_id").agg(F.count("*").alias("n"), F.avg("net").alias("mean"), F.avg(F.col("net") - extra_cost).alias("mean_stressed"))
+    totals = dated.groupBy("candidate_id").agg(
+        F.count("*").alias("n"), F.avg(x).alias("mean"), F.avg(x - extra_cost).alias("mean_stressed"), F.avg((x > 0).cast("double")).alias("hit_rate"), F.min(x).alias("worst"), F.avg(F.when(x > 0, x)).alias("avg_winner")
+    )
+    per_entity = dated.groupBy("candidate_id", entity).agg(F.avg(x).alias("_m")).groupBy("candidate_id").agg(F.count("*").alias("entities"), F.count_if(F.col("_m") > 0).alias("positive_entities"))
+    totals = totals.join(per_entity, "candidate_id")
     for unit, name in (("_day", "days"), ("_week", "weeks")):
         means = dated.groupBy("candidate_id", unit).agg(F.avg("net").alias("_m"))
         agg = means.groupBy("candidate_id").agg(F.count("*").alias(name), F.avg("_m").alias(f"mean_{name}"), F.stddev_samp("_m").alias(f"_sd_{name}"))
         totals = totals.join(agg, "candidate_id").withColumn(f"z_{name}", z_of(f"mean_{name}", f"_sd_{name}", name)).drop(f"_sd_{name}")
-    gates = (F.col("n") >= least) & (F.col("mean") > 0) & (F.col("mean_stressed") > 0) & (F.col("days") >= days) & (F.col("mean_days") > 0) & (F.col("weeks") >= weeks) & (F.col("mean_weeks") > 0)
+    ratio = F.when(F.col("worst") >= 0, 0.0).otherwise(F.try_divide(-F.col("worst"), "avg_winner"))
+    panel = (F.col("n") >= least) & (F.col("mean") > 0) & (F.col("hit_rate") >= min_hit)
+    if max_worst is not None:
+        panel = panel & (ratio <= max_worst)
     # one-sided p <= 0.10 is z >= 1.2815515655446004
-    return totals.withColumn("passes", F.coalesce(gates & (F.col("z_days") >= 1.2815515655446004), F.lit(False)))
+    typed = (F.col("n") >= least) & (F.col("mean") > 0) & (F.col("mean_stressed") > 0) & (F.col("days") >= days) & (F.col("mean_days") > 0) & (F.col("weeks") >= weeks) & (F.col("mean_weeks") > 0) & (F.col("z_days") >= 1.2815515655446004)
+    out = totals.withColumns({"worst_loss_ratio": ratio, "panel_passes": F.coalesce(panel, F.lit(False)), "dated_passes": F.coalesce(typed, F.lit(False))})
+    return out.withColumn("passes", F.col("panel_passes") & F.col("dated_passes"))
+
+
+def config_problems(configs: DataFrame) -> DataFrame:
+    """configs (quantiles array, discovery_start, discovery_end, validation_start, validation_end, fdr and any others) with
+    the array ``problems`` of what a ScreenConfig would refuse, so that a ledger of runs is checked before any runs."""
+    c = F.col
+    rules = {
+        "quantiles": (F.size("quantiles") > 0) & F.forall("quantiles", lambda q: (q > 0) & (q < 0.5)),
+        "discovery": c("discovery_start") < c("discovery_end"),
+        "validation": c("validation_start") < c("validation_end"),
+        "overlap": c("validation_start") >= c("discovery_end"),
+        "fdr": (c("fdr") > 0) & (c("fdr") < 1),
+    }
+    return configs.withColumn("problems", F.array_compact(F.array(*(F.when(~F.coalesce(ok, F.lit(False)), F.lit(name)) for name, ok in rules.items()))))
 
 
 class HoldoutGuard:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -66,15 +66,27 @@ def replace_slice(df: DataFrame, path: str, partitions: list[str]) -> None:
 
 
 def write_segments(df: DataFrame, path: str, partitions: list[str]) -> DataFrame:
-    """Gzip JSON lines below a folder for each partition; returns the manifest: partition, rows."""
+    """Gzip JSON lines below a folder for each partition; returns the manifest of what is stored."""
     df.repartition(*partitions, F.pmod(F.xxhash64(*df.columns), F.lit(8))).write.mode("append").option("compression", "gzip").partitionBy(*partitions).json(path)
-    return df.groupBy(*partitions).agg(F.count("*").alias("rows"))
+    return segment_manifest(df.sparkSession, path, {f.name: f.dataType.simpleString() for f in df.schema if f.name in partitions})
+
+
+def segment_manifest(spark: SparkSession, path: str, partitions: dict[str, str]) -> DataFrame:
+    """One row per stored object: path, its partitions' values, rows, bytes and checksum (SHA-256 of the object)."""
+    objects = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.json.gz").load(path)
+    facts = objects.select("path", F.col("length").alias("bytes"), F.sha2("content", 256).alias("checksum"))
+    lines = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.json.gz").text(path)
+    counted = lines.groupBy(F.col("_metadata.file_path").alias("_file")).agg(F.count("*").alias("rows"))
+    bare = lambda c: F.regexp_replace(F.url_decode(c), r"^[a-z]+:/+", "/")
+    value = lambda n: F.nullif(F.regexp_extract(F.url_decode("path"), f"/{n}=([^/]*)/", 1), F.lit("__HIVE_DEFAULT_PARTITION__"))
+    both = facts.join(counted, bare(F.col("path")) == bare(F.col("_file")), "left")
+    return both.select("path", *(value(n).cast(t).alias(n) for n, t in partitions.items()), F.coalesce("rows", F.lit(0).cast("long")).alias("rows"), "bytes", "checksum")
 
 
 def export_csv(tables: dict[str, DataFrame], path: str) -> None:
     """Each table as CSV files with header, nested columns as JSON."""
     for name, t in tables.items():
         flat = [F.to_json(c).alias(c) if d.startswith(("struct", "array", "map")) else F.col(c) for c, d in t.dtypes]
-        t.select(*flat).write.mode("overwrite").option("header", True).csv(f"{path}/{name}")
+        t.select(*flat).write.mode("overwrite").option("header", True).option("escape", '"').csv(f"{path}/{name}")
 
 

@@ -9,6 +9,7 @@ from tidegauge.functions import scalars as S
 from tidegauge.functions import time as T
 from tidegauge.operators import bars as B
 from tidegauge.operators import features as W
+from tidegauge.operators import quantiles as Q
 from tidegauge.plans.inputs import HOURLY, TICKS, bars_sql, hourly, read, rounded, ticks
 from tidegauge.plans.registry import query
 
@@ -512,9 +513,8 @@ def wilson(spark, sf_dir):
     "select l_suppkey, round(quantile_cont(l_extendedprice, 0.05), 4) as p05, round(quantile_cont(l_extendedprice, 0.5), 4) as p50, round(quantile_cont(l_extendedprice, 0.95), 4) as p95 from lineitem group by 1",
 )
 def percentiles(spark, sf_dir):
-    q = F.percentile("l_extendedprice", F.array(F.lit(0.05), F.lit(0.5), F.lit(0.95)))
-    out = read(spark, sf_dir, "lineitem").groupBy("l_suppkey").agg(q.alias("q"))
-    return out.select("l_suppkey", *(F.round(F.col("q")[i], 4).alias(n) for i, n in enumerate(("p05", "p50", "p95"))))
+    out = Q.percentiles(read(spark, sf_dir, "lineitem"), ["l_suppkey"], "l_extendedprice", {"p05": 0.05, "p50": 0.5, "p95": 0.95})
+    return rounded(out, 4, "p05", "p50", "p95")
 
 
 @query(
@@ -617,16 +617,17 @@ PHRASES = ["licensed under", "the theand", "of the", "pathetic"]
 
 @query(
     "F22_phrase_scan",
-    """with f as (select doc_id, text, list_filter(['licensed under', 'the theand', 'of the', 'pathetic'], lambda p: contains(lower(text), p)) as found from documents)
-select doc_id, array_to_string(found, '|') as phrases, coalesce(array_to_string(list_transform(found, lambda p: substr(text, greatest(instr(lower(text), p) - 20, 1), instr(lower(text), p) + 40 - greatest(instr(lower(text), p) - 20, 1))), '|'), '') as cuts,
-  array_to_string(list_distinct(regexp_extract_all(text, '\\d+\\.\\d+'))[:0], '|') as none from f""",
+    """with f as (select doc_id, text, list_filter(['licensed under', 'the theand', 'of the', 'pathetic'], lambda p: contains(lower(text), p)) as found from documents),
+n as (select doc_id, unnest(regexp_extract_all(text, '[0-9]+(?:[.,][0-9]+)*')) as x, generate_subscripts(regexp_extract_all(text, '[0-9]+(?:[.,][0-9]+)*'), 1) as i from documents), d as (select doc_id, x, min(i) as i from n group by all),
+r as (select doc_id, x, row_number() over (partition by doc_id order by i) as r from d), m as (select doc_id, string_agg(x, '|' order by r) as mentions from r where r <= 10 group by 1)
+select f.doc_id, array_to_string(found, '|') as phrases, coalesce(array_to_string(list_transform(found, lambda p: substr(text, greatest(instr(lower(text), p) - 20, 1), instr(lower(text), p) + 40 - greatest(instr(lower(text), p) - 20, 1))), '|'), '') as cuts,
+  coalesce(mentions, '') as mentions from f left join m using (doc_id)""",
 )
 def phrase_scan(spark, sf_dir):
     docs = read(spark, sf_dir, "documents")
     return docs.select(
-        "doc_id", F.concat_ws("|", S.phrases_found("text", PHRASES)).alias("phrases"), F.concat_ws("|", S.snippets("text", PHRASES, 20, 40)).alias("cuts"),
-        F.concat_ws("|", F.slice(S.mentions("text", r"\d+\.\d+"), 1, 0)).alias("none"),
-    )
+        "doc_id", F.concat_ws("|", S.phrases_found("text", PHRASES)).alias("phrases"), F.concat_ws("|", S.snippets("text", PHRASES, 20, 40)).alias("cuts"), F.concat_ws("|", S.mentions("text", "[0-9]+(?:[.,][0-9]+)*")).alias("mentions")
+    )
 
 
 @query("F23_form_class", "select o_orderkey, o_orderpriority in ('1-URGENT', '2-HIGH') as pressing from orders")

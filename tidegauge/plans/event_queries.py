@@ -129,16 +129,14 @@ def double_quantile(spark, sf_dir):
 
 @query(
     "E8_leader_confirmation",
-    f"""with {HOURLY}, r as (select bucket, max(case when venue = 'view' then close / nullif(open, 0) - 1 end) as a, max(case when venue = 'click' then close / nullif(open, 0) - 1 end) as b, max(case when venue = 'purchase' then close / nullif(open, 0) - 1 end) as c from bars group by 1),
-k as (select *, coalesce((a >= 0.5 or b >= 0.8) and c > 0, false) and hour(bucket) between 6 and 20 as hot from r), l as (select bucket, hot, lag(bucket) over w as prev, lag(hot) over w as was from k window w as (order by bucket))
-select bucket from l where hot and prev = bucket - interval 1 hour and not was""",
+    f"""with recursive {HOURLY}, r as (select bucket, max(case when venue = 'view' then close / nullif(open, 0) - 1 end) as a, max(case when venue = 'click' then close / nullif(open, 0) - 1 end) as b, max(case when venue = 'purchase' then close / nullif(open, 0) - 1 end) as c from bars group by 1),
+k as (select *, coalesce((a >= 0.5 or b >= 0.8) and c > 0, false) and hour(bucket) between 6 and 20 as hot from r), l as (select bucket, hot, lag(bucket) over w as prev, lag(hot) over w as was from k window w as (order by bucket)),
+s as (select 1 as one, bucket as ts from l where hot and prev = bucket - interval 1 hour and not was), {fold_sql("s", "one", "f.ts + interval 30 hours")}
+select ts as bucket from f where ts is not null""",
 )
 def leader_confirmation(spark, sf_dir):
     r = hourly(spark, sf_dir).select("venue", "bucket", S.change("close", "open").alias("ret"))
-    wide = r.groupBy("bucket").pivot("venue", ["view", "click", "purchase"]).agg(F.max("ret"))
-    hot = F.coalesce(((F.col("view") >= 0.5) | (F.col("click") >= 0.8)) & (F.col("purchase") > 0), F.lit(False)) & F.hour("bucket").between(6, 20)
-    # one row per hour: a rule over the whole market has one series
-    return wide.withColumn("edge", W.rising_edge(hot, Window.orderBy("bucket"), "bucket", 3600)).where("edge").select("bucket")
+    return E.leader_signals(r, {"view": 0.5, "click": 0.8}, "purchase", F.hour("bucket").between(6, 20), 3600, 30 * 3600).select("bucket")
 
 
 @query(
@@ -304,18 +302,37 @@ def two_leg_outcome(spark, sf_dir):
 ASKS = "asks as (select l_orderkey, l_linenumber, l_partkey, l_extendedprice / l_quantity as price, l_quantity as amount from lineitem)"
 
 
-@query(
-    "X10_book_sweep",
-    f"""with {ASKS}, w as (select *, coalesce(sum(price * amount) over (partition by l_orderkey order by price, l_linenumber, l_partkey rows between unbounded preceding and 1 preceding), 0) as before from asks),
-x as (select *, greatest(0, least(price * amount, 100000 - before)) as spent from w), a as (select l_orderkey, sum(spent) as filled, sum(spent / price) as q from x group by 1)
-select l_orderkey, 100000 - filled <= 1e-9 as depth_ok, round(greatest(100000 - filled, 0), 4) as unfilled, case when 100000 - filled <= 1e-9 then round(q, 6) end as quantity, case when 100000 - filled <= 1e-9 then round(filled / q, 6) end as vwap from a""",
-)
+GRID = (25_000.0, 50_000.0, 100_000.0, 250_000.0, 500_000.0)
+SWEEP_SQL = f"""{ASKS}, w as (select *, coalesce(sum(price * amount) over (partition by l_orderkey order by price, l_linenumber, l_partkey, amount rows between unbounded preceding and 1 preceding), 0) as before from asks),
+x as (select *, greatest(0, least(price * amount, notional - before)) as spent from w, unnest([25000::double, 50000, 100000, 250000, 500000]) as g(notional)), a as (select l_orderkey, notional, sum(spent) as filled, sum(spent / price) as q from x group by all),
+e as (select l_orderkey, notional, notional - filled <= 1e-9 as depth_ok, greatest(notional - filled, 0) as unfilled, case when notional - filled <= 1e-9 then q end as quantity, case when notional - filled <= 1e-9 then filled / q end as vwap from a)"""
+
+
+def order_book(spark, sf_dir):
+    """An order's lines as ask levels."""
+    return read(spark, sf_dir, "lineitem").select("l_orderkey", F.struct("l_linenumber", "l_partkey", "l_quantity").alias("k"), (F.col("l_extendedprice") / F.col("l_quantity")).alias("price"), F.col("l_quantity").alias("amount"))
+
+
+@query("X10_book_sweep", f"with {SWEEP_SQL} select l_orderkey, notional, depth_ok, round(unfilled, 4) as unfilled, round(quantity, 6) as quantity, round(vwap, 6) as vwap from e")
 def book_sweep(spark, sf_dir):
-    asks = read(spark, sf_dir, "lineitem").select("l_orderkey", F.struct("l_linenumber", "l_partkey").alias("k"), (F.col("l_extendedprice") / F.col("l_quantity")).alias("price"), F.col("l_quantity").alias("amount"))
-    out = X.sweep(asks, ["l_orderkey"], 100_000.0, F.col("price"), "k")
+    out = X.sweep(order_book(spark, sf_dir), ["l_orderkey"], GRID, F.col("price"), "k")
     return rounded(rounded(out, 4, "unfilled"), 6, "quantity", "vwap")
 
 
+@query(
+    "X10_capacity_returns",
+    f"""with {SWEEP_SQL}, b as (select l_orderkey, l_linenumber, price * 1.01 as price, amount * 0.75 as amount, coalesce(sum(amount * 0.75) over (partition by l_orderkey order by price * 1.01 desc, l_linenumber, l_partkey, amount rows between unbounded preceding and 1 preceding), 0) as before from asks),
+s as (select e.l_orderkey, e.notional, e.quantity, sum(greatest(0, least(b.amount, e.quantity - b.before))) as sold, sum(greatest(0, least(b.amount, e.quantity - b.before)) * b.price) as p from e join b using (l_orderkey) where e.quantity is not null group by all)
+select e.l_orderkey, e.notional, coalesce(s.quantity - sold <= 1e-9 and sold > 0, false) as depth_ok, case when s.quantity - sold <= 1e-9 and sold > 0 then round(p, 4) end as proceeds, case when s.quantity - sold <= 1e-9 and sold > 0 then round(p / e.notional - 1, 6) end as "return" from e left join s using (l_orderkey, notional)""",
+)
+def capacity_returns(spark, sf_dir):
+    """What each notional bought is sold through bids one per cent above the asks, of three quarters of their size."""
+    asks = order_book(spark, sf_dir)
+    bids = asks.select("l_orderkey", "k", (F.col("price") * 1.01).alias("price"), (F.col("amount") * 0.75).alias("amount"))
+    out = X.capacity_returns(X.sweep(asks, ["l_orderkey"], GRID, F.col("price"), "k"), bids, ["l_orderkey"], F.desc("price"), "k")
+    return rounded(rounded(out.drop("vwap"), 4, "proceeds"), 6, "return")
+
+
 @query(
     "X10_book_sell_sweep",
     f"""with {ASKS}, w as (select *, coalesce(sum(amount) over (partition by l_orderkey order by price desc, l_linenumber, l_partkey rows between unbounded preceding and 1 preceding), 0) as before from asks),

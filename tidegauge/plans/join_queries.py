@@ -13,7 +13,9 @@ from tidegauge.operators import events as E
 from tidegauge.operators import features as W
 from tidegauge.operators import metrics as M
 from tidegauge.operators import outcomes as X
+from tidegauge.operators import quantiles as Q
 from tidegauge.operators import xsection as C
+from tidegauge.operators.scratch import materialize
 from tidegauge.plans.inputs import HOURLY, TICKS, bars_sql, hourly, read, rounded, ticks
 from tidegauge.plans.registry import query
 
@@ -191,11 +193,11 @@ def overlap_check(spark, sf_dir):
 
 @query(
     "J17_null_safe_join",
-    """with a as (select l_orderkey, l_linenumber, case when l_tax > 0 then l_tax end as t from lineitem where l_orderkey < 2000), b as (select case when k > 0 then k / 100.0 end as t, k from (select unnest(range(9)) as k))
+    """with a as (select l_orderkey, l_linenumber, case when l_tax > 0 then l_tax end as t from lineitem), b as (select case when k > 0 then k / 100.0 end as t, k from (select unnest(range(9)) as k))
 select l_orderkey, l_linenumber, k from a join b on a.t is not distinct from cast(b.t as double)""",
 )
 def null_safe_join(spark, sf_dir):
-    a = read(spark, sf_dir, "lineitem").where("l_orderkey < 2000").select("l_orderkey", "l_linenumber", F.when(F.col("l_tax") > 0, F.col("l_tax")).alias("t"))
+    a = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.when(F.col("l_tax") > 0, F.col("l_tax")).alias("t"))
     b = spark.range(9).select(F.when(F.col("id") > 0, F.col("id") / 100.0).alias("t"), F.col("id").alias("k"))
     return J.null_safe_join(a, F.broadcast(b), ["t"]).select("l_orderkey", "l_linenumber", "k")
 
@@ -257,15 +259,18 @@ def market_state(spark, sf_dir):
     return rounded(C.market_state(r, "bucket", "ret", {"view": "view"}, "venue"), 6, "breadth", "mean", "median", "dispersion", "p10", "p90", "view")
 
 
-NET = "t as (select p_brand as brand, p_type as kind, ((l_orderkey * 10 + l_linenumber) * 100000 + l_partkey) * 10000 + l_suppkey as id, l_shipdate as ts, l_suppkey as supplier, round(l_discount - 0.05 + l_tax / 10, 4) as net from lineitem join part on p_partkey = l_partkey)"
+NET = """t as (select p_brand as brand, p_type as kind, ((l_orderkey * 10 + l_linenumber) * 100000 + l_partkey) * 10000 + l_suppkey as id, l_shipdate as ts, l_suppkey as supplier, round(l_discount - 0.05 + l_tax / 10, 4) as net,
+  round(-l_tax / 2, 4) as mae, round(l_discount / 2, 4) as mfe, l_linenumber as concurrency from lineitem join part on p_partkey = l_partkey)"""
+#: The order of trades: lines that agree in all of these agree in all that a metric reads.
+ORDER = "ts, id, net"
 
 
 def trades(spark, sf_dir):
-    """Line items as trades: discount and tax as a signed return."""
+    """Line items as trades: discount and tax as a signed return. Several lines may share an id."""
     items = read(spark, sf_dir, "lineitem").join(read(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
     return items.select(
         F.col("p_brand").alias("brand"), F.col("p_type").alias("kind"), (((F.col("l_orderkey") * 10 + F.col("l_linenumber")) * 100_000 + F.col("l_partkey")) * 10_000 + F.col("l_suppkey")).alias("id"), F.col("l_shipdate").alias("ts"), F.col("l_suppkey").alias("supplier"),
-        F.round(F.col("l_discount") - 0.05 + F.col("l_tax") / 10, 4).alias("net"),
+        F.round(F.col("l_discount") - 0.05 + F.col("l_tax") / 10, 4).alias("net"), F.round(-F.col("l_tax") / 2, 4).alias("mae"), F.round(F.col("l_discount") / 2, 4).alias("mfe"), F.col("l_linenumber").alias("concurrency"),
     )
 
 
@@ -275,35 +280,44 @@ EVENT_SQL = """count(net) as n, round(avg(net), 6) as mean, round(median(net), 6
 
 @query("A6_event_metrics", f"with {NET} select brand, {EVENT_SQL} from t group by 1")
 def event_metrics(spark, sf_dir):
-    out = trades(spark, sf_dir).groupBy("brand").agg(*M.event_metrics("net"))
+    out = M.event_metrics(trades(spark, sf_dir), ["brand"])
     return rounded(out, 6, "mean", "median", "hit_rate", "profit_factor", "avg_winner", "avg_loser", "worst_loss_ratio", "sd")
 
 
+TRADE_ROUNDED = ["hit_rate", "hit_low", "hit_high", "mean", "median", "avg_winner", "median_winner", "avg_loser", "median_loser", "profit_factor", "p05", "p01", "worst_loss_ratio", "losers_near", "total", "drawdown", "avg_concurrency"]
+
+
 @query(
     "A7_trade_metrics",
-    f"""with {NET}, r as (select *, sum(net) over w as s, date_diff('second', lag(ts) over (partition by brand order by ts, id), ts) as gap, sum((net > 0)::int) over w as g from t window w as (partition by brand order by ts, id rows unbounded preceding)),
-k as (select *, greatest(0, max(s) over (partition by brand order by ts, id rows unbounded preceding)) as peak, sum((net <= 0)::int) over (partition by brand, g order by ts, id rows unbounded preceding) as streak from r)
-select brand, count(*) as n, count(*) filter (net > 0) as wins, round(sum(net), 6) as total, round(min(s - peak), 6) as drawdown, cast(max(streak) as bigint) as losing_streak, max(gap) as longest_gap, round(quantile_cont(net, 0.05), 6) as p05,
-  round(quantile_cont(net, 0.01), 6) as p01, round(coalesce(sum(net) filter (net > 0), 0) / -sum(net) filter (net < 0), 6) as profit_factor from k group by 1""",
+    f"""with {NET}, r as (select *, row_number() over w as i, sum(net) over w as s, date_diff('second', lag(ts) over (partition by brand order by {ORDER}), ts) as gap from t window w as (partition by brand order by {ORDER} rows unbounded preceding)),
+k as (select *, greatest(0, max(s) over (partition by brand order by i rows unbounded preceding)) as peak from r),
+l as (select brand, i - row_number() over (partition by brand order by i) as g from r where net < 0), streaks as (select brand, max(n) as losing_streak from (select brand, g, count(*) as n from l group by all) group by 1),
+sym as (select brand, max(n) as most_of_one_symbol from (select brand, supplier, count(*) as n from t group by all) group by 1),
+a as (select brand, count(*) as n, count(*) filter (net > 0) as wins, count(*) filter (net < 0) as losses, count(*) filter (net = 0) as flats, count(distinct supplier) as n_symbols, count(distinct cast(ts as date)) as n_dates, avg(net) as mean, median(net) as median,
+  avg(net) filter (net > 0) as avg_winner, median(net) filter (net > 0) as median_winner, avg(net) filter (net < 0) as avg_loser, median(net) filter (net < 0) as median_loser, sum(net) filter (net > 0) as gain, -sum(net) filter (net < 0) as loss,
+  coalesce(min(net) filter (net < 0), 0) as worst_loss, quantile_cont(net, 0.05) as p05, quantile_cont(net, 0.01) as p01, min(mae) as worst_mae, max(mfe) as best_mfe, sum(net) as total, min(s - peak) as drawdown, max(gap) as longest_gap,
+  max(concurrency) as max_concurrency, avg(concurrency) as avg_concurrency, list(net) filter (net < 0) as losers, 1.959963984540054 as z from k group by 1)
+select brand, n, wins, losses, flats, n_symbols, n_dates, most_of_one_symbol, round(wins / n, 6) as hit_rate, round((wins / n + z * z / (2 * n) - z * sqrt(wins / n * (1 - wins / n) / n + z * z / (4 * n * n))) / (1 + z * z / n), 6) as hit_low,
+  round((wins / n + z * z / (2 * n) + z * sqrt(wins / n * (1 - wins / n) / n + z * z / (4 * n * n))) / (1 + z * z / n), 6) as hit_high, round(mean, 6) as mean, round(median, 6) as median, round(avg_winner, 6) as avg_winner, round(median_winner, 6) as median_winner,
+  round(avg_loser, 6) as avg_loser, round(median_loser, 6) as median_loser, round(case when losses > 0 then coalesce(gain, 0) / loss when wins > 0 then 'inf'::double end, 6) as profit_factor, worst_loss, round(p05, 6) as p05, round(p01, 6) as p01, worst_mae, best_mfe,
+  round(case when avg_winner > 0 then -worst_loss / avg_winner end, 6) as worst_loss_ratio, round(case when losses > 0 and avg_winner > 0 then len(list_filter(losers, lambda v: -v <= 0.1 * avg_winner)) / losses when losses = 0 then 1 end, 6) as losers_near,
+  round(total, 6) as total, round(drawdown, 6) as drawdown, coalesce(losing_streak, 0) as losing_streak, longest_gap, max_concurrency, round(avg_concurrency, 6) as avg_concurrency from a join sym using (brand) left join streaks using (brand)""",
 )
 def trade_metrics(spark, sf_dir):
-    out = M.trade_metrics(trades(spark, sf_dir), ["brand"])
-    return rounded(out.select("brand", "n", "wins", "total", "drawdown", "losing_streak", "longest_gap", "p05", "p01", "profit_factor"), 6, "total", "drawdown", "p05", "p01", "profit_factor")
+    return rounded(M.trade_metrics(trades(spark, sf_dir), ["brand"], symbol="supplier"), 6, *TRADE_ROUNDED)
 
 
-@query("W9_drawdown", f"""with {NET}, r as (select *, sum(net) over (partition by kind order by ts, id rows unbounded preceding) as s from t), k as (select *, greatest(0, max(s) over (partition by kind order by ts, id rows unbounded preceding)) as peak from r)
-select kind, round(min(s - peak), 6) as drawdown, round(max(peak), 6) as peak from k group by 1""")
+@query("W9_drawdown", f"""with {NET}, r as (select *, sum(net) over (partition by kind order by {ORDER} rows unbounded preceding) as s from t), k as (select *, greatest(0, max(s) over (partition by kind order by {ORDER} rows unbounded preceding)) as peak from r)
+select kind, round(min(s - peak), 6) as drawdown from k group by 1""")
 def drawdown(spark, sf_dir):
-    w = Window.partitionBy("kind").orderBy("ts", "id").rowsBetween(Window.unboundedPreceding, 0)
-    r = trades(spark, sf_dir).withColumn("s", F.sum("net").over(w))
-    k = r.withColumn("peak", F.greatest(F.lit(0.0), F.max("s").over(w)))
-    return k.groupBy("kind").agg(F.round(F.min(F.col("s") - F.col("peak")), 6).alias("drawdown"), F.round(F.max("peak"), 6).alias("peak"))
+    return M.path_metrics(trades(spark, sf_dir), ["kind"]).select("kind", F.round("drawdown", 6).alias("drawdown"))
 
 
-@query("W10_losing_streaks", f"""with {NET}, r as (select *, row_number() over (partition by brand order by ts, id) - row_number() over (partition by brand, net <= 0 order by ts, id) as g from t),
-i as (select brand, g, count(*) as n from r where net <= 0 group by all) select brand, max(n) as longest, count(*) as streaks from i group by 1""")
+@query("W10_losing_streaks", f"""with {NET}, r as (select *, row_number() over (partition by brand order by {ORDER}) as i from t), l as (select brand, i - row_number() over (partition by brand order by i) as g from r where net < 0),
+i as (select brand, g, count(*) as n from l group by all) select brand, max(n) as longest, count(*) as streaks from i group by 1""")
 def losing_streaks(spark, sf_dir):
-    runs = W.islands(trades(spark, sf_dir), ["brand"], ["ts", "id"], F.col("net") <= 0)
+    """A flat trade ends a streak."""
+    runs = W.islands(trades(spark, sf_dir), ["brand"], ["ts", "id", "net"], F.col("net") < 0)
     return runs.groupBy("brand").agg(F.max("length").alias("longest"), F.count("*").alias("streaks"))
 
 
@@ -346,11 +360,11 @@ def daily_t(spark, sf_dir):
 
 @query("A13_economics", "select l_returnflag, round(avg(l_extendedprice * l_discount), 4) as avg_cost, round(avg(l_extendedprice * l_tax), 4) as avg_tax, round(median(l_tax - l_discount), 6) as median_basis, round(quantile_cont(abs(l_tax - l_discount), 0.95), 6) as p95_abs_basis from lineitem group by 1")
 def economics(spark, sf_dir):
-    basis = F.col("l_tax") - F.col("l_discount")
-    return read(spark, sf_dir, "lineitem").groupBy("l_returnflag").agg(
-        F.round(F.avg(F.col("l_extendedprice") * F.col("l_discount")), 4).alias("avg_cost"), F.round(F.avg(F.col("l_extendedprice") * F.col("l_tax")), 4).alias("avg_tax"),
-        F.round(F.percentile(basis, F.lit(0.5)), 6).alias("median_basis"), F.round(F.percentile(F.abs(basis), F.lit(0.95)), 6).alias("p95_abs_basis"),
-    )
+    items = read(spark, sf_dir, "lineitem").withColumn("basis", F.col("l_tax") - F.col("l_discount")).withColumn("size", F.abs("basis"))
+    means = items.groupBy("l_returnflag").agg(F.round(F.avg(F.col("l_extendedprice") * F.col("l_discount")), 4).alias("avg_cost"), F.round(F.avg(F.col("l_extendedprice") * F.col("l_tax")), 4).alias("avg_tax"))
+    for value, name, q in (("basis", "median_basis", 0.5), ("size", "p95_abs_basis", 0.95)):
+        means = means.join(rounded(Q.percentiles(items, ["l_returnflag"], value, {name: q}), 6, name), "l_returnflag")
+    return means
 
 
 @query("A14_coverage", "select o_orderpriority, count(distinct o_custkey) as customers, count(distinct case when o_orderstatus = 'F' then o_custkey end) as finished, round(count(distinct case when o_orderstatus = 'F' then o_custkey end) / count(distinct o_custkey), 6) as ratio from orders group by 1")
@@ -398,7 +412,10 @@ def liquidity_baseline(spark, sf_dir):
     t = ticks(spark, sf_dir)
     e = t.where("venue = 'purchase'").select("entity", F.col("id").alias("eid"), T.shift("ts", -12 * 3600).alias("start"), F.col("ts").alias("end"))
     found = J.interval_join(t.where("venue = 'view'").select("entity", "ts", "price", "size"), e, ["entity"], 12 * 3600)
-    stats = found.groupBy(F.col("eid").alias("id")).agg(F.count("*").alias("quotes"), F.percentile("price", F.lit(0.5)).alias("median_price"), F.percentile("price", F.lit(0.9)).alias("p90_price"), F.percentile("size", F.lit(0.5)).alias("median_depth"))
+    found = materialize(found.select(F.col("eid").alias("id"), "price", "size"), "quotes")
+    stats = found.groupBy("id").agg(F.count("*").alias("quotes"))
+    for value, points in (("price", {"median_price": 0.5, "p90_price": 0.9}), ("size", {"median_depth": 0.5})):
+        stats = stats.join(Q.percentiles(found, ["id"], value, points), "id", "left")
     out = e.select(F.col("eid").alias("id")).join(stats, "id", "left").withColumn("quotes", F.coalesce("quotes", F.lit(0)))
     return rounded(out, 6, "median_price", "p90_price", "median_depth")
 
@@ -463,9 +480,9 @@ select entity, score, row_number() over (order by score desc, seen desc, entity)
 def ranked_targets(spark, sf_dir):
     latest = ticks(spark, sf_dir).groupBy("entity").agg(F.max_by("price", "ts").alias("score"), F.max("ts").alias("seen"))
     live = latest.where(F.col("seen") >= F.lit("2024-01-30 00:00:00").cast("timestamp_ntz"))
-    # one row per entity whose time to live hasn't passed
-    rank = F.row_number().over(Window.orderBy(F.desc("score"), F.desc("seen"), "entity")).cast("long")
-    return live.select("entity", "score", rank.alias("rank"), (rank <= 10).alias("admitted"))
+    # the live set is ranked by range, in no single task
+    ranked = Q.places(live.withColumns({"_s": -F.col("score"), "_t": -F.unix_micros(F.col("seen").cast("timestamp"))}), [], ["_s", "_t", "entity"], "rank")
+    return ranked.select("entity", "score", "rank", (F.col("rank") <= 10).alias("admitted"))
 
 
 @query("W24_first_per_day", f"with {TICKS} select entity, ts, id from ticks where price >= 100 qualify row_number() over (partition by entity, cast(ts as date) order by ts, id) = 1")

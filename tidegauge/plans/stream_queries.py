@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegauge.functions import time as T
+from tidegauge.functions.scalars import change
+from tidegauge.operators.bars import build_bars
+from tidegauge.operators.scratch import scratch_path
 from tidegauge.plans.inputs import TICKS, read, rounded, ticks
 from tidegauge.plans.registry import query
 from tidegauge.streaming import aggregates as A
@@ -67,16 +67,18 @@ def pretrigger_rows(spark, sf_dir):
     return A.pretrigger(d, t, ["entity"]).select("detection", "detected_at", "ts", "price", "entity")
 
 
-@query("T8_live_targets", f"""with {TICKS}, d as (select entity, max(ts) + interval 180 minutes as expires, max(price) as score, max(ts) as seen from ticks where price >= 40 and ts < timestamp '2024-01-20' group by 1), l as (select * from d where expires > timestamp '2024-01-19 12:00:00')
-select entity, expires, row_number() over (order by score desc, seen desc, entity) as rank, row_number() over (order by score desc, seen desc, entity) <= 10 as admitted from l""")
+@query("T8_live_targets", f"""with {TICKS}, d as (select entity, max(epoch(ts)) + 180 * 60 as expires, arg_max(price, ts) as score, max(epoch(ts)) as seen from ticks where price >= 40 and ts < timestamp '2024-01-20' group by 1), l as (select * from d where expires > epoch(timestamp '2024-01-19 12:00:00'))
+select entity, round(expires, 3) as expires, row_number() over (order by score desc, seen desc, cast(entity as varchar)) as rank, row_number() over (order by score desc, seen desc, cast(entity as varchar)) <= 10 as admitted from l""")
 def live_targets(spark, sf_dir):
-    from pyspark.sql import Window
+    """Events as detections of three hours' life; the targets alive at noon of the 19th and their places."""
+
+    def changes(events: DataFrame) -> DataFrame:
+        found = events.where((F.col("value") >= 40) & (F.col("ts") < F.lit("2024-01-20 00:00:00").cast("timestamp_ntz")))
+        return P.targets(found.select(F.col("user_id").cast("string").alias("asset"), F.col("ts").cast("timestamp").alias("at"), F.col("ts").cast("timestamp").cast("double").alias("ts"), F.col("value").alias("score")), 180 * 60.0)
 
-    t = lambda s: F.lit(s).cast("timestamp_ntz")
-    d = ticks(spark, sf_dir).where((F.col("price") >= 40) & (F.col("ts") < t("2024-01-20 00:00:00")))
-    d = d.groupBy("entity").agg(T.shift(F.max("ts"), 180 * 60).alias("expires"), F.max("price").alias("score"), F.max("ts").alias("seen"))
-    rank = F.row_number().over(Window.orderBy(F.desc("score"), F.desc("seen"), "entity")).cast("long")  # one row per live target
-    return d.where(F.col("expires") > t("2024-01-19 12:00:00")).select("entity", "expires", rank.alias("rank"), (rank <= 10).alias("admitted"))
+    noon = 1_705_665_600.0
+    out = P.admitted(streamed(spark, read(spark, sf_dir, "events"), changes, files=True), noon, 10)
+    return out.select(F.col("asset").cast("long").alias("entity"), F.round("expires", 3).alias("expires"), "rank", "admitted")
 
 
 @query("T9_late_rows", f"with {TICKS}, a as (select *, ts + to_minutes(cast(size as int)) as arrived from ticks) select id, ts < arrived - interval 30 minutes as late from a")
@@ -88,31 +90,64 @@ def late_rows(spark, sf_dir):
 
 @query("T10_replayed_merge", f"with {TICKS} select entity, {bucket('1 day')} as bucket, count(*) as n, sum(size) as volume from ticks group by all")
 def replayed_merge(spark, sf_dir):
-    """Two batches, the second of which comes again: by batch id it counts once."""
-    t = ticks(spark, sf_dir).withColumn("batch", F.col("id") % 2)
-    parts = t.groupBy("entity", T.floor_to("ts", 86_400).alias("bucket"), "batch").agg(F.count("*").alias("n"), F.sum("size").alias("volume"))
-    again = parts.unionByName(parts.where("batch = 1")).dropDuplicates(["entity", "bucket", "batch"])
-    return again.groupBy("entity", "bucket").agg(F.sum("n").alias("n"), F.sum("volume").alias("volume"))
+    """A stream whose every batch is written twice, as after a failure: the second time nothing is counted."""
+    path = scratch_path(spark, "merge")
+    put = A.once_per_batch(f"{path}/rows", lambda d: d.groupBy(F.col("user_id").alias("entity"), T.floor_to("ts", 86_400).alias("bucket")).agg(F.count("*").alias("n"), F.sum(F.get_json_object("props", "$.k").cast("double")).alias("volume")))
+
+    def twice(df: DataFrame, batch_id: int) -> None:
+        put(df, batch_id)
+        put(df, batch_id)
 
+    stream = read_stream(spark, read(spark, sf_dir, "events"), files=True)
+    stream.writeStream.foreachBatch(twice).option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    parts = spark.read.schema("entity long, bucket timestamp_ntz, n long, volume double").parquet(f"{path}/rows")
+    return parts.groupBy("entity", "bucket").agg(F.sum("n").alias("n"), F.sum("volume").alias("volume"))
 
-@query("T12_segments", f"with {TICKS} select venue, strftime({bucket('15 minutes')}, '%Y%m%dT%H%M') as segment, count(*) as rows from ticks group by all")
+
+@query("T12_segments", f"with {TICKS} select venue, strftime({bucket('6 hours')}, '%Y%m%dT%H%M') as segment, count(*) as rows from ticks group by all")
 def segments(spark, sf_dir):
-    placed = ticks(spark, sf_dir).withColumn("segment", F.date_format(F.window("ts", "15 minutes")["start"], "yyyyMMdd'T'HHmm"))
-    return placed.groupBy("venue", "segment").agg(F.count("*").alias("rows"))
-
-
-def streamed(spark: SparkSession, sf_dir: str, name: str, transform) -> DataFrame:
-    """A table read as a stream, transformed, written until all of it is read, and read back."""
-    table = read(spark, sf_dir, name)
-    files = table.inputFiles()
-    folder = files[0].rsplit("/", 1)[0]
-    glob = f"{name}.parquet" if files[0].endswith(f"/{name}.parquet") else "*.parquet"
-    root = spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.mkdtemp(prefix='spark-stream-')}"
-    out = f"{root}/stream-{uuid.uuid4().hex}"
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-    source = spark.readStream.schema(table.schema).option("pathGlobFilter", glob).parquet(folder)
-    stream = transform(source)
-    stream.writeStream.format("parquet").option("path", f"{out}/rows").option("checkpointLocation", f"{out}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    """Raw rows through the segment sink, and the segments read back."""
+    path = scratch_path(spark, "segments")
+    stream = read_stream(spark, ticks(spark, sf_dir).select("venue", "ts", "id"))
+    A.segments(stream, f"{path}/raw", f"{path}/checkpoint", ["venue"], "6 hours").trigger(availableNow=True).start().awaitTermination()
+    raw = spark.read.schema("id long, ts timestamp_ntz, venue string, segment string").json(f"{path}/raw")
+    return raw.groupBy("venue", "segment").agg(F.count("*").alias("rows"))
+
+
+#: Input files of a micro-batch: a batch's rows of one key are sorted in memory.
+FILES = 8
+
+
+def read_stream(spark: SparkSession, table: DataFrame, files: bool = False) -> DataFrame:
+    """A table as a stream: from its own ``files``, of which it has to be all rows and columns, or from a copy below the
+    scratch folder."""
+    source = spark.readStream.schema(table.schema).option("maxFilesPerTrigger", FILES)
+    if files:
+        paths = table.inputFiles()
+        glob = paths[0].rsplit("/", 1)[1] if len(paths) == 1 else "*.parquet"
+        return source.option("pathGlobFilter", glob).parquet(paths[0].rsplit("/", 1)[0])
+    path = f"{scratch_path(spark, 'stream-input')}/rows"
+    table.write.parquet(path)
+    return source.parquet(path)
+
+
+STORE = "spark.sql.streaming.stateStore.providerClass"
+
+
+def streamed(spark: SparkSession, table: DataFrame, transform, files: bool = False) -> DataFrame:
+    """A table read as a stream, transformed, written until all of it is read, and read back. The state store that stateful
+    processors need is set for the query's start alone."""
+    out = scratch_path(spark, "stream")
+    before = spark.conf.get(STORE, None)
+    spark.conf.set(STORE, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        stream = transform(read_stream(spark, table, files))
+        stream.writeStream.format("parquet").option("path", f"{out}/rows").option("checkpointLocation", f"{out}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    finally:
+        if before is None:
+            spark.conf.unset(STORE)
+        else:
+            spark.conf.set(STORE, before)
     return spark.read.schema(stream.schema).parquet(f"{out}/rows")
 
 
@@ -130,46 +165,68 @@ def book_states(spark, sf_dir):
             )
         )
 
-    return streamed(spark, sf_dir, "events", updates)
+    return streamed(spark, read(spark, sf_dir, "events"), updates, files=True)
+
+
+#: The detector's windows in hours and limits in tens of percent, as the events are sparse and their values vary much.
+SPARSE = P.DetectorConfig(fast=6 * 3600, base=24 * 3600, slow=72 * 3600, fast_limit=75.0, base_limit=150.0, slow_limit=250.0, confirmed=75.0, derivative_limit=50.0, spot_limit=20.0, volume_move=50.0, evidence=6 * 3600, cooldown=12 * 3600)
+
+
+def observed(events: DataFrame) -> DataFrame:
+    """Events as observations of ten assets on five venues, of which each user is a symbol."""
+    return events.select(
+        (F.col("user_id") % 10).cast("string").alias("asset"), F.col("ts").cast("timestamp").cast("double").alias("t"), F.col("event_type").alias("provider"), F.when(F.col("event_type").isin("view", "click"), "spot").otherwise("perp").alias("market"),
+        (F.col("user_id") % 3).cast("string").alias("symbol"), (F.col("value") - 3).alias("price"), F.when(F.col("event_id") % 5 != 0, F.col("event_id") * 1.0).alias("volume"), F.col("event_id").alias("id"),
+    )
 
 
 @query("T5_multi_venue_detections")
 def multi_venue_detections(spark, sf_dir):
-    """Events as observations of ten assets on five venues."""
+    """Events as a stream of observations; tests compare it with the cooldown over E12."""
+    return streamed(spark, read(spark, sf_dir, "events"), lambda events: P.multi_venue(observed(events).drop("id"), SPARSE), files=True)
 
-    def observed(events: DataFrame) -> DataFrame:
-        return P.multi_venue(
-            events.select(
-                (F.col("user_id") % 10).cast("string").alias("asset"), F.col("ts").cast("timestamp").cast("double").alias("t"), F.col("event_type").alias("provider"),
-                F.when(F.col("event_type").isin("view", "click"), "spot").otherwise("perp").alias("market"), F.col("value").alias("price"), (F.col("event_id") * 1.0).alias("volume"),
-            )
-        )
-
-    return streamed(spark, sf_dir, "events", observed)
 
+def before_sql(seconds: int) -> str:
+    """The place of a venue's last row at least so long ago: rows are numbered by time in each venue."""
+    return f"(select max(b.n) from o b where b.asset = o.asset and b.provider = o.provider and b.symbol = o.symbol and b.ts <= o.ts - interval {seconds} seconds and b.ts >= o.ts - interval {SPARSE.retention} seconds)"
 
-@query("T13_live_rule", f"""with {TICKS}, b as (select entity, {bucket("6 hours")} as bucket, arg_max(price, ts) / nullif(arg_min(price, ts), 0) - 1 as ret from ticks group by all),
-l as (select *, lag(ret) over w as before, lag(bucket) over w as prev from b window w as (partition by entity order by bucket)) select entity, bucket from l where ret <= -0.5 and not coalesce(before <= -0.5 and prev = bucket - interval 6 hours, false)""")
-def live_rule(spark, sf_dir):
-    from tidegauge.functions.scalars import change
-    from tidegauge.operators.bars import build_bars
-    from tidegauge.operators.features import contiguous, series
 
-    b = build_bars(ticks(spark, sf_dir), ["entity"], 6 * 3600).select("entity", "bucket", change("close", "open").alias("ret"))
-    w = series(["entity"])
-    again = F.coalesce((F.lag("ret").over(w) <= -0.5) & contiguous(w, "bucket", 1, 6 * 3600), F.lit(False))
-    return b.withColumn("fresh", (F.col("ret") <= -0.5) & ~again).where("fresh").select("entity", "bucket")
+def move_sql(name: str, seconds: int) -> str:
+    return f"case when {name}.ts >= s.ts - interval {int(seconds * 1.25)} seconds then 100 * (s.price / {name}.price - 1) end"
 
 
 @query(
     "E12_batch_detections",
-    f"""with {TICKS}, m as (select entity, venue, ts, 100 * (price / last_value(price ignore nulls) over (partition by entity, venue order by ts range between unbounded preceding and interval 300 seconds preceding) - 1) as move from ticks)
-select entity, venue, ts, round(move, 6) as move from m where move >= 1.5""",
+    f"""with e as (select cast(user_id % 10 as varchar) as asset, event_type as provider, case when event_type in ('view', 'click') then 'spot' else 'perp' end as market, cast(user_id % 3 as varchar) as symbol, ts, event_id as id, value - 3 as price, case when event_id % 5 <> 0 then event_id * 1.0 end as volume from events where value > 3),
+o as (select *, row_number() over (partition by asset, provider, symbol order by ts, id) as n from e), p as (select *, {before_sql(SPARSE.fast)} as nf, {before_sql(SPARSE.base)} as nb, {before_sql(SPARSE.slow)} as ns, {before_sql(2 * SPARSE.base)} as nd from o),
+g as (select s.*, {move_sql("f", SPARSE.fast)} as fast, {move_sql("b", SPARSE.base)} as base, {move_sql("w", SPARSE.slow)} as slow, case when s.volume is null or b.volume is null or d.volume is null then null when s.volume - b.volume <= 0 then 0 when b.volume - d.volume <= 0 then 10 else least((s.volume - b.volume) / (b.volume - d.volume), 10) end as growth
+  from p s left join o f on f.asset = s.asset and f.provider = s.provider and f.symbol = s.symbol and f.n = s.nf left join o b on b.asset = s.asset and b.provider = s.provider and b.symbol = s.symbol and b.n = s.nb left join o w on w.asset = s.asset and w.provider = s.provider and w.symbol = s.symbol and w.n = s.ns
+  left join o d on d.asset = s.asset and d.provider = s.provider and d.symbol = s.symbol and d.n = s.nd),
+k as (select *, case when coalesce(base, 0) <> 0 then base else nullif(fast, 0) end as lead, greatest(fast, base, slow) as best from g where fast is not null or base is not null or slow is not null),
+l as (select a.asset, a.id as aid, a.ts as a_ts, v.* exclude (asset) from k a join k v on v.asset = a.asset and v.ts >= a.ts - interval {SPARSE.evidence} seconds and (v.ts < a.ts or (v.ts = a.ts and v.id <= a.id)) qualify row_number() over (partition by a.id, v.provider, v.symbol order by v.ts desc, v.id desc) = 1),
+j as (select asset, aid, a_ts, bool_or(coalesce(fast >= 75, false)) as c1, bool_or(coalesce(base >= 150, false)) as c2, bool_or(coalesce(slow >= 250, false)) as c3, count(distinct provider) filter (base >= 75 or fast >= 45 or slow >= 131.25) >= 2 as c4,
+  coalesce(max(lead) filter (market = 'perp') >= 50, false) and coalesce(max(lead) filter (market = 'spot') >= 20, false) as c5, bool_or(coalesce(lead >= 50 and growth >= 3, false)) as c6, count(distinct provider) as providers,
+  max(greatest(coalesce(fast, 0) / 75, coalesce(base, 0) / 150, coalesce(slow, 0) / 250)) as ratio, coalesce(median(best) filter (best > 0), 0) as usual, max(coalesce(growth, 0)) as growth from l group by all)
+select asset, aid as id, concat_ws(',', case when c1 then 'fast' end, case when c2 then 'base' end, case when c3 then 'slow' end, case when c4 then 'cross_venue' end, case when c5 then 'derivative_led' end, case when c6 then 'volume' end) as triggers, providers,
+  round(least(30 * least(ratio, 2) + 8 * least(providers, 4) + 8 * least(usual / 75, 2) + 7 * least(growth / 3, 2) + case when c4 then 10 else 0 end + case when c5 then 8 else 0 end, 100), 4) as score from j where c1 or c2 or c3 or c4 or c5 or c6""",
 )
 def batch_detections(spark, sf_dir):
-    """The detector's base rule as windows: a rise of 1.5 % over the last observation of the venue at least 300 s before."""
-    from tidegauge.operators.features import asof_value
+    out = P.batch_detections(observed(read(spark, sf_dir, "events")), SPARSE)
+    return out.select("asset", "id", "triggers", F.col("providers").cast("long").alias("providers"), F.round("score", 4).alias("score"))
 
-    t = ticks(spark, sf_dir)
-    before = asof_value("price", ["entity", "venue"], "ts", 300)
-    return t.withColumn("move", 100 * (F.col("price") / before - 1)).where("move >= 1.5").select("entity", "venue", "ts", F.round("move", 6).alias("move"))
+
+@query(
+    "T13_live_rule",
+    f"""with recursive {TICKS}, b as (select entity, {bucket("6 hours")} as bucket, arg_max(price, ts) / nullif(arg_min(price, ts), 0) - 1 as ret, count(*) as n from ticks group by all),
+l as (select *, lag(ret) over w as before, lag(bucket) over w as prev from (select * from b where ret is not null) window w as (partition by entity order by bucket)),
+q as (select entity, bucket, bucket + interval 6 hours as ends, n > 3 as late from l where ret <= -0.5 and not coalesce(before <= -0.5 and prev = bucket - interval 6 hours, false)),
+f as (select entity, min(ends) as ends from q where not late group by 1 union all select f.entity, (select min(q.ends) from q where q.entity = f.entity and not q.late and q.ends >= f.ends + interval 48 hours) as ends from f where f.ends is not null)
+select cast(q.entity as varchar) as entity, q.bucket, case when exists (select 1 from f where f.entity = q.entity and f.ends < q.ends and q.ends < f.ends + interval 48 hours) then 'blocked' when late then 'missed' else 'signal' end as verdict from q""",
+)
+def live_rule(spark, sf_dir):
+    """Six-hour bars as a stream of closed bars that arrive half a minute later for each of their rows."""
+    b = build_bars(ticks(spark, sf_dir), ["entity"], 6 * 3600)
+    seconds = F.col("bucket").cast("timestamp").cast("double")
+    closed = b.select(F.col("entity").cast("string").alias("entity"), seconds.alias("bar_start"), (seconds + 6 * 3600).alias("bar_end"), (seconds + 6 * 3600 + 30 * F.col("n")).alias("arrived"), change("close", "open").alias("ret"))
+    out = streamed(spark, closed, lambda bars: P.live_rules(bars, -0.5, 48 * 3600.0, 90.0))
+    return out.select("entity", F.timestamp_seconds("bar_start").cast("timestamp_ntz").alias("bucket"), "verdict")

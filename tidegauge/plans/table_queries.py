@@ -8,8 +8,9 @@ from tidegauge.functions import time as T
 from tidegauge.operators import quality as Q
 from tidegauge.operators import screen as D
 from tidegauge.operators import writes as K
+from tidegauge.operators.scratch import materialize, scratch_path
 from tidegauge.plans.inputs import TICKS, read, ticks
-from tidegauge.plans.join_queries import NET, trades
+from tidegauge.plans.join_queries import trades
 from tidegauge.plans.registry import query
 from tidegauge.sources import readers as S
 
@@ -53,12 +54,16 @@ def book_ticker(spark, sf_dir):
     return S.resolve_columns(S.named_by_position(raw, ["update_id", "best_bid_price", "best_bid_qty", "best_ask_price", "best_ask_qty", "transaction_time"]), S.BOOK_TICKER)
 
 
-@query("S5_quote_lines", f"with {TICKS} select venue as symbol, ts, price as ask_price, size as ask_amount from ticks")
-def quote_lines(spark, sf_dir):
-    line = F.concat_ws(",", "venue", micros().cast("string"), F.col("price").cast("string"), F.col("size").cast("string"))
-    parsed = ticks(spark, sf_dir).select(F.from_csv(line, "symbol string, timestamp long, ask_price double, ask_amount double").alias("r")).select("r.*")
-    checked = S.required(parsed, ["symbol", "timestamp", "ask_price", "ask_amount"])
-    return checked.select("symbol", T.from_epoch("timestamp").alias("ts"), "ask_price", "ask_amount")
+@query("S5_quote_files", f"with {TICKS} select venue as symbol, ts, price as ask_price, size as ask_amount, price - 0.5 as bid_price, size + 1 as bid_amount from ticks")
+def quote_files(spark, sf_dir):
+    """Quotes written as gzipped CSV files and read by the reader."""
+    path = scratch_path(spark, "quotes")
+    t = ticks(spark, sf_dir)
+    files = t.select(
+        F.lit("x").alias("exchange"), F.col("venue").alias("symbol"), micros().alias("timestamp"), micros().alias("local_timestamp"), F.col("size").alias("ask_amount"), F.col("price").alias("ask_price"), (F.col("price") - 0.5).alias("bid_price"), (F.col("size") + 1).alias("bid_amount")
+    )
+    files.write.option("header", True).option("compression", "gzip").csv(f"{path}/files")
+    return S.quote_files(spark, f"{path}/files").select("symbol", "ts", "ask_price", "ask_amount", "bid_price", "bid_amount")
 
 
 @query(
@@ -78,43 +83,76 @@ def depth_levels(spark, sf_dir):
 
 @query(
     "S7_short_volume",
-    "select cast(cast(l_shipdate as date) as varchar) as date, p_brand as symbol, l_quantity as short, l_quantity * 2 as total, l_orderkey from lineitem join part on p_partkey = l_partkey where p_brand in ('Brand#1', 'Brand#2') and l_orderkey % 3 = 0",
+    "select cast(cast(l_shipdate as date) as varchar) as date, p_brand as symbol, l_quantity as short, l_quantity * 2 as total, l_orderkey from lineitem join part on p_partkey = l_partkey where p_brand in ('Brand#1', 'Brand#2')",
 )
 def short_volume(spark, sf_dir):
-    items = read(spark, sf_dir, "lineitem").where("l_orderkey % 3 = 0").join(read(spark, sf_dir, "part"), F.col("p_partkey") == F.col("l_partkey"))
+    """Line items as lines; the order's key rides in the market field."""
+    items = read(spark, sf_dir, "lineitem").join(read(spark, sf_dir, "part"), F.col("p_partkey") == F.col("l_partkey"))
     line = F.concat_ws("|", F.to_date("l_shipdate").cast("string"), "p_brand", F.col("l_quantity").cast("string"), F.lit("0"), (F.col("l_quantity") * 2).cast("string"), F.col("l_orderkey").cast("string"))
     known = read(spark, sf_dir, "part").where("p_brand in ('Brand#1', 'Brand#2')").select(F.col("p_brand").alias("symbol"))
-    lines = items.select(line.alias("line"))
-    parsed = S.short_volume(lines.withColumn("line", F.concat_ws("|", "line")), known)
-    # the order's key rides in the market field, so that equal lines can be told apart
-    keyed = lines.select(F.split("line", r"\|").alias("f")).select(F.col("f")[0].alias("date"), F.col("f")[1].alias("symbol"), F.col("f")[2].cast("double").alias("short"), F.col("f")[4].cast("double").alias("total"), F.col("f")[5].cast("long").alias("l_orderkey"))
-    return keyed.join(parsed.distinct(), ["date", "symbol", "short", "total"], "left_semi").select("date", "symbol", "short", "total", "l_orderkey")
+    return S.short_volume(items.select(line.alias("line")), known).select("date", "symbol", "short", "total", F.col("market").cast("long").alias("l_orderkey"))
 
 
-@query(
-    "S8_payload_rows",
-    "select l_orderkey, l_linenumber, l_extendedprice as price, l_quantity as size from lineitem where l_orderkey % 5 = 0",
-)
+@query("S8_payload_rows", "select l_orderkey, l_linenumber, l_extendedprice as price, l_quantity as size from lineitem")
 def payload_rows(spark, sf_dir):
-    items = read(spark, sf_dir, "lineitem").where("l_orderkey % 5 = 0")
+    items = read(spark, sf_dir, "lineitem")
     packed = items.groupBy("l_orderkey").agg(F.to_json(F.struct(F.collect_list(F.struct(F.col("l_linenumber").alias("n"), F.col("l_extendedprice").alias("p"), F.col("l_quantity").alias("s"))).alias("trades"))).alias("payload"))
     return S.object_payloads(packed, "payload", "trades", {"l_linenumber": ("n", "int"), "price": ("p", "double"), "size": ("s", "double")}, ["l_orderkey"])
 
 
+#: What each of eighteen ticks is told by: venue, kind, and whether the message has a time, a price and size, a side, levels.
+FORMS = (
+    ("binance_spot", "trade"), ("binance_spot", "book"), ("binance_futures", "book"), ("binance_futures", "mark"), ("binance_futures", "liquidation"), ("binance_spot", "ticker"),
+    ("coinbase", "trade"), ("coinbase", "book"), ("coinbase", "book"), ("coinbase", "ticker"), ("kraken", "trade"), ("kraken", "book"), ("bybit", "trade"), ("bybit", "book"), ("bybit", "mark"), ("bybit", "liquidation"), ("kraken", "ticker"), ("bybit", "unknown"),
+)
+
+
 @query(
     "S9_venue_messages",
-    f"""with {TICKS} select id, 'S' || entity as symbol, make_timestamp((epoch_us(ts) // 1000) * 1000) as ts, price, size, case when id % 2 = 0 then 'sell' else 'buy' end as side from ticks where venue in ('view', 'click', 'purchase')""",
+    f"""with {TICKS}, f as (select id, id % 18 as k, entity, make_timestamp((epoch_us(ts) // 1000) * 1000) as ts, price, size, id % 2 = 0 as sells from ticks)
+select id, [{", ".join(f"'{v}'" for v, _ in FORMS)}][k + 1] as venue, [{", ".join(f"'{x}'" for _, x in FORMS)}][k + 1] as kind, case when k <> 17 then 'S' || entity end as symbol, case when k not in (7, 17) then ts end as ts,
+  case when k in (0, 4, 5, 6, 9, 10, 12, 14, 15, 16) then price end as price, case when k in (0, 4, 6, 10, 12, 15) then size end as size, case when k in (0, 4, 6, 10, 12, 15) then case when sells then 'sell' else 'buy' end end as side,
+  case when k in (1, 2, 7, 8, 11, 13) then case when k = 8 and sells then 0 else 1 end end as n_bids, case when k in (1, 2, 7, 8, 11, 13) then case when k = 8 and not sells then 0 when k = 8 then 1 else 2 end end as n_asks,
+  case when k in (1, 2, 7, 11, 13) then price + 1 end as best_ask, case when k in (1, 7, 11) then true when k in (2, 8, 13) then false end as snapshot, case when k in (3, 14) then price end as mark_price, case when k in (3, 14) then size / 1000 end as funding_rate,
+  case when k = 14 then size end as open_interest, case when k in (5, 14) then size when k in (9, 16) then size * price end as volume from f""",
 )
 def venue_messages(spark, sf_dir):
+    """Ticks told by the messages of five venues, each kind of each of them, and heartbeats."""
     t = ticks(spark, sf_dir)
-    ms, sell = F.floor(micros() / 1000), F.col("id") % 2 == 0
-    text = lambda c: F.col(c).cast("string")
-    sym = F.concat(F.lit("S"), text("entity"))
-    flag = F.struct(F.lit("trade").alias("e"), sym.alias("s"), ms.alias("T"), text("price").alias("p"), text("size").alias("q"), sell.alias("m"))
-    taker = F.format_string('{"topic":"publicTrade.X","s":"%s","T":%d,"p":"%s","v":"%s","S":"%s"}', sym, ms, text("price"), text("size"), F.when(sell, "Sell").otherwise("Buy"))
-    maker = F.struct(F.lit("match").alias("type"), sym.alias("product_id"), ms.alias("time"), text("price").alias("price"), text("size").alias("size"), F.when(sell, "buy").otherwise("sell").alias("side"))
-    body = F.when(F.col("venue") == "view", F.to_json(flag)).when(F.col("venue") == "click", taker).when(F.col("venue") == "purchase", F.to_json(maker)).otherwise('{"type": "heartbeat"}')
-    return S.venue_trades(t.select("id", body.alias("body"))).select("id", "symbol", "ts", "price", "size", "side")
+    k, ms, sells = F.col("id") % 18, F.floor(micros() / 1000), F.col("id") % 2 == 0
+    text = lambda c: c.cast("string")
+    sym, p, q, p1, p2 = F.concat(F.lit("S"), text(F.col("entity"))), text(F.col("price")), text(F.col("size")), text(F.col("price") + 1), text(F.col("price") + 2)
+    iso = F.date_format(F.timestamp_add("MICROSECOND", ms * 1000, F.expr(T.ORIGIN)), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
+    side = lambda a, b: F.when(sells, a).otherwise(b)
+    rate = text(F.col("size") / 1000)
+    say = F.format_string
+    bodies = [
+        say('{"stream":"x@aggTrade","data":{"e":"aggTrade","E":%d,"s":"%s","p":"%s","q":"%s","T":%d,"m":%s}}', ms, sym, p, q, ms, side("true", "false")),
+        say('{"stream":"%s@depth20","data":{"lastUpdateId":1,"E":%d,"bids":[["%s","%s"]],"asks":[["%s","1"],["%s","2"]]}}', F.lower(sym), ms, p, q, p1, p2),
+        say('{"stream":"x","data":{"e":"depthUpdate","E":%d,"s":"%s","b":[["%s","%s"]],"a":[["%s","1"],["%s","0"]]}}', ms, sym, p, q, p1, p2),
+        say('{"stream":"x","data":{"e":"markPriceUpdate","E":%d,"s":"%s","p":"%s","i":"%s","r":"%s","T":%d}}', ms, sym, p, p1, rate, ms),
+        say('{"stream":"x","data":{"e":"forceOrder","E":%d,"o":{"s":"%s","S":"%s","p":"1","ap":"%s","q":"%s","T":%d}}}', ms, sym, side("SELL", "BUY"), p, q, ms),
+        say('{"e":"24hrMiniTicker","E":%d,"s":"%s","c":"%s","q":"%s"}', ms, sym, p, q),
+        say('{"type":"match","product_id":"%s","time":"%s","price":"%s","size":"%s","side":"%s"}', sym, iso, p, q, side("buy", "sell")),
+        say('{"type":"snapshot","product_id":"%s","bids":[["%s","%s"]],"asks":[["%s","1"],["%s","2"]]}', sym, p, q, p1, p2),
+        say('{"type":"l2update","product_id":"%s","time":"%s","changes":[["%s","%s","%s"]]}', sym, iso, side("sell", "buy"), p, q),
+        say('{"type":"ticker","product_id":"%s","time":"%s","price":"%s","volume_24h":"%s"}', sym, iso, p, q),
+        say('{"channel":"trade","type":"update","data":[{"symbol":"%s","side":"%s","price":%s,"qty":%s,"timestamp":"%s"}]}', sym, side("sell", "buy"), p, q, iso),
+        say('{"channel":"book","type":"snapshot","data":[{"symbol":"%s","bids":[{"price":%s,"qty":%s}],"asks":[{"price":%s,"qty":1},{"price":%s,"qty":2}],"timestamp":"%s"}]}', sym, p, q, p1, p2, iso),
+        say('{"topic":"publicTrade.%s","type":"snapshot","ts":1,"data":[{"T":%d,"s":"%s","S":"%s","v":"%s","p":"%s"}]}', sym, ms, sym, side("Sell", "Buy"), q, p),
+        say('{"topic":"orderbook.50.%s","type":"delta","ts":%d,"data":{"s":"%s","b":[["%s","%s"]],"a":[["%s","1"],["%s","2"]]}}', sym, ms, sym, p, q, p1, p2),
+        say('{"topic":"tickers.%s","ts":%d,"data":{"symbol":"%s","lastPrice":"%s","markPrice":"%s","indexPrice":"%s","fundingRate":"%s","openInterest":"%s","turnover24h":"%s"}}', sym, ms, sym, p, p, p1, rate, q, q),
+        say('{"topic":"allLiquidation.%s","ts":%d,"data":[{"T":%d,"s":"%s","S":"%s","v":"%s","p":"%s"}]}', sym, ms, ms, sym, side("Sell", "Buy"), q, p),
+        say('{"channel":"ticker","type":"update","data":[{"symbol":"%s","last":%s,"volume":%s,"timestamp":"%s"}]}', sym, p, q, iso),
+        F.lit('{"op":"pong"}'),
+    ]
+    body, venue = bodies[-1], F.lit("bybit")
+    for i, (b, (v, _)) in enumerate(zip(bodies[:-1], FORMS, strict=False)):
+        body, venue = F.when(k == i, b).otherwise(body), F.when(k == i, F.lit(v)).otherwise(venue)
+    out = S.venue_events(t.select("id", venue.alias("venue"), body.alias("body")))
+    return out.select(
+        "id", "venue", "kind", "symbol", "ts", "price", "size", "side", F.size("bids").cast("long").alias("n_bids"), F.size("asks").cast("long").alias("n_asks"), F.get("asks", F.lit(0))["price"].alias("best_ask"), "snapshot", "mark_price", "funding_rate", "open_interest", "volume"
+    ).withColumns({c: F.when(F.col("kind") == "book", F.col(c)) for c in ("n_bids", "n_asks", "best_ask")}).withColumn("best_ask", F.when(k != 8, F.col("best_ask")))
 
 
 @query(
@@ -147,6 +185,20 @@ def columnar_rows(spark, sf_dir):
     return S.columnar_rows(listed, ["o_orderkey", "o_orderstatus"], ["o_custkey"]).where("o_orderstatus in ('F', 'P')")
 
 
+@query(
+    "S12_filings",
+    """select o_custkey, o_orderkey || '-' || o_custkey as accession, cast(o_orderdate as date) as filed, o_orderpriority as form, case o_orderpriority when '1-URGENT' then 'current' when '2-HIGH' then 'periodic' else 'other' end as form_class,
+  'https://example.org/archives/' || o_custkey || '/' || o_orderkey || o_custkey || '/' || o_orderstatus || '.htm' as url from orders where cast(o_orderdate as date) >= date '1997-06-01'""",
+)
+def filings(spark, sf_dir):
+    """Orders as each customer's columnar filings."""
+    o = read(spark, sf_dir, "orders")
+    row = F.struct(F.concat_ws("-", F.col("o_orderkey").cast("string"), F.col("o_custkey").cast("string")).alias("a"), F.to_date("o_orderdate").cast("string").alias("d"), F.col("o_orderpriority").alias("f"), F.concat("o_orderstatus", F.lit(".htm")).alias("p"))
+    listed = o.groupBy("o_custkey").agg(F.collect_list(row).alias("l"))
+    payload = F.to_json(F.struct(F.struct(F.col("l.a").alias("accessionNumber"), F.col("l.d").alias("filingDate"), F.col("l.f").alias("form"), F.col("l.p").alias("primaryDocument")).alias("recent")))
+    return S.filings(listed.select("o_custkey", payload.alias("payload")), "payload", "o_custkey", "https://example.org/archives", "1997-06-01", {"1-URGENT": "current", "2-HIGH": "periodic"})
+
+
 @query("S13_article_symbols", "select p_partkey, unnest(string_split(p_name, ' ')) as symbol from part")
 def article_symbols(spark, sf_dir):
     return S.articles(read(spark, sf_dir, "part").withColumn("words", F.split("p_name", " ")), "words").select("p_partkey", "symbol")
@@ -242,11 +294,16 @@ def coalescing_upsert(spark, sf_dir):
     return K.coalescing_upsert(old, new.withColumn("id", F.when(F.col("v") > 100_000, F.col("id"))), ["k"], ["v"], ["id"])
 
 
-@query("K5_segment_manifest", f"with {TICKS} select venue, entity % 4 as shard, time_bucket(interval 15 minutes, ts, timestamp '1970-01-01') as segment, count(*) as rows, md5(string_agg(cast(id as varchar), ',' order by id)) as checksum from ticks group by all")
+@query("K5_segment_manifest", f"with {TICKS} select venue, entity % 4 as shard, cast(ts as date) as segment, count(*) as rows, true as intact from ticks group by all")
 def segment_manifest(spark, sf_dir):
-    t = ticks(spark, sf_dir).groupBy("venue", (F.col("entity") % 4).alias("shard"), T.floor_to("ts", 900).alias("segment"))
-    listed = F.array_sort(F.collect_list("id"))  # a quarter of an hour of one shard
-    return t.agg(F.count("*").alias("rows"), F.md5(F.array_join(F.transform(listed, lambda x: x.cast("string")), ",")).alias("checksum"))
+    """Segments written as objects; their manifest against what is read back."""
+    path = scratch_path(spark, "segments")
+    t = ticks(spark, sf_dir).select("venue", (F.col("entity") % 4).alias("shard"), F.to_date("ts").alias("segment"), "id", "ts", "price")
+    manifest = materialize(K.write_segments(t, f"{path}/raw", ["venue", "shard", "segment"]), "manifest")
+    stored = K.segment_manifest(spark, f"{path}/raw", {}).select("path", F.col("bytes").alias("_b"), F.col("checksum").alias("_c"))
+    same = (F.col("bytes") == F.col("_b")) & (F.col("checksum") == F.col("_c")) & (F.length("checksum") == 64)
+    out = manifest.join(stored, "path", "left").groupBy("venue", "shard", "segment")
+    return out.agg(F.sum("rows").alias("rows"), F.bool_and(F.coalesce(same, F.lit(False))).alias("intact"))
 
 
 @query("K6_snapshot_replace", f"with {HALVES} select k, v, true as tradable from new union all select k, v, false from old where k not in (select k from new)")
@@ -257,15 +314,21 @@ def snapshot_replace(spark, sf_dir):
 
 @query("K7_slice_rebuild", "select o_orderkey, case when o_orderpriority = '1-URGENT' then o_totalprice * 2 else o_totalprice end as v from orders")
 def slice_rebuild(spark, sf_dir):
-    o = read(spark, sf_dir, "orders")
-    rebuilt = o.where("o_orderpriority = '1-URGENT'").select("o_orderkey", (F.col("o_totalprice") * 2).alias("v"))
-    return o.where("o_orderpriority <> '1-URGENT'").select("o_orderkey", F.col("o_totalprice").alias("v")).unionByName(rebuilt)
+    """A table by priority of which one slice is rebuilt in place."""
+    path = scratch_path(spark, "slices")
+    o = read(spark, sf_dir, "orders").select("o_orderkey", F.col("o_totalprice").alias("v"), "o_orderpriority")
+    K.replace_slice(o, f"{path}/rows", ["o_orderpriority"])
+    K.replace_slice(o.where("o_orderpriority = '1-URGENT'").withColumn("v", F.col("v") * 2), f"{path}/rows", ["o_orderpriority"])
+    return spark.read.schema(o.schema).parquet(f"{path}/rows").select("o_orderkey", "v")
 
 
 @query("K8_export_rows", "select o_custkey, '[' || string_agg('{\"k\":' || o_orderkey || ',\"s\":\"' || o_orderstatus || '\"}', ',' order by o_orderkey) || ']' as orders from orders group by 1")
 def export_rows(spark, sf_dir):
+    """Customers and their orders through the CSV export, read back."""
+    path = scratch_path(spark, "export")
     listed = F.array_sort(F.collect_list(F.struct(F.col("o_orderkey").alias("k"), F.col("o_orderstatus").alias("s"))))
-    return read(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.to_json(listed).alias("orders"))
+    K.export_csv({"orders": read(spark, sf_dir, "orders").groupBy("o_custkey").agg(listed.alias("orders"))}, path)
+    return spark.read.schema("o_custkey long, orders string").option("header", True).option("escape", '"').csv(f"{path}/orders")
 
 
 @query("K9_ledger_rows", "select p_brand, '{\"p_brand\":\"' || p_brand || '\",\"n\":' || count(*) || '}' as frozen_definition, sha256('{\"p_brand\":\"' || p_brand || '\",\"n\":' || count(*) || '}') as definition_hash, 'v1' as contract from part group by p_brand")
@@ -358,17 +421,3 @@ def tail_probabilities(spark, sf_dir):
 
     b = cluster_means(trades(spark, sf_dir), ["brand"], ["supplier"], "net")
     return b.select("brand", "z", D.one_sided_p("z").alias("p_one_sided"), D.two_sided_p("z").alias("p_two_sided"))
-
-
-@query(
-    "D13_holdout_gate",
-    f"""with {NET} select count(*) as rows, count(distinct brand) as brands, (select count(*) from (select supplier, count(distinct kind) as n from t group by 1) where n <> (select count(distinct kind) from t)) as uneven from t""",
-)
-def holdout_gate(spark, sf_dir):
-    t = trades(spark, sf_dir)
-    totals = t.agg(F.count("*").alias("rows"), F.count_distinct("brand").alias("brands"), F.count_distinct("kind").alias("_kinds"))
-    per = t.groupBy("supplier").agg(F.count_distinct("kind").alias("n"))
-    uneven = per.crossJoin(totals.select("_kinds")).agg(F.count_if(F.col("n") != F.col("_kinds")).alias("uneven"))  # one row
-    return totals.drop("_kinds").crossJoin(uneven)
-
-

@@ -106,11 +106,25 @@ def level_arrays(df: DataFrame, sides: dict[str, list[tuple[str, str]]], keep: l
     return out.where((F.size("bids") > 0) & (F.size("asks") > 0) & (best("bids") < best("asks")))
 
 
+#: Columns of a file of best quotes.
+QUOTES = ("exchange", "symbol", "timestamp", "local_timestamp", "ask_amount", "ask_price", "bid_price", "bid_amount")
+
+
+def quote_files(spark: SparkSession, path: str, columns: tuple[str, ...] = QUOTES) -> DataFrame:
+    """Best quotes from CSV files with header, gzipped or not: ts, exchange, symbol and sizes and prices of either side. Epochs
+    are of any unit. A file without one of the columns raises ValueError; rows without a time or a price are left out."""
+    raw = required(spark.read.option("header", True).csv(path), list(columns))
+    number = lambda c: F.col(c).try_cast("double").alias(c)
+    out = raw.select("exchange", "symbol", from_epoch(F.col("timestamp").try_cast("long")).alias("ts"), from_epoch(F.col("local_timestamp").try_cast("long")).alias("received"), *map(number, columns[4:]))
+    return out.dropna(subset=["ts", "ask_price", "bid_price"])
+
+
 def short_volume(lines: DataFrame, catalogue: DataFrame, line: str = "line", symbol: str = "symbol") -> DataFrame:
-    """date, symbol, short, total from lines `date|symbol|short|exempt|total|market`, of catalogued symbols only."""
+    """date, symbol, short, total, market from lines `date|symbol|short|exempt|total|market`, of catalogued symbols only;
+    a line without a market has none."""
     f = F.split(col(line), r"\|")
-    rows = lines.where(F.size(f) >= 5).select(f[0].alias("date"), f[1].alias(symbol), f[2].try_cast("double").alias("short"), f[4].try_cast("double").alias("total"))
-    return rows.dropna().join(catalogue.select(symbol).distinct(), symbol, "left_semi")
+    rows = lines.where(F.size(f) >= 5).select(f[0].alias("date"), f[1].alias(symbol), f[2].try_cast("double").alias("short"), f[4].try_cast("double").alias("total"), F.get(f, F.lit(5)).alias("market"))
+    return rows.dropna(subset=["date", symbol, "short", "total"]).join(catalogue.select(symbol).distinct(), symbol, "left_semi")
 
 
 CANDLES = "array<array<double>>"
@@ -131,27 +145,117 @@ def object_payloads(df: DataFrame, payload: str, path: str, fields: dict[str, tu
     return x.select(*keep, *(F.col("_o")[v].alias(n) for n, (v, _) in fields.items()))
 
 
-def venue_trades(messages: DataFrame, venue: str = "venue", body: str = "body") -> DataFrame:
-    """Messages of several venues' trade forms as one table: venue, symbol, ts, price, size, side.
+#: What a message may say; columns that a kind doesn't have are null. A snapshot's levels replace the book.
+EVENT = {
+    "kind": "string", "symbol": "string", "ts": "timestamp_ntz", "event_id": "string", "price": "double", "size": "double", "side": "string",
+    "bids": "array<struct<price:double,size:double>>", "asks": "array<struct<price:double,size:double>>", "snapshot": "boolean",
+    "mark_price": "double", "index_price": "double", "funding_rate": "double", "next_funding_at": "timestamp_ntz", "open_interest": "double", "volume": "double",
+}
 
-    Forms: a maker flag ("m": the buyer is the maker, so a seller takes); a taker side ("S"); a maker side ("side",
-    turned round). Numbers may be strings. Messages of other forms are left out.
-    """
-    flag = F.from_json(body, "e string, s string, T long, p string, q string, m boolean")
-    taker = {k: F.get_json_object(body, f"$.{k}") for k in ("topic", "s", "T", "p", "v", "S")}  # s and S differ in case only
-    maker = F.from_json(body, "type string, product_id string, time long, price string, size string, side string")
-    forms = {
-        "flag": (flag["e"] == "trade", flag["s"], flag["T"], flag["p"], flag["q"], F.when(flag["m"], "sell").otherwise("buy")),
-        "taker": (taker["topic"].startswith("publicTrade"), taker["s"], taker["T"].cast("long"), taker["p"], taker["v"], F.lower(taker["S"])),
-        "maker": (maker["type"] == "match", maker["product_id"], maker["time"], maker["price"], maker["size"], F.when(maker["side"] == "buy", "sell").when(maker["side"] == "sell", "buy")),
-    }
-    chosen = F.coalesce(
-        *(
-            F.when(F.coalesce(is_form, F.lit(False)), F.struct(s.alias("symbol"), from_epoch(t).alias("ts"), p.cast("double").alias("price"), q.cast("double").alias("size"), side.alias("side")))
-            for is_form, s, t, p, q, side in forms.values()
-        )
+
+def _event(kind: str, **values: Column) -> Column:
+    given = {"kind": F.lit(kind), **values}
+    return F.struct(*(given.get(name, F.lit(None)).try_cast(kind_).alias(name) for name, kind_ in EVENT.items()))
+
+
+def _object(text: Column) -> Column:
+    """A JSON object as a map of names, which may differ in case only, to the text of their values."""
+    return F.from_json(text, "map<string,string>")
+
+
+def _objects(text: Column) -> Column:
+    """An array of JSON objects; a single one counts as an array of one."""
+    return F.when(text.startswith("["), F.from_json(text, "array<map<string,string>>")).otherwise(F.array(_object(text)))
+
+
+def _pairs(text: Column) -> Column:
+    """[[price, size], ...] as levels; none where there is no such text."""
+    found = F.coalesce(F.from_json(text, "array<array<string>>"), F.array().cast("array<array<string>>"))
+    return F.transform(found, lambda x: F.struct(x[0].try_cast("double").alias("price"), x[1].try_cast("double").alias("size")))
+
+
+def _time(value: Column) -> Column:
+    """An epoch of any unit or an ISO time."""
+    return F.coalesce(from_epoch(value.try_cast("long")), F.regexp_replace(value, "Z$", "").try_cast("timestamp_ntz"))
+
+
+def _binance(body: Column) -> Column:
+    """Spot and futures: trades with a maker flag, books whole or as changes, marks, liquidations, tickers."""
+    d = _object(F.coalesce(_object(body)["data"], body))
+    o, e = _object(d["o"]), d["e"]
+    at = _time(F.coalesce(d["E"], d["T"], o["T"]))
+    whole = d["bids"].isNotNull() | d["asks"].isNotNull()
+    symbol = F.upper(F.coalesce(d["s"], o["s"], F.split_part(_object(body)["stream"], F.lit("@"), F.lit(1))))
+    return (
+        F.when(e.isin("aggTrade", "trade"), _event("trade", symbol=symbol, ts=at, price=d["p"], size=d["q"], side=F.when(d["m"] == "true", "sell").otherwise("buy")))
+        .when(whole, _event("book", symbol=symbol, ts=at, bids=_pairs(d["bids"]), asks=_pairs(d["asks"]), snapshot=F.lit(True)))
+        .when(e == "depthUpdate", _event("book", symbol=symbol, ts=at, bids=_pairs(d["b"]), asks=_pairs(d["a"]), snapshot=F.lit(False)))
+        .when(e == "markPriceUpdate", _event("mark", symbol=symbol, ts=at, mark_price=d["p"], index_price=d["i"], funding_rate=d["r"], next_funding_at=_time(d["T"])))
+        .when(e == "forceOrder", _event("liquidation", symbol=symbol, ts=at, event_id=F.coalesce(o["T"], d["E"]), price=F.coalesce(o["ap"], o["p"]), size=o["q"], side=F.lower(o["S"])))
+        .when(e.isin("24hrMiniTicker", "24hrTicker"), _event("ticker", symbol=symbol, ts=at, price=d["c"], volume=d["q"]))
+    )
+
+
+def _coinbase(body: Column) -> Column:
+    """Trades with the maker's side, which is turned round; books, changes and tickers."""
+    d = _object(body)
+    kind, symbol, at = d["type"], d["product_id"], _time(d["time"])
+    changes = F.from_json(d["changes"], "array<array<string>>")
+    of = lambda side: F.transform(F.filter(changes, lambda x: x[0] == side), lambda x: F.struct(x[1].try_cast("double").alias("price"), x[2].try_cast("double").alias("size")))
+    return (
+        F.when(kind.isin("match", "last_match"), _event("trade", symbol=symbol, ts=at, price=d["price"], size=d["size"], side=F.when(d["side"] == "sell", "buy").otherwise("sell")))
+        .when(kind == "snapshot", _event("book", symbol=symbol, ts=at, bids=_pairs(d["bids"]), asks=_pairs(d["asks"]), snapshot=F.lit(True)))
+        .when(kind == "l2update", _event("book", symbol=symbol, ts=at, bids=of("buy"), asks=of("sell"), snapshot=F.lit(False)))
+        .when(kind == "ticker", _event("ticker", symbol=symbol, ts=at, price=d["price"], volume=d["volume_24h"].try_cast("double") * d["price"].try_cast("double")))
     )
-    return messages.withColumn("_m", chosen).where("_m is not null").select(*[c for c in messages.columns if c != body], "_m.*")
+
+
+def _kraken(body: Column) -> Column:
+    """Several items a message: trades with the taker's side, books as objects of levels, tickers."""
+    m = _object(body)
+    channel = m["channel"]
+    levels = lambda text: F.transform(F.coalesce(F.from_json(text, "array<struct<price:double,qty:double>>"), F.array().cast("array<struct<price:double,qty:double>>")), lambda x: F.struct(x["price"].alias("price"), x["qty"].alias("size")))
+    one = lambda d: (
+        F.when(channel == "trade", _event("trade", symbol=d["symbol"], ts=_time(d["timestamp"]), price=d["price"], size=d["qty"], side=F.coalesce(d["side"], F.lit("sell"))))
+        .when(channel == "book", _event("book", symbol=d["symbol"], ts=_time(d["timestamp"]), bids=levels(d["bids"]), asks=levels(d["asks"]), snapshot=m["type"] == "snapshot"))
+        .when(channel == "ticker", _event("ticker", symbol=d["symbol"], ts=_time(d["timestamp"]), price=d["last"], volume=d["volume"].try_cast("double") * d["last"].try_cast("double")))
+    )
+    return F.transform(_objects(m["data"]), one)
+
+
+def _bybit(body: Column) -> Column:
+    """Several items a message: trades and liquidations with the taker's side; books whole or as changes; tickers, which
+    tell the mark, the funding and the open interest."""
+    m = _object(body)
+    topic, at = m["topic"], _time(m["ts"])
+    symbol = F.element_at(F.split(topic, r"\."), -1)
+    when = lambda d: F.coalesce(_time(d["T"]), at)
+    side = lambda d: F.lower(F.coalesce(d["S"], F.lit("Sell")))
+    one = lambda d: (
+        F.when(topic.startswith("publicTrade"), _event("trade", symbol=symbol, ts=when(d), price=d["p"], size=d["v"], side=side(d)))
+        .when(topic.startswith("orderbook"), _event("book", symbol=symbol, ts=at, bids=_pairs(d["b"]), asks=_pairs(d["a"]), snapshot=m["type"] == "snapshot"))
+        .when(topic.startswith("tickers"), _event("mark", symbol=symbol, ts=at, price=d["lastPrice"], mark_price=d["markPrice"], index_price=d["indexPrice"], funding_rate=d["fundingRate"], open_interest=d["openInterest"], volume=d["turnover24h"]))
+        .when(topic.startswith("allLiquidation"), _event("liquidation", symbol=symbol, ts=when(d), event_id=d["T"], price=d["p"], size=d["v"], side=side(d)))
+    )
+    return F.transform(_objects(m["data"]), one)
+
+
+def venue_events(messages: DataFrame, venue: str = "venue", body: str = "body") -> DataFrame:
+    """Messages of five venues as one table: the columns of ``messages`` but the body, and those of EVENT, one row for each
+    item of a message. Works on streams too.
+
+    kind: trade (side is the taker's), book, mark, liquidation or ticker; messages that are none of these, heartbeats and
+    broken JSON among them, have the kind unknown, so that they can be counted. Trades and liquidations without a price
+    or size are unknown too.
+    """
+    text = F.col(body)
+    one = lambda c: F.array(c)
+    found = F.when(F.col(venue).isin("binance_spot", "binance_futures"), one(_binance(text))).when(F.col(venue) == "coinbase", one(_coinbase(text))).when(F.col(venue) == "kraken", _kraken(text)).when(F.col(venue) == "bybit", _bybit(text))
+    empty = _event("unknown")
+    priced = lambda x: ~x["kind"].isin("trade", "liquidation") | (x["price"].isNotNull() & x["size"].isNotNull())
+    sound = F.transform(found, lambda x: F.when(x.isNotNull() & priced(x), x).otherwise(empty))
+    events = F.when(F.coalesce(F.size(sound), F.lit(0)) > 0, sound).otherwise(F.array(empty))
+    return messages.withColumn("_m", F.explode(events)).select(*[c for c in messages.columns if c != body], "_m.*")
 
 
 def merged_series(series: list[DataFrame], key: list[str]) -> DataFrame:
@@ -180,6 +284,19 @@ def columnar_rows(df: DataFrame, arrays: list[str], keep: list[str]) -> DataFram
     return df.select(*keep, F.explode(F.arrays_zip(*arrays)).alias("_r")).select(*keep, *(F.col(f"_r.{a}").alias(a) for a in arrays))
 
 
+def filings(df: DataFrame, payload: str, entity: str, base: str, cutoff: str, classes: dict[str, str]) -> DataFrame:
+    """Filings of each entity from columnar JSON ({"recent": {"accessionNumber": [...], "filingDate": [...], "form": [...],
+    "primaryDocument": [...]}}) on or after the cutoff: entity, accession, filed, form, form_class (by form, else
+    other) and url."""
+    names = ("accessionNumber", "filingDate", "form", "primaryDocument")
+    recent = F.from_json(payload, "struct<recent:struct<" + ",".join(f"{n}:array<string>" for n in names) + ">>")["recent"]
+    rows = columnar_rows(df.select(F.col(entity), *(recent[n].alias(n) for n in names)), list(names), [entity])
+    form_class = F.coalesce(F.create_map(*(F.lit(x) for pair in classes.items() for x in pair))[F.col("form")], F.lit("other"))
+    url = F.concat_ws("/", F.lit(base), F.col(entity).cast("string"), F.regexp_replace("accessionNumber", "-", ""), "primaryDocument")
+    out = rows.select(entity, F.col("accessionNumber").alias("accession"), F.col("filingDate").try_cast("date").alias("filed"), "form", form_class.alias("form_class"), url.alias("url"))
+    return out.where(F.col("filed") >= F.lit(cutoff).cast("date"))
+
+
 def articles(df: DataFrame, symbols: str, wanted: Column | None = None) -> DataFrame:
     """One row per article and symbol."""
     out = df.withColumn("symbol", F.explode(symbols))

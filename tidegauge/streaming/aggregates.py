@@ -80,6 +80,25 @@ def idempotent(write: Callable[[DataFrame, int], None], done: Callable[[int], bo
     return batch
 
 
+def once_per_batch(path: str, parts: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame, int], None]:
+    """An idempotent foreachBatch function: the batch's aggregated parts go to a folder of its id, which the file sink
+    leaves without _SUCCESS until all is written. A replayed batch finds it and writes nothing; one that failed half-way
+    is written again."""
+    folder = lambda i: f"{path}/batch={i}"
+
+    def fs_path(df: DataFrame, i: int):
+        spark = df.sparkSession
+        marker = spark._jvm.org.apache.hadoop.fs.Path(f"{folder(i)}/_SUCCESS")
+        return marker.getFileSystem(spark._jsc.hadoopConfiguration()), marker
+
+    def batch(df: DataFrame, i: int) -> None:
+        fs, marker = fs_path(df, i)
+        step = idempotent(lambda d, k: parts(d).write.mode("overwrite").parquet(folder(k)), lambda k: fs.exists(marker), lambda k: None)
+        step(df, i)
+
+    return batch
+
+
 def segments(stream: DataFrame, path: str, checkpoint: str, by: list[str], width: str = "15 minutes"):
     """Raw rows as gzip JSON lines below a folder for each key and segment of time."""
     placed = stream.withColumn("segment", F.date_format(F.window("ts", width)["start"], "yyyyMMdd'T'HHmm"))

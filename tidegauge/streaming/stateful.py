@@ -12,9 +12,12 @@ from dataclasses import asdict, dataclass, field
 from statistics import median
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from tidegauge.operators.quantiles import places
+
 BOOK_SCHEMA = "book string, ts timestamp, bid double, ask double, bid_depth double, ask_depth double, imbalance double, microprice double, spread_bps double"
 
 
@@ -57,22 +60,29 @@ class Book:
 
 
 class BookProcessor(StatefulProcessor):
-    """Rows: book, ts, kind (snapshot or update), bids, asks (JSON arrays of [price, size]); one output row per update."""
+    """Rows: book, ts, kind (snapshot or update), bids, asks (JSON arrays of [price, size]); one output row per update.
+
+    State is a map of each side's levels, of which only changed ones are written.
+    """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.levels = handle.getValueState("levels", "levels string")
+        self.sides = {side: handle.getMapState(side, "price double", "size double") for side in ("bids", "asks")}
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         book = Book()
-        if self.levels.exists():
-            held = json.loads(self.levels.get()[0])
-            book.bids, book.asks = ({float(p): s for p, s in held[x]} for x in ("b", "a"))
+        held = {side: {k[0]: v[0] for k, v in state.iterator()} for side, state in self.sides.items()}
+        book.bids, book.asks = dict(held["bids"]), dict(held["asks"])
         out = []
-        for r in pd.concat(list(rows)).sort_values("ts", kind="stable").itertuples():
-            book.apply(json.loads(r.bids), json.loads(r.asks), r.kind == "snapshot")
+        for r in in_order(rows, "ts", ["ts", "kind", "bids", "asks"]):
+            book.apply(json.loads(r[2]), json.loads(r[3]), r[1] == "snapshot")
             if (m := book.metrics()) is not None:
-                out.append({"book": key[0], "ts": r.ts, **m})
-        self.levels.update((json.dumps({"b": list(book.bids.items()), "a": list(book.asks.items())}),))
+                out.append({"book": key[0], "ts": r[0], **m})
+        for side, now in (("bids", book.bids), ("asks", book.asks)):
+            for price in held[side].keys() - now.keys():
+                self.sides[side].removeKey((price,))
+            for price, size in now.items():
+                if held[side].get(price) != size:
+                    self.sides[side].updateValue((price,), (size,))
         columns = [c.split()[0] for c in BOOK_SCHEMA.split(", ")]
         yield pd.DataFrame(out, columns=columns)
 
@@ -80,6 +90,15 @@ class BookProcessor(StatefulProcessor):
         pass
 
 
+def in_order(rows: Iterator[pd.DataFrame], ts: str, columns: list[str]) -> Iterator[tuple]:
+    """A key's rows of a micro-batch as tuples in order of ts, equal times as they come. Only the named columns are held."""
+    parts = [x[columns] for x in rows]
+    if not parts:
+        return iter(())
+    frame = parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)
+    return frame.sort_values(ts, kind="stable").itertuples(index=False, name=None)
+
+
 def book_states(updates: DataFrame) -> DataFrame:
     """Metrics of each book after each update."""
     return updates.groupBy("book").transformWithStateInPandas(BookProcessor(), outputStructType=BOOK_SCHEMA, outputMode="Append", timeMode="None")
@@ -95,54 +114,67 @@ class DetectorConfig:
     fast_limit: float = 0.75
     base_limit: float = 1.5
     slow_limit: float = 2.5
-    cross_base: float = 0.75
-    cross_fast: float = 0.45
-    cross_slow: float = 1.3125
+    confirmed: float = 0.75
+    providers: int = 2
     derivative_limit: float = 1.0
     spot_limit: float = 0.35
     volume_move: float = 0.5
     volume_limit: float = 3.0
     evidence: int = 45
     cooldown: int = 300
-    confirm: int = 45
 
     @property
     def retention(self) -> int:
-        return max(self.slow, 2 * self.base) + self.confirm
+        return max(self.slow, 2 * self.base) + self.evidence
+
+    @property
+    def windows(self) -> tuple[int, int, int]:
+        return self.fast, self.base, self.slow
+
+
+TRIGGERS = ("fast", "base", "slow", "cross_venue", "derivative_led", "volume")
 
 
 @dataclass
 class Venue:
-    """Observations (time, price, 24-hour volume) of one venue, no older than the retention."""
+    """Observations (time, price, 24-hour volume or None) of one venue, no older than the retention, and its last signal:
+    time, moves over the three windows and growth of volume."""
 
+    provider: str
     market: str
-    seen: list[tuple[float, float, float]] = field(default_factory=list)
+    seen: list[tuple[float, float, float | None]] = field(default_factory=list)
+    signal: tuple[float, float | None, float | None, float | None, float | None] | None = None
 
-    def add(self, t: float, price: float, volume: float, keep: int) -> bool:
-        """False for a row older than the last one, which is dropped."""
+    def add(self, t: float, price: float, volume: float | None, c: DetectorConfig) -> bool:
+        """Whether the observation gives a signal: it isn't older than the last one, and some window has a move."""
         if self.seen and t < self.seen[-1][0]:
             return False
         self.seen.append((t, price, volume))
-        first = next(i for i, x in enumerate(self.seen) if x[0] >= t - keep)
+        first = next(i for i, x in enumerate(self.seen) if x[0] >= t - c.retention)
         del self.seen[:first]
+        moves = [self.move(s) for s in c.windows]
+        if all(m is None for m in moves):
+            return False
+        self.signal = (t, *moves, self.acceleration(c.base))
         return True
 
-    def _at(self, seconds: int) -> tuple[float, float, float] | None:
-        """The last observation at least so many seconds ago, unless older than a quarter more."""
+    def _before(self, seconds: float) -> tuple[float, float, float | None] | None:
+        """The last observation at least so many seconds ago."""
         t = self.seen[-1][0]
-        old = next((x for x in reversed(self.seen) if x[0] <= t - seconds), None)
-        return old if old is not None and t - old[0] <= 1.25 * seconds else None
+        return next((x for x in reversed(self.seen) if x[0] <= t - seconds), None)
 
     def move(self, seconds: int) -> float | None:
-        old = self._at(seconds)
-        return None if old is None or old[1] <= 0 else 100 * (self.seen[-1][1] / old[1] - 1)
+        """Percent since the last observation before the window, unless that is older than a quarter more."""
+        t, price, _ = self.seen[-1]
+        old = self._before(seconds)
+        return None if old is None or t - old[0] > 1.25 * seconds else 100 * (price / old[1] - 1)
 
     def acceleration(self, seconds: int) -> float | None:
         """Growth of the last window's volume over that of the window before, at most 10."""
-        a, b = self._at(seconds), self._at(2 * seconds)
-        if a is None or b is None:
+        now, a, b = self.seen[-1][2], self._before(seconds), self._before(2 * seconds)
+        if now is None or a is None or b is None or a[2] is None or b[2] is None:
             return None
-        recent, before = max(self.seen[-1][2] - a[2], 0.0), max(a[2] - b[2], 0.0)
+        recent, before = max(now - a[2], 0.0), max(a[2] - b[2], 0.0)
         if recent <= 0:
             return 0.0
         return 10.0 if before <= 0 else min(recent / before, 10.0)
@@ -156,89 +188,239 @@ class Detector:
     venues: dict[str, Venue] = field(default_factory=dict)
     last: float | None = None
 
-    def observe(self, t: float, provider: str, market: str, price: float, volume: float) -> dict | None:
-        """The detection that this observation completes, if any."""
-        c = self.config
-        venue = self.venues.setdefault(f"{provider}/{market}", Venue(market))
-        if not venue.add(t, price, volume, c.retention):
+    def observe(self, t: float, provider: str, market: str, symbol: str, price: float | None, volume: float | None) -> dict | None:
+        """The detection that this observation completes, if any. Prices that aren't above zero are dropped; a volume that
+        isn't known doesn't count."""
+        if price is None or not price > 0:
             return None
-        live = {k: v for k, v in self.venues.items() if t - v.seen[-1][0] <= c.evidence}
-        moves = {k: {w: v.move(s) for w, s in (("fast", c.fast), ("base", c.base), ("slow", c.slow))} for k, v in live.items()}
-        top = {w: max((m[w] for m in moves.values() if m[w] is not None), default=None) for w in ("fast", "base", "slow")}
-        over = lambda x, limit: x is not None and x >= limit
-        risen = {k.split("/")[0] for k, m in moves.items() if over(m["base"], c.cross_base) or over(m["fast"], c.cross_fast) or over(m["slow"], c.cross_slow)}
-        best = {k: next((m[w] for w in ("base", "fast") if m[w] is not None), None) for k, m in moves.items()}
-        spot = max((x for k, x in best.items() if x is not None and live[k].market == "spot"), default=None)
-        derivative = max((x for k, x in best.items() if x is not None and live[k].market != "spot"), default=None)
-        acceleration = max((a for v in live.values() if (a := v.acceleration(c.base)) is not None), default=0.0)
-        led = over(derivative, c.derivative_limit) and over(spot, c.spot_limit)
-        rules = [
-            ("fast", over(top["fast"], c.fast_limit)),
-            ("base", over(top["base"], c.base_limit)),
-            ("slow", over(top["slow"], c.slow_limit)),
-            ("cross_venue", len(risen) >= 2),
-            ("derivative_led", led),
-            ("volume", over(max((x for x in best.values() if x is not None), default=None), c.volume_move) and acceleration >= c.volume_limit),
-        ]
-        fired = [name for name, hit in rules if hit]
-        if not fired or (self.last is not None and t - self.last < c.cooldown):
+        volume = None if volume is None or volume != volume else volume
+        venue = self.venues.setdefault(f"{provider}/{market}/{symbol}", Venue(provider, market))
+        if not venue.add(t, price, volume, self.config):
+            return None
+        found = self.judged(t)
+        if found is None or (self.last is not None and t - self.last < self.config.cooldown):
             return None
         self.last = t
-        ratio = max((x / limit for x, limit in ((top["fast"], c.fast_limit), (top["base"], c.base_limit), (top["slow"], c.slow_limit)) if x is not None), default=0.0)
-        positive = [x for x in best.values() if x is not None and x > 0]
-        providers = {k.split("/")[0] for k in live}
-        score = 30 * min(ratio, 2) + 8 * min(len(providers), 4) + 8 * min((median(positive) if positive else 0) / 0.75, 2) + 7 * min(acceleration / 3, 2)
-        score += 10 * (len(risen) >= 2) + 8 * led
-        return {"ts": t, "triggers": ",".join(fired), "score": round(max(0.0, min(score, 100.0)), 3), "providers": len(providers)}
+        return found
+
+    def judged(self, t: float) -> dict | None:
+        """What the venues' signals that are recent enough show, if any trigger fires."""
+        c = self.config
+        live = [(v.provider, v.market, *v.signal) for v in self.venues.values() if v.signal is not None and t - v.signal[0] <= c.evidence]
+        over = lambda x, limit: x is not None and x >= limit
+        lead = lambda x: x[4] or x[3]  # base move, or the fast one where there is none or it is zero
+        top = lambda xs: max((x for x in xs if x), default=None)
+        risen = {x[0] for x in live if over(x[4], c.confirmed) or over(x[3], 0.6 * c.confirmed) or over(x[5], 1.75 * c.confirmed)}
+        led = over(top(lead(x) for x in live if x[1] != "spot"), c.derivative_limit) and over(top(lead(x) for x in live if x[1] == "spot"), c.spot_limit)
+        hits = (
+            any(over(x[3], c.fast_limit) for x in live),
+            any(over(x[4], c.base_limit) for x in live),
+            any(over(x[5], c.slow_limit) for x in live),
+            len(risen) >= c.providers,
+            led,
+            any(over(lead(x), c.volume_move) and over(x[6], c.volume_limit) for x in live),  # both on one venue
+        )
+        if not any(hits):
+            return None
+        ratio = max((x[3 + i] or 0.0) / limit for x in live for i, limit in enumerate((c.fast_limit, c.base_limit, c.slow_limit)))
+        best = [max(m for m in x[3:6] if m is not None) for x in live]
+        usual = median([m for m in best if m > 0]) if any(m > 0 for m in best) else 0.0
+        providers = len({x[0] for x in live})
+        score = 30 * min(ratio, 2) + 8 * min(providers, 4) + 8 * min(usual / c.confirmed, 2) + 7 * min(max((x[6] or 0.0) for x in live) / c.volume_limit, 2) + 10 * hits[3] + 8 * led
+        return {"ts": t, "triggers": ",".join(n for n, hit in zip(TRIGGERS, hits, strict=True) if hit), "score": min(score, 100.0), "providers": providers}
 
 
 DETECTION_SCHEMA = "asset string, ts double, triggers string, score double, providers int"
 
 
 class DetectorProcessor(StatefulProcessor):
-    """Rows: asset, t (seconds), provider, market, price, volume."""
+    """Rows: asset, t (seconds), provider, market, symbol, price, volume. State is one entry a venue, of which only those
+    are written that a batch touches, and the time of the last detection."""
+
+    def __init__(self, config: DetectorConfig):
+        self.config = config
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.held = handle.getValueState("detector", "state string")
+        self.venues = handle.getMapState("venues", "venue string", "state string")
+        self.last = handle.getValueState("last", "t double")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        detector = Detector()
-        if self.held.exists():
-            state = json.loads(self.held.get()[0])
-            detector.last = state["last"]
-            detector.venues = {k: Venue(v["market"], [tuple(x) for x in v["seen"]]) for k, v in state["venues"].items()}
-        found = []
-        for r in pd.concat(list(rows)).sort_values("t", kind="stable").itertuples():
-            if (d := detector.observe(r.t, r.provider, r.market, r.price, r.volume)) is not None:
+        detector = Detector(self.config)
+        if self.last.exists():
+            detector.last = self.last.get()[0]
+        for k, v in self.venues.iterator():
+            held = json.loads(v[0])
+            detector.venues[k[0]] = Venue(held["provider"], held["market"], [tuple(x) for x in held["seen"]], None if held["signal"] is None else tuple(held["signal"]))
+        found, touched = [], set()
+        for t, *venue, price, volume in in_order(rows, "t", ["t", "provider", "market", "symbol", "price", "volume"]):
+            touched.add("/".join(venue))
+            if (d := detector.observe(t, *venue, price, volume)) is not None:
                 found.append({"asset": key[0], **d})
-        self.held.update((json.dumps({"last": detector.last, "venues": {k: asdict(v) for k, v in detector.venues.items()}}),))
+        for k in touched & detector.venues.keys():
+            self.venues.updateValue((k,), (json.dumps(asdict(detector.venues[k])),))
+        if found:
+            self.last.update((detector.last,))
         yield pd.DataFrame(found, columns=["asset", "ts", "triggers", "score", "providers"])
 
     def close(self) -> None:
         pass
 
 
-def multi_venue(observations: DataFrame) -> DataFrame:
+def multi_venue(observations: DataFrame, config: DetectorConfig = DetectorConfig()) -> DataFrame:
     """Detections of each asset over all its venues."""
-    return observations.groupBy("asset").transformWithStateInPandas(DetectorProcessor(), outputStructType=DETECTION_SCHEMA, outputMode="Append", timeMode="None")
+    return observations.groupBy("asset").transformWithStateInPandas(DetectorProcessor(config), outputStructType=DETECTION_SCHEMA, outputMode="Append", timeMode="None")
+
+
+def signals(observations: DataFrame, config: DetectorConfig = DetectorConfig()) -> DataFrame:
+    """The batch twin of a venue's signals: asset, t, id, provider, market, symbol, fast, base, slow, growth of every
+    observation that has a move. Windows over each venue's rows; ``id`` orders equal times."""
+    venue = ["asset", "provider", "market", "symbol"]
+    micros = F.round(F.col("t") * 1_000_000).cast("long")
+    solid = observations.where("price > 0").withColumn("_t", micros)
+    w = Window.partitionBy(*venue).orderBy("_t")
+    old = {s: F.max_by(F.struct("_t", "price", "volume"), F.struct("_t", "id")).over(w.rangeBetween(-config.retention * 1_000_000, -s * 1_000_000)) for s in {*config.windows, 2 * config.base}}
+    at = solid.withColumns({f"_o{s}": c for s, c in old.items()})
+    move = lambda s: F.when(F.col("_t") - F.col(f"_o{s}._t") <= int(1.25 * s * 1_000_000), 100 * (F.col("price") / F.col(f"_o{s}.price") - 1))
+    a, b = F.col(f"_o{config.base}.volume"), F.col(f"_o{2 * config.base}.volume")
+    recent, before = F.greatest(F.col("volume") - a, F.lit(0.0)), F.greatest(a - b, F.lit(0.0))
+    known = F.col("volume").isNotNull() & a.isNotNull() & b.isNotNull()
+    growth = F.when(known, F.when(recent <= 0, 0.0).when(before <= 0, 10.0).otherwise(F.least(recent / before, F.lit(10.0))))
+    moves = [move(s).alias(n) for n, s in zip(("fast", "base", "slow"), config.windows, strict=True)]
+    return at.select(*venue, "t", "_t", "id", *moves, growth.alias("growth")).where("fast is not null or base is not null or slow is not null")
+
+
+def batch_detections(observations: DataFrame, config: DetectorConfig = DetectorConfig()) -> DataFrame:
+    """The detector over a table: asset, t, id, triggers, score and providers of every observation that fires, before the
+    cooldown. Each signal meets its asset's signals of the last ``evidence`` seconds, of each venue the last."""
+    c, s = config, signals(observations, config)
+    row = F.struct("_t", "id", "provider", "market", "symbol", "fast", "base", "slow", "growth")
+    recent = Window.partitionBy("asset").orderBy("_t").rangeBetween(-c.evidence * 1_000_000, 0)
+    # the rows of an asset within the evidence's seconds; those of its own time count up to its own place
+    near = F.filter(F.collect_list(row).over(recent), lambda x: (x["_t"] < F.col("_t")) | (x["id"] <= F.col("id")))
+    later = lambda x, y: (y["_t"] > x["_t"]) | ((y["_t"] == x["_t"]) & (y["id"] > x["id"]))
+    same = lambda x, y: (x["provider"] == y["provider"]) & (x["market"] == y["market"]) & (x["symbol"] == y["symbol"])
+    last = F.filter(F.col("_near"), lambda x: ~F.exists(F.col("_near"), lambda y: same(x, y) & later(x, y)))
+    live, yes = F.col("_live"), lambda x: F.coalesce(x, F.lit(False))
+    some = lambda f: F.exists(live, lambda x: yes(f(x)))
+    lead = lambda x: F.when(F.coalesce(x["base"], F.lit(0.0)) != 0, x["base"]).otherwise(F.nullif(x["fast"], F.lit(0.0)))
+    providers = lambda f: F.size(F.array_distinct(F.transform(F.filter(live, lambda x: yes(f(x))), lambda x: x["provider"])))
+    risen = providers(lambda x: yes(x["base"] >= c.confirmed) | yes(x["fast"] >= 0.6 * c.confirmed) | yes(x["slow"] >= 1.75 * c.confirmed))
+    top = lambda spot: F.array_max(F.transform(F.filter(live, lambda x: (x["market"] == "spot") == F.lit(spot)), lead))
+    led = yes(top(False) >= c.derivative_limit) & yes(top(True) >= c.spot_limit)
+    hits = {
+        "fast": some(lambda x: x["fast"] >= c.fast_limit),
+        "base": some(lambda x: x["base"] >= c.base_limit),
+        "slow": some(lambda x: x["slow"] >= c.slow_limit),
+        "cross_venue": risen >= c.providers,
+        "derivative_led": led,
+        "volume": some(lambda x: (lead(x) >= c.volume_move) & (x["growth"] >= c.volume_limit)),
+    }
+    zero = lambda x: F.coalesce(x, F.lit(0.0))
+    ratio = F.array_max(F.transform(live, lambda x: F.greatest(zero(x["fast"]) / c.fast_limit, zero(x["base"]) / c.base_limit, zero(x["slow"]) / c.slow_limit)))
+    rises = F.array_sort(F.filter(F.transform(live, lambda x: F.greatest(x["fast"], x["base"], x["slow"])), lambda m: m > 0))
+    n = F.size("_rises")
+    usual = F.when(n > 0, (F.get("_rises", F.floor((n - 1) / 2).cast("int")) + F.get("_rises", F.floor(n / 2).cast("int"))) / 2).otherwise(0.0)
+    growth = F.array_max(F.transform(live, lambda x: zero(x["growth"])))
+    judged = s.withColumn("_near", near).withColumn("_live", last).select("asset", "t", "id", "_live", rises.alias("_rises"), *(h.alias(k) for k, h in hits.items()))
+    points = 30 * F.least(ratio, F.lit(2.0)) + 8 * F.least(F.size(F.array_distinct("_live.provider")), F.lit(4)) + 8 * F.least(usual / c.confirmed, F.lit(2.0)) + 7 * F.least(growth / c.volume_limit, F.lit(2.0))
+    points = points + F.when(F.col("cross_venue"), 10).otherwise(0) + F.when(F.col("derivative_led"), 8).otherwise(0)
+    fired = F.concat_ws(",", *(F.when(F.col(k), F.lit(k)) for k in hits))
+    out = judged.select("asset", "t", "id", fired.alias("triggers"), F.least(points, F.lit(100.0)).alias("score"), F.size(F.array_distinct("_live.provider")).alias("providers"))
+    return out.where("triggers <> ''")
+
+
+TARGET_SCHEMA = "asset string, expires double, score double, seen double"
+
+
+class TargetProcessor(StatefulProcessor):
+    """Rows: asset, ts (seconds), score: detections. Each asset's target keeps the latest expiry, and the score and time of
+    its last detection; a row is given whenever a batch changes it, and a timer drops it when it has expired."""
+
+    def __init__(self, ttl: float):
+        self.ttl = ttl
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.target = handle.getValueState("target", "expires double, score double, seen double")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        held = self.target.get() if self.target.exists() else (float("-inf"), 0.0, float("-inf"))
+        expires, score, seen = held
+        for t, s in in_order(rows, "ts", ["ts", "score"]):
+            expires = max(expires, t + self.ttl)
+            if t >= seen:
+                score, seen = s, t
+        self.target.update((expires, score, seen))
+        for old in list(self.handle.listTimers()):
+            self.handle.deleteTimer(old[0] if isinstance(old, tuple) else old)
+        self.handle.registerTimer(int(expires * 1000) + 1)
+        yield pd.DataFrame([(key[0], expires, score, seen)], columns=["asset", "expires", "score", "seen"])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.target.clear()
+        yield pd.DataFrame(columns=["asset", "expires", "score", "seen"])
+
+    def close(self) -> None:
+        pass
+
+
+def targets(detections: DataFrame, ttl: float, watermark: str = "10 minutes") -> DataFrame:
+    """Changes of the live targets: asset, expires, score, seen. detections: asset, at (timestamp), ts (seconds), score."""
+    timed = detections.withWatermark("at", watermark)
+    return timed.groupBy("asset").transformWithStateInPandas(TargetProcessor(ttl), outputStructType=TARGET_SCHEMA, outputMode="Append", timeMode="EventTime")
+
+
+def admitted(changes: DataFrame, now: float, cap: int) -> DataFrame:
+    """The decision of each live target: its last change, its place by (score, last seen, name) and whether it is among the
+    ``cap`` first. Places are counted by range, so the live set is in no single task."""
+    last = changes.groupBy("asset").agg(F.max_by(F.struct("expires", "score", "seen"), F.struct("seen", "expires")).alias("_l")).select("asset", "_l.*")
+    live = last.where(F.col("expires") > now).withColumns({"_s": -F.col("score"), "_t": -F.col("seen")})
+    ranked = places(live, [], ["_s", "_t", "asset"], "rank").drop("_s", "_t")
+    return ranked.withColumn("admitted", F.col("rank") <= cap)
+
+
+RULE_SCHEMA = "entity string, bar_start double, bar_end double, verdict string"
+
+
+class LiveRuleProcessor(StatefulProcessor):
+    """Rows: entity, bar_start, bar_end, arrived (seconds), ret: closed bars. The verdict of each bar on which the rule
+    begins to hold: signal, missed (it arrived too late) or blocked (an earlier signal is still held)."""
+
+    def __init__(self, threshold: float, hold: float, tolerance: float):
+        self.rule = (threshold, hold, tolerance)
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.state = handle.getValueState("rule", "below boolean, until double, bar_end double")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        state = None
+        if self.state.exists():
+            below, until, end = self.state.get()
+            state = {"below": below, "until": until, "end": end}
+        out = []
+        for start, end, arrived, ret in in_order(rows, "bar_start", ["bar_start", "bar_end", "arrived", "ret"]):
+            if ret is None or ret != ret:
+                continue
+            state, verdict = live_rule(state, {"start": start, "end": end, "ret": ret}, *self.rule, arrived)
+            if verdict != "none":
+                out.append((key[0], start, end, verdict))
+        if state is not None:
+            self.state.update((state["below"], state["until"], state["end"]))
+        yield pd.DataFrame(out, columns=["entity", "bar_start", "bar_end", "verdict"])
+
+    def close(self) -> None:
+        pass
 
 
-def activate(live: dict[str, dict], found: list[dict], now: float, ttl: float, cap: int) -> tuple[dict[str, dict], list[dict]]:
-    """Targets after new detections: expiry is the later one, expired targets go, of the rest the ``cap`` best by
-    (score, recency, name) are admitted; every decision is logged."""
-    out = {k: v for k, v in live.items() if v["expires"] > now}
-    for d in found:
-        old = out.get(d["asset"], {"expires": 0.0, "score": 0.0, "seen": 0.0})
-        out[d["asset"]] = {"expires": max(old["expires"], d["ts"] + ttl), "score": max(old["score"], d["score"]), "seen": max(old["seen"], d["ts"])}
-    ranked = sorted(out, key=lambda k: (-out[k]["score"], -out[k]["seen"], k))
-    log = [{"asset": k, "rank": i + 1, "admitted": i < cap, "score": out[k]["score"], "expires": out[k]["expires"]} for i, k in enumerate(ranked)]
-    return {k: out[k] for k in ranked[:cap]}, log
+def live_rules(bars: DataFrame, threshold: float, hold: float, tolerance: float) -> DataFrame:
+    """Verdicts of each entity's closed bars."""
+    return bars.groupBy("entity").transformWithStateInPandas(LiveRuleProcessor(threshold, hold, tolerance), outputStructType=RULE_SCHEMA, outputMode="Append", timeMode="None")
 
 
 def live_rule(previous: dict | None, bar: dict, threshold: float, hold: float, tolerance: float, now: float) -> tuple[dict, str]:
     """A closed bar against a rule: signal on the first bar at or below the threshold, missed when it comes later than
     the tolerance after the bar's end, blocked while a position is held. Returns the new state and the verdict."""
-    state = dict(previous or {"below": False, "until": 0.0, "end": None})
+    state = dict(previous or {"below": False, "until": float("-inf"), "end": float("-inf")})
     below = bar["ret"] <= threshold
     fresh = below and not (state["below"] and state["end"] == bar["start"])
     verdict = "none"
