@@ -82,7 +82,7 @@ class Bloom:
     words: np.ndarray
     most: int
 
-    MOST = 1 << 27
+    MOST, PAGE = 1 << 27, 1 << 12
 
     @staticmethod
     def _places(parts: tuple[np.ndarray, ...], most: int) -> tuple[np.ndarray, np.ndarray]:
@@ -103,11 +103,20 @@ class Bloom:
             return pd.Series(np.stack(cls._places(tuple(p.to_numpy(np.int64) for p in parts), most), axis=1).astype(np.int64).tolist())
 
         bits = keys.select(F.explode(places(*columns)).alias("p"))
-        word = F.shiftright("p", 6).alias("w")
-        rows = bits.groupBy(word).agg(F.bit_or(F.expr("shiftleft(1L, cast(p % 64 as int))")).alias("b")).toPandas()
-        words = np.zeros(most // 64, np.uint64)
-        words[rows["w"].to_numpy(np.int64)] = rows["b"].to_numpy(np.int64).view(np.uint64)
-        return cls(words, most)
+        words = bits.groupBy(F.shiftright("p", 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(p % 64 as int))")).alias("b"))
+
+        def page(rows: pd.DataFrame) -> pd.DataFrame:
+            out = np.zeros(cls.PAGE, np.uint64)
+            at = rows["w"].to_numpy(np.int64)
+            out[at % cls.PAGE] = rows["b"].to_numpy(np.int64).view(np.uint64)
+            return pd.DataFrame({"page": [at[0] // cls.PAGE], "words": [out.tobytes()]})
+
+        # the driver gets pages of the bit set, at most MOST / 8 bytes in all
+        pages = words.groupBy(F.floor(F.col("w") / cls.PAGE)).applyInPandas(page, "page long, words binary").collect()
+        held = np.zeros(max(most // 64, cls.PAGE), np.uint64)
+        for r in pages:
+            held[r["page"] * cls.PAGE : (r["page"] + 1) * cls.PAGE] = np.frombuffer(r["words"], np.uint64)
+        return cls(held, most)
 
     def has(self, *parts: np.ndarray) -> np.ndarray:
         out = np.ones(len(parts[0]), bool)

@@ -29,7 +29,7 @@ MIN_WORDS = 20
 #: 51 words then has SPAN whole pieces that are cut alike in all its copies, however its words and marks fall.
 LONG, WINDOW = 10, 6
 #: Characters of text whose runs are computed together.
-TOGETHER = 4_000_000
+TOGETHER = 1_000_000
 #: One word and the white space after it; the first has the white space before it too.
 WORD = re.compile(r"\s*\S+\s*")
 NONE = np.zeros(0, np.int64)
@@ -221,12 +221,10 @@ def substring_dedup(docs: DataFrame, span: int = SPAN, min_words: int = MIN_WORD
     """
     often = spans(docs, span, min_words).groupBy("a", "b").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
     often = materialize(often.where("first < last").select("a", "b", "first"), "often")
-    # runs and texts without repeats aren't moved: small filters of bounded size are tested where the text is read
+    # runs without repeats aren't moved: a filter of bounded size is tested where the text is read
     found = spans(docs, span, min_words, Bloom.of(often, "a"))
     hits = found.join(often, ["a", "b"]).where("doc_id <> first").groupBy("doc_id").agg(F.collect_set("a").alias("_runs"))
     hits = materialize(hits.withColumnRenamed("doc_id", "_id"), "repeats")
-    may = Bloom.of(hits.select(F.xxhash64("_id").alias("_h")), "_h").column(docs.sparkSession, "_op1_key")
-
     @F.pandas_udf("text string, n_sentences long, n_removed long")
     def cleaned(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         claim("runs", _release)
@@ -238,9 +236,7 @@ def substring_dedup(docs: DataFrame, span: int = SPAN, min_words: int = MIN_WORD
             yield pd.DataFrame(rows, columns=["text", "n_sentences", "n_removed"])
 
     base = docs.drop("n_sentences", "n_removed")
-    keyed = base.withColumn("_op1_key", F.xxhash64("doc_id")).withColumn("_op1_may", F.col("doc_id").isNotNull() & may)
-    joined = keyed.where("_op1_may").join(hits, keyed["doc_id"] == hits["_id"], "left").select(*(f"`{c}`" for c in base.columns), "_runs")
-    rest = keyed.where("not _op1_may").select(*(f"`{c}`" for c in base.columns), F.lit(None).cast("array<long>").alias("_runs"))
-    out = joined.unionByName(rest).withColumn("_c", cleaned(F.col("text").cast("string"), F.col("_runs")))
+    joined = base.join(hits, base["doc_id"] == hits["_id"], "left")
+    out = joined.withColumn("_c", cleaned(F.col("text").cast("string"), F.col("_runs")))
     columns = [F.col("_c.text").alias(c) if c == "text" else F.col(f"`{c}`") for c in base.columns]
     return out.select(*columns, F.col("_c.n_sentences").alias("n_sentences"), F.col("_c.n_removed").alias("n_removed"))
