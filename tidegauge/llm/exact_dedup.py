@@ -234,15 +234,19 @@ def drop_copies(docs: DataFrame) -> DataFrame:
     """
     verdicts = judged(docs).groupBy("text_sha256", "doc_id", "n_chars").agg(F.max("kept").alias("_kept"), F.count("*").alias("_n")).where("not _kept or _n > 1")
     verdicts = materialize(verdicts.select(F.unhex("text_sha256").alias("_digest"), F.col("doc_id").alias("_id"), F.col("n_chars").alias("_chars"), "_kept"), "exact-verdicts")
-    may = Bloom.of(verdicts.select(F.xxhash64("_digest").alias("_h")), "_h").column(docs.sparkSession, "_h")
+    # sixty bits of the digest are its place in the filter
+    short = F.conv(F.substring(F.hex("_digest"), 1, 15), 16, 10).cast("long")
+    held = docs.sparkSession.sparkContext.broadcast(Bloom.of(verdicts.select(short.alias("_h")), "_h"))
 
-    @F.pandas_udf("binary")
-    def digest(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.pandas_udf("digest binary, may boolean")
+    def judged_by(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
-            yield pd.Series([hashlib.sha256(raw.translate(None, SPACES)).digest() for raw in texts])
+            found = [hashlib.sha256(raw.translate(None, SPACES)).digest() for raw in texts]
+            keys = np.array([int.from_bytes(x[:8], "big") >> 4 for x in found], np.int64)
+            yield pd.DataFrame({"digest": found, "may": held.value.has(keys)})
 
-    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"), F.col("doc_id").alias("_id"), F.length(text_of()).cast("long").alias("_chars"), digest(_raw()).alias("_digest"))
-    rows = rows.withColumn("_h", F.xxhash64("_digest")).withColumn("_may", may)
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"), F.col("doc_id").alias("_id"), F.length(text_of()).cast("long").alias("_chars"), judged_by(_raw()).alias("_f"))
+    rows = rows.select("_row", "_id", "_chars", F.col("_f.digest").alias("_digest"), F.col("_f.may").alias("_may"))
     found = rows.where("_may").alias("r").join(
         verdicts.alias("v"), (F.col("r._digest") == F.col("v._digest")) & F.col("r._id").eqNullSafe(F.col("v._id")) & (F.col("r._chars") == F.col("v._chars")), "left"
     ).select("r._row", "r._digest", "_kept")

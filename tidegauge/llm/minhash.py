@@ -107,12 +107,15 @@ def _features(k: int):
     return measured
 
 
-def _sets(k: int):
+def _sets(k: int, held):
+    """The set of a text whose id may be among the broadcast ones, else null."""
+
     @F.pandas_udf("binary")
-    def made(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def made(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         claim("shingles", _HASHES.clear)
-        for texts in batches:
-            yield pd.Series([shingles(text or "", k).tobytes() for text in texts])
+        for ids, texts in batches:
+            may = held.value.has(ids.to_numpy(np.int64))
+            yield pd.Series([shingles(text or "", k).tobytes() if m else None for m, text in zip(may, texts, strict=True)], dtype=object)
         _HASHES.clear()
 
     return made
@@ -246,9 +249,10 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     members = materialize(entries.join(buckets, ["band", "h"]), "buckets")
     wanted = materialize(members.select("cls").distinct(), "wanted")
     # only the texts of classes that share a bucket are read into sets; the filter is tested where the text is
-    may = Bloom.of(wanted, "cls").column(docs.sparkSession, "doc_id")
-    texts = base.where("doc_id is not null").where(may).join(wanted, F.col("doc_id") == F.col("cls")).select("cls", _sets(k)("text").alias("set"))
-    sets = materialize(texts.select("cls", (F.length("set") / 8).cast("long").alias("n"), "set"), "sets").where("n > 0")
+    held = docs.sparkSession.sparkContext.broadcast(Bloom.of(wanted, "cls"))
+    made = base.where("doc_id is not null").select("doc_id", _sets(k, held)("doc_id", "text").alias("set")).where(F.octet_length("set") > 0)
+    made = made.join(wanted, F.col("doc_id") == F.col("cls"), "left_semi").select(F.col("doc_id").alias("cls"), (F.octet_length("set") / 8).cast("long").alias("n"), "set")
+    sets = materialize(made, "sets")
     stars = _confirmed(members.where("cls <> pivot").select(F.col("pivot").alias("u"), F.col("cls").alias("v")).distinct(), sets, percent)
     rows = solid.drop("bands")
     keyed = materialize(join_groups(rows, classes.drop("bands"), ["a", "b", "n"], "_size", rows.count()).select("doc_id", "a", "b", "n", "cls"), "rows")
