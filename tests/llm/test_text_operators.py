@@ -499,6 +499,21 @@ def test_packed_ids_have_the_added_tokens(spark, tmp_path):
         assert [r["ids_crc32"] for r in got.orderBy("doc_id").collect()] == expected
 
 
+def test_ranks_come_from_the_tokenizer_file(tmp_path):
+    import base64
+    import json
+
+    with open(P.path("byte_bpe_50k.tiktoken"), "rb") as lines:
+        expected = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+    assert packing.ranks_of(BYTES) == expected and packing.PATTERN == P.PATTERN
+    with open(BYTES, encoding="utf-8") as file:
+        data = json.load(file)
+    data["model"]["merges"][:2] = data["model"]["merges"][1::-1]
+    (tmp_path / "swapped.json").write_text(json.dumps(data))
+    with pytest.raises(ValueError):
+        packing.ranks_of(str(tmp_path / "swapped.json"))
+
+
 def test_packing_ids_equal_the_library_on_every_document(spark):
     from tokenizers import Tokenizer
 

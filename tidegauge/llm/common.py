@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -12,6 +10,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidegauge.operators.scratch import materialize, scratch_root
+
+__all__ = ["materialize", "scratch_root"]
+
 #: The white space that separates words.
 SPACES = " \t\n\x0b\x0c\r"
 SPACE_CLASS = r"[\x20\x09-\x0D]"
@@ -21,34 +23,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def scratch_root(spark: SparkSession) -> str:
-    """The shared folder named by spark.checkpoint.dir.
-
-    Where it is unset a local session gets a temporary folder and a cluster the warehouse, which its machines share.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if spark.sparkContext.master.startswith("local"):
-            root = f"file://{tempfile.mkdtemp(prefix='spark-scratch-')}"
-        else:
-            root = f"{spark.conf.get('spark.sql.warehouse.dir')}/_scratch"
-        spark.conf.set("spark.checkpoint.dir", root)
-    return root
-
-
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write df to a new folder below the shared scratch root and read it back: lineage ends there.
-
-    The folder goes when the driver's JVM ends.
-    """
-    spark = df.sparkSession
-    path = f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def text_of(column: str = "text") -> Column:
     """The whole text; null counts as empty."""
     return F.coalesce(F.col(column).cast("string"), F.lit(""))

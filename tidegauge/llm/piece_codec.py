@@ -37,6 +37,9 @@ class PieceCodec:
         import sentencepiece
 
         sp = sentencepiece.SentencePieceProcessor(model_file=path)
+        probe = "  \ufb01\u2460 \uff21\u00a0x \u3000e\u0301 "
+        if sp.normalize(probe) != MARK + probe.replace(" ", MARK):
+            raise ValueError("the model changes texts before it encodes them")
         n = sp.get_piece_size()
         special = [sp.is_control(i) or sp.is_unknown(i) for i in range(n)]
         self.bytes_at = {int(sp.id_to_piece(i)[3:5], 16): i for i in range(n) if sp.is_byte(i)}
