@@ -68,12 +68,15 @@ def thresholds(features: DataFrame, quantiles: tuple[float, ...], scope: list[st
 
 
 def tail_events(features: DataFrame, cuts: DataFrame, scope: list[str] | None = None) -> DataFrame:
-    """Feature rows in a tail, once for each tail and quantile they lie in. The thresholds are a few rows a feature."""
+    """Feature rows in a tail, once for each tail and quantile they lie in. A feature's cuts, which are a few, reach its rows
+    as one list, so rows outside of every tail are never multiplied."""
     keys = ["feature_key", *(scope or [])]
-    joined = features.join(cuts, keys)
-    low = (F.col("tail") == "LOW") & (F.col("value") <= F.col("threshold"))
-    high = (F.col("tail") == "HIGH") & (F.col("value") >= F.col("threshold"))
-    return joined.where(low | high)
+    rest = [c for c in cuts.columns if c not in keys]
+    listed = cuts.groupBy(*keys).agg(F.collect_list(F.struct(*rest)).alias("_cuts"))
+    low = lambda c: (c["tail"] == "LOW") & (F.col("value") <= c["threshold"])
+    high = lambda c: (c["tail"] == "HIGH") & (F.col("value") >= c["threshold"])
+    met = features.join(listed, keys).withColumn("_c", F.explode(F.filter("_cuts", lambda c: low(c) | high(c))))
+    return met.select(*features.columns, "_c.*")
 
 
 TEST = ["feature_key", "quantile", "tail", "horizon"]
