@@ -728,3 +728,59 @@ def test_pipeline_stages(spark):
     packed = corpus_pipeline.STAGES[-1][1](spark, frames[-1], oracle.SF)
     assert {r["doc_id"] for r in packed.select("doc_id").distinct().collect()} == ids[-1]
     assert corpus_pipeline.run(spark, oracle.SF).count() > 0
+
+
+def test_pipeline_equals_brute_force(spark):
+    """Every stage against plain Python over what the brute force kept before it, on the whole table and some planted rows."""
+    from tokenizers import Tokenizer
+
+    draw = random.Random(21)
+    words = [f"word{i}" for i in range(900)]
+    clean = [" ".join(draw.choice(words) + ("." if i % 9 == 8 else "") for i in range(150)) for _ in range(6)]
+    near = clean[0].split()
+    near[70] = "changed"
+    planted = [*clean, clean[1] + "  ", " ".join(near), f"{clean[2]} {' '.join(clean[3].split()[20:90])} {clean[4][:200]}", "", None]
+    table = sf_docs(spark).unionByName(docs(spark, planted, 10**6))
+    now = [(r["doc_id"], r["text"] or "") for r in table.select("doc_id", "text").collect()]
+    frame = table
+
+    def run(name, frame):
+        out = dict(corpus_pipeline.STAGES)[name](spark, frame, oracle.SF)
+        return spark.createDataFrame(out.collect(), out.schema)
+
+    labels = spark.read.parquet(f"{oracle.SF}/labels.parquet")
+    fitted = knn_quality.model(sf_docs(spark), labels)
+    scores = fitted.score(np.stack([knn_quality.count_vector(t) for _, t in now]))
+    now = [x for x, s in zip(now, scores, strict=True) if s >= 0.5]
+    frame = run("quality", frame)
+    assert sorted((r["doc_id"], r["text"] or "") for r in frame.collect()) == sorted(now)
+
+    best = {}
+    for i, t in now:
+        norm = re.sub(r"[\x20\x09-\x0D]", "", t)
+        if norm not in best or (-len(t), i) < (-len(best[norm][1]), best[norm][0]):
+            best[norm] = (i, t)
+    now = sorted(best.values())
+    frame = run("exact_dedup", frame)
+    assert sorted((r["doc_id"], r["text"] or "") for r in frame.collect()) == now
+
+    _, roots, _ = brute_components([t for _, t in now], 5, 80)
+    now = [x for k, x in enumerate(now) if roots[k] == k]
+    frame = run("minhash_dedup", frame)
+    assert sorted((r["doc_id"], r["text"] or "") for r in frame.collect()) == now
+    ids = {i - 10**6 for i, _ in now}
+    assert ids & {0, 7} == {0} and ids & {1, 6} == {6} and {2, 3, 4, 5} <= ids  # of equal texts the longer original stays
+
+    left = brute_substring(now, substring_dedup.SPAN, substring_dedup.MIN_WORDS)
+    now = [(i, t) for (i, _), (t, _) in zip(now, left, strict=True)]
+    frame = run("substring_dedup", frame)
+    assert sorted((r["doc_id"], r["text"], r["n_chars"]) for r in frame.collect()) == [(i, t, len(t)) for i, t in now]
+
+    library = Tokenizer.from_file(BYTES)
+    packed = {}
+    for r in corpus_pipeline.STAGES[-1][1](spark, frame, oracle.SF).collect():
+        packed.setdefault(r["doc_id"], []).append((r["piece"], r["start"], r["length"], r["ids_crc32"]))
+    for i, t in now:
+        ids = np.array([*library.encode(t, add_special_tokens=False).ids, 0], "<u4")
+        assert sorted(packed[i]) == [(k, a, n, zlib.crc32(ids[a : a + n].tobytes())) for k, (a, n) in enumerate(packing.cut(len(ids), 2048))]
+    assert set(packed) == {i for i, _ in now}

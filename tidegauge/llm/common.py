@@ -98,16 +98,6 @@ class Bloom:
             out &= (self.words[at >> np.uint64(6)] >> (at & np.uint64(63)) & np.uint64(1)).astype(bool)
         return out
 
-    def column(self, spark: SparkSession, *columns: str) -> Column:
-        """Whether the columns' values may be in the set; the filter is broadcast."""
-        held = spark.sparkContext.broadcast(self)
-
-        @F.pandas_udf("boolean")
-        def listed(*parts):
-            return pd.Series(held.value.has(*(p.to_numpy(np.int64) for p in parts)))
-
-        return listed(*columns)
-
 
 class Remembered(dict):
     """Values of a function by its argument; emptied when it has ``most``. Arguments of over 64 characters aren't kept."""
