@@ -76,10 +76,11 @@ def baseline_sample(df: DataFrame, entity: str, day: str, ts: str, rate: float,
     """At most one row per entity and day, the same at each run: a digest of (seed, entity, day) decides whether there is
     one and which."""
     digest = F.sha2(F.concat_ws("|", F.lit(seed), F.col(entity).cast("string"), F.col(day).cast("string")), 256)
-    drawn = df.groupBy(entity, day).agg(F.array_sort(F.collect_list(ts)).alias("_l")).withColumn("_d", digest)
-    drawn = drawn.where(digest_number(F.col("_d"), 0).cast("double") / F.lit(float((1 << 64) - 1)) < rate)
-    place = (digest_number(F.col("_d"), 8) % F.size("_l")).cast("int")
-    return drawn.select(entity, day, F.get("_l", place).alias(ts))
+    rows = df.where(F.col(ts).isNotNull()).select(entity, day, ts).withColumn("_d", digest)
+    drawn = rows.where(digest_number(F.col("_d"), 0).cast("double") / F.lit(float((1 << 64) - 1)) < rate)
+    group = Window.partitionBy(entity, day)
+    placed = drawn.withColumns({"_n": F.count("*").over(group), "_r": F.row_number().over(group.orderBy(ts)) - 1})
+    return placed.where(F.col("_r") == digest_number(F.col("_d"), 8) % F.col("_n")).select(entity, day, ts)
 
 
 def cap_per_entity(df: DataFrame, by: list[str], order: list[str], n: int) -> DataFrame:
