@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -118,11 +121,23 @@ class Remembered(dict):
 _RELEASE: dict[str, Callable[[], None]] = {}
 
 
+def settle() -> None:
+    """Give memory that is free in this Python worker back to the machine, which it shares with other workers."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def claim(owner: str, release: Callable[[], None]) -> None:
     """Let go of what other operators remember in this Python worker, which tasks of one operator after another share.
 
     Operators let go at the end of a task themselves; a task that was stopped doesn't come to that.
     """
-    for other in [k for k in _RELEASE if k != owner]:
+    others = [k for k in _RELEASE if k != owner]
+    for other in others:
         _RELEASE.pop(other)()
     _RELEASE[owner] = release
+    if others:
+        settle()

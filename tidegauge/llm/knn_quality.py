@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidegauge.llm.common import Remembered, claim
+from tidegauge.llm.common import Remembered, claim, settle
 
 #: Labelled rows that the classifier is fitted on at most, half of them of either label where there are enough.
 SAMPLE = 4096
@@ -183,6 +183,7 @@ def _score(fitted: Neighbours, docs: DataFrame) -> Column:
                 parts.append(own.score(np.stack([count_vector(x or "") for x in texts.iloc[at : at + BLOCK]])))
             yield pd.Series(np.concatenate(parts) if parts else np.zeros(0))
         _PLACES.clear()
+        settle()
 
     return scored(F.col("text").cast("string"))
 

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegauge.llm.common import Bloom, Remembered, claim, join_groups, materialize
+from tidegauge.llm.common import Bloom, Remembered, claim, join_groups, materialize, settle
 from tidegauge.llm.components import components
 
 PERMUTATIONS, BANDS, ROWS = 80, 32, 5
@@ -103,6 +103,7 @@ def _features(k: int):
                 rows.append((len(found), _signed(digest >> 64), _signed(digest & (1 << 64) - 1), bands(found) if len(found) else []))
             yield pd.DataFrame(rows, columns=["n", "a", "b", "bands"])
         _HASHES.clear()
+        settle()
 
     return measured
 
@@ -117,6 +118,7 @@ def _sets(k: int, held):
             may = held.value.has(ids.to_numpy(np.int64))
             yield pd.Series([shingles(text or "", k).tobytes() if m else None for m, text in zip(may, texts, strict=True)], dtype=object)
         _HASHES.clear()
+        settle()
 
     return made
 

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidegauge.llm.common import Bloom, Remembered, claim, materialize
+from tidegauge.llm.common import Bloom, Remembered, claim, materialize, settle
 
 SPAN = 4
 #: Runs of fewer words are no evidence of copying; they take in further sentences.
@@ -34,7 +34,7 @@ TOGETHER = 1_000_000
 WORD = re.compile(r"\s*\S+\s*")
 NONE = np.zeros(0, np.int64)
 MARKS = frozenset(".!?,;:")
-REMEMBERED = 200_000
+REMEMBERED = 150_000
 
 
 def _word(word: str) -> int:
@@ -186,6 +186,8 @@ def spans(docs: DataFrame, span: int, min_words: int, among: Bloom | None = None
                 own = Runs([t or "" for t in batch["text"].iloc[part]], span, min_words)
                 f = own.first if held.value is None else own.first & held.value.has(own.hashes[:, 0])
                 yield pd.DataFrame({"doc_id": ids[part][own.text[f]], "a": own.hashes[f, 0], "b": (own.hashes[f, 1] >> 32).astype(np.int32)})
+                own = f = None
+        settle()
 
     return docs.where("doc_id is not null").select("doc_id", F.col("text").cast("string").alias("text")).mapInPandas(emit, schema)
 
@@ -234,6 +236,7 @@ def substring_dedup(docs: DataFrame, span: int = SPAN, min_words: int = MIN_WORD
                 repeated = [NONE if h is None else np.asarray(h, np.int64) for h in hashes.iloc[part]]
                 rows += remove_repeats([t or "" for t in texts.iloc[part]], repeated, span, min_words)
             yield pd.DataFrame(rows, columns=["text", "n_sentences", "n_removed"])
+        settle()
 
     base = docs.drop("n_sentences", "n_removed")
     joined = base.join(hits, base["doc_id"] == hits["_id"], "left")
