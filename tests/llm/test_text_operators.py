@@ -444,6 +444,17 @@ def test_codec_equals_library(spark):
         assert (r["n_tokens"], r["ids_sha256"]) == (len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest())
 
 
+def test_runs_of_spaces_go_through_the_table():
+    """The pieces of space marks share one score, so their merges are told apart by place alone."""
+    import sentencepiece
+
+    sp, own = sentencepiece.SentencePieceProcessor(model_file=PIECES), piece_codec.PieceCodec(PIECES)
+    for n in [*range(1, 70), 127, 128, 129, 500]:
+        for word in ("", "x", "the", "}", "日", "ပ", "\n"):
+            t = " " * n + word
+            assert np.frombuffer(own.encode(t), "<u4").tolist() == sp.encode(t, add_bos=True, add_eos=True), (n, word)
+
+
 def test_long_merges_equal_short_ones():
     own = piece_codec.PieceCodec(PIECES)
     for t in hard_texts(200):

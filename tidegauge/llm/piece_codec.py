@@ -75,7 +75,7 @@ class PieceCodec:
 
     def merge(self, text: str) -> list[str]:
         """The encoding by definition: merge the neighbours with the best score, the leftmost of equals, until none is
-        left. Used for pairs of pieces and for runs of space marks, whose pieces share one score."""
+        left. Used for pairs of pieces."""
         if len(text) > 64:
             return self._merge_long(text)
         cost, none = self.costs.get, math.inf
@@ -152,8 +152,7 @@ class PieceCodec:
             return b"".join([self.known[text[i:j]] for i, j in zip([0, *cuts], [*cuts, len(text)], strict=True)])
         if text not in self.single and len(text) == 1:
             return b"".join([struct.pack("<I", self.bytes_at[b]) for b in text.encode()])
-        pieces = self.merge(text) if text.startswith(MARK * 2) else self.table(text)
-        return b"".join([self.packed[p] for p in pieces])
+        return b"".join([self.packed[p] for p in self.table(text)])
 
     def encode(self, text: str) -> bytes:
         """Ids of the text with begin and end ids, as little-endian unsigned 32-bit integers."""
