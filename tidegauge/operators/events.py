@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,15 +27,21 @@ def greedy(df: DataFrame, by: list[str], start: str, end: Column, tie: str) -> D
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, last = None, 0
         for batch in batches:
-            kept = []
-            rows = zip(*(batch.column(c).to_pylist() for c in (*by, "_s", "_e")), strict=True)
-            for *key, begins, ends in rows:
-                fresh = key != current
-                accepted = fresh or begins >= last
-                if accepted:
-                    current, last = key, ends
-                kept.append(accepted)
-            yield batch.filter(pa.array(kept, pa.bool_()))
+            n = batch.num_rows
+            if not n:
+                continue
+            fresh = np.zeros(n, bool)
+            for c in by:
+                codes = pc.dictionary_encode(batch.column(c), null_encoding="encode").indices.to_numpy(zero_copy_only=False)
+                fresh[1:] |= codes[1:] != codes[:-1]
+            fresh[0] = [batch.column(c)[0].as_py() for c in by] != current
+            current = [batch.column(c)[n - 1].as_py() for c in by]
+            kept = np.zeros(n, bool)
+            begins, ends = (batch.column(c).to_numpy(zero_copy_only=False).tolist() for c in ("_s", "_e"))
+            for i, (new, begin, end) in enumerate(zip(fresh.tolist(), begins, ends, strict=True)):
+                if new or begin >= last:
+                    kept[i], last = True, end
+            yield batch.filter(pa.array(kept))
 
     return ordered.mapInArrow(fold, ordered.schema).drop("_s", "_e")
 
