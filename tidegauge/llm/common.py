@@ -26,6 +26,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Rows of a batch that a task hands to Python, where the session has Spark's default.
+BATCH, DEFAULT = "1000", "10000"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Hand texts to Python in smaller batches, unless the session has a setting of its own: each batch is held by the task
+    and by its Python worker at once."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(name, DEFAULT) == DEFAULT:
+        spark.conf.set(name, BATCH)
+
+
 def text_of(column: str = "text") -> Column:
     """The whole text; null counts as empty."""
     return F.coalesce(F.col(column).cast("string"), F.lit(""))

@@ -26,7 +26,7 @@ SAMPLE = 4096
 #: Hashed words, hashed shapes, habits; singular directions; neighbours that vote.
 WORDS, SHAPES, HABITS, DIMENSIONS, NEIGHBOURS = 512, 256, 96, 48, 25
 SIZE = WORDS + SHAPES + HABITS
-REMEMBERED = 250_000
+REMEMBERED = 100_000
 #: Documents in a block of the product.
 BLOCK = 512
 
