@@ -11,13 +11,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegauge.llm import entry, exact_dedup, knn_quality, minhash, packing, substring_dedup
-from tidegauge.llm.common import materialize, table
+from tidegauge.llm.common import materialize, small_batches, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The rows that the classifier doesn't reject."""
+    small_batches(spark)
     labels = table(spark, sf_dir, "labels")
     model = knn_quality.model(table(spark, sf_dir, "documents"), labels)
     return knn_quality.accepted(docs, model)
@@ -25,16 +26,19 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of equal texts."""
+    small_batches(spark)
     return exact_dedup.drop_copies(docs)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of near-duplicates: runs of five words, similarity 0.8."""
+    small_batches(spark)
     return minhash.drop_near_duplicates(docs, k=5, percent=80)
 
 
 def substring(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without repeated passages; n_chars follows the text where there is such a column."""
+    small_batches(spark)
     columns = docs.columns
     out = substring_dedup.substring_dedup(docs)
     if "n_chars" in columns:
@@ -44,6 +48,7 @@ def substring(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces placed in sequences."""
+    small_batches(spark)
     return packing.pack(docs, entry.tokenizer("byte_bpe_50k.json"))
 
 
