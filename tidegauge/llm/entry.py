@@ -10,7 +10,7 @@ from tidegauge.llm import exact_dedup as exact
 from tidegauge.llm import html_text as html
 from tidegauge.llm import knn_quality as knn
 from tidegauge.llm import line_dedup as lines
-from tidegauge.llm import minhash, oracles, packing
+from tidegauge.llm import minhash, oracles, packing, simhash
 from tidegauge.llm import piece_codec as codec
 from tidegauge.llm import quality_rules as rules
 from tidegauge.llm import substring_dedup as substring
@@ -75,6 +75,10 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.url_filter(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.simhash_groups(table(spark, sf_dir, "documents"), k=3, distance=2)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v for k, v in globals().items() if k.startswith("op") and k[2].isdigit()}
 
