@@ -5,8 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tidegauge.llm import conversation_repair as conversations
 from tidegauge.llm import exact_dedup as exact
+from tidegauge.llm import hard_negatives as negatives
 from tidegauge.llm import html_text as html
 from tidegauge.llm import knn_quality as knn
 from tidegauge.llm import line_dedup as lines
@@ -75,6 +78,16 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.url_filter(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shifted = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, shifted)
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    whole = table(spark, sf_dir, "conversations")
+    return conversations.repair(conversations.damage(whole), whole)
+
+
 def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_groups(table(spark, sf_dir, "documents"), k=3, distance=2)
 

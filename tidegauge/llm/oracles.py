@@ -83,4 +83,24 @@ m as (
 select page_id, host, path, rule, coalesce(v, 'allow') as verdict from h left join m using (page_id)
 """
 
-SQL = {"op6_quality_rules": OP6, "op7_exact_dedup": OP7, "op8_line_dedup": OP8, "op10_url_filter": OP10}
+OP11 = """
+with r as (
+  select vec_id as id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+    list_transform(embedding, lambda x: floor(256 * cast(x as double))) as v
+  from embeddings
+  where vec_id is not null and label is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+s as (
+  select a.id as anchor_id, r.id, a.label = r.label as same, cast(list_dot_product(a.v, r.v) as bigint) as score
+  from r a join r on a.id <> r.id where a.id % 100 = 0),
+p as (
+  select anchor_id, id as positive_id, score as positive_score from s where same
+  qualify row_number() over (partition by anchor_id order by score desc, id) <= 5)
+select anchor_id, positive_id, cast(row_number() over w as int) as rank, id as negative_id, positive_score, score as negative_score
+from p join s using (anchor_id)
+where not same and 30 * positive_score <= 100 * score and 100 * score <= 90 * positive_score
+window w as (partition by anchor_id, positive_id order by score desc, id)
+qualify row_number() over w <= 10
+"""
+
+SQL = {"op6_quality_rules": OP6, "op7_exact_dedup": OP7, "op8_line_dedup": OP8, "op10_url_filter": OP10, "op11_hard_negatives": OP11}
