@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import json
+import time
+from contextlib import contextmanager
 from datetime import datetime, timedelta
 
 import pytest
@@ -19,6 +21,14 @@ def run(spark, stream, path, mode="append"):
     return spark.read.schema(stream.schema).parquet(f"{path}/out").collect()
 
 
+@contextmanager
+def without_empty_batches(spark):
+    """States that expire by the machine's clock call for a batch without end."""
+    spark.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")
+    yield
+    spark.conf.unset("spark.sql.streaming.noDataMicroBatches.enabled")
+
+
 def source(spark, df, path, files=4):
     df.repartition(files).write.parquet(f"{path}/in")
     return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/in")
@@ -183,7 +193,26 @@ def test_detector_state_is_kept_between_batches(spark, tmp_path):
     for t, p in steps:
         if observe(d, t, "a", p) is not None:
             expected.append(t)
-    assert sorted(r["ts"] for r in run(spark, stateful.multi_venue(stream), tmp_path)) == expected == [60.0, 421.0]
+    with without_empty_batches(spark):
+        assert sorted(r["ts"] for r in run(spark, stateful.multi_venue(stream), tmp_path)) == expected == [60.0, 421.0]
+
+
+def test_dead_venues_leave_the_state(spark, tmp_path):
+    """1000 venues that speak once, and one that goes on: after their time only the live one is held."""
+    schema = "asset string, t double, provider string, market string, symbol string, price double, volume double"
+    dead = spark.createDataFrame([("x", float(i % 50), f"p{i}", "spot", "S", 100.0 + i, None) for i in range(1000)], schema)
+    dead.coalesce(1).write.parquet(f"{tmp_path}/in/1")
+    sizes = []
+    with without_empty_batches(spark):
+        for t in (60.0, 2000.0, 2060.0):
+            stream = spark.readStream.schema(schema).option("recursiveFileLookup", True).parquet(f"{tmp_path}/in")
+            q = stateful.multi_venue(stream, ttl=1500).writeStream.format("parquet").option("path", f"{tmp_path}/out").option("checkpointLocation", f"{tmp_path}/cp").trigger(availableNow=True).start()
+            q.awaitTermination()
+            sizes.append(sum(s["numRowsTotal"] for s in q.lastProgress["stateOperators"]))
+            time.sleep(2)
+            spark.createDataFrame([("x", t, "live", "spot", "S", 100.0, None)], schema).coalesce(1).write.parquet(f"{tmp_path}/in/t{t}")
+    assert sizes[0] >= 1000
+    assert sizes[-1] < 20
 
 
 def test_targets_expire_and_rank(spark, tmp_path):

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidegauge.functions.time import floor_to, seconds_between, shift
+from tidegauge.operators import scan
 
 
 def _stacked(left: DataFrame, right: DataFrame, by: list[str], values: list[str], ts: str, tie: str, right_last: bool) -> DataFrame:
@@ -17,30 +18,44 @@ def _stacked(left: DataFrame, right: DataFrame, by: list[str], values: list[str]
     return own.unionByName(other, allowMissingColumns=True)
 
 
+def _carried(stacked: DataFrame, by: list[str], backward: bool, large: int) -> DataFrame:
+    """The left rows of the stack with ``_f``, the last right row before them in the order (backward: after them).
+
+    Where a key has more than ``large`` rows its ranges of time go to many tasks, and each is handed the right row that
+    the ranges before it end with.
+    """
+    order = ["_t", "_side", "_tie"]
+    if scan.largest_group(stacked, by) > large:
+        found = scan.scanned(scan.dealt(stacked, by, order, backward), by, order, F.col("_r"), "_f", "last", backward)
+    else:
+        w = Window.partitionBy(*by).orderBy(*(F.desc(c) if backward else F.asc(c) for c in order)).rowsBetween(Window.unboundedPreceding, 0)
+        found = stacked.withColumn("_f", F.last("_r", ignorenulls=True).over(w))
+    return found.where(F.col("_l").isNotNull())
+
+
 def asof_backward(
-    left: DataFrame, right: DataFrame, by: list[str], values: list[str], tolerance: float | None = None, ts: str = "ts", tie: str = "id", prefix: str = "q_",
+    left: DataFrame, right: DataFrame, by: list[str], values: list[str], tolerance: float | None = None, ts: str = "ts", tie: str = "id", prefix: str = "q_", large: int = scan.LARGE,
 ) -> DataFrame:
     """Every left row with the latest right row of its key at or before its time, and its age in seconds.
 
     Of right rows at one time that with the largest tie counts. Beyond the tolerance (in seconds) the values are null.
-    One shuffle on the key and one sort; no row of a pair is made that isn't returned. A key's rows are one sorted
-    stream, read once, so add a day to ``by`` where one key holds a large share and the tolerance is short.
+    One shuffle on the key and one sort; no row of a pair is made that isn't returned. A key of over ``large`` rows is
+    split by time (see ``scan``), so it may hold any share of the rows.
     """
     stacked = _stacked(left, right, by, values, ts, tie, right_last=False)
-    w = Window.partitionBy(*by).orderBy("_t", "_side", "_tie").rowsBetween(Window.unboundedPreceding, 0)
-    found = stacked.withColumn("_f", F.last("_r", ignorenulls=True).over(w)).where(F.col("_l").isNotNull())
+    found = _carried(stacked, by, False, large)
     age = seconds_between("_f.ts", "_t")
     hit = F.col("_f").isNotNull() & (age <= tolerance if tolerance is not None else F.lit(True))
     return found.select("_l.*", *(F.when(hit, F.col(f"_f.{v}")).alias(f"{prefix}{v}") for v in values), F.when(hit, age).alias(f"{prefix}age"))
 
 
 def asof_forward(
-    left: DataFrame, right: DataFrame, by: list[str], values: list[str], tolerance: float | None = None, ts: str = "ts", tie: str = "id", prefix: str = "q_",
+    left: DataFrame, right: DataFrame, by: list[str], values: list[str], tolerance: float | None = None, ts: str = "ts", tie: str = "id", prefix: str = "q_", large: int = scan.LARGE,
 ) -> DataFrame:
-    """Every left row with the first right row of its key at or after its time, and the wait in seconds."""
+    """Every left row with the first right row of its key at or after its time, and the wait in seconds; the mirror of
+    ``asof_backward``."""
     stacked = _stacked(left, right, by, values, ts, tie, right_last=True)
-    w = Window.partitionBy(*by).orderBy(F.desc("_t"), F.desc("_side"), F.desc("_tie")).rowsBetween(Window.unboundedPreceding, 0)
-    found = stacked.withColumn("_f", F.last("_r", ignorenulls=True).over(w)).where(F.col("_l").isNotNull())
+    found = _carried(stacked, by, True, large)
     wait = seconds_between("_t", "_f.ts")
     hit = F.col("_f").isNotNull() & (wait <= tolerance if tolerance is not None else F.lit(True))
     return found.select("_l.*", *(F.when(hit, F.col(f"_f.{v}")).alias(f"{prefix}{v}") for v in values), F.when(hit, wait).alias(f"{prefix}wait"))

@@ -11,21 +11,18 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidegauge.functions.time import shift
+from tidegauge.operators import scan
 
 
-def greedy(df: DataFrame, by: list[str], start: str, end: Column, tie: str) -> DataFrame:
-    """Events that start at or after the end of the last accepted one of their key, in order of (start, tie).
+_BEFORE_ALL = -(1 << 63)
 
-    Each key's rows are sorted and stream through one fold that holds the last end only, so a key of any size takes
-    constant memory; keys run side by side. Events with a null start or end are left out and block nothing. Put a
-    session or a day into ``by`` where the rule starts anew there.
-    """
-    micros = lambda c: F.timestamp_diff("MICROSECOND", F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'"), c)
-    solid = df.withColumns({"_s": micros(F.col(start)), "_e": micros(end)}).where("_s is not null and _e is not null")
-    ordered = solid.repartition(*by).sortWithinPartitions(*by, "_s", tie)
+
+def _accepted(by: list[str], entries: dict[int, int] | None = None, exits: bool = False):
+    """A fold over sorted rows of whole keys or, by ``entries``, of ranges: it holds the last accepted end of the current
+    key, from which on an event may start, and gives the accepted rows or, for a range, the end that it leaves behind."""
 
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, last = None, 0
+        current, last, part = None, _BEFORE_ALL, None
         for batch in batches:
             n = batch.num_rows
             if not n:
@@ -34,16 +31,69 @@ def greedy(df: DataFrame, by: list[str], start: str, end: Column, tie: str) -> D
             for c in by:
                 codes = pc.dictionary_encode(batch.column(c), null_encoding="encode").indices.to_numpy(zero_copy_only=False)
                 fresh[1:] |= codes[1:] != codes[:-1]
-            fresh[0] = [batch.column(c)[0].as_py() for c in by] != current
+            key = [batch.column(c)[0].as_py() for c in by]
+            if part is None and entries is not None:
+                part = batch.column("_p")[0].as_py()
+                current, last = key, entries.get(part, _BEFORE_ALL)
+            fresh[0] = key != current
             current = [batch.column(c)[n - 1].as_py() for c in by]
             kept = np.zeros(n, bool)
             begins, ends = (batch.column(c).to_numpy(zero_copy_only=False).tolist() for c in ("_s", "_e"))
             for i, (new, begin, end) in enumerate(zip(fresh.tolist(), begins, ends, strict=True)):
                 if new or begin >= last:
                     kept[i], last = True, end
-            yield batch.filter(pa.array(kept))
+            if not exits:
+                yield batch.filter(pa.array(kept))
+        if exits and part is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([last], pa.int64())], names=["_p", "_exit"])
+
+    return fold
+
 
-    return ordered.mapInArrow(fold, ordered.schema).drop("_s", "_e")
+def _by_ranges(solid: DataFrame, by: list[str], tie: str) -> DataFrame:
+    """The accepted rows of keys that lie in several ranges, each range folded by itself.
+
+    A range starts as if nothing were accepted before it. Then those whose left neighbour leaves behind another end than
+    they had started from are folded again, until no end changes. Two folds of a range agree as soon as they accept the
+    same event, which they soon do, so a second pass mostly confirms the first. The driver holds two numbers a range.
+    """
+    order = [*by, "_s", tie]
+    parts = int(solid.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranges = scan.dealt(solid, by, ["_s", tie])
+    key = F.struct(*by)
+    facts = ranges.groupBy("_p").agg(F.min(key).alias("low"), F.max(key).alias("high"))
+    told = facts.select("_p", (F.lag("high").over(Window.orderBy("_p")).eqNullSafe(F.col("low"))).alias("goes_on"), (F.col("low") == F.col("high")).alias("single")).orderBy("_p").collect()
+    ordered = lambda rows: rows.repartitionById(parts, F.col("_p")).sortWithinPartitions(*order)
+    entries: dict[int, int] = {}
+    exits: dict[int, int] = {}
+    stale = [r["_p"] for r in told]
+    while stale:
+        found = ordered(ranges.where(F.col("_p").isin(stale))).mapInArrow(_accepted(by, entries, True), "_p int, _exit long").collect()
+        exits |= {r["_p"]: r["_exit"] for r in found}
+        stale = []
+        for left, r in zip(told, told[1:], strict=False):
+            entry = exits[left["_p"]] if r["goes_on"] else _BEFORE_ALL
+            if entry != entries.get(r["_p"], _BEFORE_ALL):
+                entries[r["_p"]] = entry
+                # the end that a range of several keys leaves behind is that of its last one
+                stale += [r["_p"]] if r["single"] else []
+    out = ordered(ranges)
+    return out.mapInArrow(_accepted(by, entries), out.schema).drop("_p")
+
+
+def greedy(df: DataFrame, by: list[str], start: str, end: Column, tie: str, large: int = scan.LARGE) -> DataFrame:
+    """Events that start at or after the end of the last accepted one of their key, in order of (start, tie).
+
+    Each key's rows are sorted and stream through one fold that holds the last end only, so a task takes constant memory;
+    keys run side by side, and a key of over ``large`` rows is folded by ranges of time side by side. Events with a null
+    start or end are left out and block nothing.
+    """
+    micros = lambda c: F.timestamp_diff("MICROSECOND", F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'"), c)
+    solid = df.withColumns({"_s": micros(F.col(start)), "_e": micros(end)}).where("_s is not null and _e is not null")
+    if scan.largest_group(solid, by) > large:
+        return _by_ranges(solid, by, tie).drop("_s", "_e")
+    ordered = solid.repartition(*by).sortWithinPartitions(*by, "_s", tie)
+    return ordered.mapInArrow(_accepted(by), ordered.schema).drop("_s", "_e")
 
 
 def cooldown(df: DataFrame, by: list[str], seconds: int, ts: str = "ts", tie: str = "id") -> DataFrame:

@@ -11,7 +11,9 @@ from tidegauge.operators.bars import build_bars
 from tidegauge.operators.scratch import scratch_path
 from tidegauge.plans.inputs import TICKS, read, rounded, ticks
 from tidegauge.plans.registry import query
+from tidegauge.operators.writes import merge_additive, upsert
 from tidegauge.streaming import aggregates as A
+from tidegauge.streaming import feeds, rules
 from tidegauge.streaming import stateful as P
 
 SIDED = TICKS + ", sided as (select *, case when id % 3 = 0 then 'buy' when id % 3 = 1 then 'sell' end as side from ticks)"
@@ -104,6 +106,62 @@ def replayed_merge(spark, sf_dir):
     return parts.groupBy("entity", "bucket").agg(F.sum("n").alias("n"), F.sum("volume").alias("volume"))
 
 
+@query(
+    "T9_late_merge",
+    f"""with {TICKS} select entity, {bucket("1 day")} as bucket, count(*) as n, sum(size) as volume, arg_max(price, ts) as last_price, max(ts) as last_ts from ticks group by all""",
+)
+def late_merge(spark, sf_dir):
+    """Ticks that arrive in a random order, in several batches, so that most are behind the watermark: the sums are those
+    of the whole table."""
+    path = scratch_path(spark, "late")
+    key, sums, last = ["entity", "bucket"], ["n", "volume"], ["last_price", "last_ts"]
+    schema = "entity long, bucket timestamp_ntz, n long, volume double, last_price double, last_ts timestamp_ntz"
+
+    def daily(rows: DataFrame) -> DataFrame:
+        placed = rows.select("*", T.floor_to("ts", 86_400).alias("bucket"))
+        return placed.groupBy(*key).agg(F.count("*").alias("n"), F.sum("size").alias("volume"), F.max_by("price", "ts").alias("last_price"), F.max("ts").alias("last_ts"))
+
+    def added(old: DataFrame, new: DataFrame) -> DataFrame:
+        return merge_additive([old, new], key, sums, last, "last_ts")
+
+    into = feeds.SliceMerge(f"{path}/days", schema, F.date_trunc("month", "bucket").cast("date"), added)
+    write = feeds.LateRows(path, 600.0, daily, into)
+    stream = read_stream(spark, ticks(spark, sf_dir).repartition(4, "id"), per_batch=1)
+    stream.writeStream.foreachBatch(write).option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    return into.rows(spark).drop("_batch", "_slice")
+
+
+@query(
+    "K1_streamed_upsert",
+    f"with {TICKS} select entity, venue, max(id) as id, arg_max(price, id) as price from ticks group by all",
+)
+def streamed_upsert(spark, sf_dir):
+    """Every batch's latest row of each key, merged into the slices that it touches."""
+    path = scratch_path(spark, "upsert")
+    key = ["entity", "venue"]
+    into = feeds.SliceMerge(f"{path}/rows", "entity long, venue string, id long, price double", F.pmod("entity", F.lit(16)), lambda old, new: upsert(old, new, key, "id"))
+
+    def latest(df: DataFrame, batch_id: int) -> None:
+        into(df.groupBy(*key).agg(F.max("id").alias("id"), F.max_by("price", "id").alias("price")), batch_id)
+
+    stream = read_stream(spark, ticks(spark, sf_dir).repartition(3, "id"), per_batch=1)
+    stream.writeStream.foreachBatch(latest).option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    return into.rows(spark).drop("_batch", "_slice")
+
+
+@query(
+    "T11_feed_gap_stream",
+    f"""with {TICKS}, m as (select epoch_ms(max(ts)) - 600000 as mark from ticks), f as (select entity, ts from ticks, m where epoch_ms(ts) < mark),
+c as (select entity, lag(ts) over (partition by entity order by ts) as gap_start, ts as gap_end from f), l as (select entity, max(ts) as ts from f group by 1)
+select entity, gap_start, gap_end from c where gap_end > gap_start + interval 12 hours
+union all select entity, ts, null from l, m where epoch_ms(ts + interval 12 hours) + 1 < mark""",
+)
+def feed_gap_stream(spark, sf_dir):
+    """Silences of over twelve hours as they happen: closed ones up to the watermark, and those that are still open."""
+    out = streamed(spark, read(spark, sf_dir, "events"), lambda events: feeds.feed_gaps(events, "user_id", 43_200.0), files=True)
+    return out.select(F.col("entity").cast("long").alias("entity"), *(F.col(c).cast("timestamp_ntz").alias(c) for c in ("gap_start", "gap_end")))
+
+
 @query("T12_segments", f"with {TICKS} select venue, strftime({bucket('6 hours')}, '%Y%m%dT%H%M') as segment, count(*) as rows from ticks group by all")
 def segments(spark, sf_dir):
     """Raw rows through the segment sink, and the segments read back."""
@@ -118,10 +176,10 @@ def segments(spark, sf_dir):
 FILES = 8
 
 
-def read_stream(spark: SparkSession, table: DataFrame, files: bool = False) -> DataFrame:
+def read_stream(spark: SparkSession, table: DataFrame, files: bool = False, per_batch: int = FILES) -> DataFrame:
     """A table as a stream: from its own ``files``, of which it has to be all rows and columns, or from a copy below the
     scratch folder."""
-    source = spark.readStream.schema(table.schema).option("maxFilesPerTrigger", FILES)
+    source = spark.readStream.schema(table.schema).option("maxFilesPerTrigger", per_batch)
     if files:
         paths = table.inputFiles()
         glob = paths[0].rsplit("/", 1)[1] if len(paths) == 1 else "*.parquet"
@@ -134,20 +192,24 @@ def read_stream(spark: SparkSession, table: DataFrame, files: bool = False) -> D
 STORE = "spark.sql.streaming.stateStore.providerClass"
 
 
-def streamed(spark: SparkSession, table: DataFrame, transform, files: bool = False) -> DataFrame:
+NO_DATA = "spark.sql.streaming.noDataMicroBatches.enabled"
+
+
+def streamed(spark: SparkSession, table: DataFrame, transform, files: bool = False, settle: bool = True) -> DataFrame:
     """A table read as a stream, transformed, written until all of it is read, and read back. The state store that stateful
-    processors need is set for the query's start alone."""
+    processors need is set for the query's start alone. ``settle``: batches without rows follow while timers or the
+    watermark call for them; with the machine's clock they always do, so a stream with states that expire by it needs False."""
     out = scratch_path(spark, "stream")
-    before = spark.conf.get(STORE, None)
-    spark.conf.set(STORE, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    wanted = {STORE: "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider", NO_DATA: str(settle).lower()}
+    before = {k: spark.conf.get(k, None) for k in wanted}
+    for k, v in wanted.items():
+        spark.conf.set(k, v)
     try:
         stream = transform(read_stream(spark, table, files))
         stream.writeStream.format("parquet").option("path", f"{out}/rows").option("checkpointLocation", f"{out}/checkpoint").trigger(availableNow=True).start().awaitTermination()
     finally:
-        if before is None:
-            spark.conf.unset(STORE)
-        else:
-            spark.conf.set(STORE, before)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     return spark.read.schema(stream.schema).parquet(f"{out}/rows")
 
 
@@ -183,7 +245,7 @@ def observed(events: DataFrame) -> DataFrame:
 @query("T5_multi_venue_detections")
 def multi_venue_detections(spark, sf_dir):
     """Events as a stream of observations; tests compare it with the cooldown over E12."""
-    return streamed(spark, read(spark, sf_dir, "events"), lambda events: P.multi_venue(observed(events).drop("id"), SPARSE), files=True)
+    return streamed(spark, read(spark, sf_dir, "events"), lambda events: P.multi_venue(observed(events).drop("id"), SPARSE), files=True, settle=False)
 
 
 def before_sql(seconds: int) -> str:
@@ -230,3 +292,50 @@ def live_rule(spark, sf_dir):
     closed = b.select(F.col("entity").cast("string").alias("entity"), seconds.alias("bar_start"), (seconds + 6 * 3600).alias("bar_end"), (seconds + 6 * 3600 + 30 * F.col("n")).alias("arrived"), change("close", "open").alias("ret"))
     out = streamed(spark, closed, lambda bars: P.live_rules(bars, -0.5, 48 * 3600.0, 90.0))
     return out.select("entity", F.timestamp_seconds("bar_start").cast("timestamp_ntz").alias("bucket"), "verdict")
+
+
+#: Bars of the live rules, with their arrival: half a minute after their end for each of their rows. On time are those of at most three.
+LIVE = f"""with recursive {TICKS}, b as (select venue, {bucket("1 hour")} as bucket, arg_max(price, ts) / nullif(arg_min(price, ts), 0) - 1 as ret, count(*) as n from ticks group by all),
+m as (select max(epoch_ms(bucket) + 3600000 + 30000 * n) - 600000 as mark from b), o as (select * from b where n <= 3)"""
+
+
+def closed_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    b = build_bars(ticks(spark, sf_dir), ["venue"], 3600)
+    start = F.col("bucket").cast("timestamp")
+    return b.select("venue", start.alias("bar_start"), F.timestamp_seconds(start.cast("long") + 3600 + 30 * F.col("n")).alias("arrived"), change("close", "open").alias("value"))
+
+
+@query(
+    "T13_live_leaders",
+    LIVE
+    + """, d as (select distinct date_trunc('day', bucket) as day from o where venue in ('view', 'click', 'purchase')), e as (select day, day + to_hours(h) as bucket, h from d, range(24) r(h)),
+v as (select e.*, max(ret) filter (venue = 'view') as a, max(ret) filter (venue = 'click') as b, max(ret) filter (venue = 'purchase') as c, count(venue) as k, coalesce(bool_or(venue = 'purchase'), false) as has_c, coalesce(bool_or(venue <> 'purchase'), false) as has_l
+  from e left join (select * from o where venue in ('view', 'click', 'purchase')) x using (bucket) group by all),
+q as (select v.*, bool_and(k = 3 or epoch_ms(bucket) + 3690000 < mark) over (partition by day order by bucket) as decided from v, m),
+t as (select *, h between 6 and 20 as inside, h between 6 and 20 and coalesce((a >= 0.5 or b >= 0.8) and c > 0, false) as hot from q where decided),
+s as (select *, hot and coalesce(lag(k) over w, 0) > 0 and not lag(hot) over w as edge from t window w as (partition by day order by bucket)),
+f as (select min(bucket) as ts from s where edge union all select (select min(bucket) from s where edge and bucket >= f.ts + interval 3 hours) from f where f.ts is not null)
+select bucket, case when not (has_c and has_l) then 'missed' when exists (select 1 from f where f.ts = bucket) then 'signal' else 'blocked' end as verdict from s where inside and (edge or not (has_c and has_l))""",
+)
+def live_leaders(spark, sf_dir):
+    """The leaders' rule over bars as they arrive, by session; a bar without the confirmer or any leader in time is missed."""
+    rule = rules.LeaderRule({"view": 0.5, "click": 0.8}, "purchase", 3 * 3600)
+    live = lambda bars: rules.live_sessions(bars, rule, F.lit("market"), F.col("venue"), 3600, 90, (6 * 3600, 20 * 3600), "10 minutes")
+    out = streamed(spark, closed_bars(spark, sf_dir), live)
+    return out.select(F.col("bar_start").cast("timestamp_ntz").alias("bucket"), "verdict")
+
+
+@query(
+    "T13_live_tails",
+    LIVE
+    + """, d as (select distinct venue, date_trunc('day', bucket) as day from o), e as (select venue, day, day + to_hours(h) as bucket from d, range(24) r(h)),
+q as (select e.*, o.ret, o.venue is not null as there, bool_and(o.venue is not null or epoch_ms(e.bucket) + 3690000 < mark) over (partition by e.venue, day order by e.bucket) as decided from m, e left join o on o.venue = e.venue and o.bucket = e.bucket),
+t as (select *, coalesce(ret <= -0.5, false) as below from q where decided), l as (select *, below and not coalesce(lag(below) over (partition by venue, day order by bucket), false) as entry from t where there),
+s as (select venue, min(bucket) as bucket from l where entry group by venue, day)
+select venue, bucket, 'signal' as verdict from s union all select venue, bucket, 'missed' from t where not there""",
+)
+def live_tails(spark, sf_dir):
+    """Each venue's first tail of the day over bars as they arrive; the day's other bars that don't come in time are missed."""
+    live = lambda bars: rules.live_sessions(bars, rules.TailRule(-0.5), F.col("venue"), F.lit("bar"), 3600, 90, watermark="10 minutes")
+    out = streamed(spark, closed_bars(spark, sf_dir), live)
+    return out.select(F.col("key").alias("venue"), F.col("bar_start").cast("timestamp_ntz").alias("bucket"), "verdict")

@@ -195,8 +195,10 @@ class Detector:
             return None
         volume = None if volume is None or volume != volume else volume
         venue = self.venues.setdefault(f"{provider}/{market}/{symbol}", Venue(provider, market))
-        if not venue.add(t, price, volume, self.config):
-            return None
+        return self.fired(t) if venue.add(t, price, volume, self.config) else None
+
+    def fired(self, t: float) -> dict | None:
+        """The detection that a signal at t completes, if any; none within the cooldown."""
         found = self.judged(t)
         if found is None or (self.last is not None and t - self.last < self.config.cooldown):
             return None
@@ -230,45 +232,84 @@ class Detector:
         return {"ts": t, "triggers": ",".join(n for n, hit in zip(TRIGGERS, hits, strict=True) if hit), "score": min(score, 100.0), "providers": providers}
 
 
+SIGNAL_SCHEMA = "asset string, t double, provider string, market string, symbol string, fast double, base double, slow double, growth double"
 DETECTION_SCHEMA = "asset string, ts double, triggers string, score double, providers int"
 
 
-class DetectorProcessor(StatefulProcessor):
-    """Rows: asset, t (seconds), provider, market, symbol, price, volume. State is one entry a venue, of which only those
-    are written that a batch touches, and the time of the last detection."""
+def _names(schema: str) -> list[str]:
+    return [c.split()[0] for c in schema.split(", ")]
+
+
+class VenueProcessor(StatefulProcessor):
+    """First stage, a key for each venue: asset, provider, market, symbol; rows: t (seconds), price, volume. State is the list
+    of observations within the retention; one that nothing is added to for ``ttl`` milliseconds goes by itself. Gives the
+    venue's signals."""
+
+    def __init__(self, config: DetectorConfig, ttl: int):
+        self.config, self.ttl = config, ttl
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.seen = handle.getListState("seen", "t double, price double, volume double", self.ttl)
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        asset, provider, market, symbol = key
+        venue = Venue(provider, market, [tuple(x) for x in self.seen.get()])
+        out = []
+        for t, price, volume in in_order(rows, "t", ["t", "price", "volume"]):
+            if price is None or not price > 0:
+                continue
+            if venue.add(t, price, None if volume is None or volume != volume else volume, self.config):
+                out.append((asset, t, provider, market, symbol, *venue.signal[1:]))
+        if venue.seen:
+            self.seen.put(venue.seen)
+        yield pd.DataFrame(out, columns=_names(SIGNAL_SCHEMA))
+
+    def close(self) -> None:
+        pass
+
+
+class AssetProcessor(StatefulProcessor):
+    """Second stage, a key for each asset; rows: its venues' signals. State is the last signal of each venue that is recent
+    enough to count, and the time of the last detection."""
 
     def __init__(self, config: DetectorConfig):
         self.config = config
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.venues = handle.getMapState("venues", "venue string", "state string")
+        self.signals = handle.getMapState("signals", "venue string", "provider string, market string, t double, fast double, base double, slow double, growth double")
         self.last = handle.getValueState("last", "t double")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        detector = Detector(self.config)
-        if self.last.exists():
-            detector.last = self.last.get()[0]
-        for k, v in self.venues.iterator():
-            held = json.loads(v[0])
-            detector.venues[k[0]] = Venue(held["provider"], held["market"], [tuple(x) for x in held["seen"]], None if held["signal"] is None else tuple(held["signal"]))
-        found, touched = [], set()
-        for t, *venue, price, volume in in_order(rows, "t", ["t", "provider", "market", "symbol", "price", "volume"]):
-            touched.add("/".join(venue))
-            if (d := detector.observe(t, *venue, price, volume)) is not None:
+        detector = Detector(self.config, last=self.last.get()[0] if self.last.exists() else None)
+        for k, (provider, market, *signal) in self.signals.iterator():
+            detector.venues[k[0]] = Venue(provider, market, signal=tuple(signal))
+        known, found, t = set(detector.venues), [], None
+        none = lambda x: None if x is None or x != x else x
+        for t, provider, market, symbol, *moves in in_order(rows, "t", _names(SIGNAL_SCHEMA)[1:]):
+            detector.venues[f"{provider}/{market}/{symbol}"] = Venue(provider, market, signal=(t, *map(none, moves)))
+            if (d := detector.fired(t)) is not None:
                 found.append({"asset": key[0], **d})
-        for k in touched & detector.venues.keys():
-            self.venues.updateValue((k,), (json.dumps(asdict(detector.venues[k])),))
+        for k, v in detector.venues.items():
+            if t is not None and t - v.signal[0] > self.config.evidence:
+                if k in known:
+                    self.signals.removeKey((k,))
+            else:
+                self.signals.updateValue((k,), (v.provider, v.market, *v.signal))
         if found:
             self.last.update((detector.last,))
-        yield pd.DataFrame(found, columns=["asset", "ts", "triggers", "score", "providers"])
+        yield pd.DataFrame(found, columns=_names(DETECTION_SCHEMA))
 
     def close(self) -> None:
         pass
 
 
-def multi_venue(observations: DataFrame, config: DetectorConfig = DetectorConfig()) -> DataFrame:
-    """Detections of each asset over all its venues."""
-    return observations.groupBy("asset").transformWithStateInPandas(DetectorProcessor(config), outputStructType=DETECTION_SCHEMA, outputMode="Append", timeMode="None")
+def multi_venue(observations: DataFrame, config: DetectorConfig = DetectorConfig(), ttl: int = 86_400_000) -> DataFrame:
+    """Detections of each asset over all its venues, in two stages: a venue's signals, then the asset's evidence. The state of
+    a venue that falls silent goes after ``ttl`` milliseconds of the machine's clock; what counts in it is no older than the
+    retention, so choose a longer time than that and than the stream ever pauses."""
+    venues = observations.groupBy("asset", "provider", "market", "symbol")
+    found = venues.transformWithStateInPandas(VenueProcessor(config, ttl), outputStructType=SIGNAL_SCHEMA, outputMode="Append", timeMode="ProcessingTime")
+    return found.groupBy("asset").transformWithStateInPandas(AssetProcessor(config), outputStructType=DETECTION_SCHEMA, outputMode="Append", timeMode="ProcessingTime")
 
 
 def signals(observations: DataFrame, config: DetectorConfig = DetectorConfig()) -> DataFrame:
