@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidegauge.functions.scalars import ratio, wilson
-from tidegauge.operators.quantiles import percentiles_of, value_counts
+from tidegauge.operators.quantiles import LIMIT, percentiles_of, value_counts
+from tidegauge.operators.scratch import materialize
 
 
 def event_metrics(df: DataFrame, by: list[str], value: str = "net") -> DataFrame:
@@ -45,8 +46,10 @@ def path_metrics(trades: DataFrame, by: list[str], value: str = "net", ts: str =
     w = Window.partitionBy(*by, day).orderBy(ts, *ties)
     upto = w.rowsBetween(Window.unboundedPreceding, 0)
     lost = x < 0
-    ran = dated.withColumns({"_sum": F.sum(value).over(upto), "_gap": F.timestamp_diff("SECOND", F.lag(ts).over(w), F.col(ts)), "_block": F.sum(F.when(lost, 0).otherwise(1)).over(upto)})
-    ran = ran.withColumns({"_high": F.max("_sum").over(upto), "_run": F.sum(F.when(lost, 1).otherwise(0)).over(Window.partitionBy(*by, day, "_block").orderBy(ts, *ties).rowsBetween(Window.unboundedPreceding, 0))})
+    ran = dated.withColumns({"_sum": F.sum(value).over(upto), "_gap": F.timestamp_diff("SECOND", F.lag(ts).over(w), F.col(ts)), "_i": F.row_number().over(w), "_block": F.sum(F.when(lost, 0).otherwise(1)).over(upto)})
+    # losses since the last row that wasn't one
+    since = F.col("_i") - F.coalesce(F.max(F.when(lost, F.lit(None)).otherwise(F.col("_i"))).over(upto), F.lit(0))
+    ran = ran.withColumns({"_high": F.max("_sum").over(upto), "_run": since})
     last = F.struct(ts, *ties)
     days = ran.groupBy(*by, day).agg(
         F.count("*").alias("_n"), F.sum(value).alias("_total"), F.min("_sum").alias("_low"), F.max("_sum").alias("_top"), F.min(F.col("_sum") - F.col("_high")).alias("_inner"),
@@ -68,33 +71,44 @@ def path_metrics(trades: DataFrame, by: list[str], value: str = "net", ts: str =
     )
 
 
-def trade_metrics(trades: DataFrame, by: list[str], value: str = "net", ts: str = "ts", symbol: str = "symbol", ties: tuple[str, ...] = ("id", "net"), near: float = 0.1) -> DataFrame:
+SHARES = {"median": 0.5, "p05": 0.05, "p01": 0.01, "median_winner": 0.5, "median_loser": 0.5}
+
+
+def trade_metrics(trades: DataFrame, by: list[str], value: str = "net", ts: str = "ts", symbol: str = "symbol", ties: tuple[str, ...] = ("id", "net"), near: float = 0.1, limit: int = LIMIT) -> DataFrame:
     """The thirty metrics of each group of trades with columns value, ts, symbol, mae, mfe, concurrency and the ties.
 
     profit_factor is infinite without losses; worst_loss 0 without one; worst_loss_ratio null without winners; losers_near
-    is the share of losses of at most ``near`` average winners (1 without losses). Three scans of the trades: counts of
-    values, of which all that doesn't depend on the order follows; symbols; and the path.
+    is the share of losses of at most ``near`` average winners (1 without losses). The columns that count are written once
+    and read three times: sums by symbol, from which the groups' follow; percentiles, of counted values and by range where
+    a group has over ``limit`` trades; and the path.
     """
-    x, n = F.col(value), F.col("_n")
-    values = value_counts(trades, by, value)
-    count = lambda c: F.coalesce(F.sum(F.when(c, n)), F.lit(0))
-    total = lambda c: F.sum(F.when(c, x * n))
-    facts = values.groupBy(*by).agg(
-        F.sum(n).alias("n"), count(x > 0).alias("wins"), count(x < 0).alias("losses"), count(x == 0).alias("flats"), F.sum(x * n).alias("total"), total(x > 0).alias("_gain"), total(x < 0).alias("_loss"),
-        F.min(F.when(x < 0, x)).alias("_worst"),
-    )
-    facts = facts.withColumns({"avg_winner": F.try_divide("_gain", "wins"), "avg_loser": F.try_divide("_loss", "losses"), "worst_loss": F.coalesce("_worst", F.lit(0.0))})
-    close = values.where(x < 0).join(facts.select(*by, "avg_winner"), by).groupBy(*by).agg(count(-x <= F.lit(near) * F.col("avg_winner")).alias("_close"))
-    shares = {"median": 0.5, "p05": 0.05, "p01": 0.01, "median_winner": 0.5, "median_loser": 0.5}
-    points = percentiles_of(values, by, value, shares, {"median_winner": x > 0, "median_loser": x < 0})
-    per_symbol = trades.groupBy(*by, symbol).agg(
-        F.count("*").alias("_c"), F.min("mae").alias("mae"), F.max("mfe").alias("mfe"), F.max("concurrency").alias("max_concurrency"), F.sum("concurrency").alias("_conc"), F.count("concurrency").alias("_has")
-    )
-    symbols = per_symbol.groupBy(*by).agg(
-        F.count("*").alias("n_symbols"), F.max("_c").alias("most_of_one_symbol"), F.min("mae").alias("worst_mae"), F.max("mfe").alias("best_mfe"), F.max("max_concurrency").alias("max_concurrency"),
-        F.try_divide(F.sum("_conc"), F.sum("_has")).alias("avg_concurrency"),
+    x = F.col(value)
+    held = [*by, symbol, ts, value, *ties, "mae", "mfe", "concurrency"]
+    trades = materialize(trades.select(*dict.fromkeys(held)), "trades")
+    when = lambda c, v=None: F.count_if(c) if v is None else F.sum(F.when(c, v))
+    known = trades.where(x.isNotNull())
+    per_symbol = materialize(trades.groupBy(*by, symbol).agg(
+        F.count("*").alias("_c"), F.count(x).alias("n"), when(x > 0).alias("wins"), when(x < 0).alias("losses"), when(x == 0).alias("flats"), F.sum(x).alias("total"), when(x > 0, x).alias("_gain"), when(x < 0, x).alias("_loss"),
+        F.min(F.when(x < 0, x)).alias("_worst"), F.min("mae").alias("mae"), F.max("mfe").alias("mfe"), F.max("concurrency").alias("max_concurrency"), F.sum("concurrency").alias("_conc"), F.count("concurrency").alias("_has"),
+    ), "symbols")
+    sums = [F.sum(c).alias(c) for c in ("n", "wins", "losses", "flats", "total", "_gain", "_loss")]
+    facts = per_symbol.groupBy(*by).agg(
+        *sums, F.min("_worst").alias("_worst"), F.count("*").alias("n_symbols"), F.max("_c").alias("most_of_one_symbol"), F.min("mae").alias("worst_mae"), F.max("mfe").alias("best_mfe"),
+        F.max("max_concurrency").alias("max_concurrency"), F.try_divide(F.sum("_conc"), F.sum("_has")).alias("avg_concurrency"),
     )
-    out = facts.join(points, by).join(symbols, by).join(path_metrics(trades, by, value, ts, ties), by).join(close, by, "left")
+    facts = facts.where("n > 0").withColumns({"avg_winner": F.try_divide("_gain", "wins"), "avg_loser": F.try_divide("_loss", "losses"), "worst_loss": F.coalesce("_worst", F.lit(0.0))})
+    lost = -x <= F.lit(near) * F.col("avg_winner")
+    within = {"median_winner": x > 0, "median_loser": x < 0}
+    judged = known.join(facts.select(*by, "avg_winner"), by)
+    if (facts.agg(F.max("n")).first()[0] or 0) <= limit:
+        free = [k for k in SHARES if k not in within]
+        own = [F.percentile(F.when(c, x), F.lit(SHARES[k])).alias(k) for k, c in within.items()]
+        met = judged.groupBy(*by).agg(F.percentile(x, F.array(*(F.lit(SHARES[k]) for k in free))).alias("_q"), *own, F.count_if((x < 0) & lost).alias("_close"))
+        points = met.select(*by, *(F.col("_q")[k].alias(name) for k, name in enumerate(free)), *within, "_close")
+    else:
+        points = percentiles_of(value_counts(known, by, value), by, value, SHARES, within)
+        points = points.join(judged.groupBy(*by).agg(F.count_if((x < 0) & lost).alias("_close")), by)
+    out = facts.join(points, by).join(path_metrics(trades, by, value, ts, ties), by)
     low, high = wilson("wins", "n", 1.959963984540054)
     won = F.col("avg_winner") > 0
     return out.select(

@@ -72,3 +72,9 @@ def average(summary: str) -> Column:
 def deviation(summary: str) -> Column:
     """The sample deviation; null below two values."""
     return F.when(F.col(f"{summary}.n") > 1, F.sqrt(F.col(f"{summary}.m2") / (F.col(f"{summary}.n") - 1)))
+
+
+def zscore(column: str, summary: str, n: int) -> Column:
+    """(x - mean) / sample deviation, null unless the frame has n values and they vary."""
+    sd = deviation(summary)
+    return F.when((F.col(f"{summary}.n") == n) & (sd > 0), (F.col(column) - F.col(f"{summary}.mean")) / sd)

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidegauge.operators.scan import largest_group
 from tidegauge.operators.scratch import materialize
 
 #: Distinct values of a group up to which one task holds them for its percentiles.
@@ -73,5 +74,10 @@ def _placed_percentiles(values: DataFrame, by: list[str], value: str, points: di
 
 
 def percentiles(df: DataFrame, by: list[str], value: str, points: dict[str, float], limit: int = LIMIT) -> DataFrame:
-    """by and exact percentiles of the value's rows of each group; groups aren't null."""
-    return percentiles_of(value_counts(df, by, value), by, value, points, limit=limit)
+    """by and exact percentiles of the value's rows of each group; groups aren't null. A count of rows decides: where every
+    group has at most ``limit`` one aggregation does, else values are counted first, and beyond that dealt by range."""
+    solid = df.where(F.col(value).isNotNull())
+    if largest_group(solid, by) > limit:
+        return percentiles_of(value_counts(df, by, value), by, value, points, limit=limit)
+    found = solid.groupBy(*by).agg(F.percentile(value, F.array(*(F.lit(float(q)) for q in points.values()))).alias("_q"))
+    return found.select(*by, *(F.col("_q")[k].alias(name) for k, name in enumerate(points)))

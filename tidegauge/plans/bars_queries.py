@@ -9,6 +9,7 @@ from tidegauge.functions import scalars as S
 from tidegauge.functions import time as T
 from tidegauge.operators import bars as B
 from tidegauge.operators import features as W
+from tidegauge.operators import panes as PA
 from tidegauge.operators import quantiles as Q
 from tidegauge.plans.inputs import HOURLY, TICKS, bars_sql, hourly, read, rounded, ticks
 from tidegauge.plans.registry import query
@@ -148,7 +149,8 @@ def rolling_ratios(spark, sf_dir):
     f"""with {HOURLY} select venue, bucket, round(avg(quote_volume) over (partition by venue order by bucket range between interval 18 days preceding and interval 15 minutes preceding), 7) as trailing from bars""",
 )
 def trailing_average(spark, sf_dir):
-    return hourly(spark, sf_dir).select("venue", "bucket", F.round(W.trailing_average("quote_volume", ["venue"], "bucket", 18 * 86_400, 900), 7).alias("trailing"))
+    found = PA.over_time(hourly(spark, sf_dir), ["venue"], "bucket", "quote_volume", 18 * 86_400, 900, "s")
+    return found.select("venue", "bucket", F.round(PA.average("s"), 7).alias("trailing"))
 
 
 @query(
@@ -181,7 +183,8 @@ def guarded_returns(spark, sf_dir):
   from bars window w as (partition by venue order by bucket rows 95 preceding)""",
 )
 def zscores(spark, sf_dir):
-    return hourly(spark, sf_dir).select("venue", "bucket", F.round(W.zscore("volume", W.series(["venue"]), 96), 6).alias("z96"))
+    found = PA.over_rows(hourly(spark, sf_dir), ["venue"], ["bucket"], "volume", 96, "s")
+    return found.select("venue", "bucket", F.round(PA.zscore("volume", "s", 96), 6).alias("z96"))
 
 
 @query(
