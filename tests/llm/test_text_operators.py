@@ -38,7 +38,7 @@ def odd(spark):
     long = " ".join(f"w{i % 997}" for i in range(30_000))
     rows = [(1, None, None, None), (2, "", "en", "a"), (3, " \n\t ", "en", "a"), (4, long, "en", "a"), (5, long, None, "a"), (6, "same text here. again and again.", "en", "b"), (6, "same text here. again and again.", "en", "b"), (7, "x", "en", None)]
     schema = "doc_id long, text string, lang string, source string"
-    return spark.createDataFrame(rows, schema).withColumns({"kept": F.lit("k"), "n": F.lit(1), "component_id": F.lit(2), "_t": F.lit(0), "n_removed": F.lit("z"), "piece": F.lit(9)})
+    return spark.createDataFrame(rows, schema).withColumns({"kept": F.lit("k"), "n": F.lit(1), "component_id": F.lit(2), "_t": F.lit(0), "n_removed": F.lit("z"), "piece": F.lit(9), "_id": F.lit("i"), "_runs": F.lit(1), "_c": F.lit("c"), "_gone": F.lit(0), "_row": F.lit("r"), "a.b": F.lit(3)})
 
 
 @pytest.mark.parametrize("name", sorted(oracles.SQL))
@@ -73,6 +73,13 @@ def test_odd_and_empty_tables(spark, run):
 # ---- exact deduplication -------------------------------------------------------------------------------------------------
 
 
+def test_columns_of_any_name_keep_their_values(spark):
+    frame = odd(spark)
+    for out in (substring_dedup.substring_dedup(frame), exact_dedup.drop_copies(frame), minhash.drop_near_duplicates(frame)):
+        rows = out.select("_id", "_runs", "_c", "_gone", "_row", "`a.b`").distinct().collect()
+        assert [tuple(r) for r in rows] == [("i", 1, "c", 0, "r", 3)]
+
+
 def test_fingerprints_combine(spark):
     draw = random.Random(1)
     text = "".join(draw.choice("abc ") for _ in range(300_000)).strip()

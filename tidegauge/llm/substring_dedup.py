@@ -227,6 +227,7 @@ def substring_dedup(docs: DataFrame, span: int = SPAN, min_words: int = MIN_WORD
     found = spans(docs, span, min_words, Bloom.of(often, "a"))
     hits = found.join(often, ["a", "b"]).where("doc_id <> first").groupBy("doc_id").agg(F.collect_set("a").alias("_runs"))
     hits = materialize(hits.withColumnRenamed("doc_id", "_id"), "repeats")
+
     @F.pandas_udf("text string, n_sentences long, n_removed long")
     def cleaned(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         claim("runs", _release)
@@ -238,8 +239,10 @@ def substring_dedup(docs: DataFrame, span: int = SPAN, min_words: int = MIN_WORD
             yield pd.DataFrame(rows, columns=["text", "n_sentences", "n_removed"])
         settle()
 
-    base = docs.drop("n_sentences", "n_removed")
-    joined = base.join(hits, base["doc_id"] == hits["_id"], "left")
-    out = joined.withColumn("_c", cleaned(F.col("text").cast("string"), F.col("_runs")))
-    columns = [F.col("_c.text").alias(c) if c == "text" else F.col(f"`{c}`") for c in base.columns]
-    return out.select(*columns, F.col("_c.n_sentences").alias("n_sentences"), F.col("_c.n_removed").alias("n_removed"))
+    # a row travels as one column, so that no name of docs meets one of the operator's
+    columns = [c for c in docs.columns if c not in ("n_sentences", "n_removed")]
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in columns)).alias("_row"))
+    joined = rows.join(hits, F.col("_row.doc_id") == F.col("_id"), "left")
+    out = joined.select("_row", cleaned(F.col("_row.text").cast("string"), F.col("_runs")).alias("_c"))
+    kept = [F.col("_c.text").alias(c) if c == "text" else F.col("_row")[c].alias(c) for c in columns]
+    return out.select(*kept, F.col("_c.n_sentences").alias("n_sentences"), F.col("_c.n_removed").alias("n_removed"))
