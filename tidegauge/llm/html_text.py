@@ -26,6 +26,10 @@ HIDDEN = frozenset("script style noscript template head title svg math iframe ob
 RAW = frozenset("script style textarea title noscript iframe xmp noembed noframes".split())
 #: Elements that have no end tag.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+#: Elements that may stand in a head; any other start tag, and text, closes one that is open.
+IN_HEAD = frozenset("base basefont bgsound link meta noframes noscript script style template title".split())
+#: Elements below which a slash before the bracket closes a tag.
+FOREIGN = ("svg", "math")
 #: Elements inside a line of text; all others end a block.
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
 #: Start tags that close an open p.
@@ -143,6 +147,12 @@ class Open:
         if at >= 0 and not (self.walls and self.walls[-1] > at):
             self.close(at)
 
+    def in_head(self) -> bool:
+        return bool(self.tags) and self.tags[-1] == "head"
+
+    def foreign(self, tag: str) -> bool:
+        return tag in FOREIGN or any(t in self.places for t in FOREIGN)
+
     def block(self, text: str, linked: int) -> Block:
         return Block(frozenset(t for t in TAGS if t in self.places), frozenset(k for k, n in self.kinds.items() if n), text, min(linked, len(text)))
 
@@ -163,6 +173,8 @@ def blocks(page: str) -> list[Block]:
 
     while (m := MARKUP.search(page, at)) is not None:
         start = m.start()
+        if stack.in_head() and page[at:start].strip():
+            stack.close(stack.last("head"))
         if start > at and not stack.hidden:
             parts.append(page[at:start])
             linked += (start - at) * ("a" in stack.places)
@@ -175,7 +187,9 @@ def blocks(page: str) -> list[Block]:
         if m["end"]:
             stack.end(tag)
             continue
-        if tag in VOID or m["rest"].endswith("/"):
+        if "head" in stack.places and tag not in IN_HEAD:
+            stack.close(stack.last("head"))
+        if tag in VOID or (m["rest"].endswith("/") and stack.foreign(tag)):
             continue
         if tag in CLOSES_P:
             stack.imply(("p",))
@@ -185,6 +199,8 @@ def blocks(page: str) -> list[Block]:
             at = _end_of(tag).search(page, at).end()
             continue
         stack.push(tag, kinds(m["rest"]))
+    if stack.in_head() and page[at:].strip():
+        stack.close(stack.last("head"))
     if at < n and not stack.hidden:
         parts.append(page[at:])
     flush()
@@ -196,21 +212,26 @@ def _end_of(tag: str) -> re.Pattern[str]:
     return re.compile(rf"</{tag}\b[^>]*(?:>|\Z)|\Z", re.I)
 
 
-def features(block: Block, first: bool) -> list[str]:
-    """Names of the block's features, all of weight one."""
-    text, n = block.text, len(block.text)
-    out = [BIAS, f"len{min(8, n.bit_length())}", f"link{min(4, 4 * block.linked // n)}"]
-    out += [f"tag:{t}" for t in block.tags if t in _TAGS]
-    out += [f"kind:{k}" for k in block.kinds]
-    ends = text[-1]
-    out.append("stop" if ends in ".!?" else "nostop")
-    if "©" in text[:80] or "copyright" in text[:80].lower():
-        out.append("rights")
-    out.append(f"dots{min(4, sum(text.count(c) for c in '.!?,'))}")
-    if not (block.tags & _MAIN or "main" in block.kinds):
-        out.append("outside")
-    if first:
-        out.append("first")
+def features(page: list[Block]) -> list[list[str]]:
+    """Names of the features of each block of a page, all of weight one: its text, its ancestors, whether it lies outside of
+    what the page marks as its main part (or the page marks nothing), and its neighbours' share of links."""
+    marked = [bool(b.tags & _MAIN) or "main" in b.kinds for b in page]
+    outside = "outside" if any(marked) else "unmarked"
+    sizes = [min(8, len(b.text).bit_length()) for b in page]
+    shares = [min(4, 4 * b.linked // len(b.text)) for b in page]
+    out = []
+    for k, block in enumerate(page):
+        text = block.text
+        own = [BIAS, f"len{sizes[k]}", f"link{shares[k]}", "stop" if text[-1] in ".!?" else "nostop", f"dots{min(4, sum(text.count(c) for c in '.!?,'))}"]
+        own += [f"tag:{t}" for t in block.tags if t in _TAGS]
+        own += [f"kind:{x}" for x in block.kinds]
+        if "©" in text[:80] or "copyright" in text[:80].lower():
+            own.append("rights")
+        if not marked[k]:
+            own.append(outside)
+        for side, i in (("before", k - 1), ("after", k + 1)):
+            own.append(f"{side}:link{shares[i]}" if 0 <= i < len(page) else f"{side}:none")
+        out.append(own)
     return out
 
 
@@ -228,9 +249,9 @@ class Field:
 
     def scores(self, page: list[Block]) -> list[tuple[float, float]]:
         out = []
-        for k, block in enumerate(page):
+        for names in features(page):
             a = b = 0.0
-            for name in features(block, k == 0):
+            for name in names:
                 if name in self.weight:
                     x, y = self.weight[name]
                     a += x
@@ -256,10 +277,10 @@ class Field:
         return labels[::-1]
 
 
-def train(pages: list[tuple[list[Block], list[int]]], steps: int = 100, rate: float = 0.5, decay: float = 1e-3) -> Field:
+def train(pages: list[tuple[list[Block], list[int]]], steps: int = 200, rate: float = 0.5, decay: float = 1e-3) -> Field:
     """Gradient ascent (with AdaGrad steps) on the mean log-likelihood, by forward-backward over all pages at once."""
     pages = [(found, labels) for found, labels in pages if found]
-    named = [features(b, k == 0) for found, _ in pages for k, b in enumerate(found)]
+    named = [names for found, _ in pages for names in features(found)]
     names = sorted({f for fs in named for f in fs})
     at = {name: i for i, name in enumerate(names)}
     flat = np.array([at[f] for fs in named for f in fs])
@@ -319,7 +340,8 @@ def labelled_page(draw: random.Random) -> tuple[str, list[str]]:
         return f' {form}="{draw.choice(names)}{extra}"'
 
     def links() -> str:
-        return "<ul>" + "".join(f'<li><a href="/{i}">{sentence(0, 2, False)}</a></li>' for i in range(draw.randint(2, 7))) + "</ul>"
+        longest = draw.choice([2, 2, 8])
+        return "<ul>" + "".join(f'<li><a href="/{i}">{sentence(0, longest, False)}</a></li>' for i in range(draw.randint(1, 7))) + "</ul>"
 
     def other(kind: str) -> str:
         if kind == "menu":
@@ -350,8 +372,8 @@ def labelled_page(draw: random.Random) -> tuple[str, list[str]]:
         main.append(text + " © year" if draw.random() < 0.06 else text)
         return main[-1]
 
-    inner = [f"<h1>{own(2, 10, draw.random() < 0.4)}</h1>"]
-    for _ in range(draw.randint(1, 9)):
+    inner = [f"<h1>{own(2, 10, draw.random() < 0.4)}</h1>"] if draw.random() < 0.7 else []
+    for _ in range(draw.choice([1, draw.randint(1, 9)]) if inner or draw.random() < 0.5 else 0):
         kind = draw.random()
         if kind < 0.72:
             inner.append(draw.choice(["<p>{}</p>", "<p>{}", "<p><b>{}<br></p>", "<div>{}</div>"]).format(own(*draw.choice([(0, 2), (1, 80), (1, 80), (1, 80)]), draw.random() < 0.8)))
@@ -365,13 +387,25 @@ def labelled_page(draw: random.Random) -> tuple[str, list[str]]:
             inner.append(f"<table><tr><td>{own(1, 4, False)}</td><td>{own(1, 4, False)}</td></tr></table>")
         else:
             inner.append(other(draw.choice(["advert", "notice", "side", "form"])))
-    if draw.random() < 0.15:
-        inner.append(other("comment"))
-    tag, name = draw.choice([("article", ""), ("article", named("main")), ("main", ""), ("div", named("main")), ("section", named("main"))])
+    if not main:  # one paragraph and nothing else
+        inner.append(draw.choice(["<p>{}</p>", "<p>{}", "{}"]).format(own(5, 120)))
+    if draw.random() < 0.4:
+        inner.append(other(draw.choice(["comment", "comment", "side", "side", "notice", "advert"])))
+    strange = f' {draw.choice(["class", "id"])}="{"".join(draw.choice("bcdfgkmpvz") for _ in range(6))}"'
+    marked = [("article", ""), ("article", named("main")), ("article", strange), ("main", ""), ("div", named("main")), ("section", named("main"))]
+    tag, name = draw.choice([*marked, ("div", ""), ("div", strange), ("section", "")])
+    wraps = draw.choice([0, 0, 1, 3]) * draw.choice(["<div>", f"<div{strange}>"])
+    inner.insert(0, wraps)
+    inner.append("</div>" * wraps.count("<div"))
+    stray = (tag, name) in marked
     before = [other(k) for k in ("notice", "head", "menu", "advert", "side", "form") if draw.random() < 0.5]
     after = [other(k) for k in ("comment", "side", "advert", "form", "menu", "notice", "foot") if draw.random() < 0.5]
+    if stray and draw.random() < 0.3:  # beside a marked part, text without a mark isn't of it
+        draw.choice([before, after]).append(draw.choice(["<div>{}</div>", "<p>{}</p>", f"<div{strange[:-1]}x\"><p>{{}}</p></div>"]).format(sentence(2, 30, draw.random() < 0.7)))
     draw.shuffle(before)
-    page = f"<html><head><title>{sentence(1, 4)}</title><style>p{{}}</style></head><body>{''.join(before)}<{tag}{name}>{''.join(inner)}</{tag}>{''.join(after)}"
+    head = f"<title>{sentence(1, 4)}</title><style>p{{}}</style>"
+    top = draw.choice([f"<html><head>{head}</head><body>", f"<html><head>{head}</head><body>", f"<head>{head}<body>", f"<head>{head}", head])
+    page = f"{top}{''.join(before)}<{tag}{name}>{''.join(inner)}</{tag}>{''.join(after)}"
     return page + draw.choice(["</body></html>", ""]), main
 
 
@@ -386,7 +420,7 @@ def training_pages(count: int, seed: int) -> list[tuple[list[Block], list[int]]]
 
 
 #: Pages that the field is trained on, and their seed.
-PAGES, SEED = 600, 11
+PAGES, SEED = 1200, 11
 
 
 @cache
