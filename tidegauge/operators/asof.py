@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidegauge.functions.time import floor_to, seconds_between, shift
+from tidegauge.functions.time import ORIGIN, seconds_between
 from tidegauge.operators import scan
 
 
@@ -67,23 +69,47 @@ def in_force(states: DataFrame, by: list[str], ts: str = "ts", tie: str = "id")
     return states.withColumns({"from_ts": F.col(ts), "to_ts": F.lead(ts).over(w)})
 
 
+#: Cells of a span up to which each is listed.
+SHORT = 4
+
+
+def _dyadic(first: Column, last: Column) -> Column:
+    """The cells first to last as (level, cell) of aligned runs of 2**level cells, two a level at most; short spans cell by cell."""
+    begins = lambda k: F.ceil(first / F.pow(F.lit(2.0), k)).cast("long")
+    ends = lambda k: F.floor((last + 1) / F.pow(F.lit(2.0), k)).cast("long")
+    run = lambda k, cell: F.struct(k.cast("int").alias("level"), cell.alias("cell"))
+    odd = lambda n: F.pmod(n, F.lit(2)) == 1
+    highest = F.ceil(F.log2((last - first + 2).cast("double"))).cast("int")
+    levels = F.sequence(F.lit(0), highest)
+    left = F.transform(levels, lambda k: F.when((begins(k) < ends(k)) & odd(begins(k)), run(k, begins(k))))
+    right = F.transform(levels, lambda k: F.when((begins(k) < ends(k)) & odd(ends(k)), run(k, ends(k) - 1)))
+    each = F.transform(F.sequence(first, last), lambda c: run(F.lit(0), c))
+    return F.when(last - first < SHORT, each).otherwise(F.array_compact(F.concat(left, right)))
+
+
 def interval_join(points: DataFrame, spans: DataFrame, by: list[str], cell: int, ts: str = "ts", start: str = "start", end: str = "end", how: str = "inner", closed: bool = True) -> DataFrame:
-    """Points within spans of their key: [start, end], or [start, end) unless closed.
+    """Points within spans of their key: [start, end], or [start, end) unless closed. Spans that end before they start hold
+    none.
 
-    Spans are listed once for each time cell of ``cell`` seconds they touch and points carry theirs, so that the join is
-    an equi-join on (key, cell) and each pair is made once. Choose a cell about as long as a span.
+    An equi-join on (key, level, cell) that makes each pair once. A span of up to SHORT cells of ``cell`` seconds is listed
+    once for each; a longer one as runs of 2**level cells, of which there are two a level at most, so spans of seconds and
+    of years stand side by side. A point is listed once for each level that occurs.
     """
-    cells = F.sequence(F.lit(0).cast("long"), F.floor(seconds_between(floor_to(start, cell), end) / cell))
-    listed = spans.withColumn("_cell", F.explode(F.transform(cells, lambda i: shift(floor_to(start, cell), i * cell))))
-    placed = points.withColumn("_cell", floor_to(ts, cell))
+    number = lambda c: F.floor(seconds_between(F.expr(ORIGIN), c) / cell)
+    sound = spans.where(F.col(end) >= F.col(start))
+    longest = sound.agg(F.max(number(end) - number(start) + 1)).first()[0] or 0
+    listed = sound.withColumn("_run", F.explode(_dyadic(number(start), number(end))))
+    top = 0 if longest <= SHORT else math.ceil(math.log2(longest + 1))
+    levels = F.array(*(F.lit(k) for k in range(top + 1)))
+    runs = F.transform(levels, lambda k: F.struct(k.alias("level"), F.floor(number(ts) / F.pow(F.lit(2.0), k)).cast("long").alias("cell")))
+    placed = points.withColumn("_run", F.explode(runs))
     inside = (F.col(ts) >= F.col(start)) & (F.col(ts) <= F.col(end) if closed else F.col(ts) < F.col(end))
-    keys = [*by, "_cell"]
-    condition = inside
     p, s = placed.alias("p"), listed.alias("s")
-    for k in keys:
+    condition = (F.col("p._run.level") == F.col("s._run.level")) & (F.col("p._run.cell") == F.col("s._run.cell")) & inside
+    for k in by:
         condition = (F.col(f"p.{k}") == F.col(f"s.{k}")) & condition
     out = p.join(s, condition, how)
-    return out.select("p.*", *(f"s.{c}" for c in spans.columns if c not in by)).drop("_cell")
+    return out.select("p.*", *(f"s.{c}" for c in spans.columns if c not in by)).drop("_run")
 
 
 def month_lookup(facts: DataFrame, monthly: DataFrame, by: list[str], ts: str = "ts", month: str = "month") -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql.types import DoubleType
 
 from tidegauge.operators.metrics import z_of
 from tidegauge.operators.quantiles import percentiles, places
+from tidegauge.operators.scratch import materialize
 
 
 @dataclass(frozen=True)
@@ -89,6 +90,74 @@ def other_entities(events: DataFrame, outcomes: DataFrame, entity: str, ts: str)
     return events.join(others, ts).where(F.col(entity) != F.col("target"))
 
 
+#: Sums of a set of outcomes from which the metrics of the returns in either direction follow; ``up`` and ``down`` are those in
+#: which a position of that direction wins after cost.
+_SUMS = ("rows", "n", "s", "q", "up_n", "up_s", "down_n", "down_s")
+
+
+def peer_sums(events: DataFrame, outcomes: DataFrame, entity: str, ts: str, cost: float) -> DataFrame:
+    """Events with the sums over the outcomes of all other entities at their time, once for each horizon: those of the whole
+    cross-section less the entity's own. Nothing is listed by pairs, so the rows are events times horizons whatever the
+    width of the panel. ``least`` and ``most`` are taken from the two extremes of different entities. Events without an
+    outcome of another entity are left out."""
+    x = F.col("gross")
+    net = {"up": x - F.lit(cost), "down": -x - F.lit(cost)}
+    won = {k: F.count_if(v > 0).alias(f"{k}_n") for k, v in net.items()} | {f"{k}s": F.coalesce(F.sum(F.when(v > 0, v)), F.lit(0.0)).alias(f"{k}_s") for k, v in net.items()}
+    own = outcomes.groupBy(entity, ts, "horizon").agg(
+        F.count("*").alias("rows"), F.count(x).alias("n"), F.coalesce(F.sum(x), F.lit(0.0)).alias("s"), F.coalesce(F.sum(x * x), F.lit(0.0)).alias("q"), *won.values(), F.min(x).alias("least"), F.max(x).alias("most"),
+    )
+    own = materialize(own, "peers")
+    ends = own.groupBy(ts, "horizon").agg(*(F.sum(c).alias(f"_{c}") for c in _SUMS), F.min(F.struct("least", entity)).alias("_low"), F.max(F.struct("most", entity)).alias("_high"))
+    # the extremes of the entities other than the one that has them
+    second = own.where("n > 0").join(own.where("n > 0").groupBy(ts, "horizon").agg(F.min(F.struct("least", entity)).alias("_low"), F.max(F.struct("most", entity)).alias("_high")), [ts, "horizon"])
+    apart = lambda end: F.col(entity) != F.col(f"{end}.{entity}")
+    second = second.groupBy(ts, "horizon").agg(F.min(F.struct("least", entity)).alias("_low"), F.max(F.struct("most", entity)).alias("_high"), F.min(F.when(apart("_low"), F.col("least"))).alias("_low2"), F.max(F.when(apart("_high"), F.col("most"))).alias("_high2"))
+    whole = ends.drop("_low", "_high").join(second, [ts, "horizon"], "left")
+    mine = own.select(F.col(entity).alias("_e"), F.col(ts).alias("_t"), F.col("horizon").alias("_h"), *(F.col(c).alias(f"o_{c}") for c in _SUMS))
+    met = events.join(whole, ts).join(mine, (F.col(entity) == F.col("_e")) & (F.col(ts) == F.col("_t")) & (F.col("horizon") == F.col("_h")), "left")
+    sums = [(F.col(f"_{c}") - F.coalesce(f"o_{c}", F.lit(0))).alias(c) for c in _SUMS]
+    other = lambda end, two: F.when(F.col(f"{end}.{entity}") == F.col(entity), F.col(two)).otherwise(F.col(f"{end}.{'least' if end == '_low' else 'most'}"))
+    return met.select(*events.columns, "horizon", *sums, other("_low", "_low2").alias("least"), other("_high", "_high2").alias("most")).where("rows > 0")
+
+
+def peers_scored(events: DataFrame, config: ScreenConfig) -> DataFrame:
+    """``peer_sums`` with the direction learned on discovery, and of the net returns in it n, the sum ``net``, the sum of
+    squares, wins, their sum and the worst."""
+    direction = events.where("phase = 'discovery'").groupBy(*TEST).agg((F.sum("s") / F.sum("n")).alias("_m"), F.sum("rows").alias("_n"))
+    direction = direction.where(F.col("_n") >= config.min_discovery).select(*TEST, F.signum("_m").cast("int").alias("direction"))
+    d, cost, n = F.col("direction"), F.lit(config.cost), F.col("n")
+    pick = lambda up, down, none: F.when(d > 0, up).when(d < 0, down).otherwise(none)
+    zero = F.lit(0.0)
+    return events.join(direction, TEST).withColumns({
+        "net": d * F.col("s") - cost * n, "squares": d * d * F.col("q") - 2 * cost * d * F.col("s") + cost * cost * n, "wins": pick(F.col("up_n"), F.col("down_n"), F.lit(0 if config.cost >= 0 else 1) * n),
+        "gain": pick(F.col("up_s"), F.col("down_s"), zero if config.cost >= 0 else -cost * n), "worst": pick(F.col("least") - cost, -F.col("most") - cost, -cost),
+    })
+
+
+def peer_screen(features: DataFrame, outcomes: DataFrame, config: ScreenConfig, entity: str, ts: str) -> DataFrame:
+    """``tail_screen`` of tail events against the outcomes of all other entities at their time, from sums."""
+    events = tail_events(features, thresholds(features, config.quantiles))
+    net = peers_scored(peer_sums(events, outcomes, entity, ts, config.cost), config)
+    by_phase = {}
+    for phase in ("discovery", "validation"):
+        own = lambda c: F.when(F.col("phase") == phase, F.col(c))  # noqa: B023, E731
+        n, s = F.sum(own("n")), F.sum(own("net"))
+        spread = F.greatest(F.sum(own("squares")) - s * s / n, F.lit(0.0))
+        by_phase |= {
+            f"n_{phase}": F.coalesce(n, F.lit(0)), f"mean_{phase}": F.try_divide(s, n), f"hit_{phase}": F.try_divide(F.sum(own("wins")), n), f"worst_{phase}": F.min(F.when(F.col("n") > 0, own("worst"))),
+            f"winner_{phase}": F.try_divide(F.sum(own("gain")), F.sum(own("wins"))), f"sd_{phase}": F.when(n > 1, F.sqrt(spread / (n - 1))),
+        }
+    tests = net.groupBy(*TEST, "direction").agg(*(c.alias(k) for k, c in by_phase.items()))
+    return judged(tests.withColumn("z", z_of("mean_validation", "sd_validation", "n_validation")), config)
+
+
+def peer_cluster_means(events: DataFrame, by: list[str], cluster: list[str]) -> DataFrame:
+    """Mean, sample deviation, number and z of the means of clusters of ``peers_scored`` events."""
+    means = events.groupBy(*by, *cluster).agg(F.sum("n").alias("_n"), F.sum("net").alias("_s")).where("_n > 0").withColumn("_m", F.col("_s") / F.col("_n"))
+    out = means.groupBy(*by).agg(F.avg("_m").alias("mean"), F.stddev_samp("_m").alias("sd"), F.count("*").alias("clusters"))
+    return out.withColumn("z", z_of("mean", "sd", "clusters"))
+
+
 def scored(events: DataFrame, config: ScreenConfig) -> DataFrame:
     """Events with the direction learned on discovery and the net return in it."""
     direction = events.where("phase = 'discovery'").groupBy(*TEST).agg(F.avg("gross").alias("_m"), F.count("*").alias("_n"))
@@ -125,6 +194,11 @@ def tail_screen(features: DataFrame, outcomes: DataFrame, config: ScreenConfig,
         tests = tests.join(inference, TEST, "left").withColumn("z", z_of("_mean", "_sd", "clusters")).drop("_mean", "_sd")
     else:
         tests = tests.withColumn("z", z_of("mean_validation", "sd_validation", "n_validation"))
+    return judged(tests, config)
+
+
+def judged(tests: DataFrame, config: ScreenConfig) -> DataFrame:
+    """Tests with both phases' metrics and z, and whether validation passes."""
     ratio = F.when(F.col("worst_validation") >= 0, 0.0).otherwise(F.try_divide(-F.col("worst_validation"), F.col("winner_validation")))
     passes = (F.col("mean_validation") > 0) & (F.col("n_validation") >= config.min_validation) & (F.col("hit_validation") >= config.min_hit)
     if config.max_worst_loss_ratio is not None:
@@ -246,10 +320,10 @@ def preholdout(
     placebo = placebo.groupBy("candidate_id", "seed").agg(*(own(p, F.col("direction") * F.col("gross") - cost).alias(f"_{p}") for p in phases))
     placebo = placebo.groupBy("candidate_id").agg(*(F.max(f"_{p}").alias(f"placebo_{p}") for p in phases))
     # a few other entities for each candidate: a table of candidates x entities
-    others = outcomes.select(F.col(entity).alias("_alt")).distinct().join(F.broadcast(candidates.select("candidate_id")))
+    others = outcomes.select(F.col(entity).alias("_alt")).distinct().crossJoin(candidates.select("candidate_id"))
     rank = F.row_number().over(Window.partitionBy("candidate_id").orderBy(F.md5(F.concat_ws("|", "candidate_id", F.col("_alt").cast("string"))), "_alt"))
     chosen = others.withColumn("_k", rank).where(F.col("_k") <= alternates).select("candidate_id", "_alt")
-    moved = events.select("candidate_id", entity, ts, "horizon", "direction", "phase").join(F.broadcast(chosen), "candidate_id").where(F.col(entity) != F.col("_alt"))
+    moved = events.select("candidate_id", entity, ts, "horizon", "direction", "phase").join(chosen, "candidate_id").where(F.col(entity) != F.col("_alt"))
     moved = moved.join(outcomes.select(F.col(entity).alias("_alt"), ts, "horizon", "gross"), ["_alt", ts, "horizon"])
     moved = moved.groupBy("candidate_id", "_alt").agg(*(own(p, F.col("direction") * F.col("gross") - cost).alias(f"_{p}") for p in phases))
     moved = moved.groupBy("candidate_id").agg(*(F.max(f"_{p}").alias(f"other_target_{p}") for p in phases))

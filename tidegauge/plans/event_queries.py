@@ -34,13 +34,13 @@ def cooldown(spark, sf_dir):
     return E.cooldown(ticks(spark, sf_dir).where("price >= 60"), ["entity"], 120 * 3600).select("id", "entity", "ts")
 
 
-@query("E5_non_overlap", f"""with recursive {TICKS}, s as (select *, ts + to_hours(cast(size as int)) as exit_ts from ticks where venue = 'purchase'),
-f as (select entity, min(ts) as ts, arg_min(exit_ts, ts) as exit_ts from s group by 1 union all
-  select f.entity, n.ts, n.exit_ts from f, lateral (select min(s.ts) as ts, arg_min(s.exit_ts, s.ts) as exit_ts from s where s.entity = f.entity and s.ts >= f.exit_ts and s.ts > f.ts) n where n.ts is not null)
-select s.id, s.entity, s.ts, s.exit_ts from s join f on f.entity = s.entity and f.ts = s.ts""")
+@query("E5_non_overlap", f"""with recursive {TICKS}, s as (select *, entity || '/' || venue as key, ts + to_hours(cast(size as int)) as exit_ts from ticks),
+f as (select key, min(ts) as ts, arg_min(exit_ts, ts) as exit_ts from s group by 1 union all
+  select f.key, n.ts, n.exit_ts from f, lateral (select min(s.ts) as ts, arg_min(s.exit_ts, s.ts) as exit_ts from s where s.key = f.key and s.ts >= f.exit_ts and s.ts > f.ts) n where n.ts is not null)
+select s.id, s.entity, s.venue, s.ts, s.exit_ts from s join f on f.key = s.key and f.ts = s.ts""")
 def non_overlap(spark, sf_dir):
-    t = ticks(spark, sf_dir).where("venue = 'purchase'").withColumn("exit_ts", F.timestamp_add("HOUR", F.col("size").cast("int"), F.col("ts")))
-    return E.greedy(t, ["entity"], "ts", F.col("exit_ts"), "id").select("id", "entity", "ts", "exit_ts")
+    t = ticks(spark, sf_dir).withColumn("exit_ts", F.timestamp_add("HOUR", F.col("size").cast("int"), F.col("ts")))
+    return E.greedy(t, ["entity", "venue"], "ts", F.col("exit_ts"), "id").select("id", "entity", "venue", "ts", "exit_ts")
 
 
 RISE = f"""with recursive {HOURLY}, b as (select venue as entity, cast(bucket as date) as d, venue || '/' || cast(bucket as date) as key, bucket as ts, close, close / nullif(first_value(open) over (partition by venue, cast(bucket as date) order by bucket), 0) - 1 as from_open,

@@ -83,8 +83,7 @@ CROSS = PANEL_SQL.replace(
 @query("D1_cross_asset_screen", f"with {CROSS} select feature_key, quantile, tail, horizon, direction, n_discovery, n_validation, round(mean_validation, 6) as mean_validation, round(z, 6) as z, passes from judged")
 def cross_asset_screen(spark, sf_dir):
     features, outcomes = panel(spark, sf_dir)
-    events = D.tail_events(features, D.thresholds(features, CONFIG.quantiles))
-    out = D.tail_screen(features, outcomes, CONFIG, ["bucket"], events=D.other_entities(events, outcomes, "venue", "bucket"))
+    out = D.peer_screen(features, outcomes, CONFIG, "venue", "bucket")
     return rounded(out.select("feature_key", "quantile", "tail", "horizon", "direction", "n_discovery", "n_validation", "mean_validation", "z", "passes"), 6, "mean_validation", "z")
 
 
@@ -122,8 +121,8 @@ select feature_key, quantile, tail, horizon, round(avg(m), 6) as mean, round(std
 def cluster_recompute(spark, sf_dir):
     features, outcomes = panel(spark, sf_dir)
     events = D.tail_events(features, D.thresholds(features, CONFIG.quantiles))
-    events = D.scored(D.other_entities(events, outcomes, "venue", "bucket"), CONFIG)
-    out = M.cluster_means(events.where("phase = 'validation'").withColumn("day", F.to_date("bucket")), D.TEST, ["venue", "day"], "net")
+    events = D.peers_scored(D.peer_sums(events, outcomes, "venue", "bucket", CONFIG.cost), CONFIG)
+    out = D.peer_cluster_means(events.where("phase = 'validation'").withColumn("day", F.to_date("bucket")), D.TEST, ["venue", "day"])
     return rounded(out.drop("z"), 6, "mean", "sd")
 
 

@@ -12,6 +12,7 @@ from tidegauge.operators.scratch import materialize, scratch_path
 from tidegauge.plans.inputs import TICKS, read, ticks
 from tidegauge.plans.join_queries import trades
 from tidegauge.plans.registry import query
+from tidegauge.sources import archives as A
 from tidegauge.sources import readers as S
 
 
@@ -41,16 +42,43 @@ def kline_lines(spark, sf_dir):
     return S.klines(t.select("id", line.alias("line")), keep=["id"]).select("id", "ts", "open", "high", "low", "close", "volume", "trades")
 
 
+@query(
+    "S2_kline_archives",
+    f"with {TICKS} select venue, ts, price as open, price + 1 as high, price as close, size as volume, cast(size as bigint) as trades from ticks",
+)
+def kline_archives(spark, sf_dir):
+    """Klines in a zip file for each venue with a member for each month, written by tasks and read by the data source."""
+    path = f"{scratch_path(spark, 'archives')}/zips"
+    p, text = F.col("price"), lambda c: c.cast("string")
+    values = [micros(), p, p + 1, p, p, F.col("size"), micros(), F.lit(0.0), F.col("size").cast("long"), F.lit(0.0), F.lit(0.0), F.lit(0)]
+    A.write_zips(ticks(spark, sf_dir).select("venue", F.date_format("ts", "yyyy-MM").alias("month"), "id", F.concat_ws(",", *map(text, values)).alias("line")), path, "venue", "month", ["id"])
+    found = S.klines(A.zip_lines(spark, path), keep=["path"])
+    return found.select(F.regexp_extract("path", "([^/]*)[.]zip$", 1).alias("venue"), "ts", "open", "high", "close", "volume", "trades")
+
+
+@query("S3_mark_archives", "select o_orderpriority as priority, o_orderkey, o_orderdate as ts, o_totalprice as mark from orders")
+def mark_archives(spark, sf_dir):
+    """Archives of which some begin with a header, in an order of its own, and some have none."""
+    path = f"{scratch_path(spark, 'marks')}/zips"
+    epoch = F.unix_micros(F.col("o_orderdate").cast("timestamp")).cast("string")
+    rows = read(spark, sf_dir, "orders").select(F.substring("o_orderpriority", 1, 1).alias("archive"), F.col("o_orderpriority").alias("member"), "o_orderkey", F.col("o_orderkey").cast("string").alias("k"), epoch.alias("t"), F.col("o_totalprice").cast("string").alias("m"))
+    headed = F.col("archive") > "2"
+    lines = rows.select("archive", "member", "o_orderkey", F.when(headed, F.concat_ws(",", "m", "k", "t")).otherwise(F.concat_ws(",", "k", "t", "m")).alias("line"))
+    heads = rows.where(headed).select("archive", "member").distinct().select("archive", "member", F.lit(-1).cast("long").alias("o_orderkey"), F.lit("Mark_Price,O_OrderKey,calc_time").alias("line"))
+    A.write_zips(lines.unionByName(heads), path, "archive", "member", ["o_orderkey"])
+    found = A.fields(A.zip_lines(spark, path), ["o_orderkey", "ts", "mark"], {"ts": ["calc_time"], "mark": ["mark_price"]})
+    return found.select(F.col("member").alias("priority"), F.col("o_orderkey").cast("long").alias("o_orderkey"), T.from_epoch("ts").alias("ts"), F.col("mark").cast("double").alias("mark"))
+
+
 @query("S3_funding_aliases", "select o_orderkey, o_orderdate as ts, o_totalprice as rate from orders")
 def funding_aliases(spark, sf_dir):
     raw = read(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderdate").alias("calc_time"), F.col("o_totalprice").alias("last_funding_rate"), "o_orderstatus")
     return S.resolve_columns(raw, {"o_orderkey": [], **S.FUNDING})
 
 
-@query("S4_book_ticker", f"with {TICKS} select id as update_id, price as bid, size as bid_size, price + 1 as ask, size as ask_size, ts from ticks where venue = 'view'")
+@query("S4_book_ticker", f"with {TICKS} select id as update_id, price as bid, size as bid_size, price + 1 as ask, size as ask_size, ts from ticks")
 def book_ticker(spark, sf_dir):
-    t = ticks(spark, sf_dir).where("venue = 'view'")
-    raw = t.select("id", "price", "size", F.col("price") + 1, F.col("size").alias("s2"), "ts")
+    raw = ticks(spark, sf_dir).select("id", "price", "size", F.col("price") + 1, F.col("size").alias("s2"), "ts")
     return S.resolve_columns(S.named_by_position(raw, ["update_id", "best_bid_price", "best_bid_qty", "best_ask_price", "best_ask_qty", "transaction_time"]), S.BOOK_TICKER)
 
 

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from tidegauge.operators.asof import interval_join
 from tidegauge.operators.quantiles import places
 
 BOOK_SCHEMA = "book string, ts timestamp, bid double, ask double, bid_depth double, ask_depth double, imbalance double, microprice double, spread_bps double"
@@ -319,7 +320,10 @@ def signals(observations: DataFrame, config: DetectorConfig = DetectorConfig())
     micros = F.round(F.col("t") * 1_000_000).cast("long")
     solid = observations.where("price > 0").withColumn("_t", micros)
     w = Window.partitionBy(*venue).orderBy("_t")
-    old = {s: F.max_by(F.struct("_t", "price", "volume"), F.struct("_t", "id")).over(w.rangeBetween(-config.retention * 1_000_000, -s * 1_000_000)) for s in {*config.windows, 2 * config.base}}
+    # frames that only grow: the last observation at least so long ago, if it is within the retention
+    latest = lambda s: F.max_by(F.struct("_t", "price", "volume"), F.struct("_t", "id")).over(w.rangeBetween(Window.unboundedPreceding, -s * 1_000_000))
+    held = lambda o: F.when(F.col("_t") - o["_t"] <= config.retention * 1_000_000, o)
+    old = {s: held(latest(s)) for s in {*config.windows, 2 * config.base}}
     at = solid.withColumns({f"_o{s}": c for s, c in old.items()})
     move = lambda s: F.when(F.col("_t") - F.col(f"_o{s}._t") <= int(1.25 * s * 1_000_000), 100 * (F.col("price") / F.col(f"_o{s}.price") - 1))
     a, b = F.col(f"_o{config.base}.volume"), F.col(f"_o{2 * config.base}.volume")
@@ -332,41 +336,41 @@ def signals(observations: DataFrame, config: DetectorConfig = DetectorConfig())
 
 def batch_detections(observations: DataFrame, config: DetectorConfig = DetectorConfig()) -> DataFrame:
     """The detector over a table: asset, t, id, triggers, score and providers of every observation that fires, before the
-    cooldown. Each signal meets its asset's signals of the last ``evidence`` seconds, of each venue the last."""
+    cooldown. A venue's signal holds from its own place to that of the venue's next one, for ``evidence`` seconds at most;
+    each signal meets those of its asset that hold at its place, so a row a live venue, and is judged by one aggregation."""
     c, s = config, signals(observations, config)
-    row = F.struct("_t", "id", "provider", "market", "symbol", "fast", "base", "slow", "growth")
-    recent = Window.partitionBy("asset").orderBy("_t").rangeBetween(-c.evidence * 1_000_000, 0)
-    # the rows of an asset within the evidence's seconds; those of its own time count up to its own place
-    near = F.filter(F.collect_list(row).over(recent), lambda x: (x["_t"] < F.col("_t")) | (x["id"] <= F.col("id")))
-    later = lambda x, y: (y["_t"] > x["_t"]) | ((y["_t"] == x["_t"]) & (y["id"] > x["id"]))
-    same = lambda x, y: (x["provider"] == y["provider"]) & (x["market"] == y["market"]) & (x["symbol"] == y["symbol"])
-    last = F.filter(F.col("_near"), lambda x: ~F.exists(F.col("_near"), lambda y: same(x, y) & later(x, y)))
-    live, yes = F.col("_live"), lambda x: F.coalesce(x, F.lit(False))
-    some = lambda f: F.exists(live, lambda x: yes(f(x)))
-    lead = lambda x: F.when(F.coalesce(x["base"], F.lit(0.0)) != 0, x["base"]).otherwise(F.nullif(x["fast"], F.lit(0.0)))
-    providers = lambda f: F.size(F.array_distinct(F.transform(F.filter(live, lambda x: yes(f(x))), lambda x: x["provider"])))
-    risen = providers(lambda x: yes(x["base"] >= c.confirmed) | yes(x["fast"] >= 0.6 * c.confirmed) | yes(x["slow"] >= 1.75 * c.confirmed))
-    top = lambda spot: F.array_max(F.transform(F.filter(live, lambda x: (x["market"] == "spot") == F.lit(spot)), lead))
-    led = yes(top(False) >= c.derivative_limit) & yes(top(True) >= c.spot_limit)
+    venue = Window.partitionBy("asset", "provider", "market", "symbol").orderBy("_t", "id")
+    at = F.timestamp_micros("_t").cast("timestamp_ntz")
+    held = s.withColumns({"start": at, "_next": F.lead(F.struct("_t", "id")).over(venue)})
+    until = F.timestamp_add("SECOND", F.lit(c.evidence), F.col("start"))
+    held = held.withColumn("end", F.least(until, F.coalesce(F.timestamp_micros("_next._t").cast("timestamp_ntz"), until)))
+    held = held.select("asset", "start", "end", "_next", F.struct("_t", "id").alias("_from"), *(F.col(x).alias(f"v_{x}") for x in ("provider", "market", "fast", "base", "slow", "growth")))
+    points = s.select("asset", "t", "id", F.struct("_t", "id").alias("_at"), at.alias("ts"))
+    met = interval_join(points, held, ["asset"], max(1, c.evidence))
+    live = met.where((F.col("_from") <= F.col("_at")) & (F.col("_next").isNull() | (F.col("_at") < F.col("_next"))))
+    fast, base, slow, growth = (F.col(f"v_{x}") for x in ("fast", "base", "slow", "growth"))
+    some = lambda x: F.coalesce(F.bool_or(F.coalesce(x, F.lit(False))), F.lit(False))
+    zero = lambda x: F.coalesce(x, F.lit(0.0))
+    lead = F.when(zero(base) != 0, base).otherwise(F.nullif(fast, F.lit(0.0)))
+    best = F.greatest(fast, base, slow)
+    providers = lambda x: F.size(F.collect_set(F.when(F.coalesce(x, F.lit(False)), F.col("v_provider"))))
+    yes = lambda x: F.coalesce(x, F.lit(False))
+    spot = F.col("v_market") == "spot"
     hits = {
-        "fast": some(lambda x: x["fast"] >= c.fast_limit),
-        "base": some(lambda x: x["base"] >= c.base_limit),
-        "slow": some(lambda x: x["slow"] >= c.slow_limit),
-        "cross_venue": risen >= c.providers,
-        "derivative_led": led,
-        "volume": some(lambda x: (lead(x) >= c.volume_move) & (x["growth"] >= c.volume_limit)),
+        "fast": some(fast >= c.fast_limit),
+        "base": some(base >= c.base_limit),
+        "slow": some(slow >= c.slow_limit),
+        "cross_venue": providers(yes(base >= c.confirmed) | yes(fast >= 0.6 * c.confirmed) | yes(slow >= 1.75 * c.confirmed)) >= c.providers,
+        "derivative_led": yes(F.max(F.when(~spot, lead)) >= c.derivative_limit) & yes(F.max(F.when(spot, lead)) >= c.spot_limit),
+        "volume": some((lead >= c.volume_move) & (growth >= c.volume_limit)),
     }
-    zero = lambda x: F.coalesce(x, F.lit(0.0))
-    ratio = F.array_max(F.transform(live, lambda x: F.greatest(zero(x["fast"]) / c.fast_limit, zero(x["base"]) / c.base_limit, zero(x["slow"]) / c.slow_limit)))
-    rises = F.array_sort(F.filter(F.transform(live, lambda x: F.greatest(x["fast"], x["base"], x["slow"])), lambda m: m > 0))
-    n = F.size("_rises")
-    usual = F.when(n > 0, (F.get("_rises", F.floor((n - 1) / 2).cast("int")) + F.get("_rises", F.floor(n / 2).cast("int"))) / 2).otherwise(0.0)
-    growth = F.array_max(F.transform(live, lambda x: zero(x["growth"])))
-    judged = s.withColumn("_near", near).withColumn("_live", last).select("asset", "t", "id", "_live", rises.alias("_rises"), *(h.alias(k) for k, h in hits.items()))
-    points = 30 * F.least(ratio, F.lit(2.0)) + 8 * F.least(F.size(F.array_distinct("_live.provider")), F.lit(4)) + 8 * F.least(usual / c.confirmed, F.lit(2.0)) + 7 * F.least(growth / c.volume_limit, F.lit(2.0))
+    ratio = F.max(F.greatest(zero(fast) / c.fast_limit, zero(base) / c.base_limit, zero(slow) / c.slow_limit))
+    usual = zero(F.percentile(F.when(best > 0, best), F.lit(0.5)))
+    judged = live.groupBy("asset", "t", "id").agg(*(h.alias(k) for k, h in hits.items()), ratio.alias("_ratio"), usual.alias("_usual"), F.max(zero(growth)).alias("_growth"), providers(F.lit(True)).alias("providers"))
+    points = 30 * F.least("_ratio", F.lit(2.0)) + 8 * F.least("providers", F.lit(4)) + 8 * F.least(F.col("_usual") / c.confirmed, F.lit(2.0)) + 7 * F.least(F.col("_growth") / c.volume_limit, F.lit(2.0))
     points = points + F.when(F.col("cross_venue"), 10).otherwise(0) + F.when(F.col("derivative_led"), 8).otherwise(0)
     fired = F.concat_ws(",", *(F.when(F.col(k), F.lit(k)) for k in hits))
-    out = judged.select("asset", "t", "id", fired.alias("triggers"), F.least(points, F.lit(100.0)).alias("score"), F.size(F.array_distinct("_live.provider")).alias("providers"))
+    out = judged.select("asset", "t", "id", fired.alias("triggers"), F.least(points, F.lit(100.0)).alias("score"), "providers")
     return out.where("triggers <> ''")
 
 
