@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tests.test_streaming import T0
 from tidegauge.operators.features import gaps
 from tidegauge.operators.writes import merge_additive, upsert
-from tidegauge.streaming import feeds
+from tidegauge.streaming import feeds, stateful
 
 
 def in_batches(spark, path, batches, schema):
@@ -139,3 +139,16 @@ def test_rows_hours_late_end_in_the_sums(spark, tmp_path, delay):
     assert late == ({(4, 1), (16, 2)} if delay == 10.0 else {(16, 2)})
     assert write.watermark(spark, 0) is None
     assert write.watermark(spark, 2) == int((at(7300) - datetime(1970, 1, 1)).total_seconds() * 1e6 - delay * 1e6)
+
+
+def test_every_decision_about_targets_is_logged(spark, tmp_path):
+    log = feeds.TargetLog(f"{tmp_path}/t", 2, stateful.admitted)
+    schema = "asset string, expires double, score double, seen double"
+    batches = [[("a", 110.0, 5.0, 100.0), ("b", 111.0, 9.0, 101.0)], [("c", 112.0, 7.0, 102.0), ("a", 113.0, 6.0, 103.0)], [("b", 150.0, 1.0, 140.0)]]
+    for i, rows in enumerate(batches):
+        log(spark.createDataFrame(rows, schema), i)
+    got = sorted((r["batch"], r["asset"], r["rank"], r["reason"]) for r in log.log(spark).collect())
+    assert got == [(0, "a", 2, "admitted"), (0, "b", 1, "admitted"), (1, "a", 3, "cap reached"), (1, "c", 2, "admitted"), (2, "b", 1, "admitted")]
+    log(spark.createDataFrame(batches[1], schema), 1)  # a replay
+    assert sorted((r["batch"], r["asset"], r["rank"], r["reason"]) for r in log.log(spark).where("batch <> 1").collect()) == [x for x in got if x[0] != 1]
+    assert log.log(spark).count() == 5

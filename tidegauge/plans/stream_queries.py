@@ -83,6 +83,22 @@ def live_targets(spark, sf_dir):
     return out.select(F.col("asset").cast("long").alias("entity"), F.round("expires", 3).alias("expires"), "rank", "admitted")
 
 
+@query(
+    "T8_target_log",
+    f"""with {TICKS}, d as (select entity, max(epoch(ts)) + 180 * 60 as expires, arg_max(price, ts) as score, max(epoch(ts)) as seen from ticks where price >= 40 group by 1), l as (select *, row_number() over (order by score desc, seen desc, cast(entity as varchar)) as rank from d where expires > (select max(seen) from d))
+select d.entity, round(d.expires, 3) as expires, rank, coalesce(rank <= 2, false) as admitted, case when rank is null then 'expired' when rank <= 2 then 'admitted' else 'cap reached' end as reason from d left join l using (entity)""",
+)
+def target_log(spark, sf_dir):
+    """Every admission and refusal, with its reason, as batches of detections come; of each target the last decision."""
+    path = scratch_path(spark, "targets")
+    log = feeds.TargetLog(path, 2, P.admitted)
+    detections = ticks(spark, sf_dir).where("price >= 40").select(F.col("entity").cast("string").alias("asset"), F.col("ts").cast("timestamp").cast("double").alias("seen"), (F.col("ts").cast("timestamp").cast("double") + 180 * 60.0).alias("expires"), F.col("price").alias("score"))
+    stream = read_stream(spark, detections.select("asset", "expires", "score", "seen").repartition(1))
+    stream.writeStream.foreachBatch(log).option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    last = log.log(spark).groupBy("asset").agg(F.max_by(F.struct("expires", "rank", "admitted", "reason"), "batch").alias("l"))
+    return last.select(F.col("asset").cast("long").alias("entity"), F.round("l.expires", 3).alias("expires"), "l.rank", "l.admitted", "l.reason")
+
+
 @query("T9_late_rows", f"with {TICKS}, a as (select *, ts + to_minutes(cast(size as int)) as arrived from ticks) select id, ts < arrived - interval 30 minutes as late from a")
 def late_rows(spark, sf_dir):
     a = ticks(spark, sf_dir).withColumn("arrived", F.timestamp_add("MINUTE", F.col("size").cast("int"), F.col("ts")))

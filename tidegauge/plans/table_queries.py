@@ -14,6 +14,7 @@ from tidegauge.plans.join_queries import trades
 from tidegauge.plans.registry import query
 from tidegauge.sources import archives as A
 from tidegauge.sources import readers as S
+from tidegauge.sources import vendors as V
 
 
 
@@ -136,6 +137,41 @@ def payload_rows(spark, sf_dir):
     return S.object_payloads(packed, "payload", "trades", {"l_linenumber": ("n", "int"), "price": ("p", "double"), "size": ("s", "double")}, ["l_orderkey"])
 
 
+VENDOR_COLUMNS = ("open", "high", "low", "close", "volume", "quote_volume", "trades", "price", "size", "side", "trade_id", "bid", "ask_size", "name", "value")
+
+
+@query(
+    "S8_vendor_rows",
+    f"""with {TICKS}, f as (select id, id % 7 as k, make_timestamp((epoch_us(ts) // 1000000) * 1000000) as ts, price, size, id % 2 = 0 as maker from ticks)
+select ['alpaca', 'alpaca', 'alpaca', 'binance_klines', 'binance_trades', 'coinbase_candles', 'twelvedata'][k + 1] as feed, ['bar', 'trade', 'quote', 'bar', 'trade', 'bar', 'indicator'][k + 1] as kind, ts,
+  case when k in (0, 3, 5) then price end as open, case when k in (0, 3, 5) then price + 1 end as high, case when k in (0, 3, 5) then price - 1 end as low, case when k in (0, 3, 5) then price end as close, case when k in (0, 3, 5) then size end as volume, case when k = 3 then price * size end as quote_volume,
+  case when k in (0, 3) then cast(id as bigint) end as trades, case when k in (1, 4) then price end as price, case when k in (1, 4) then size end as size, case when k = 4 then case when maker then 'sell' else 'buy' end end as side, case when k in (1, 4) then cast(id as varchar) end as trade_id,
+  case when k = 2 then price end as bid, case when k = 2 then size end as ask_size, case when k = 6 then 'rsi' end as name, case when k = 6 then price end as value from f""",
+)
+def vendor_rows(spark, sf_dir):
+    """Ticks as payloads of five vendors, a user's ticks of a kind in one payload, read into one table."""
+    t = ticks(spark, sf_dir).withColumns({"k": F.col("id") % 7, "sec": F.floor(micros() / 1_000_000)})
+    p, size, sec, key = F.col("price"), F.col("size"), F.col("sec"), F.col("id")
+    text = lambda c: c.cast("string")
+    iso = F.date_format(F.timestamp_seconds(sec).cast("timestamp_ntz"), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    told = lambda **kv: F.to_json(F.struct(*(v.alias(k) for k, v in kv.items())))
+    array = lambda *cs: F.concat(F.lit("["), F.concat_ws(",", *map(text, cs)), F.lit("]"))
+    items = [
+        told(t=iso, o=p, h=p + 1, l=p - 1, c=p, v=size, n=key), told(t=iso, p=p, s=size, i=key), told(t=iso, bp=p, bs=F.lit(1), ap=p, **{"as": size}),
+        array(sec * 1000, p, p + 1, p - 1, p, size, sec, p * size, key, F.lit(0), F.lit(0)), told(a=key, p=text(p), q=text(size), T=sec * 1000, m=key % 2 == 0), array(sec, p - 1, p + 1, p, p, size), told(datetime=iso, rsi=text(p)),
+    ]
+    item = F.lit(None).cast("string")
+    for k, x in enumerate(items):
+        item = F.when(F.col("k") == k, x).otherwise(item)
+    names = {0: "bars", 1: "trades", 2: "quotes", 6: "values"}
+    packed = t.groupBy("entity", "k").agg(F.concat(F.lit("["), F.concat_ws(",", F.collect_list(item)), F.lit("]")).alias("list"))
+    body = F.col("list")
+    for k, name in names.items():
+        body = F.when(F.col("k") == k, F.concat(F.lit(f'{{"{name}":'), F.col("list"), F.lit("}"))).otherwise(body)
+    feed = F.element_at(F.array(*map(F.lit, ("alpaca", "alpaca", "alpaca", "binance_klines", "binance_trades", "coinbase_candles", "twelvedata"))), (F.col("k") + 1).cast("int"))
+    return V.vendor_rows(packed.select(feed.alias("feed"), body.alias("body"))).select("feed", "kind", "ts", *VENDOR_COLUMNS)
+
+
 #: What each of eighteen ticks is told by: venue, kind, and whether the message has a time, a price and size, a side, levels.
 FORMS = (
     ("binance_spot", "trade"), ("binance_spot", "book"), ("binance_futures", "book"), ("binance_futures", "mark"), ("binance_futures", "liquidation"), ("binance_spot", "ticker"),

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tidegauge.operators.scratch import materialize
+from tidegauge.operators.writes import upsert
 
 GAP_SCHEMA = "entity string, gap_start long, gap_end long"
 _GAP_COLUMNS = ["entity", "gap_start", "gap_end"]
@@ -160,3 +161,34 @@ class LateRows:
         rows.where(behind).write.mode("overwrite").parquet(f"{self.path}/late/batch={batch_id}")
         self.into(self.aggregate(rows), batch_id)
         rows.agg(F.max(micros).alias("latest")).write.mode("overwrite").parquet(f"{self.path}/marks/batch={batch_id}")
+
+
+class TargetLog:
+    """A foreachBatch function over changes of targets (asset, expires, score, seen) that keeps the live ones and logs what is
+    decided of every target that a batch changes, admissions and refusals with their reason, a folder for each batch.
+
+    The batch's time is its latest detection, or that of the batches before it. All live targets are ranked together, by
+    range; the log has a row for each changed one.
+    """
+
+    def __init__(self, path: str, cap: int, rank: Callable[[DataFrame, float, int], DataFrame]):
+        self.path, self.cap, self.rank = path, cap, rank
+        newer = lambda old, new: upsert(old, new, ["asset"], "expires")
+        self.live = SliceMerge(f"{path}/live", "asset string, expires double, score double, seen double", F.pmod(F.xxhash64("asset"), F.lit(64)), newer)
+
+    def log(self, spark: SparkSession) -> DataFrame:
+        schema = "asset string, expires double, score double, seen double, rank long, admitted boolean, reason string, decided_at double, batch long"
+        return spark.read.schema(schema).parquet(f"{self.path}/log") if _exists(spark, f"{self.path}/log") else spark.createDataFrame([], schema)
+
+    def __call__(self, df: DataFrame, batch_id: int) -> None:
+        latest = df.groupBy("asset").agg(F.max_by(F.struct("expires", "score", "seen"), F.struct("seen", "expires")).alias("_l")).select("asset", "_l.*")
+        changed = materialize(latest, "changed")
+        self.live(changed, batch_id)
+        held = self.live.rows(df.sparkSession).drop("_batch", "_slice")
+        now = held.agg(F.max("seen")).first()[0]
+        if now is None:
+            return
+        ranked = self.rank(held, now, self.cap).select("asset", F.col("rank").cast("long").alias("rank"), "admitted")
+        out = changed.join(ranked, "asset", "left").withColumn("admitted", F.coalesce("admitted", F.lit(False)))
+        reason = F.when(F.col("admitted"), "admitted").when(F.col("rank").isNull(), "expired").otherwise("cap reached")
+        out.withColumns({"reason": reason, "decided_at": F.lit(float(now))}).write.mode("overwrite").parquet(f"{self.path}/log/batch={batch_id}")
