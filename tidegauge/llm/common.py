@@ -26,16 +26,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-#: Rows of a batch that a task hands to Python, where the session has Spark's default.
-BATCH, DEFAULT = "1000", "10000"
+#: Settings of the batches that a task hands to Python, each with Spark's default: rows, and bytes where rows are long.
+BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": ("1000", "10000"), "spark.sql.execution.arrow.maxBytesPerBatch": ("8388608", "67108864b")}
 
 
 def small_batches(spark: SparkSession) -> None:
     """Hand texts to Python in smaller batches, unless the session has a setting of its own: each batch is held by the task
-    and by its Python worker at once."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if spark.conf.get(name, DEFAULT) == DEFAULT:
-        spark.conf.set(name, BATCH)
+    and by its Python worker at once. The settings stay with the session, as a stage's rows are computed after its function
+    has returned."""
+    for name, (value, default) in BATCHES.items():
+        if spark.conf.get(name, default) == default:
+            spark.conf.set(name, value)
 
 
 def text_of(column: str = "text") -> Column:
