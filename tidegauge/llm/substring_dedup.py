@@ -239,10 +239,11 @@ def substring_dedup(docs: DataFrame, span: int = SPAN, min_words: int = MIN_WORD
             yield pd.DataFrame(rows, columns=["text", "n_sentences", "n_removed"])
         settle()
 
-    # a row travels as one column, so that no name of docs meets one of the operator's
+    # columns travel by their place, so that no name of docs meets one of the operator's
     columns = [c for c in docs.columns if c not in ("n_sentences", "n_removed")]
-    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in columns)).alias("_row"))
-    joined = rows.join(hits, F.col("_row.doc_id") == F.col("_id"), "left")
-    out = joined.select("_row", cleaned(F.col("_row.text").cast("string"), F.col("_runs")).alias("_c"))
-    kept = [F.col("_c.text").alias(c) if c == "text" else F.col("_row")[c].alias(c) for c in columns]
+    place = {c: f"c{i}" for i, c in enumerate(columns)}
+    rows = docs.select(*(F.col(f"`{c}`").alias(at) for c, at in place.items()))
+    joined = rows.join(hits, F.col(place["doc_id"]) == F.col("_id"), "left")
+    out = joined.withColumn("_c", cleaned(F.col(place["text"]).cast("string"), F.col("_runs")))
+    kept = [F.col("_c.text").alias(c) if c == "text" else F.col(at).alias(c) for c, at in place.items()]
     return out.select(*kept, F.col("_c.n_sentences").alias("n_sentences"), F.col("_c.n_removed").alias("n_removed"))
