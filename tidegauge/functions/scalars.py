@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -175,6 +177,46 @@ def snippets(text: Column | str, phrases: list[str], before: int = 180, after: i
     return F.slice(cut, 1, most)
 
 
+#: Phrases that speak of new shares, and the patterns of amounts of money and of shares.
+DILUTION = (
+    "at-the-market", "at the market offering", "sales agreement", "shelf registration", "prospectus supplement", "common stock offering", "registered direct offering", "private placement", "warrant", "convertible note",
+    "convertible preferred", "shares of common stock", "resale prospectus", "equity line", "purchase agreement",
+)
+MONEY = r"(?i)\$\s?\d[\d,]*(?:\.\d+)?\s?(?:million|billion)?"
+SHARES = r"(?i)\b\d[\d,]*(?:\.\d+)?\s+(?:shares|units)\b"
+
+
+def places_of(text: Column, phrase: str) -> Column:
+    """The places (from 0) at which a text has the phrase, from left to right and not overlapping."""
+    parts = F.split(text, rf"\Q{phrase}\E")
+    before = lambda k: F.aggregate(F.slice(parts, 1, k), F.lit(0), lambda n, x: n + F.length(x)) + (k - 1) * len(phrase)
+    return F.when(F.contains(text, F.lit(phrase)), F.transform(F.sequence(F.lit(1), F.size(parts) - 1), before)).otherwise(F.array().cast("array<int>"))
+
+
+def _once(value: Column, f: Callable[[Column], Column]) -> Column:
+    """f of a value that is computed once, however often f names it."""
+    return F.element_at(F.transform(F.array(value), f), 1)
+
+
+def phrase_signals(text: Column | str, phrases: tuple[str, ...] = DILUTION, before: int = 180, after: int = 260, most: int = 8) -> Column:
+    """phrases (sorted) and snippets: up to ``most`` different stretches of text around the phrases' places, all places of a
+    phrase before those of the next. Phrases that come only after the last stretch has been taken don't count."""
+    t = F.coalesce(col(text), F.lit(""))
+
+    def around(low: Column, phrase: str) -> Column:
+        left = lambda i: F.greatest(i - before, F.lit(0))
+        cut = lambda i: F.regexp_replace(F.substring(t, left(i) + 1, i + len(phrase) + after - left(i)), r"^\s+|\s+$", "")
+        return F.transform(places_of(low, phrase), lambda i: F.struct(F.lit(phrase).alias("p"), cut(i).alias("s")))
+
+    def kept(met: Column) -> Column:
+        cuts = F.transform(met, lambda x: x["s"])
+        last = lambda own: F.when(F.size(own) >= most, F.array_position(cuts, F.get(own, F.lit(most - 1)))).otherwise(F.size(met)).cast("int")
+        found = lambda own: F.array_sort(F.array_distinct(F.transform(F.slice(met, F.lit(1), last(own)), lambda x: x["p"])))
+        return _once(F.array_distinct(cuts), lambda own: F.struct(found(own).alias("phrases"), F.slice(own, 1, most).alias("snippets")))
+
+    return _once(F.lower(t), lambda low: _once(F.concat(*(around(low, p) for p in phrases)), kept))
+
+
 def mentions(text: Column | str, pattern: str, most: int = 10) -> Column:
     """Up to ``most`` distinct matches of the pattern, in order."""
     return F.slice(F.array_distinct(F.regexp_extract_all(col(text), F.lit(pattern), F.lit(0))), 1, most)

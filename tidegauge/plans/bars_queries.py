@@ -633,6 +633,35 @@ def phrase_scan(spark, sf_dir):
     )
 
 
+LINE_SQL = """select l_orderkey, string_agg(s, ' ' order by s) as text from (select l_orderkey, case l_linenumber % 5 when 0 then 'Under a Sales Agreement of ' || cast(l_shipdate as date) when 1 then 'The WARRANT and a convertible note' when 2 then 'A purchase agreement, a private placement'
+  when 3 then 'No offering at all' else 'An equity line' end || ' for $ ' || cast(floor(l_extendedprice) as int) || ' million, ' || cast(floor(l_quantity) as int) || ' shares of common stock, part ' || l_partkey || '.' as s from lineitem) group by 1"""
+
+
+@query(
+    "F22_filing_signals",
+    f"""with t as ({LINE_SQL}), p as (select unnest([{", ".join(f"'{x}'" for x in S.DILUTION)}]) as p, unnest(range({len(S.DILUTION)})) as j),
+o as (select l_orderkey, text, p, j, string_split(lower(text), p) as parts from t, p), k as (select *, unnest(range(1, len(parts))) as k from o where len(parts) > 1),
+i as (select *, list_sum(list_transform(parts[1:k], lambda x: length(x))) + (k - 1) * length(p) as pos from k),
+c as (select *, regexp_replace(substr(text, cast(greatest(pos - 180, 0) + 1 as bigint), cast(pos + length(p) + 260 - greatest(pos - 180, 0) as bigint)), '^\\s+|\\s+$', '', 'g') as s, row_number() over (partition by l_orderkey order by j, k) as n from i),
+d as (select l_orderkey, s, min(n) as n from c group by all), r as (select *, row_number() over (partition by l_orderkey order by n) as r from d), e as (select l_orderkey, max(n) filter (r = 8) as stop from r group by 1),
+f as (select c.l_orderkey, array_to_string(list_sort(list_distinct(list(p))), '|') as keywords from c join e using (l_orderkey) where stop is null or c.n <= stop group by 1),
+g as (select l_orderkey, string_agg(s, '|' order by r) as snippets from r where r <= 8 group by 1),
+m as (select l_orderkey, regexp_extract_all(text, '{S.MONEY}') as money, regexp_extract_all(text, '{S.SHARES}') as shares from t),
+u as (select l_orderkey, list_transform(list_sort(list_transform(list_distinct(money), lambda x: [lpad(cast(list_position(money, x) as varchar), 9, '0'), x])), lambda x: x[2]) as money, list_transform(list_sort(list_transform(list_distinct(shares), lambda x: [lpad(cast(list_position(shares, x) as varchar), 9, '0'), x])), lambda x: x[2]) as shares from m)
+select u.l_orderkey, coalesce(keywords, '') as keywords, coalesce(snippets, '') as snippets, array_to_string(money[1:10], '|') as money, array_to_string(shares[1:10], '|') as shares from u left join f using (l_orderkey) left join g using (l_orderkey)""",
+)
+def filing_signals(spark, sf_dir):
+    """An order's lines as the sentences of a filing: phrases with the text around them, amounts of money and of shares."""
+    items = read(spark, sf_dir, "lineitem")
+    k, text = F.col("l_linenumber") % 5, lambda c: F.floor(c).cast("int").cast("string")
+    begin = F.when(k == 0, F.concat(F.lit("Under a Sales Agreement of "), F.to_date("l_shipdate").cast("string"))).when(k == 1, "The WARRANT and a convertible note").when(k == 2, "A purchase agreement, a private placement").when(k == 3, "No offering at all").otherwise("An equity line")
+    line = F.concat(begin, F.lit(" for $ "), text("l_extendedprice"), F.lit(" million, "), text("l_quantity"), F.lit(" shares of common stock, part "), F.col("l_partkey").cast("string"), F.lit("."))
+    filings = items.groupBy("l_orderkey").agg(F.concat_ws(" ", F.array_sort(F.collect_list(line))).alias("text"))
+    joined = lambda c: F.concat_ws("|", c)
+    filings = filings.withColumn("found", S.phrase_signals("text"))
+    return filings.select("l_orderkey", joined("found.phrases").alias("keywords"), joined("found.snippets").alias("snippets"), joined(S.mentions("text", S.MONEY)).alias("money"), joined(S.mentions("text", S.SHARES)).alias("shares"))
+
+
 @query("F23_form_class", "select o_orderkey, o_orderpriority in ('1-URGENT', '2-HIGH') as pressing from orders")
 def form_class(spark, sf_dir):
     return read(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderpriority").isin("1-URGENT", "2-HIGH").alias("pressing"))
