@@ -218,7 +218,7 @@ def exact_dedup(docs: DataFrame, moduli: tuple[int, int] = MODULI, huge: int = H
 
     Texts are equal when equal without their white space. Null counts as empty, and all empty texts are equal. The row
     with the most characters in its original text stays, then the smallest doc_id; a null doc_id comes last, and of rows
-    that are equal in all this any one, so exactly one row of a group is kept. Other columns are ignored. An empty table
+    that are equal in all this any one, so exactly one row of a group is kept. doc_ids are numbers. Other columns are ignored. An empty table
     gives no rows.
     """
     return judged(docs, moduli, huge).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")

@@ -239,7 +239,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     linked when 100 * intersection >= percent * union; component_id is the smallest doc_id that links reach, kept says
     whether it is the row's own. Null texts and texts without words have an empty set and are linked with nothing. Rows
     that share a doc_id count as one document with the links of all their texts. Rows with a null doc_id are not linked
-    and have no component. Other columns are ignored; an empty table gives no rows.
+    and have no component. doc_ids are 64-bit integers. Other columns are ignored; an empty table gives no rows.
     """
     base = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     measured = materialize(base.select("doc_id", _features(k)("text").alias("_f")).select("doc_id", "_f.*"), "signatures")
