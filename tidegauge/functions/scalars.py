@@ -15,6 +15,11 @@ def ratio(a: Column | str, b: Column | str) -> Column:
     return F.try_divide(col(a), col(b))
 
 
+def quotient(a: Column | str, b: Column | str) -> Column:
+    """a / b of doubles; where b is zero infinite or, for 0 / 0, not a number."""
+    return F.when(col(b) == 0, col(a) * F.pow(col(b), F.lit(-1.0))).otherwise(F.try_divide(col(a), col(b)))
+
+
 def change(now: Column | str, before: Column | str) -> Column:
     return ratio(now, before) - 1
 

@@ -400,7 +400,7 @@ def best_per_key(spark, sf_dir):
 @query("A19_high_low_range", f"with {HOURLY} select venue, cast(bucket as date) as day, round(max(high) / min(low) - 1, 6) as width from bars where hour(bucket) >= 6 and hour(bucket) < 18 group by all")
 def high_low_range(spark, sf_dir):
     inside = hourly(spark, sf_dir).where((F.hour("bucket") >= 6) & (F.hour("bucket") < 18))
-    return inside.groupBy("venue", F.to_date("bucket").alias("day")).agg(F.round(F.max("high") / F.min("low") - 1, 6).alias("width"))
+    return inside.groupBy("venue", F.to_date("bucket").alias("day")).agg(F.round(S.quotient(F.max("high"), F.min("low")) - 1, 6).alias("width"))
 
 
 @query(
