@@ -192,10 +192,12 @@ def segments(spark, sf_dir):
 FILES = 8
 
 
-def read_stream(spark: SparkSession, table: DataFrame, files: bool = False, per_batch: int = FILES) -> DataFrame:
+def read_stream(spark: SparkSession, table: DataFrame, files: bool = False, per_batch: int | None = FILES) -> DataFrame:
     """A table as a stream: from its own ``files``, of which it has to be all rows and columns, or from a copy below the
-    scratch folder."""
-    source = spark.readStream.schema(table.schema).option("maxFilesPerTrigger", per_batch)
+    scratch folder. A copy's files are in no order of time: without ``per_batch`` they all come in one batch."""
+    source = spark.readStream.schema(table.schema)
+    if per_batch is not None:
+        source = source.option("maxFilesPerTrigger", per_batch)
     if files:
         paths = table.inputFiles()
         glob = paths[0].rsplit("/", 1)[1] if len(paths) == 1 else "*.parquet"
@@ -211,7 +213,7 @@ STORE = "spark.sql.streaming.stateStore.providerClass"
 NO_DATA = "spark.sql.streaming.noDataMicroBatches.enabled"
 
 
-def streamed(spark: SparkSession, table: DataFrame, transform, files: bool = False, settle: bool = True) -> DataFrame:
+def streamed(spark: SparkSession, table: DataFrame, transform, files: bool = False, settle: bool = True, per_batch: int | None = FILES) -> DataFrame:
     """A table read as a stream, transformed, written until all of it is read, and read back. The state store that stateful
     processors need is set for the query's start alone. ``settle``: batches without rows follow while timers or the
     watermark call for them; with the machine's clock they always do, so a stream with states that expire by it needs False."""
@@ -221,7 +223,7 @@ def streamed(spark: SparkSession, table: DataFrame, transform, files: bool = Fal
     for k, v in wanted.items():
         spark.conf.set(k, v)
     try:
-        stream = transform(read_stream(spark, table, files))
+        stream = transform(read_stream(spark, table, files, per_batch))
         stream.writeStream.format("parquet").option("path", f"{out}/rows").option("checkpointLocation", f"{out}/checkpoint").trigger(availableNow=True).start().awaitTermination()
     finally:
         for k, v in before.items():
@@ -306,7 +308,7 @@ def live_rule(spark, sf_dir):
     b = build_bars(ticks(spark, sf_dir), ["entity"], 6 * 3600)
     seconds = F.col("bucket").cast("timestamp").cast("double")
     closed = b.select(F.col("entity").cast("string").alias("entity"), seconds.alias("bar_start"), (seconds + 6 * 3600).alias("bar_end"), (seconds + 6 * 3600 + 30 * F.col("n")).alias("arrived"), change("close", "open").alias("ret"))
-    out = streamed(spark, closed, lambda bars: P.live_rules(bars, -0.5, 48 * 3600.0, 90.0))
+    out = streamed(spark, closed, lambda bars: P.live_rules(bars, -0.5, 48 * 3600.0, 90.0), per_batch=None)
     return out.select("entity", F.timestamp_seconds("bar_start").cast("timestamp_ntz").alias("bucket"), "verdict")
 
 
@@ -337,7 +339,7 @@ def live_leaders(spark, sf_dir):
     """The leaders' rule over bars as they arrive, by session; a bar without the confirmer or any leader in time is missed."""
     rule = rules.LeaderRule({"view": 0.5, "click": 0.8}, "purchase", 3 * 3600)
     live = lambda bars: rules.live_sessions(bars, rule, F.lit("market"), F.col("venue"), 3600, 90, (6 * 3600, 20 * 3600), "10 minutes")
-    out = streamed(spark, closed_bars(spark, sf_dir), live)
+    out = streamed(spark, closed_bars(spark, sf_dir), live, per_batch=None)
     return out.select(F.col("bar_start").cast("timestamp_ntz").alias("bucket"), "verdict")
 
 
@@ -353,5 +355,5 @@ select venue, bucket, 'signal' as verdict from s union all select venue, bucket,
 def live_tails(spark, sf_dir):
     """Each venue's first tail of the day over bars as they arrive; the day's other bars that don't come in time are missed."""
     live = lambda bars: rules.live_sessions(bars, rules.TailRule(-0.5), F.col("venue"), F.lit("bar"), 3600, 90, watermark="10 minutes")
-    out = streamed(spark, closed_bars(spark, sf_dir), live)
+    out = streamed(spark, closed_bars(spark, sf_dir), live, per_batch=None)
     return out.select(F.col("key").alias("venue"), F.col("bar_start").cast("timestamp_ntz").alias("bucket"), "verdict")
