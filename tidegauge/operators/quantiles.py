@@ -35,6 +35,20 @@ def places(df: DataFrame, by: list[str], order: list[str], name: str) -> DataFra
     return running(df, by, order, F.lit(1).cast("long"), name)
 
 
+def sorted_places(df: DataFrame, by: list[str], order: list[str], keep: list[str], name: str) -> DataFrame:
+    """The columns ``keep``, with ``by`` among them, and the row's place in its group, from 1, as in ``places``. Rows move once:
+    they are numbered as they stand in the sorted ranges, so what orders them isn't written."""
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = df.repartitionByRange(parts, *by, *order).sortWithinPartitions(*by, *order)
+    dealt = materialize(dealt.select(*keep, F.monotonically_increasing_id().alias("_i")), "sorted")
+    # a number's upper bits are its range's
+    placed = dealt.withColumn("_p", F.shiftright("_i", 33))
+    held = placed.groupBy(*by, "_p").agg(F.min("_i").alias("_s"), F.count("*").alias("_n"))
+    before = F.coalesce(F.sum("_n").over(Window.partitionBy(*by).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = held.select(*by, "_p", (F.col("_s") - before).alias("_s"))
+    return placed.join(starts, [*by, "_p"]).select(*keep, (F.col("_i") - F.col("_s") + 1).alias(name))
+
+
 def value_counts(df: DataFrame, by: list[str], value: str) -> DataFrame:
     """by, value and its number of rows ``_n``, written once; null values are left out."""
     return materialize(df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count("*").alias("_n")), "values")

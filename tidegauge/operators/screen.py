@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from tidegauge.operators.metrics import z_of
-from tidegauge.operators.quantiles import percentiles, places
+from tidegauge.operators.quantiles import percentiles, places, sorted_places
 from tidegauge.operators.scratch import materialize
 
 
@@ -273,13 +273,14 @@ def dependence_review(events: DataFrame, by: list[str], cluster: str, value: str
 def permuted(df: DataFrame, within: list[str], ties: list[str], seeds: list[str], columns: list[str]) -> DataFrame:
     """Rows once for each seed with the named columns dealt anew within their group, by order of a digest of (the first of
     ties, seed). The ties order all rows that differ. Both orders are places by range, so no task gets a whole group."""
+    own = sorted_places(df, within, ties, [c for c in df.columns if c not in columns], "_r")
     seed = F.explode(F.array(*map(F.lit, seeds))).alias("seed")
-    own = places(df, within, ties, "_r").select("*", seed)
-    keyed = df.select(*within, *ties, *(F.col(c).alias(f"_d_{c}") for c in columns), seed)
-    keyed = keyed.withColumn("_key", F.md5(F.concat_ws("|", F.col(ties[0]).cast("string"), "seed")))
-    dealt = places(keyed, [*within, "seed"], ["_key", *ties], "_r").select(*within, "seed", "_r", *(f"_d_{c}" for c in columns))
-    out = own.join(dealt, [*within, "seed", "_r"])
-    return out.withColumns({c: F.col(f"_d_{c}") for c in columns}).drop("_r", *(f"_d_{c}" for c in columns))
+    held = [f"_d_{c}" for c in columns]
+    keyed = df.select(*within, *ties, *(F.col(c).alias(d) for c, d in zip(columns, held, strict=True)), seed)
+    keyed = keyed.withColumn("_key", F.unhex(F.md5(F.concat_ws("|", F.col(ties[0]).cast("string"), "seed"))))
+    dealt = sorted_places(keyed, [*within, "seed"], ["_key", *ties], [*within, "seed", *held], "_r")
+    out = own.join(dealt, [*within, "_r"])
+    return out.select(*(F.col(f"_d_{c}").alias(c) if c in columns else c for c in df.columns), "seed")
 
 
 SEEDS = ("1", "2", "3")

@@ -335,7 +335,7 @@ def materialisation_status(spark, sf_dir):
 select brand, seed, round(avg(dealt), 6) as mean, count(*) as n from p join d using (kind, r) group by all""",
 )
 def label_permutation(spark, sf_dir):
-    out = D.permuted(trades(spark, sf_dir), ["kind"], ["id", "ts", "net"], list(D.SEEDS), ["net"])
+    out = D.permuted(trades(spark, sf_dir).select("brand", "kind", "id", "ts", "net"), ["kind"], ["id", "ts", "net"], list(D.SEEDS), ["net"])
     return out.groupBy("brand", "seed").agg(F.round(F.avg("net"), 6).alias("mean"), F.count("*").alias("n"))
 
 
