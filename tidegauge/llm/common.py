@@ -39,6 +39,13 @@ def small_batches(spark: SparkSession) -> None:
             spark.conf.set(name, value)
 
 
+def once(udf: Callable) -> Callable:
+    """The function in Python with its result computed once where a filter follows: Spark pushes filters below functions that
+    it holds for deterministic and computes them again there, in a second Python worker of the same task. Idle workers take
+    turns and so stay for the rest of the session, each with its memory."""
+    return udf.asNondeterministic()
+
+
 def text_of(column: str = "text") -> Column:
     """The whole text; null counts as empty."""
     return F.coalesce(F.col(column).cast("string"), F.lit(""))

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegauge.llm.common import Bloom, Remembered, claim, join_groups, materialize, settle
+from tidegauge.llm.common import Bloom, Remembered, claim, join_groups, materialize, once, settle
 from tidegauge.llm.components import components
 
 PERMUTATIONS, BANDS, ROWS = 80, 32, 5
@@ -252,7 +252,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     wanted = materialize(members.select("cls").distinct(), "wanted")
     # only the texts of classes that share a bucket are read into sets; the filter is tested where the text is
     held = docs.sparkSession.sparkContext.broadcast(Bloom.of(wanted, "cls"))
-    made = base.where("doc_id is not null").select("doc_id", _sets(k, held)("doc_id", "text").alias("set")).where(F.octet_length("set") > 0)
+    made = base.where("doc_id is not null").select("doc_id", once(_sets(k, held))("doc_id", "text").alias("set")).where(F.octet_length("set") > 0)
     made = made.join(wanted, F.col("doc_id") == F.col("cls"), "left_semi").select(F.col("doc_id").alias("cls"), (F.octet_length("set") / 8).cast("long").alias("n"), "set")
     sets = materialize(made, "sets")
     stars = _confirmed(members.where("cls <> pivot").select(F.col("pivot").alias("u"), F.col("cls").alias("v")).distinct(), sets, percent)
