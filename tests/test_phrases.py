@@ -40,3 +40,14 @@ def test_amounts(spark):
     assert row["m"] == ["$ 1,250.50 million", "$3 "]
     assert row["s"] == ["1,000 Shares", "5 units", "7 shares"]
     assert row["f"]["phrases"] == row["f"]["snippets"] == []
+
+
+def test_a_text_is_cut_once_a_phrase(spark):
+    """However many places a phrase has; white space of every kind goes from both ends, and that inside stays."""
+    texts = ["war \t\x0b" + "x y\n" * 3 + "\f\r", " \twar\n ", "  war  ", "é war\té ", "war " * 3000]
+    frame = spark.createDataFrame([(i, x) for i, x in enumerate(texts)], "i int, text string")
+    found = frame.select("i", scalars.phrase_signals("text", PHRASES, 9, 14, 4).alias("f"))
+    assert {r["i"]: (r["f"]["phrases"], r["f"]["snippets"]) for r in found.collect()} == {i: plain(x, 9, 14, 4) for i, x in enumerate(texts)}
+    places = frame.select(scalars.places_of(F.col("text"), "war").alias("p"))
+    assert places.collect()[-1]["p"] == list(range(0, 12000, 4))
+    assert places._jdf.queryExecution().optimizedPlan().toString().count("split(") == 1

@@ -191,16 +191,19 @@ MONEY = r"(?i)\$\s?\d[\d,]*(?:\.\d+)?\s?(?:million|billion)?"
 SHARES = r"(?i)\b\d[\d,]*(?:\.\d+)?\s+(?:shares|units)\b"
 
 
+def _once(value: Column, f: Callable[[Column], Column]) -> Column:
+    """f of a value that is computed once, however often f names it."""
+    return F.element_at(F.transform(F.array(value), f), 1)
+
+
 def places_of(text: Column, phrase: str) -> Column:
     """The places (from 0) at which a text has the phrase, from left to right and not overlapping."""
-    parts = F.split(text, rf"\Q{phrase}\E")
-    before = lambda k: F.aggregate(F.slice(parts, 1, k), F.lit(0), lambda n, x: n + F.length(x)) + (k - 1) * len(phrase)
-    return F.when(F.contains(text, F.lit(phrase)), F.transform(F.sequence(F.lit(1), F.size(parts) - 1), before)).otherwise(F.array().cast("array<int>"))
 
+    def walked(parts: Column) -> Column:
+        place = lambda at, x: F.concat(at, F.array(F.element_at(at, -1) + len(phrase) + F.length(x)))
+        return F.aggregate(F.slice(parts, F.lit(2), F.size(parts) - 2), F.array(F.length(F.get(parts, F.lit(0)))), place)
 
-def _once(value: Column, f: Callable[[Column], Column]) -> Column:
-    """f of a value that is computed once, however often f names it."""
-    return F.element_at(F.transform(F.array(value), f), 1)
+    return F.when(F.contains(text, F.lit(phrase)), _once(F.split(text, rf"\Q{phrase}\E"), walked)).otherwise(F.array().cast("array<int>"))
 
 
 def phrase_signals(text: Column | str, phrases: tuple[str, ...] = DILUTION, before: int = 180, after: int = 260, most: int = 8) -> Column:
@@ -208,10 +211,12 @@ def phrase_signals(text: Column | str, phrases: tuple[str, ...] = DILUTION, befo
     phrase before those of the next. Phrases that come only after the last stretch has been taken don't count."""
     t = F.coalesce(col(text), F.lit(""))
 
-    def around(low: Column, phrase: str) -> Column:
+    def around(own: Column, phrase: str) -> Column:
         left = lambda i: F.greatest(i - before, F.lit(0))
-        cut = lambda i: F.regexp_replace(F.substring(t, left(i) + 1, i + len(phrase) + after - left(i)), r"^\s+|\s+$", "")
-        return F.transform(places_of(low, phrase), lambda i: F.struct(F.lit(phrase).alias("p"), cut(i).alias("s")))
+        cut = lambda i: F.substring(t, left(i) + 1, i + len(phrase) + after - left(i))
+        # spaces alone are trimmed much faster
+        bare = lambda i: F.when(own["odd"], F.btrim(cut(i), F.lit(" \t\n\x0b\f\r"))).otherwise(F.trim(cut(i)))
+        return F.transform(places_of(own["low"], phrase), lambda i: F.struct(F.lit(phrase).alias("p"), bare(i).alias("s")))
 
     def kept(met: Column) -> Column:
         cuts = F.transform(met, lambda x: x["s"])
@@ -219,7 +224,8 @@ def phrase_signals(text: Column | str, phrases: tuple[str, ...] = DILUTION, befo
         found = lambda own: F.array_sort(F.array_distinct(F.transform(F.slice(met, F.lit(1), last(own)), lambda x: x["p"])))
         return _once(F.array_distinct(cuts), lambda own: F.struct(found(own).alias("phrases"), F.slice(own, 1, most).alias("snippets")))
 
-    return _once(F.lower(t), lambda low: _once(F.concat(*(around(low, p) for p in phrases)), kept))
+    known = F.struct(F.lower(t).alias("low"), t.rlike(r"[\x09-\x0D]").alias("odd"))
+    return _once(known, lambda own: _once(F.concat(*(around(own, p) for p in phrases)), kept))
 
 
 def mentions(text: Column | str, pattern: str, most: int = 10) -> Column:
