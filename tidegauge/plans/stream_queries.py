@@ -213,22 +213,59 @@ STORE = "spark.sql.streaming.stateStore.providerClass"
 NO_DATA = "spark.sql.streaming.noDataMicroBatches.enabled"
 
 
-def streamed(spark: SparkSession, table: DataFrame, transform, files: bool = False, settle: bool = True, per_batch: int | None = FILES) -> DataFrame:
-    """A table read as a stream, transformed, written until all of it is read, and read back. The state store that stateful
-    processors need is set for the query's start alone. ``settle``: batches without rows follow while timers or the
-    watermark call for them; with the machine's clock they always do, so a stream with states that expire by it needs False."""
-    out = scratch_path(spark, "stream")
-    wanted = {STORE: "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider", NO_DATA: str(settle).lower()}
+def started(spark: SparkSession, stream, out: str, settle: bool, **more: str) -> DataFrame:
+    """What ``stream()`` gives of all that its source has by now, written and read back. The state store that stateful
+    processors need, and ``more`` settings, are set for the query's start alone."""
+    wanted = {STORE: "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider", NO_DATA: str(settle).lower(), **more}
     before = {k: spark.conf.get(k, None) for k in wanted}
     for k, v in wanted.items():
         spark.conf.set(k, v)
     try:
-        stream = transform(read_stream(spark, table, files, per_batch))
-        stream.writeStream.format("parquet").option("path", f"{out}/rows").option("checkpointLocation", f"{out}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+        found = stream()
+        found.writeStream.format("parquet").option("path", f"{out}/rows").option("checkpointLocation", f"{out}/checkpoint").trigger(availableNow=True).start().awaitTermination()
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
-    return spark.read.schema(stream.schema).parquet(f"{out}/rows")
+    return spark.read.schema(found.schema).parquet(f"{out}/rows")
+
+
+def streamed(spark: SparkSession, table: DataFrame, transform, files: bool = False, settle: bool = True, per_batch: int | None = FILES, **more: str) -> DataFrame:
+    """A table read as a stream, transformed, written until all of it is read, and read back. ``settle``: batches without rows
+    follow while timers or the watermark call for them; with the machine's clock they always do, so a stream with states that
+    expire by it needs False."""
+    return started(spark, lambda: transform(read_stream(spark, table, files, per_batch)), scratch_path(spark, "stream"), settle, **more)
+
+
+#: Rows of a micro-batch of a replay, and the files that they are dealt to.
+REPLAYED, SPREAD = 8_000_000, 16
+#: Packed rows are large: they are read and go to Python in batches of some 16 MB.
+LARGE_ROWS = {"spark.sql.execution.arrow.maxBytesPerBatch": str(16 << 20), "spark.sql.parquet.columnarReaderBatchSize": "128"}
+
+
+def replayed(spark: SparkSession, table: DataFrame, observations, transform, rows: int) -> DataFrame:
+    """``transform`` of the ``observations`` of a table as a stream in order of their time, however the table's files lie: a
+    micro-batch has a range of time of some ``rows``, so no task holds more, and rows of equal time are in one. A table of no
+    more rows is a single one, from its own files, of which it has to be all rows and columns."""
+    parts = -(-table.count() // rows)
+    if parts <= 1:
+        return streamed(spark, table, lambda stream: transform(observations(stream)), files=True, settle=False, per_batch=None, **LARGE_ROWS)
+    o, path, out = observations(table), scratch_path(spark, "stream-input"), scratch_path(spark, "stream")
+    cuts = sorted(set(o.agg(F.percentile_approx("t", [i / parts for i in range(1, parts)], 10_000)).first()[0] or []))
+    part = sum((F.when(F.col("t") >= cut, 1).otherwise(0) for cut in cuts), F.lit(0))
+    packed = P.pack(o.withColumn("part", part), [*P.VENUE, "part"])
+    # files in proportion to the rows, however many tasks have read them
+    file = F.col("part") * SPREAD + F.pmod(F.xxhash64("records"), F.lit(SPREAD)).cast("int")
+    packed.repartitionById((len(cuts) + 1) * SPREAD, file).write.partitionBy("part").parquet(f"{path}/dealt")
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    fs = hadoop(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(hadoop(f"{path}/come"))
+    for i in range(len(cuts) + 1):
+        if fs.exists(hadoop(f"{path}/dealt/part={i}")) and not fs.rename(hadoop(f"{path}/dealt/part={i}"), hadoop(f"{path}/come/{i}")):
+            raise OSError(f"{path}/dealt/part={i} could not be moved")
+        # the same query goes on with the files that have come since
+        stream = lambda: transform(spark.readStream.schema(packed.drop("part").schema).option("recursiveFileLookup", True).parquet(f"{path}/come"))
+        found = started(spark, stream, out, False, **LARGE_ROWS)
+    return found
 
 
 @query("T2_book_states")
@@ -263,7 +300,7 @@ def observed(events: DataFrame) -> DataFrame:
 @query("T5_multi_venue_detections")
 def multi_venue_detections(spark, sf_dir):
     """Events as a stream of observations; tests compare it with the cooldown over E12."""
-    return streamed(spark, read(spark, sf_dir, "events"), lambda events: P.multi_venue(observed(events).drop("id"), SPARSE), files=True, settle=False)
+    return replayed(spark, read(spark, sf_dir, "events"), observed, lambda observations: P.multi_venue(observations, SPARSE), REPLAYED)
 
 
 def before_sql(seconds: int) -> str:
